@@ -1,0 +1,30 @@
+"""Join helpers: broadcast only behind a size check, with a shuffle join beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows above which a dimension is joined by shuffle instead of broadcast.
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
+
+_checked: dict = {}
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only when the side is proven to hold <= ``max_rows`` rows.
+
+    The check is a ``limit(max_rows + 1).count()`` (it stops reading once the
+    bound is passed) and is cached per plan; beyond the bound the plain frame
+    is returned and Catalyst / AQE pick a shuffle join.
+    """
+    try:
+        key = (df.sparkSession, df.semanticHash(), max_rows)
+    except Exception:  # pragma: no cover - semanticHash unavailable
+        key = None
+    small = _checked.get(key) if key is not None else None
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _checked[key] = small
+    return F.broadcast(df) if small else df
