@@ -82,7 +82,9 @@ def request_agg(requests: DataFrame, key: Column, label: str, avg_floor: bool =
     """AG15: request counts by a key expression (plus average floor / distinct hours)."""
     aggs = [F.count(F.lit(1)).alias("invites")]
     if avg_floor:
-        aggs.append(F.avg("imp_bidfloor").alias("avg_floor"))
+        # the only sum of non-integral doubles in the reports: rounded so the
+        # value does not depend on the summation order
+        aggs.append(F.round(F.avg("imp_bidfloor"), 6).alias("avg_floor"))
     if active_hours:
         aggs.append(F.count_distinct(F.hour("request_time")).alias("active_hours"))
     return requests.groupBy(key.alias(label)).agg(*aggs)

@@ -18,12 +18,12 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v
     if hasattr(v, "isoformat"):
         return str(pd.Timestamp(v))
     if isinstance(v, bool):
