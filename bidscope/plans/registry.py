@@ -49,6 +49,13 @@ def _bundle_outside(ctx):
     return cross.join(bidding.bid_app(c).select("app_bundle"), "app_bundle", "left_anti").distinct()
 
 
+def _attention_flags(ctx):
+    """SC26 on the spend app table: spend share above 30%, any jump."""
+    from bidscope.operators.checks import with_flags
+    c = ReportContext(ctx.src, ctx.req.with_analysis("spend"), ctx.rules)
+    return with_flags(spend.spend_app(c), "spend", c.total("spend_yuan"))
+
+
 OPS = {
     "wide_fact": lambda c: c.wide,
     "wide_fact_order": _wide_order,
@@ -72,6 +79,7 @@ OPS = {
                                               "creative_name", "order_strategy_creative"),
     "op_top_apps": lambda c: top_apps(c.wide, c.rules.app_top_n),
     "op_bundle_outside": _bundle_outside,
+    "op_attention_flags": _attention_flags,
 }
 
 
