@@ -22,6 +22,7 @@ __all__ = [
     "col_of", "blank_to", "app_label", "wpr_value", "spend_yuan", "track_key", "page_id",
     "label_chain", "order_strategy_creative", "geo_region", "ad_slot", "target_group",
     "price_bucket", "direct_jump", "safe_ratio", "flag", "delta_text", "pct_text",
+    "digit_text_key", "digit_text_from_key", "DIGIT_KEY_MAX_LEN",
 ]
 
 
@@ -142,3 +143,35 @@ def delta_text(cur, prev) -> Column:
     sign = F.when(c >= p, F.lit("+")).otherwise(F.lit(""))
     body = F.format_string("%.2f%%", F.round((c - p) / p * F.lit(100.0), 2))
     return F.when(p == F.lit(0.0), F.lit("前日为0")).otherwise(F.concat(sign, body))
+
+
+# Longest digit string the order-preserving key below represents exactly.
+DIGIT_KEY_MAX_LEN = 16
+
+
+def digit_text_key(c) -> Column:
+    """Order-preserving ``bigint`` key of a digit string (``'' < '1' < '10' < '9'``).
+
+    key = (digits right-padded with zeros to 16 places) * 100 + length.  Comparing
+    keys equals comparing the strings lexicographically, so ``max`` of the key
+    is the string maximum -- but as a fixed-width value it keeps the
+    aggregation hash-based (a string ``max`` forces a sort-based aggregate).
+    Longer strings raise: use ``Rules(exact_page_id=True)`` for those inputs.
+    """
+    s = col_of(c)
+    n = F.length(s)
+    padded = F.when(n == 0, F.lit(0)).otherwise(
+        F.rpad(s, DIGIT_KEY_MAX_LEN, "0").cast("bigint"))
+    key = padded * F.lit(100) + n.cast("bigint")
+    return F.when(s.isNull(), F.lit(None).cast("bigint")).when(
+        n > DIGIT_KEY_MAX_LEN,
+        F.raise_error(F.lit(f"page id longer than {DIGIT_KEY_MAX_LEN} digits; set Rules(exact_page_id=True)"))
+        .cast("bigint")).otherwise(key)
+
+
+def digit_text_from_key(c) -> Column:
+    """Inverse of :func:`digit_text_key`."""
+    k = col_of(c)
+    n = (k % F.lit(100)).cast("int")
+    padded = F.lpad((k / F.lit(100)).cast("bigint").cast("string"), DIGIT_KEY_MAX_LEN, "0")
+    return F.when(k.isNull(), F.lit(None).cast("string")).otherwise(F.substring(padded, 1, n))

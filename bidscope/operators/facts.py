@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidscope.functions.exprs import (
-    ad_slot, app_label, direct_jump, flag, geo_region, label_chain, order_strategy_creative,
-    page_id, price_bucket, target_group, track_key, wpr_value,
+    ad_slot, app_label, digit_text_from_key, digit_text_key, direct_jump, flag, geo_region, label_chain,
+    order_strategy_creative, page_id, price_bucket, target_group, track_key, wpr_value,
 )
 from bidscope.operators.joins import bounded_broadcast
 from bidscope.plans.request import FunnelRequest, Rules
@@ -90,8 +90,9 @@ def events_by_pair(src: FunnelSources, start: dt.date, days: int, rules: Rules =
     clicks = day_window(src.bid_click, "response_time", start, days).select(*PAIR, F.lit(1).alias("c"))
     keys = track_keys(day_window(src.track_event, "event_time", start, days), rules)
     tcols = [flag("event_code", TRACK_FLAGS[f]).alias(f) for f in flag_cols]
+    exact = rules.exact_page_id
     if with_page:
-        tcols.insert(0, F.col("page_id"))
+        tcols.insert(0, (F.col("page_id") if exact else digit_text_key("page_id")).alias("page_id"))
     tracks = keys.select(*PAIR, F.lit(1).alias("t"), *tcols)
     allrows = wins.unionByName(clicks, allowMissingColumns=True).unionByName(tracks, allowMissingColumns=True)
     aggs = [F.count("w").alias("win"), F.sum("s").alias("spend_raw"), F.count("c").alias("click"),
@@ -100,6 +101,8 @@ def events_by_pair(src: FunnelSources, start: dt.date, days: int, rules: Rules =
     if with_page:
         aggs.append(F.max("page_id").alias("page_id"))
     agg = allrows.groupBy(*PAIR).agg(*aggs)
+    if with_page and not exact:
+        agg = agg.withColumn("page_id", digit_text_from_key("page_id"))
     gate = (F.col("click") > 0) if rules.landing_page_requires_click else F.lit(True)
     out = [*PAIR, "win", F.coalesce(F.col("spend_raw"), F.lit(0.0)).alias("spend_raw"), "click"]
     out += [F.when(gate, F.coalesce(F.col(f), F.lit(0))).otherwise(F.lit(0)).alias(f) for f in flag_cols]

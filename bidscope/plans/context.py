@@ -37,11 +37,18 @@ class ReportContext:
         return self._wide
 
     def materialize(self, how: str = "checkpoint") -> "ReportContext":
+        """Cut the lineage of the wide fact and of the two-row KPI frame.
+
+        ``checkpoint`` writes them to ``spark.checkpoint.dir`` (survives lost
+        executors); ``persist`` keeps them in executor memory/disk.
+        """
         if how == "checkpoint":
             self._wide = self.wide.checkpoint(eager=True)
+            self.__dict__["kpi"] = self.kpi.checkpoint(eager=True)
         elif how == "persist":
             from pyspark import StorageLevel
             self._wide = self.wide.persist(StorageLevel.MEMORY_AND_DISK)
+            self.__dict__["kpi"] = self.kpi.persist(StorageLevel.MEMORY_AND_DISK)
         return self
 
     @cached_property
