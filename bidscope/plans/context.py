@@ -14,6 +14,20 @@ from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.tables import FunnelSources
 
 
+def scratch_table_root(spark) -> str:
+    """A fresh folder for this report's intermediate tables inside the
+    shared checkpoint folder (set only when unset, e.g. in tests)."""
+    import uuid
+
+    from bidscope.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/bidscope-tables/{uuid.uuid4().hex}"
+
+
+def write_and_read(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 class ReportContext:
     """Lazily built frames shared by the tables of one report.
 
@@ -36,13 +50,23 @@ class ReportContext:
             self._wide = wide_fact(self.src, self.req, self.rules)
         return self._wide
 
-    def materialize(self, how: str = "checkpoint") -> "ReportContext":
-        """Cut the lineage of the wide fact and of the two-row KPI frame.
+    def materialize(self, how: str = "table") -> "ReportContext":
+        """Cut the lineage of the wide fact, the two-row KPI frame and (with an
+        order scope) the order-limited requests.
 
-        ``checkpoint`` writes them to ``spark.checkpoint.dir`` (survives lost
-        executors); ``persist`` keeps them in executor memory/disk.
+        ``table`` (default) writes parquet tables under ``spark.checkpoint.dir``
+        (the cluster's shared folder) and reads them back: every later
+        aggregate prunes to its own columns and a lost executor re-reads
+        instead of recomputing joins.  ``checkpoint`` uses reliable RDD
+        checkpoints in the same folder; ``persist`` keeps executor copies.
         """
-        if how == "checkpoint":
+        if how == "table":
+            base = scratch_table_root(self.wide.sparkSession)
+            self._wide = write_and_read(self.wide, f"{base}/wide")
+            self.__dict__["kpi"] = write_and_read(self.kpi, f"{base}/kpi")
+            if self.req.order_id is not None:
+                self.__dict__["requests"] = write_and_read(self.requests, f"{base}/requests")
+        elif how == "checkpoint":
             self._wide = self.wide.checkpoint(eager=True)
             self.__dict__["kpi"] = self.kpi.checkpoint(eager=True)
         elif how == "persist":

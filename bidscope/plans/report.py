@@ -17,7 +17,7 @@ MODULES = {"basic": basic, "spend": spend, "bidding": bidding}
 
 
 def build_report(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
-                 materialize: str | None = "checkpoint", flags: bool = True) -> dict[str, DataFrame]:
+                 materialize: str | None = "table", flags: bool = True) -> dict[str, DataFrame]:
     """All tables of ``req.analysis`` (sheet order), lazily planned.
 
     FLT7 runs first (an undelivered order stops the report); spend and
