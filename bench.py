@@ -3,8 +3,9 @@
 Runs on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` (default sf0.1) and
 prints ONE JSON line.  Each query is fully materialised through the ``noop``
 sink (all columns computed, nothing collected).  ``value`` is the time of
-the three whole reports (basic + spend + bidding), each building its wide
-fact once (reliable checkpoint) and every table from it.
+the three whole reports (basic + spend + bidding) of one day built together
+from one materialised wide fact (``build_reports``); the separate-report
+times are recorded too.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from bidscope.plans.registry import all_queries  # noqa: E402
-from bidscope.plans.report import build_report  # noqa: E402
+from bidscope.plans.report import build_report, build_reports  # noqa: E402
 from bidscope.plans.request import FunnelRequest  # noqa: E402
 from bidscope.session import get_session  # noqa: E402
 from bidscope.sources.fixture import TEST_DAY, fixture_sources  # noqa: E402
@@ -59,13 +60,21 @@ def main() -> None:
         reports[f"report_{analysis}"] = timed(run)
     times.update(reports)
 
+    def run_all():
+        src = fixture_sources(spark, sf_dir)
+        for tables in build_reports(src, FunnelRequest(TEST_DAY)).values():
+            for df in tables.values():
+                materialize(df)
+    times["reports_all_shared_fact"] = timed(run_all)
+
     sf = Path(sf_dir).name.replace("sf", "")
     print(json.dumps({
-        "metric": "three_reports_wall",
-        "value": round(sum(reports.values()), 3),
+        "metric": "three_reports_shared_fact_wall",
+        "value": times["reports_all_shared_fact"],
+        "three_reports_separate": round(sum(reports.values()), 3),
         "unit": "sec",
         "queries": times,
-        "sum_single_queries": round(sum(v for k, v in times.items() if not k.startswith("report_")), 3),
+        "sum_single_queries": round(sum(v for k, v in times.items() if not k.startswith("report")), 3),
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
     }))

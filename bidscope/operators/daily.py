@@ -21,6 +21,16 @@ from bidscope.sources.tables import FunnelSources, day_window
 
 DAILY_FLAGS = ("page_exp", "jump", "load_fail")
 
+# KPI columns of each analysis; ``all`` is the superset shared by whole-day runs.
+KPI_COLUMNS = {
+    "basic": ["d", "invites", "bids", "wins", "clicks", "page_exp", "jumps", "spend_yuan", "load_fail"],
+    "spend": ["d", "invites", "bids", "wins", "clicks", "page_exp", "jumps", "spend_yuan", "active_hours",
+              "strategies"],
+    "bidding": ["d", "invites", "bids", "wins", "clicks", "page_exp", "jumps", "spend_yuan", "active_hours",
+                "strategies", "avg_bid_price", "min_bid_price", "max_bid_price"],
+}
+KPI_COLUMNS["all"] = KPI_COLUMNS["bidding"] + ["load_fail"]
+
 
 def _price_hour_strategy(df: DataFrame) -> DataFrame:
     """Responses reduced to (d, hour, strategy): counts and price sums (map-side combined)."""
@@ -74,7 +84,7 @@ def daily_kpi(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
     spend adds hours and strategies; bidding adds bid price stats)."""
     analysis = analysis or req.analysis
     start = req.prev_day
-    flags = DAILY_FLAGS if analysis == "basic" else ("page_exp", "jump")
+    flags = DAILY_FLAGS if analysis in ("basic", "all") else ("page_exp", "jump")
     resp = day_window(src.bid_response, "response_time", start, 2)
 
     if req.order_id is None:
@@ -118,14 +128,14 @@ def daily_kpi(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
         src_col = "jump" if c == "jumps" else c
         cols.append(F.coalesce(F.col(src_col), F.lit(0)).cast("bigint").alias(c))
     cols.append((F.coalesce(F.col("spend_raw"), F.lit(0.0)) / F.lit(float(rules.spend_divisor))).alias("spend_yuan"))
-    if analysis == "basic":
-        cols.append(F.coalesce(F.col("load_fail"), F.lit(0)).cast("bigint").alias("load_fail"))
-    else:
+    if analysis != "basic":
         cols.append(F.coalesce(F.col("active_hours"), F.lit(0)).cast("bigint").alias("active_hours"))
         cols.append(F.coalesce(F.col("strategies"), F.lit(0)).cast("bigint").alias("strategies"))
-    if analysis == "bidding":
+    if analysis in ("bidding", "all"):
         for c in ("avg_bid_price", "min_bid_price", "max_bid_price"):
             cols.append(F.coalesce(F.col(c), F.lit(0.0)).cast("double").alias(c))
+    if analysis in ("basic", "all"):
+        cols.append(F.coalesce(F.col("load_fail"), F.lit(0)).cast("bigint").alias("load_fail"))
     return out.select(*cols)
 
 

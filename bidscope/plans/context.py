@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.operators.daily import daily_kpi
+from bidscope.operators.daily import KPI_COLUMNS, daily_kpi
 from bidscope.operators.facts import app_names, day_requests, wide_fact
 from bidscope.operators.joins import bounded_broadcast
 from bidscope.plans.request import FunnelRequest, Rules
@@ -88,6 +88,25 @@ class ReportContext:
     def app_names(self) -> DataFrame:
         return bounded_broadcast(app_names(self.src.app_mapping))
 
+    def share_with(self, analysis: str) -> "ReportContext":
+        """A context for another analysis of the same day and scope reusing
+        this one's (materialised) wide fact, requests and KPI superset."""
+        other = ReportContext(self.src, self.req.with_analysis(analysis), self.rules)
+        other._wide = self._wide
+        if "requests" in self.__dict__:
+            other.__dict__["requests"] = self.__dict__["requests"]
+        if "kpi_all" in self.__dict__:
+            other.__dict__["kpi"] = self.__dict__["kpi_all"].select(*KPI_COLUMNS[analysis])
+        return other
+
+    def materialize_all(self, how: str = "table") -> "ReportContext":
+        """Like :meth:`materialize`, with the KPI superset of all analyses."""
+        self.__dict__["kpi"] = daily_kpi(self.src, self.req, self.rules, "all")
+        self.materialize(how)
+        self.__dict__["kpi_all"] = self.__dict__["kpi"]
+        self.__dict__["kpi"] = self.__dict__["kpi_all"].select(*KPI_COLUMNS[self.analysis])
+        return self
+
     def current(self) -> DataFrame:
         return self.kpi.filter(F.col("d") == F.lit(self.req.day))
 

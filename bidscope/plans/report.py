@@ -17,19 +17,21 @@ MODULES = {"basic": basic, "spend": spend, "bidding": bidding}
 
 
 def build_report(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
-                 materialize: str | None = "table", flags: bool = True) -> dict[str, DataFrame]:
+                 materialize: str | None = "table", flags: bool = True,
+                 ctx: ReportContext | None = None) -> dict[str, DataFrame]:
     """All tables of ``req.analysis`` (sheet order), lazily planned.
 
     FLT7 runs first (an undelivered order stops the report); spend and
     bidding also require a KPI row for the day (FLT8).  The wide fact is cut
     from its lineage once (``materialize``) and shared by every table.
     """
-    assert_delivered(src, req)
-    ctx = ReportContext(src, req, rules)
+    if ctx is None:
+        assert_delivered(src, req)
+        ctx = ReportContext(src, req, rules)
+        if materialize:
+            ctx.materialize(materialize)
     if req.analysis in ("spend", "bidding"):
         assert_day(ctx.kpi, req)
-    if materialize:
-        ctx.materialize(materialize)
     mod = MODULES[req.analysis]
     total = ctx.total("spend_yuan")
     tables = {}
@@ -42,6 +44,20 @@ def build_report(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
     return tables
 
 
+def build_reports(src: FunnelSources, req: FunnelRequest, analyses=("basic", "spend", "bidding"),
+                  rules: Rules = Rules(), materialize: str = "table") -> dict[str, dict[str, DataFrame]]:
+    """Several analyses of one day/scope from ONE wide fact, one request set
+    and one KPI superset (the reference runs one script, and one set of
+    warehouse queries, per analysis)."""
+    assert_delivered(src, req)
+    base = ReportContext(src, req.with_analysis(analyses[0]), rules).materialize_all(materialize)
+    out = {}
+    for a in analyses:
+        ctx = base if a == base.analysis else base.share_with(a)
+        out[a] = build_report(src, ctx.req, rules, ctx=ctx)
+    return out
+
+
 def run_report(src: FunnelSources, req: FunnelRequest, root: str, rules: Rules = Rules(),
                fmt: str = "parquet"):
     """Build, write and validate one report; returns (path, ValidationResult)."""

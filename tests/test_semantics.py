@@ -170,3 +170,16 @@ def test_request_defaults():
     assert r.prev_day == dt.date(2026, 7, 24) and r.order_id is None
     with pytest.raises(ValueError):
         FunnelRequest("2026-07-25", "other")
+
+
+def test_shared_fact_reports_equal_separate(spark, src_small):
+    from bidscope.plans.report import build_reports
+    from bidscope.sources.fixture import TEST_DAY
+    shared = build_reports(src_small, FunnelRequest(TEST_DAY, order_id=218))
+    for a in ("basic", "spend", "bidding"):
+        sep = build_report(src_small, FunnelRequest(TEST_DAY, a, 218), materialize=None)
+        assert list(shared[a]) == list(sep)
+        for name in ("app_hour", "spend_app", "bid_kpi", "basic_kpi", "spend_kpi", "gantt_spend", "hourly"):
+            if name in sep:
+                assert sorted(map(tuple, shared[a][name].collect()), key=str) == \
+                    sorted(map(tuple, sep[name].collect()), key=str), (a, name)
