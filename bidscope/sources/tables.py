@@ -40,8 +40,16 @@ class TableSource:
         return self.names.get(name, name)
 
 
+# Day partition column of stored event tables (``dt=YYYY-MM-DD`` folders), if any.
+PARTITION_COLUMN = "dt"
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Cast to the declared schema; columns the source lacks become typed nulls."""
+    """Cast to the declared schema; columns the source lacks become typed nulls.
+
+    A day partition column (``dt``) is kept so ``day_window`` can prune
+    partitions.
+    """
     schema = SCHEMAS[name]
     have = set(df.columns)
     cols = []
@@ -53,6 +61,8 @@ def conform(df: DataFrame, name: str) -> DataFrame:
             cols.append(c.alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    if PARTITION_COLUMN in have and name in TIME_COLUMNS:
+        cols.append(F.col(PARTITION_COLUMN))
     return df.select(*cols)
 
 
@@ -107,7 +117,20 @@ def day_window(df: DataFrame, time_col: str, start: dt.date, days: int = 1) -> D
     dtype = df.schema[time_col].dataType
     end = start + dt.timedelta(days=days)
     c = F.col(time_col)
-    return df.filter((c >= _ts_literal(start, dtype)) & (c < _ts_literal(end, dtype)))
+    out = df.filter((c >= _ts_literal(start, dtype)) & (c < _ts_literal(end, dtype)))
+    if PARTITION_COLUMN in df.columns:
+        # stored tables partitioned by day: prune folders, not just row groups
+        p = F.col(PARTITION_COLUMN).cast("date")
+        out = out.filter((p >= F.lit(start)) & (p < F.lit(end)))
+    return out
+
+
+def write_event_table(df: DataFrame, path: str, time_col: str) -> None:
+    """Store an event table partitioned by day (``dt``), rows clustered by time
+    inside each day so parquet min/max statistics prune row groups too."""
+    (df.withColumn(PARTITION_COLUMN, F.to_date(time_col))
+       .repartition(PARTITION_COLUMN).sortWithinPartitions(time_col)
+       .write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(path))
 
 
 @dataclass(frozen=True)

@@ -183,3 +183,13 @@ def test_shared_fact_reports_equal_separate(spark, src_small):
             if name in sep:
                 assert sorted(map(tuple, shared[a][name].collect()), key=str) == \
                     sorted(map(tuple, sep[name].collect()), key=str), (a, name)
+
+
+def test_day_partitioned_tables_prune_partitions(spark, src_small, tmp_path):
+    from bidscope.sources.tables import day_window, write_event_table
+    root = tmp_path / "parted"
+    write_event_table(src_small.bid_response, str(root / "bid_response"), "response_time")
+    df = day_window(load_table(spark, "bid_response", TableSource("parquet", str(root))), "response_time", DAY, 1)
+    plan = df.select("response_id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "PushedFilters: [IsNotNull(response_time)" in plan
+    assert df.count() == day_window(src_small.bid_response, "response_time", DAY, 1).count()
