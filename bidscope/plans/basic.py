@@ -31,10 +31,10 @@ def basic_kpi(ctx: ReportContext) -> DataFrame:
 
 def filter_loss(ctx: ReportContext) -> DataFrame:
     """R2: both days with rates, the un-bid estimate and the load-failure rate."""
-    return with_rates(ctx.kpi.select(*KPI_COLS), has_invite=True).withColumns({
+    return sort_by(with_rates(ctx.kpi.select(*KPI_COLS), has_invite=True).withColumns({
         "unbid_estimate": F.col("invites") - F.col("bids"),
         "load_fail_rate": safe_ratio("load_fail", "page_exp"),
-    })
+    }), [F.col("d").asc()])
 
 
 def basic_compare(ctx: ReportContext) -> DataFrame:

@@ -83,14 +83,36 @@ OPS = {
 }
 
 
+def _report_checks(analysis: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Data checks (CK1-CK4) over the tables of one report."""
+        from bidscope.operators.checks import report_checks
+        from bidscope.plans.report import build_report
+        ctx = _ctx(spark, sf_dir, analysis)
+        tables = build_report(ctx.src, ctx.req, ctx.rules, materialize=None)
+        return report_checks(tables, analysis, ctx.rules)
+    return run
+
+
+# Tables also registered with the order scope (``<name>_order``): every table
+# whose requests go through JN6 or whose day frame changes with the order.
+ORDER_SCOPED = {
+    "basic": ["basic_kpi", "filter_loss", "basic_compare", "gantt_bids", "app_funnel", "hourly", "findings"],
+    "spend": ["spend_kpi", "spend_compare", "gantt_spend", "spend_app", "spend_hour", "spend_region",
+              "spend_ad_slot"],
+    "bidding": ["bid_kpi", "bid_compare", "gantt_bid_price", "bid_app", "bid_hour", "x_app_hour"],
+}
+
+
 def all_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for analysis, mod in (("basic", basic), ("spend", spend), ("bidding", bidding)):
         for name, fn in mod.TABLES.items():
             q[name] = _table(analysis, fn)
-    q["basic_kpi_order"] = _table("basic", basic.basic_kpi, TEST_ORDER)
-    q["spend_kpi_order"] = _table("spend", spend.spend_kpi, TEST_ORDER)
-    q["bid_kpi_order"] = _table("bidding", bidding.bid_kpi, TEST_ORDER)
+    for analysis, mod in (("basic", basic), ("spend", spend), ("bidding", bidding)):
+        for name in ORDER_SCOPED[analysis]:
+            q[f"{name}_order"] = _table(analysis, mod.TABLES[name], TEST_ORDER)
+    q["report_checks"] = _report_checks("bidding")
     for name, fn in OPS.items():
         q[name] = _op(fn)
     return q
