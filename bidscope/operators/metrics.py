@@ -111,6 +111,7 @@ def join_requests(req_agg: DataFrame, bid_agg: DataFrame, keys: Sequence[str], h
     else:
         raise ValueError(how)
     j = j.drop(*[f"_rk_{k}" for k in keys])
+    j = j.select(*keys, *[c for c in j.columns if c not in keys])
     metrics = [f for f in j.schema.fields if f.name not in keys and not isinstance(f.dataType, T.StringType)]
     return j.withColumns({f.name: F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType)) for f in metrics})
 

@@ -8,8 +8,25 @@ writes (``overwrite``), so a lost executor only retries its own tasks.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bidscope.plans.request import FunnelRequest
+from bidscope.sources.schema import LABELS
+
+SPEND_COLUMNS = ("spend_yuan",)
+
+
+def labelled(df: DataFrame, analysis: str, spend_last: bool = True) -> DataFrame:
+    """SC27: report presentation of a table -- the reference's column labels
+    (``LABELS``) and, for the basic report (``cost_column_at_end``), spend as
+    the last column.  The basic report calls spend 花销(元), the others 花费(元)."""
+    cols = list(df.columns)
+    if spend_last and analysis == "basic":
+        cols = [c for c in cols if c not in SPEND_COLUMNS] + [c for c in cols if c in SPEND_COLUMNS]
+    names = dict(LABELS)
+    if analysis == "basic":
+        names["spend_yuan"] = "花销(元)"
+    return df.select(*[F.col(c).alias(names.get(c, c)) for c in cols])
 
 
 def report_path(root: str, req: FunnelRequest) -> str:
@@ -37,12 +54,19 @@ def notes(spark: SparkSession, req: FunnelRequest, divisor: float = 100000.0) ->
 
 
 def write_report(tables: dict[str, DataFrame], root: str, req: FunnelRequest, fmt: str = "parquet",
-                 order: list[str] | None = None) -> str:
-    """SNK1: write every table of one report, then the manifest (table order)."""
+                 order: list[str] | None = None, labels: bool = False) -> str:
+    """SNK1: write every table of one report, then the manifest (table order).
+
+    ``labels=True`` writes the presentation form (SC27); CSV gets a header.
+    """
     base = report_path(root, req)
     names = order or list(tables)
     for name in names:
-        tables[name].write.mode("overwrite").format(fmt).save(f"{base}/{name}")
+        df = labelled(tables[name], req.analysis) if labels else tables[name]
+        w = df.write.mode("overwrite").format(fmt)
+        if fmt == "csv":
+            w = w.option("header", True)
+        w.save(f"{base}/{name}")
     spark = next(iter(tables.values())).sparkSession
     manifest = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "seq int, table string")
     manifest.coalesce(1).write.mode("overwrite").json(f"{base}/_manifest")

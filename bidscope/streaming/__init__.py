@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference processes bounded daily windows only (no watermark, window,
+state or late-data handling anywhere), so there is no streaming operator to
+build.  The batch plans read ``day_window`` ranges; pointing the sources at
+a streaming table is not part of the reference's surface.
+"""

@@ -193,3 +193,14 @@ def test_day_partitioned_tables_prune_partitions(spark, src_small, tmp_path):
     plan = df.select("response_id")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan and "PushedFilters: [IsNotNull(response_time)" in plan
     assert df.count() == day_window(src_small.bid_response, "response_time", DAY, 1).count()
+
+
+def test_labelled_output_moves_spend_last(spark, src_small, tmp_path):
+    from bidscope.sources.fixture import TEST_DAY
+    from bidscope.sources.sinks import labelled, write_report
+    ctx = ReportContext(src_small, FunnelRequest(TEST_DAY))
+    out = labelled(basic.hourly(ctx), "basic")
+    assert out.columns[-1] == "花销(元)" and out.columns[0] == "hour" and "出价→竞得" in out.columns
+    assert labelled(spend.spend_kpi(ReportContext(src_small, FunnelRequest(TEST_DAY, "spend"))), "spend").columns[7] == "花费(元)"
+    path = write_report({"hourly": basic.hourly(ctx)}, str(tmp_path), FunnelRequest(TEST_DAY), fmt="csv", labels=True)
+    assert spark.read.option("header", True).csv(f"{path}/hourly").count() == 24
