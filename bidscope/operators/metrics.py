@@ -51,6 +51,28 @@ def funnel_agg(wide: DataFrame, keys: Sequence[str], measures: Sequence[str], ru
     return wide.groupBy(*keys).agg(*[_measure(m, rules) for m in measures])
 
 
+def funnel_agg_sets(wide: DataFrame, key_sets: Sequence[Sequence[str]], measures: Sequence[str],
+                    rules: Rules = Rules()) -> DataFrame:
+    """AG20: several ``funnel_agg`` levels in ONE pass (``GROUPING SETS``).
+
+    One scan of the fact feeds every level; ``_gid`` (``grouping_id``) tells
+    the levels apart -- see :func:`split_sets`.
+    """
+    all_keys = list(dict.fromkeys(k for ks in key_sets for k in ks))
+    return wide.groupingSets([list(ks) for ks in key_sets], *all_keys).agg(
+        *[_measure(m, rules) for m in measures], F.grouping_id().alias("_gid"))
+
+
+def split_sets(sets: DataFrame, key_sets: Sequence[Sequence[str]], measures: Sequence[str]) -> dict:
+    """The level of each key set out of a :func:`funnel_agg_sets` frame."""
+    all_keys = list(dict.fromkeys(k for ks in key_sets for k in ks))
+    out = {}
+    for ks in key_sets:
+        gid = sum(1 << (len(all_keys) - 1 - i) for i, k in enumerate(all_keys) if k not in ks)
+        out[tuple(ks)] = sets.filter(F.col("_gid") == F.lit(gid)).select(*ks, *measures)
+    return out
+
+
 def analysis_metrics(df: DataFrame, analysis: str, spend_total=None, bid_total=None,
                      has_invite: bool = False) -> DataFrame:
     """Rates, unit costs and share for one analysis (SC16-SC18).
@@ -71,9 +93,15 @@ def analysis_metrics(df: DataFrame, analysis: str, spend_total=None, bid_total=N
 
 
 def analysis_agg(wide: DataFrame, keys: Sequence[str], analysis: str, rules: Rules = Rules(),
-                 spend_total=None, bid_total=None) -> DataFrame:
-    """``bid_agg`` of each analysis: funnel_agg + its rates/costs/share."""
-    g = funnel_agg(wide, keys, MEASURES[analysis], rules)
+                 spend_total=None, bid_total=None, levels: dict | None = None) -> DataFrame:
+    """``bid_agg`` of each analysis: funnel_agg + its rates/costs/share.
+
+    ``levels`` holds precomputed levels (:func:`split_sets`) to reuse.
+    """
+    if levels is not None and tuple(keys) in levels:
+        g = levels[tuple(keys)]
+    else:
+        g = funnel_agg(wide, keys, MEASURES[analysis], rules)
     return analysis_metrics(g, analysis, spend_total, bid_total)
 
 

@@ -21,7 +21,7 @@ HOUR_COLS = [f"h{h:02d}" for h in HOURS]
 
 
 def _bid_agg(ctx: ReportContext, keys) -> DataFrame:
-    return analysis_agg(ctx.wide, keys, "basic", ctx.rules)
+    return analysis_agg(ctx.wide, keys, "basic", ctx.rules, levels=ctx.levels)
 
 
 def basic_kpi(ctx: ReportContext) -> DataFrame:

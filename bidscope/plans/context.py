@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bidscope.operators.daily import KPI_COLUMNS, daily_kpi
 from bidscope.operators.facts import app_names, day_requests, wide_fact
 from bidscope.operators.joins import bounded_broadcast
+from bidscope.operators.metrics import MEASURES, funnel_agg_sets, split_sets
 from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.tables import FunnelSources
 
@@ -39,6 +40,7 @@ class ReportContext:
     def __init__(self, src: FunnelSources, req: FunnelRequest, rules: Rules = Rules()):
         self.src, self.req, self.rules = src, req, rules
         self._wide = None
+        self._scratch = None
 
     @property
     def analysis(self) -> str:
@@ -62,10 +64,12 @@ class ReportContext:
         """
         if how == "table":
             base = scratch_table_root(self.wide.sparkSession)
+            self._scratch = base
             self._wide = write_and_read(self.wide, f"{base}/wide")
             self.__dict__["kpi"] = write_and_read(self.kpi, f"{base}/kpi")
             if self.req.order_id is not None:
                 self.__dict__["requests"] = write_and_read(self.requests, f"{base}/requests")
+            self._materialize_levels(base)
         elif how == "checkpoint":
             self._wide = self.wide.checkpoint(eager=True)
             self.__dict__["kpi"] = self.kpi.checkpoint(eager=True)
@@ -88,11 +92,37 @@ class ReportContext:
     def app_names(self) -> DataFrame:
         return bounded_broadcast(app_names(self.src.app_mapping))
 
+    # AG20 hierarchies computed in one grouping-sets pass when a report is built.
+    LEVELS = {
+        "basic": [["order_id", "order_name"], ["order_id", "strategy_id", "order_name", "strategy_name"],
+                  ["order_id", "strategy_id", "creative_id", "order_name", "strategy_name", "creative_name",
+                   "material_id", "material_type"]],
+        "spend": [["order_id", "order_name"], ["order_id", "strategy_id", "order_name", "strategy_name"],
+                  ["order_id", "strategy_id", "creative_id", "order_name", "strategy_name", "creative_name",
+                   "material_id", "material_type", "order_strategy_creative"]],
+    }
+
+    @property
+    def levels(self) -> dict | None:
+        """Precomputed funnel levels of this analysis (only after ``materialize``)."""
+        return self.__dict__.get("_levels")
+
+    def _materialize_levels(self, base: str) -> None:
+        sets = self.LEVELS.get(self.analysis)
+        if not sets:
+            return
+        measures = MEASURES[self.analysis]
+        agg = write_and_read(funnel_agg_sets(self._wide, sets, measures, self.rules), f"{base}/levels_{self.analysis}")
+        self.__dict__["_levels"] = split_sets(agg, sets, measures)
+
     def share_with(self, analysis: str) -> "ReportContext":
         """A context for another analysis of the same day and scope reusing
         this one's (materialised) wide fact, requests and KPI superset."""
         other = ReportContext(self.src, self.req.with_analysis(analysis), self.rules)
         other._wide = self._wide
+        if getattr(self, "_scratch", None):
+            other._scratch = self._scratch
+            other._materialize_levels(self._scratch)
         if "requests" in self.__dict__:
             other.__dict__["requests"] = self.__dict__["requests"]
         if "kpi_all" in self.__dict__:

@@ -25,7 +25,7 @@ def _total(ctx):
 
 
 def _bid_agg(ctx: ReportContext, keys) -> DataFrame:
-    return analysis_agg(ctx.wide, keys, "spend", ctx.rules, spend_total=_total(ctx))
+    return analysis_agg(ctx.wide, keys, "spend", ctx.rules, spend_total=_total(ctx), levels=ctx.levels)
 
 
 def _with_requests(ctx: ReportContext, req_agg: DataFrame, keys) -> DataFrame:

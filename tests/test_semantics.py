@@ -179,7 +179,9 @@ def test_shared_fact_reports_equal_separate(spark, src_small):
     for a in ("basic", "spend", "bidding"):
         sep = build_report(src_small, FunnelRequest(TEST_DAY, a, 218), materialize=None)
         assert list(shared[a]) == list(sep)
-        for name in ("app_hour", "spend_app", "bid_kpi", "basic_kpi", "spend_kpi", "gantt_spend", "hourly"):
+        for name in ("app_hour", "spend_app", "bid_kpi", "basic_kpi", "spend_kpi", "gantt_spend", "hourly",
+                     "order_fit", "strategy_fit", "creative_fit", "spend_by_order", "spend_by_strategy",
+                     "spend_order_strategy_creative", "bid_order_strategy_creative"):
             if name in sep:
                 assert sorted(map(tuple, shared[a][name].collect()), key=str) == \
                     sorted(map(tuple, sep[name].collect()), key=str), (a, name)
