@@ -185,6 +185,19 @@ def active_hour_count(prefix: str = "h") -> Column:
                F.lit(0)).cast("bigint")
 
 
+def day_pairs(kpi: DataFrame, metrics: Sequence[str], day, prev_day,
+              cur: str = "current", prev: str = "previous") -> DataFrame:
+    """The KPI in long form with both days side by side: one row per metric,
+    from ONE pass over the KPI (unpivot, then a conditional aggregate by metric)."""
+    long = kpi.select("d", *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(
+        ["d"], list(metrics), "metric", "_v")
+    return long.groupBy("metric").agg(
+        F.max(F.when(F.col("d") == F.lit(day), F.col("_v"))).alias(cur),
+        F.max(F.when(F.col("d") == F.lit(prev_day), F.col("_v"))).alias(prev),
+        F.max(F.when(F.col("d") == F.lit(day), F.lit(True))).alias(f"_has_{cur}"),
+        F.max(F.when(F.col("d") == F.lit(prev_day), F.lit(True))).alias(f"_has_{prev}"))
+
+
 def compare_days(kpi: DataFrame, metrics: Sequence[str], day, prev_day) -> DataFrame:
     """AG18/SC19/SC28: one row per metric with current, previous, change and change rate.
 
@@ -192,13 +205,9 @@ def compare_days(kpi: DataFrame, metrics: Sequence[str], day, prev_day) -> DataF
     """
     spark = kpi.sparkSession
     order = spark.createDataFrame([(i + 1, m) for i, m in enumerate(metrics)], "seq int, metric string")
-
-    def longform(d, name):
-        one = kpi.filter(F.col("d") == F.lit(d)).select(*[F.col(m).cast("double").alias(m) for m in metrics])
-        return one.unpivot([], list(metrics), "metric", name)
-
-    cur, prev = longform(day, "current"), longform(prev_day, "previous")
-    j = F.broadcast(order).join(cur, "metric").join(prev, "metric")
+    j = (day_pairs(kpi, metrics, day, prev_day)
+         .filter(F.col("_has_current") & F.col("_has_previous"))
+         .join(F.broadcast(order), "metric"))
     return j.select(
         "seq", "metric", "current", "previous",
         (F.col("current") - F.col("previous")).alias("delta"),

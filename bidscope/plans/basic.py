@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidscope.functions.exprs import app_label, delta_text, safe_ratio
@@ -10,7 +10,7 @@ from bidscope.operators.daily import with_rates
 from bidscope.operators.facts import day_responses, strategy_max_name
 from bidscope.operators.joins import bounded_broadcast
 from bidscope.operators.metrics import (
-    HOURS, MEASURES, active_hour_count, analysis_agg, compare_days, fill_hours, funnel_agg,
+    HOURS, MEASURES, active_hour_count, analysis_agg, compare_days, day_pairs, funnel_agg,
     hour_cells, join_requests, keep_apps, request_agg, sort_by, top_apps, top_k,
 )
 from bidscope.plans.context import ReportContext
@@ -190,20 +190,17 @@ def findings(ctx: ReportContext) -> DataFrame:
     metrics = sorted({m for _, _, m in FINDING_ROWS})
     rows = spark.createDataFrame(FINDING_ROWS, "seq int, kind string, metric string")
     k = with_rates(ctx.kpi, has_invite=True)
-
-    def day_long(d, name):
-        one = k.filter(F.col("d") == F.lit(d)).select(*[F.col(m).cast("double").alias(m) for m in metrics])
-        return one.unpivot([], metrics, "metric", name)
-
-    cur, prev = day_long(ctx.req.day, "value"), day_long(ctx.req.prev_day, "prev_value")
-    j = F.broadcast(rows).join(cur, "metric", "left").join(prev, "metric", "left")
+    pairs = day_pairs(k, metrics, ctx.req.day, ctx.req.prev_day,
+                      "value", "prev_value")
+    j = F.broadcast(rows).join(pairs, "metric", "left")
     j = j.withColumns({"value": F.coalesce("value", F.lit(0.0)), "prev_value": F.coalesce("prev_value", F.lit(0.0))})
-    cur_day = k.filter(F.col("d") == F.lit(ctx.req.day))
-    attribution = cur_day.select((F.col("page_exp") > F.col("clicks")).alias("_a"))
-    alert_flag = F.coalesce(attribution.select(F.max("_a")).scalar(), F.lit(False))
+    # attribution warning: the day's page exposures above its clicks (evaluated per landing row)
+    cur = {m: F.max(F.when(F.col("metric") == m, F.col("value"))).over(Window.partitionBy("kind"))
+           for m in ("page_exp", "clicks")}
+    alert = F.when(F.col("kind") == "landing", F.coalesce(cur["page_exp"] > cur["clicks"], F.lit(False)))
     return j.select("seq", "kind", "metric", "value", "prev_value",
                     delta_text("value", "prev_value").alias("delta_text"),
-                    F.when(F.col("kind") == "landing", alert_flag).otherwise(F.lit(False)).alias("alert"))
+                    alert.otherwise(F.lit(False)).alias("alert"))
 
 
 TABLES = {
