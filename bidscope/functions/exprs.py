@@ -173,5 +173,6 @@ def digit_text_from_key(c) -> Column:
     """Inverse of :func:`digit_text_key`."""
     k = col_of(c)
     n = (k % F.lit(100)).cast("int")
-    padded = F.lpad((k / F.lit(100)).cast("bigint").cast("string"), DIGIT_KEY_MAX_LEN, "0")
+    # exact integral division (a double quotient would lose the low digits)
+    padded = F.lpad((k.cast("decimal(20,0)") / F.lit(100)).cast("bigint").cast("string"), DIGIT_KEY_MAX_LEN, "0")
     return F.when(k.isNull(), F.lit(None).cast("string")).otherwise(F.substring(padded, 1, n))
