@@ -161,7 +161,11 @@ def wide_fact(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules()) ->
     r = day_responses(src, req).select(
         "response_id", "bid_seat_id", "bid_imp_id", "response_time", "bid_price", "order_id",
         "strategy_id", "creative_id", "land_page", "curl")
-    q = day_window(src.bid_request, "request_time", req.day, 1).select(
+    # Blank request ids identify nothing; excluding them keeps a hot blank id
+    # (present on both sides) from joining every blank response to every blank
+    # request.  Null ids never match anyway.
+    q = day_window(src.bid_request, "request_time", req.day, 1).filter(
+        F.col("request_id") != F.lit("")).select(
         F.col("request_id").alias("_q_id"), F.col("imp_id").alias("_q_imp"), "request_time",
         F.col("app_bundle").alias("_q_bundle"), "geo_lat", "geo_lon", "imp_adviewtype")
     ev = events_by_pair(src, req.day, 1, rules).withColumnsRenamed(

@@ -206,3 +206,22 @@ def test_labelled_output_moves_spend_last(spark, src_small, tmp_path):
     assert labelled(spend.spend_kpi(ReportContext(src_small, FunnelRequest(TEST_DAY, "spend"))), "spend").columns[7] == "花费(元)"
     path = write_report({"hourly": basic.hourly(ctx)}, str(tmp_path), FunnelRequest(TEST_DAY), fmt="csv", labels=True)
     assert spark.read.option("header", True).csv(f"{path}/hourly").count() == 24
+
+
+def test_bounded_broadcast_falls_back_to_shuffle(spark):
+    from bidscope.operators.joins import bounded_broadcast
+    big = spark.range(50).withColumnRenamed("id", "k")
+    small = bounded_broadcast(big, max_rows=100)
+    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
+    plain = bounded_broadcast(big, max_rows=10)
+    assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
+    assert spark.range(60).join(plain, F.col("id") == F.col("k")).count() == 50
+
+
+def test_blank_request_ids_do_not_fan_out(spark):
+    src = tiny(spark)
+    blank_q = mk(spark, "bid_request", [("", "1", T(2024, 1, 2, 1, 0), "app.a", 1.0, None, 30.0, 114.0, 4, None, None)] * 3)
+    blank_r = mk(spark, "bid_response", [("", "s1", "1", T(2024, 1, 2, 1, 1), 10.0, 218, 195, " 1 ", "", "c", None)] * 4)
+    s2 = src.replace(bid_request=src.bid_request.unionByName(blank_q), bid_response=src.bid_response.unionByName(blank_r))
+    w = wide_fact(s2, FunnelRequest(DAY))
+    assert w.filter(F.col("response_id") == "").count() == 4          # not 4 x 3
