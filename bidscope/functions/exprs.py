@@ -15,7 +15,7 @@ from bidscope.plans.request import (
     AD_SLOT_NAMES, AD_SLOT_OTHER, AD_SLOT_UNKNOWN, EMPTY_APP_LABEL, GEO_IN_LABEL,
     GEO_MISSING_LABEL, GEO_OUT_LABEL, PAGE_ID_PATTERN, PRICE_BUCKET_BOUNDS,
     PRICE_BUCKET_LABELS, PRICE_UNKNOWN, SPEND_DIVISOR, TARGET_IN_LABEL, TARGET_OUT_LABEL,
-    TRACK_PYCK_PATTERN, TRACK_RID_PATTERN, WUHAN_BOX, WUHAN_TARGET_STRATEGY_IDS,
+    WUHAN_BOX, WUHAN_TARGET_STRATEGY_IDS,
 )
 
 __all__ = [

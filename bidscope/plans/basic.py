@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidscope.functions.exprs import app_label, delta_text, safe_ratio
+from bidscope.functions.exprs import delta_text, safe_ratio
 from bidscope.operators.daily import with_rates
 from bidscope.operators.facts import day_responses, strategy_max_name
 from bidscope.operators.joins import bounded_broadcast
 from bidscope.operators.metrics import (
     HOURS, MEASURES, active_hour_count, analysis_agg, compare_days, day_pairs, funnel_agg,
-    hour_cells, join_requests, keep_apps, request_agg, sort_by, top_apps, top_k,
+    join_requests, keep_apps, sort_by, top_apps, top_k,
 )
 from bidscope.plans.context import ReportContext
 
@@ -115,9 +115,8 @@ def app_funnel(ctx: ReportContext) -> DataFrame:
     ``app_top_n`` apps (+ ``(空)``) (TK1, FLT2); every app of the wide fact is
     kept (right join) and the first ``basic_app_rows`` by bids are shown (Q10)."""
     apps = top_apps(ctx.wide, ctx.rules.app_top_n)
-    req = ctx.requests.withColumn("app_bundle", app_label("app_bundle"))
-    req = keep_apps(req, apps)
-    req_agg = ctx.with_app_name(request_agg(req, F.col("app_bundle"), "app_bundle", active_hours=True))
+    # filtering the per-app aggregate equals filtering the requests (the filter is on the key)
+    req_agg = ctx.with_app_name(keep_apps(ctx.request_counts("app_bundle", active_hours=True), apps))
     bid = funnel_agg(ctx.wide, ["app_name", "app_bundle"], MEASURES["basic"], ctx.rules)
     j = join_requests(req_agg, bid, ["app_name", "app_bundle"], "right")
     j = with_rates(j, has_invite=True)
@@ -144,7 +143,7 @@ def landing(ctx: ReportContext) -> DataFrame:
 def hourly(ctx: ReportContext) -> DataFrame:
     """Requests by hour (with average floor) joined to the bid funnel by
     request hour; hours without bids are dropped (FLT5)."""
-    req_agg = request_agg(ctx.requests, F.hour("request_time"), "hour", avg_floor=True)
+    req_agg = ctx.request_counts("hour", avg_floor=True)
     bid = funnel_agg(ctx.wide, ["hour"], MEASURES["basic"], ctx.rules)
     j = with_rates(join_requests(req_agg, bid, ["hour"], "left"), has_invite=True)
     if ctx.rules.drop_zero_bid_hours:

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.functions.exprs import app_label
 from bidscope.operators.metrics import (
     HOURS, MEASURES, analysis_agg, analysis_metrics, compare_days, funnel_agg, join_requests,
-    keep_apps, request_agg, sort_by, top_k,
+    keep_apps, sort_by, top_k,
 )
 from bidscope.plans.context import ReportContext
 from bidscope.plans.spend import OSC_KEYS
@@ -74,14 +73,14 @@ def gantt_bid_price(ctx: ReportContext) -> DataFrame:
 
 def bid_app(ctx: ReportContext) -> DataFrame:
     """Bidding by app, first ``bid_app_rows`` by bids."""
-    req = ctx.with_app_name(request_agg(ctx.requests, app_label("app_bundle"), "app_bundle"))
+    req = ctx.with_app_name(ctx.request_counts("app_bundle"))
     j = _with_requests(ctx, req, ["app_name", "app_bundle"])
     return top_k(j, [F.col("bids").desc()], ctx.rules.bid_app_rows, ["app_name", "app_bundle"])
 
 
 def bid_hour(ctx: ReportContext) -> DataFrame:
     """Bidding by request hour."""
-    req = request_agg(ctx.requests, F.hour("request_time"), "hour")
+    req = ctx.request_counts("hour")
     return sort_by(_with_requests(ctx, req, ["hour"]), [F.col("hour").asc_nulls_last()])
 
 
@@ -97,7 +96,7 @@ def bid_price_bucket(ctx: ReportContext) -> DataFrame:
 
 def _top_app_wide(ctx: ReportContext) -> DataFrame:
     """FLT3: wide rows of the apps shown in the app table (top ``bid_app_rows``)."""
-    return keep_apps(ctx.wide, bid_app(ctx).select("app_bundle"))
+    return keep_apps(ctx.wide, ctx.memo("bid_top_apps", lambda: bid_app(ctx).select("app_bundle")))
 
 
 def _cross(ctx, wide, keys, order, limit=None, tie=None):

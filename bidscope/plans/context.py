@@ -10,11 +10,22 @@ from pyspark.sql import functions as F
 from bidscope.operators.daily import KPI_COLUMNS, daily_kpi
 from bidscope.operators.facts import app_names, day_requests, wide_fact
 from bidscope.operators.joins import bounded_broadcast
-from bidscope.operators.metrics import MEASURES, funnel_agg_sets, split_sets
+from bidscope.functions.exprs import ad_slot, app_label, geo_region
+from bidscope.operators.metrics import MEASURES, funnel_agg_sets, request_agg, split_sets
 from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.tables import FunnelSources
 
 
+def request_labels(rules: Rules) -> dict:
+    """Label expressions the request aggregates group by."""
+    return {
+        "app_bundle": app_label("app_bundle"),
+        "hour": F.hour("request_time"),
+        "geo_region": geo_region("geo_lat", "geo_lon", rules.wuhan_box),
+        "ad_slot": ad_slot("imp_adviewtype", rules.ad_slot_names),
+    }
+
+
 def scratch_table_root(spark) -> str:
     """A fresh folder for this report's intermediate tables inside the
     shared checkpoint folder (set only when unset, e.g. in tests)."""
@@ -70,6 +81,7 @@ class ReportContext:
             if self.req.order_id is not None:
                 self.__dict__["requests"] = write_and_read(self.requests, f"{base}/requests")
             self._materialize_levels(base)
+            self._materialize_request_levels(base)
         elif how == "checkpoint":
             self._wide = self.wide.checkpoint(eager=True)
             self.__dict__["kpi"] = self.kpi.checkpoint(eager=True)
@@ -102,6 +114,41 @@ class ReportContext:
                    "material_id", "material_type", "order_strategy_creative"]],
     }
 
+    def memo(self, name: str, build) -> DataFrame:
+        """A small frame shared by several tables of the report (e.g. the top
+        apps behind three cross tables); written once when materialised."""
+        cache = self.__dict__.setdefault("_memo", {})
+        if name not in cache:
+            df = build()
+            if self._scratch:
+                df = write_and_read(df, f"{self._scratch}/{name}_{self.analysis}")
+            cache[name] = df
+        return cache[name]
+
+    def request_counts(self, key: str, avg_floor: bool = False, active_hours: bool = False) -> DataFrame:
+        """Request aggregate by one label (AG15): ``app_bundle`` (blank -> (空)),
+        ``hour``, ``geo_region`` or ``ad_slot``.  After ``materialize`` every
+        label comes from ONE grouping-sets pass over the day's requests."""
+        cols = [key, "invites"] + (["avg_floor"] if avg_floor else []) + (["active_hours"] if active_hours else [])
+        levels = self.__dict__.get("_request_levels")
+        if levels is not None:
+            return levels[key].select(*cols)
+        return request_agg(self.requests, request_labels(self.rules)[key], key, avg_floor=avg_floor,
+                           active_hours=active_hours)
+
+    def _materialize_request_levels(self, base: str) -> None:
+        labels = request_labels(self.rules)
+        keys = list(labels)
+        rows = self.requests.select(*[c.alias(k) for k, c in labels.items()],
+                                    F.hour("request_time").alias("_h"), "imp_bidfloor")
+        agg = rows.groupingSets([[k] for k in keys], *keys).agg(
+            F.count(F.lit(1)).alias("invites"), F.round(F.avg("imp_bidfloor"), 6).alias("avg_floor"),
+            F.count_distinct("_h").alias("active_hours"), F.grouping_id().alias("_gid"))
+        agg = write_and_read(agg, f"{base}/request_levels")
+        self.__dict__["_request_levels"] = {
+            k: agg.filter(F.col("_gid") == F.lit(sum(1 << (len(keys) - 1 - j) for j in range(len(keys)) if j != i)))
+            for i, k in enumerate(keys)}
+
     @property
     def levels(self) -> dict | None:
         """Precomputed funnel levels of this analysis (only after ``materialize``)."""
@@ -125,6 +172,8 @@ class ReportContext:
             other._materialize_levels(self._scratch)
         if "requests" in self.__dict__:
             other.__dict__["requests"] = self.__dict__["requests"]
+        if "_request_levels" in self.__dict__:
+            other.__dict__["_request_levels"] = self.__dict__["_request_levels"]
         if "kpi_all" in self.__dict__:
             other.__dict__["kpi"] = self.__dict__["kpi_all"].select(*KPI_COLUMNS[analysis])
         return other

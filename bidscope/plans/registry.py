@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bidscope.functions.exprs import ad_slot, geo_region, price_bucket, target_group
 from bidscope.operators.facts import app_names, click_pairs, day_requests, latest_strategy, track_keys

@@ -6,10 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.functions.exprs import ad_slot, app_label, geo_region, safe_ratio
+from bidscope.functions.exprs import safe_ratio
 from bidscope.operators.metrics import (
     HOURS, MEASURES, analysis_agg, analysis_metrics, compare_days, funnel_agg, join_requests,
-    request_agg, sort_by, top_k,
+    sort_by, top_k,
 )
 from bidscope.plans.context import ReportContext
 
@@ -102,14 +102,14 @@ def gantt_spend(ctx: ReportContext) -> DataFrame:
 
 def spend_app(ctx: ReportContext) -> DataFrame:
     """Spend by app; invites of every app (right join), first ``spend_app_rows`` by spend."""
-    req = ctx.with_app_name(request_agg(ctx.requests, app_label("app_bundle"), "app_bundle"))
+    req = ctx.with_app_name(ctx.request_counts("app_bundle"))
     j = _with_requests(ctx, req, ["app_name", "app_bundle"])
     return top_k(j, [F.col("spend_yuan").desc()], ctx.rules.spend_app_rows, ["app_name", "app_bundle"])
 
 
 def spend_hour(ctx: ReportContext) -> DataFrame:
     """Spend by request hour (a null hour stays null, Q1)."""
-    req = request_agg(ctx.requests, F.hour("request_time"), "hour")
+    req = ctx.request_counts("hour")
     return sort_by(_with_requests(ctx, req, ["hour"]), [F.col("hour").asc_nulls_last()])
 
 
@@ -129,14 +129,14 @@ def spend_target_group(ctx: ReportContext) -> DataFrame:
 
 def spend_region(ctx: ReportContext) -> DataFrame:
     """Spend by request coordinates region, first ``spend_region_rows`` by spend."""
-    req = request_agg(ctx.requests, geo_region("geo_lat", "geo_lon", ctx.rules.wuhan_box), "geo_region")
+    req = ctx.request_counts("geo_region")
     j = _with_requests(ctx, req, ["geo_region"])
     return top_k(j, [F.col("spend_yuan").desc()], ctx.rules.spend_region_rows, ["geo_region"])
 
 
 def spend_ad_slot(ctx: ReportContext) -> DataFrame:
     """Spend by ad slot type (requests grouped by the slot label, AG19)."""
-    req = request_agg(ctx.requests, ad_slot("imp_adviewtype", ctx.rules.ad_slot_names), "ad_slot")
+    req = ctx.request_counts("ad_slot")
     return sort_by(_with_requests(ctx, req, ["ad_slot"]), [F.col("spend_yuan").desc()], ["ad_slot"])
 
 

@@ -181,7 +181,8 @@ def test_shared_fact_reports_equal_separate(spark, src_small):
         assert list(shared[a]) == list(sep)
         for name in ("app_hour", "spend_app", "bid_kpi", "basic_kpi", "spend_kpi", "gantt_spend", "hourly",
                      "order_fit", "strategy_fit", "creative_fit", "spend_by_order", "spend_by_strategy",
-                     "spend_order_strategy_creative", "bid_order_strategy_creative"):
+                     "spend_order_strategy_creative", "bid_order_strategy_creative", "app_funnel",
+                     "spend_hour", "spend_region", "spend_ad_slot", "bid_app", "bid_hour"):
             if name in sep:
                 assert sorted(map(tuple, shared[a][name].collect()), key=str) == \
                     sorted(map(tuple, sep[name].collect()), key=str), (a, name)
@@ -225,3 +226,16 @@ def test_blank_request_ids_do_not_fan_out(spark):
     s2 = src.replace(bid_request=src.bid_request.unionByName(blank_q), bid_response=src.bid_response.unionByName(blank_r))
     w = wide_fact(s2, FunnelRequest(DAY))
     assert w.filter(F.col("response_id") == "").count() == 4          # not 4 x 3
+
+
+def test_unscoped_shared_reports_equal_separate(spark, src_small):
+    from bidscope.plans.report import build_reports
+    from bidscope.sources.fixture import TEST_DAY
+    shared = build_reports(src_small, FunnelRequest(TEST_DAY))
+    for a, names in (("basic", ("app_funnel", "hourly", "order_fit")), ("spend", ("spend_region", "spend_ad_slot", "spend_app")),
+                     ("bidding", ("bid_app", "bid_hour", "x_app_hour"))):
+        ctx = ReportContext(src_small, FunnelRequest(TEST_DAY, a))
+        mod = {"basic": basic, "spend": spend, "bidding": bidding}[a]
+        for n in names:
+            assert sorted(map(tuple, shared[a][n].drop(*[c for c in shared[a][n].columns if c.startswith("flag_")]).collect()), key=str) == \
+                sorted(map(tuple, mod.TABLES[n](ctx).collect()), key=str), (a, n)
