@@ -58,10 +58,11 @@ def gantt_bids(ctx: ReportContext) -> DataFrame:
     names = bounded_broadcast(strategy_max_name(ctx.src.dim_strategy).select(
         F.col("strategy_id").alias("_sid"), F.col("strategy_name").alias("_sname")))
     g = g.join(names, F.col("strategy_id") == F.col("_sid"), "left")
-    return g.select(
+    out = g.select(
         "order_id", "strategy_id",
         F.coalesce(F.col("_sname"), F.col("strategy_id").cast("string")).alias("ad_name"),
         "start_time", "last_time", active_hour_count().alias("active_hours"), "bids", *HOUR_COLS)
+    return sort_by(out, [F.col("bids").desc()], ["order_id", "strategy_id", "ad_name"])
 
 
 def gantt_bids_request_hour(ctx: ReportContext) -> DataFrame:
@@ -85,8 +86,9 @@ def gantt_bids_request_hour(ctx: ReportContext) -> DataFrame:
                 *[c for c in [F.count(F.lit(1)).alias("bids"), F.sum("win").alias("wins"),
                               F.sum("click").alias("clicks"),
                               (F.sum("spend_raw") / F.lit(float(ctx.rules.spend_divisor))).alias("spend_yuan")]]))
-    return cells.join(summ, ["order_id", "strategy_id"], "left").select(
+    out = cells.join(summ, ["order_id", "strategy_id"], "left").select(
         *keys4, "start_time", "last_time", "active_hours", "bids", "wins", "clicks", "spend_yuan", *HOUR_COLS)
+    return sort_by(out, [F.col("bids").desc()], keys4)
 
 
 ORDER_KEYS = ["order_id", "order_name"]
