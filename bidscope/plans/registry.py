@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from bidscope.functions.exprs import ad_slot, geo_region, price_bucket, target_group
-from bidscope.operators.facts import app_names, click_pairs, day_requests, latest_strategy, track_keys
+from bidscope.operators.facts import (
+    app_names, click_pairs, clicks_by_key, day_requests, latest_strategy, track_keys, tracks_by_key, wins_by_key,
+)
 from bidscope.operators.metrics import top_apps
 from bidscope.plans import basic, bidding, spend
 from bidscope.plans.context import ReportContext
@@ -79,6 +83,13 @@ OPS = {
     "op_top_apps": lambda c: top_apps(c.wide, c.rules.app_top_n),
     "op_bundle_outside": _bundle_outside,
     "op_attention_flags": _attention_flags,
+    "op_wins_by_key": lambda c: wins_by_key(day_window(c.src.bid_result, "response_time", c.req.day, 1)).withColumn(
+        "spend_yuan", F.col("spend_raw") / F.lit(c.rules.spend_divisor)).drop("spend_raw"),
+    "op_clicks_by_key": lambda c: clicks_by_key(day_window(c.src.bid_click, "response_time", c.req.day, 1)),
+    "op_tracks_by_key": lambda c: tracks_by_key(
+        track_keys(day_window(c.src.track_event, "event_time", c.req.day, 1), c.rules)).join(
+        clicks_by_key(day_window(c.src.bid_click, "response_time", c.req.day, 1)).select(
+            "response_id", "bid_seat_id"), ["response_id", "bid_seat_id"], "left_semi"),
 }
 
 
@@ -112,6 +123,8 @@ def all_queries() -> dict[str, Query]:
         for name in ORDER_SCOPED[analysis]:
             q[f"{name}_order"] = _table(analysis, mod.TABLES[name], TEST_ORDER)
     q["report_checks"] = _report_checks("bidding")
+    q["report_checks_basic"] = _report_checks("basic")
+    q["report_checks_spend"] = _report_checks("spend")
     for name, fn in OPS.items():
         q[name] = _op(fn)
     return q
