@@ -10,7 +10,7 @@ from bidscope.operators.daily import with_rates
 from bidscope.operators.facts import day_responses, strategy_max_name
 from bidscope.operators.joins import bounded_broadcast
 from bidscope.operators.metrics import (
-    HOURS, MEASURES, active_hour_count, analysis_agg, compare_days, day_pairs, funnel_agg,
+    HOURS, active_hour_count, analysis_agg, compare_days, day_pairs,
     join_requests, keep_apps, sort_by, top_apps, top_k,
 )
 from bidscope.plans.context import ReportContext
@@ -119,7 +119,7 @@ def app_funnel(ctx: ReportContext) -> DataFrame:
     apps = top_apps(ctx.wide, ctx.rules.app_top_n)
     # filtering the per-app aggregate equals filtering the requests (the filter is on the key)
     req_agg = ctx.with_app_name(keep_apps(ctx.request_counts("app_bundle", active_hours=True), apps))
-    bid = funnel_agg(ctx.wide, ["app_name", "app_bundle"], MEASURES["basic"], ctx.rules)
+    bid = ctx.funnel(["app_name", "app_bundle"])
     j = join_requests(req_agg, bid, ["app_name", "app_bundle"], "right")
     j = with_rates(j, has_invite=True)
     return top_k(j, [F.col("bids").desc()], ctx.rules.basic_app_rows, ["app_name", "app_bundle"])
@@ -146,7 +146,7 @@ def hourly(ctx: ReportContext) -> DataFrame:
     """Requests by hour (with average floor) joined to the bid funnel by
     request hour; hours without bids are dropped (FLT5)."""
     req_agg = ctx.request_counts("hour", avg_floor=True)
-    bid = funnel_agg(ctx.wide, ["hour"], MEASURES["basic"], ctx.rules)
+    bid = ctx.funnel(["hour"])
     j = with_rates(join_requests(req_agg, bid, ["hour"], "left"), has_invite=True)
     if ctx.rules.drop_zero_bid_hours:
         j = j.filter(F.col("bids") > 0)

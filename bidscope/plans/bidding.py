@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.operators.metrics import (
-    HOURS, MEASURES, analysis_agg, analysis_metrics, compare_days, funnel_agg, join_requests,
+    HOURS, analysis_agg, analysis_metrics, compare_days, join_requests,
     keep_apps, sort_by, top_k,
 )
 from bidscope.plans.context import ReportContext
@@ -23,11 +23,12 @@ def _total(ctx):
 
 
 def _agg(ctx: ReportContext, wide: DataFrame, keys) -> DataFrame:
-    return analysis_agg(wide, keys, "bidding", ctx.rules, bid_total=_total(ctx))
+    levels = ctx.levels if wide is ctx.wide else None    # levels are of the unfiltered fact
+    return analysis_agg(wide, keys, "bidding", ctx.rules, bid_total=_total(ctx), levels=levels)
 
 
 def _with_requests(ctx: ReportContext, req_agg: DataFrame, keys) -> DataFrame:
-    bid = funnel_agg(ctx.wide, keys, MEASURES["bidding"], ctx.rules)
+    bid = ctx.funnel(keys)
     j = join_requests(req_agg, bid, keys, "right")
     return analysis_metrics(j, "bidding", bid_total=_total(ctx), has_invite=True)
 

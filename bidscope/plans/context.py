@@ -11,7 +11,7 @@ from bidscope.operators.daily import KPI_COLUMNS, daily_kpi
 from bidscope.operators.facts import app_names, day_requests, wide_fact
 from bidscope.operators.joins import bounded_broadcast
 from bidscope.functions.exprs import ad_slot, app_label, geo_region
-from bidscope.operators.metrics import MEASURES, funnel_agg_sets, request_agg, split_sets
+from bidscope.operators.metrics import MEASURES, funnel_agg, funnel_agg_sets, request_agg, split_sets
 from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.tables import FunnelSources
 
@@ -104,16 +104,31 @@ class ReportContext:
     def app_names(self) -> DataFrame:
         return bounded_broadcast(app_names(self.src.app_mapping))
 
-    # AG20 hierarchies computed in one grouping-sets pass when a report is built.
+    # Every funnel key set an analysis aggregates the (unfiltered) fact by: when a
+    # whole report is built they come from ONE grouping-sets pass (AG10/AG20).
+    _OSC8 = ["order_id", "strategy_id", "creative_id", "order_name", "strategy_name", "creative_name",
+             "material_id", "material_type"]
+    _OSC9 = _OSC8 + ["order_strategy_creative"]
     LEVELS = {
-        "basic": [["order_id", "order_name"], ["order_id", "strategy_id", "order_name", "strategy_name"],
-                  ["order_id", "strategy_id", "creative_id", "order_name", "strategy_name", "creative_name",
-                   "material_id", "material_type"]],
-        "spend": [["order_id", "order_name"], ["order_id", "strategy_id", "order_name", "strategy_name"],
-                  ["order_id", "strategy_id", "creative_id", "order_name", "strategy_name", "creative_name",
-                   "material_id", "material_type", "order_strategy_creative"]],
+        "basic": [["order_id", "order_name"], ["order_id", "strategy_id", "order_name", "strategy_name"], _OSC8,
+                  ["app_name", "app_bundle"], ["hour"], ["app_name", "app_bundle", "hour"],
+                  ["app_name", "app_bundle", "order_strategy_creative"], ["hour", "order_strategy_creative"]],
+        "spend": [["order_id", "order_name"], ["order_id", "strategy_id", "order_name", "strategy_name"], _OSC9,
+                  ["app_name", "app_bundle"], ["hour"], ["geo_region"], ["ad_slot"], ["target_group"],
+                  ["strategy_id", "strategy_name", "ad_slot"]],
+        "bidding": [_OSC9, ["app_name", "app_bundle"], ["hour"], ["price_bucket"],
+                    ["hour", "order_strategy_creative"], ["hour", "price_bucket"],
+                    ["order_strategy_creative", "price_bucket"]],
     }
 
+    def funnel(self, keys) -> DataFrame:
+        """``funnel_agg`` of the fact by ``keys`` with this analysis's measures,
+        taken from the precomputed levels when the report was materialised."""
+        levels = self.levels
+        if levels is not None and tuple(keys) in levels:
+            return levels[tuple(keys)]
+        return funnel_agg(self.wide, keys, MEASURES[self.analysis], self.rules)
+
     def memo(self, name: str, build) -> DataFrame:
         """A small frame shared by several tables of the report (e.g. the top
         apps behind three cross tables); written once when materialised."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from bidscope.functions.exprs import safe_ratio
 from bidscope.operators.metrics import (
-    HOURS, MEASURES, analysis_agg, analysis_metrics, compare_days, funnel_agg, join_requests,
+    HOURS, analysis_agg, analysis_metrics, compare_days, join_requests,
     sort_by, top_k,
 )
 from bidscope.plans.context import ReportContext
@@ -29,7 +29,7 @@ def _bid_agg(ctx: ReportContext, keys) -> DataFrame:
 
 
 def _with_requests(ctx: ReportContext, req_agg: DataFrame, keys) -> DataFrame:
-    bid = funnel_agg(ctx.wide, keys, MEASURES["spend"], ctx.rules)
+    bid = ctx.funnel(keys)
     j = join_requests(req_agg, bid, keys, "right")
     return analysis_metrics(j, "spend", spend_total=_total(ctx), has_invite=True)
 

@@ -232,8 +232,11 @@ def test_unscoped_shared_reports_equal_separate(spark, src_small):
     from bidscope.plans.report import build_reports
     from bidscope.sources.fixture import TEST_DAY
     shared = build_reports(src_small, FunnelRequest(TEST_DAY))
-    for a, names in (("basic", ("app_funnel", "hourly", "order_fit")), ("spend", ("spend_region", "spend_ad_slot", "spend_app")),
-                     ("bidding", ("bid_app", "bid_hour", "x_app_hour"))):
+    for a, names in (("basic", ("app_funnel", "hourly", "order_fit", "app_hour", "app_order", "hour_order")),
+                     ("spend", ("spend_region", "spend_ad_slot", "spend_app", "spend_target_group",
+                                "spend_ad_slot_strategy", "spend_hour")),
+                     ("bidding", ("bid_app", "bid_hour", "x_app_hour", "bid_price_bucket", "x_hour_order",
+                                  "x_hour_bucket", "x_order_bucket", "bid_order_strategy_creative"))):
         ctx = ReportContext(src_small, FunnelRequest(TEST_DAY, a))
         mod = {"basic": basic, "spend": spend, "bidding": bidding}[a]
         for n in names:
