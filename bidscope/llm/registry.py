@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, sentencepiece_bpe
+from . import license_scan, quality_rules, secret_scan, sentencepiece_bpe
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_documents(spark, sf_dir))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(_documents(spark, sf_dir))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(_documents(spark, sf_dir))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_documents(_documents(spark, sf_dir))
 
