@@ -126,12 +126,13 @@ def host_rates(measured: DataFrame, rules: HostRules) -> DataFrame:
     hosts = measured.groupBy("host").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(F.when(c, 1).otherwise(0)).alias(f"f_{r}") for r, c in soft.items()]
     )
+    # One row of moments, whatever the number of hosts.
     raw = {r: F.col(f"f_{r}") / F.col("n") for r in soft}
-    moments = hosts.agg(F.struct(*[F.avg(raw[r]).alias(f"m_{r}") for r in soft], *[F.var_pop(raw[r]).alias(f"v_{r}") for r in soft])).scalar()
+    moments = hosts.agg(F.struct(*[F.avg(raw[r]).alias(f"m_{r}") for r in soft], *[F.var_pop(raw[r]).alias(f"v_{r}") for r in soft]).alias("x")).first().x
     for r in soft:
-        m, v = moments[f"m_{r}"], moments[f"v_{r}"]
+        m, v = moments[f"m_{r}"] or 0.0, moments[f"v_{r}"] or 0.0
         # Documents that the prior is worth; hosts all alike: the prior outweighs every host.
-        weight = F.when(v > 0, F.greatest(m * (1 - m) / v - 1, F.lit(1.0))).otherwise(F.lit(1e12))
+        weight = max(m * (1 - m) / v - 1, 1.0) if v > 0 else 1e12
         rate = (F.col(f"f_{r}") + m * weight) / (F.col("n") + weight)
         hosts = hosts.withColumn(f"rate_{r}", rate).withColumn(f"binds_{r}", rate >= rules.max_rate)
     return hosts

@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, quality_rules, secret_scan, sentencepiece_bpe
+from . import chat_format, fingerprints, license_scan, quality_rules, secret_scan, sentencepiece_bpe
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return chat_format.digests(chat_format.format_conversations(chat_format.with_probe(spark, conversations)))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_documents(spark, sf_dir))
 
@@ -21,6 +26,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(_documents(spark, sf_dir))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(_documents(spark, sf_dir))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(_documents(spark, sf_dir))
 
@@ -34,4 +43,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_queries() -> dict[str, str]:
-    return {"op3_quality_rules": quality_rules.ORACLE}
+    return {"op2_chat_format": chat_format.ORACLE, "op3_quality_rules": quality_rules.ORACLE}
