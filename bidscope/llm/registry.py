@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, fingerprints, license_scan, quality_rules, secret_scan, sentencepiece_bpe
+from . import chat_format, fingerprints, license_scan, mixing, quality_rules, secret_scan, sentencepiece_bpe, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_documents(spark, sf_dir))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(_documents(spark, sf_dir))
 
@@ -38,9 +42,13 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_documents(_documents(spark, sf_dir))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(_documents(spark, sf_dir))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 
 
 def oracle_queries() -> dict[str, str]:
-    return {"op2_chat_format": chat_format.ORACLE, "op3_quality_rules": quality_rules.ORACLE}
+    return {"op2_chat_format": chat_format.ORACLE, "op3_quality_rules": quality_rules.ORACLE, "op4_warc": warc.ORACLE, "op10_mixing": mixing.ORACLE}
