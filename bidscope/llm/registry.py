@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, fingerprints, license_scan, line_dedup, mixing, quality_rules, secret_scan, sentencepiece_bpe, warc
+from . import chat_format, fingerprints, license_scan, line_dedup, mixing, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(_documents(spark, sf_dir))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return chat_format.digests(chat_format.format_conversations(chat_format.with_probe(spark, conversations)))
