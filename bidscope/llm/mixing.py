@@ -40,11 +40,12 @@ class Mix:
     salt: str = "mix-1"
 
 
-def sized(docs: DataFrame, mix: Mix, keys: list[str]) -> DataFrame:
-    """``keys``, source, size in words, and the shuffle position h (60 bits) of each row."""
+def sized(docs: DataFrame, mix: Mix, keep: tuple[str, ...]) -> DataFrame:
+    """doc_id, the columns ``keep`` as one, source, size in words, and the shuffle position h (60 bits) of each row."""
     h = F.conv(F.substring(F.md5(F.concat(F.lit(mix.salt + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 15), 16, 10).cast("long")
     size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    return docs.select(*keys, F.col("source").cast("string").alias("source"), size.alias("size"), h.alias("h"))
+    kept = F.struct(*keep) if keep else F.lit(None).cast("int")
+    return docs.select("doc_id", kept.alias("kept"), F.col("source").cast("string").alias("source"), size.alias("size"), h.alias("h"))
 
 
 def targets(rows: DataFrame, mix: Mix) -> DataFrame:
@@ -110,7 +111,7 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), keep: tuple[str, ...] = ())
     size. A null doc_id has a place in the shuffle too. An empty table gives an
     empty result. Columns other than doc_id, source, text and ``keep`` are not read.
     """
-    rows = materialise(sized(docs, mix, ["doc_id", *keep]), "mix-sizes")
+    rows = materialise(sized(docs, mix, keep), "mix-sizes")
     sources = materialise(targets(rows, mix), "mix-targets")
     placed = materialise(offsets(rows, sources), "mix-offsets")
     b = mix.block_words
@@ -121,7 +122,7 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), keep: tuple[str, ...] = ())
     words = F.least(F.col("c") + F.col("size"), (F.col("block") + 1) * b) - F.greatest(F.col("c"), F.col("block") * b)
     got = cut.join(taken, ["k", "block"]).groupBy("k", "c").agg(F.sum(words * F.col("times")).alias("taken"))
     whole = placed.withColumn("at", F.when(F.col("size") > 0, F.col("c"))).join(got.withColumnRenamed("c", "at"), ["k", "at"], "left")
-    return whole.select("doc_id", *keep, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return whole.select("doc_id", *[F.col(f"kept.`{c}`") for c in keep], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 ORACLE = f"""

@@ -138,6 +138,25 @@ def host_rates(measured: DataFrame, rules: HostRules) -> DataFrame:
     return hosts
 
 
+def _counted(docs: DataFrame, host_col: str, keep: list[str]) -> DataFrame:
+    """Counts of every row under doc_id, host and the columns ``keep``."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col(host_col).cast("string").alias("host"), F.col("text").cast("string"), *keep)
+    return measure(rows, ["doc_id", "host", *keep])
+
+
+def _judged(counted: DataFrame, verdicts: DataFrame, rules: HostRules) -> DataFrame:
+    """The counted rows with base_failed and kept, their hosts' verdicts joined in ``salts`` parts."""
+    parts = verdicts.select("host", *[f"binds_{r}" for r in rules.soft()], F.explode(F.sequence(F.lit(0), F.lit(rules.salts - 1))).alias("salt"))
+    salted = counted.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(rules.salts)).cast("int"))
+    same = F.col("d.host").eqNullSafe(F.col("v.host")) & (F.col("d.salt") == F.col("v.salt"))
+    joined = salted.alias("d").join(parts.alias("v"), same, "left").select("d.*", *[f"v.binds_{r}" for r in rules.soft()])
+    bound = F.lit(False)
+    for r, failed in rules.soft().items():
+        bound = bound | (failed & F.coalesce(F.col(f"binds_{r}"), F.lit(False)))
+    base = rules.base_failed()
+    return joined.withColumns({"base_failed": base, "kept": ~base & ~bound})
+
+
 def judge(docs: DataFrame, rules: HostRules = HostRules(), host_col: str = "source") -> DataFrame:
     """doc_id, the counts, base_failed and kept, one row for each input row.
 
@@ -147,19 +166,17 @@ def judge(docs: DataFrame, rules: HostRules = HostRules(), host_col: str = "sour
     column are read, so other columns cannot clash. A hot host is summed map-side
     and its documents meet its verdict in ``salts`` parts.
     """
-    counted = materialise(
-        measure(docs.select(F.col("doc_id").cast("long"), F.col(host_col).cast("string").alias("host"), "text"), ["doc_id", "host"]), "quality"
-    )
-    verdicts = host_rates(counted, rules).select("host", *[f"binds_{r}" for r in rules.soft()], F.explode(F.sequence(F.lit(0), F.lit(rules.salts - 1))).alias("salt"))
-    salted = counted.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(rules.salts)).cast("int"))
-    judged = salted.alias("d").join(
-        verdicts.alias("v"), F.col("d.host").eqNullSafe(F.col("v.host")) & (F.col("d.salt") == F.col("v.salt")), "left"
-    ).select("d.*", *[f"v.binds_{r}" for r in rules.soft()])
-    bound = F.lit(False)
-    for r, failed in rules.soft().items():
-        bound = bound | (failed & F.coalesce(F.col(f"binds_{r}"), F.lit(False)))
-    base = rules.base_failed()
-    return judged.select("doc_id", *[m for m in MEASURES if m != "n_lines"], base.alias("base_failed"), (~base & ~bound).alias("kept"))
+    counted = materialise(_counted(docs, host_col, []), "quality")
+    judged = _judged(counted, host_rates(counted, rules), rules)
+    return judged.select("doc_id", *[m for m in MEASURES if m != "n_lines"], "base_failed", "kept")
+
+
+def good_documents(docs: DataFrame, rules: HostRules = HostRules(), host_col: str = "source") -> DataFrame:
+    """The rows that ``judge`` keeps, with the columns of ``docs``; each row by its own text."""
+    counted = materialise(_counted(docs, host_col, []), "quality")
+    verdicts = materialise(host_rates(counted, rules), "quality-hosts")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text", host_col)
+    return _judged(_counted(whole, host_col, ["row"]), verdicts, rules).filter("kept").select("row.*")
 
 
 _WORD = r"[^\x20\x09-\x0D]+"
