@@ -83,7 +83,8 @@ def _landmarks(names: np.ndarray, head: np.ndarray) -> np.ndarray:
         before[head] = colour[head] ^ 1
         colour = table[before.astype(np.uint16) * np.uint16(width) + colour]
     begins = head.copy()
-    inner = (colour[1:-1] > colour[:-2]) & (colour[1:-1] > colour[2:])
+    # A text's last symbol has no right neighbour, so it begins no phrase.
+    inner = (colour[1:-1] > colour[:-2]) & (colour[1:-1] > colour[2:]) & ~head[2:]
     begins[1:-1] |= inner
     return np.flatnonzero(begins)
 
