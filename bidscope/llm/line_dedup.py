@@ -40,11 +40,12 @@ OCCURRENCE = "id long, check long, doc long, line int, n int, prefix binary"
 
 @dataclass(frozen=True)
 class LineJoin:
-    """``tries``: candidates of a list that are verified in the first round (the second has the rest)."""
+    """``tries``: candidates of a list that are verified in the first round (the second has the rest); ``cell``: sets of a posting list that meet in one group."""
 
     similarity: Fraction = Fraction(4, 5)
     min_words: int = 5
     tries: int = 3
+    cell: int = setjoin.CELL
 
 
 class _Lines:
@@ -115,7 +116,8 @@ def occurrences(texts: DataFrame, class_of, join: LineJoin) -> DataFrame:
     return texts.mapInArrow(run, OCCURRENCE)
 
 
-def _postings(found: DataFrame, class_of) -> DataFrame:
+def postings(found: DataFrame, class_of, cell_size: int) -> DataFrame:
+    """Posting rows of the classes' prefixes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = tn.flat(batch.column("prefix"))
@@ -126,7 +128,7 @@ def _postings(found: DataFrame, class_of) -> DataFrame:
             col = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
             ids = col("id")[owner]
             bound = at_most(class_of.value[(token & np.uint32(len(class_of.value) - 1)).astype(np.int64)])
-            at, cell, side = setjoin.deal(token, ids, bound)
+            at, cell, side = setjoin.deal(token, ids, bound, cell_size)
             who = owner[at]
             values = (token.view(np.int32)[at], cell, side, ids[at], col("doc")[who], col("line")[who], col("n")[who], pos[at])
             kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
@@ -173,7 +175,7 @@ def removed_lines(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
         F.min(F.struct("doc", "line")).alias("first"), F.max("n").alias("n"), F.max("prefix").alias("prefix")
     ).select("id", "check", "first.doc", "first.line", "n", "prefix")
     firsts = materialise(firsts, "line-classes")
-    found = materialise(setjoin.first_candidates(_postings(firsts, class_of), join.similarity, join.tries), "line-candidates")
+    found = materialise(setjoin.first_candidates(postings(firsts, class_of, join.cell), join.similarity, join.tries), "line-candidates")
     gone = materialise(_verified(found.filter("a is not null").select("a", "b"), texts, join).select(F.col("b").alias("id")).distinct(), "line-gone")
     held = found.filter("a is null").drop("a", "b")
     tagged = held.join(gone.withColumn("tag", F.lit(1).cast("long")), "id", "left").fillna(0, ["tag"])

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import setjoin
 from . import textnum as tn
 from .components import components
-from .line_dedup import _postings
+from .line_dedup import postings
 from .rarity import classes, hashed_counts
 from .scratch import materialise
 
@@ -42,11 +42,12 @@ ORDERS = (np.uint64(0), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4E
 
 @dataclass(frozen=True)
 class NgramJoin:
-    """``tries``: candidates of a posting list that are verified in the first round (the second has the rest)."""
+    """``tries``: candidates of a posting list that are verified in the first round (the second has the rest); ``cell``: sets of a posting list that meet in one group."""
 
     width: int = 4
     similarity: Fraction = Fraction(17, 20)
     tries: int = 2
+    cell: int = setjoin.CELL
 
 
 class _Sets:
@@ -198,7 +199,7 @@ def ngram_components(docs: DataFrame, join: NgramJoin = NgramJoin()) -> DataFram
     class_of = spark.sparkContext.broadcast(classes(_counts(texts, join)))
     seen = materialise(sets_of(texts, join), "ngram-sets")
     firsts = materialise(classes_of(texts, class_of, join), "ngram-classes")
-    found = materialise(setjoin.first_candidates(_postings(firsts, class_of), join.similarity, join.tries), "ngram-candidates")
+    found = materialise(setjoin.first_candidates(postings(firsts, class_of, join.cell), join.similarity, join.tries), "ngram-candidates")
 
     names = firsts.select("id", "doc")
     by_doc = lambda e: e.join(names.toDF("a", "u"), "a").join(names.toDF("b", "v"), "b").select("u", "v")

@@ -11,7 +11,7 @@ passed on and gives every candidate pair whose outcome is still open. Nothing th
 could matter is dropped, so the two rounds together are exact.
 
 A list of a frequent token is dealt over cells: its sets are split in groups, and each
-pair of groups meets in one cell (``deal``), so a cell has about 2 ``CELL`` sets.
+pair of groups meets in one cell (``deal``), so a cell has at most about 2 ``CELL`` sets.
 """
 
 from __future__ import annotations
@@ -42,9 +42,9 @@ def prefix_length(t: Fraction, n: np.ndarray) -> np.ndarray:
     return n - -((-t.numerator * n) // t.denominator) + 1
 
 
-def deal(token: np.ndarray, ids: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def deal(token: np.ndarray, ids: np.ndarray, bound: np.ndarray, size: int = CELL) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each posting its cells: (index of the posting, cell, side). ``bound``: at most so many sets have the token."""
-    groups = np.minimum(np.maximum(np.ceil(bound / CELL), 1), 1 << 15).astype(np.int64)
+    groups = np.minimum(np.maximum(np.ceil(bound / size), 1), 1 << 15).astype(np.int64)
     at = np.repeat(np.arange(len(token)), groups)
     begin = np.concatenate(([0], np.cumsum(groups)[:-1]))
     other = np.arange(len(at)) - begin[at]
