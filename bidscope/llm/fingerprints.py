@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textnum as tn
+from .scratch import ship
 
 SLOTS = 64
 LEVELS = (3, 4, 5)
@@ -232,4 +233,5 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         if rows:
             yield _finish(rows)
 
+    ship(docs.sparkSession)
     return in_order(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")).mapInArrow(run, SCHEMA)

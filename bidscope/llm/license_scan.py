@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import textnum as tn
-from .scratch import materialise
+from .scratch import materialise, ship
 
 # Phrases of the base labels.
 BASE = {
@@ -78,6 +78,7 @@ def _word_hashes(words: list[str]) -> np.ndarray:
 
 def scan(docs: DataFrame, templates: Templates) -> DataFrame:
     """Word count, base phrases, and positions and ids of template words (int32 arrays) of each whole text."""
+    ship(docs.sparkSession)
     words = templates.vocabulary
     phrases = [(label, [words.index(w) for w in p.split()]) for p, label in BASE.items()]
 

@@ -28,14 +28,16 @@ from pyspark.sql import functions as F
 
 from . import setjoin
 from . import textnum as tn
-from .rarity import at_most, classes, hashed_counts
-from .scratch import materialise
+from .rarity import ONCE, at_most, classes, hashed_counts
+from .scratch import discard, materialise, ship
 
 #: doc_id of rows without one in the order of lines: after all others.
 LAST = (1 << 63) - 1
 _NOT_BREAK = np.ones(256, bool)
 _NOT_BREAK[0x0A] = False
-OCCURRENCE = "id long, check long, doc long, line int, n int, prefix binary"
+OCCURRENCE = "name long, check long, doc long, line int, n int, prefix binary, s0 long, s1 long"
+#: Bits of a line's parity signature.
+SIGN = 128
 
 
 @dataclass(frozen=True)
@@ -76,8 +78,10 @@ class _Lines:
         owner, self.token = owner[fresh], token[fresh]
         self.begin = np.searchsorted(owner, np.arange(len(low) + 1))
         self.n = np.diff(self.begin)
+        signs, _ = setjoin.parity(self.token, self.begin, np.full(len(low), SIGN))
+        self.signs = signs.view(np.int64).reshape(-1, 2) if len(low) else np.empty((0, 2), np.int64)
         total = lambda v: np.add.reduceat(v, self.begin[:-1]) if len(low) else np.empty(0, np.uint64)
-        self.id = tn.mix64(total(tn.mix64(self.token ^ np.uint64(0xA5A5)))).astype(np.int64)
+        self.name = tn.mix64(total(tn.mix64(self.token ^ np.uint64(0xA5A5)))).astype(np.int64)
         self.check = total(tn.mix64(self.token ^ np.uint64(0x5A5A))).astype(np.int64)
 
 
@@ -95,29 +99,35 @@ def _word_counts(docs: DataFrame) -> np.ndarray:
 
 
 def occurrences(texts: DataFrame, class_of, join: LineJoin) -> DataFrame:
-    """Every long line: its class (id, check), place, set size, and prefix (32 bits a word; equal lines of a batch share one)."""
+    """Every long line: its class (name, check), place, set size, prefix (32 bits a word) and parity signature.
+
+    Of equal lines of one run of texts only the first carries the prefix.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.split()[0] for f in OCCURRENCE.split(", ")]
         for batch in batches:
             docs = batch.column("doc").to_numpy(zero_copy_only=False)
             for lo, hi, buf, offsets in tn.pieces(batch.column("text")):
                 x = _Lines(buf, offsets, join.min_words, class_of.value)
                 length = setjoin.prefix_length(join.similarity, x.n)
                 short = (x.token & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                _, new = np.unique(x.id, return_index=True)
+                _, new = np.unique(x.name, return_index=True)
                 prefix: list[bytes | None] = [None] * len(x.n)
                 for i in new.tolist():
                     prefix[i] = short[x.begin[i] : x.begin[i] + length[i]].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x.id, pa.int64()), pa.array(x.check, pa.int64()), pa.array(docs[lo:hi][x.text], pa.int64()),
-                     pa.array(x.line, pa.int32()), pa.array(x.n, pa.int32()), pa.array(prefix, pa.binary())],
-                    ["id", "check", "doc", "line", "n", "prefix"],
+                    [pa.array(x.name, pa.int64()), pa.array(x.check, pa.int64()), pa.array(docs[lo:hi][x.text], pa.int64()), pa.array(x.line, pa.int32()),
+                     pa.array(x.n, pa.int32()), pa.array(prefix, pa.binary()), pa.array(x.signs[:, 0], pa.int64()), pa.array(x.signs[:, 1], pa.int64())],
+                    names,
                 )
 
     return texts.mapInArrow(run, OCCURRENCE)
 
 
-def postings(found: DataFrame, class_of, cell_size: int) -> DataFrame:
-    """Posting rows of the classes' prefixes."""
+def postings(found: DataFrame, class_of, cell_size: int, schema: str) -> DataFrame:
+    """Posting rows of the sets' prefixes, but for tokens that stand in one place only."""
+    signed = [c for c in ("s0", "s1") if c in schema]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = tn.flat(batch.column("prefix"))
@@ -125,68 +135,76 @@ def postings(found: DataFrame, class_of, cell_size: int) -> DataFrame:
             begin = offsets // 4
             owner = np.repeat(np.arange(batch.num_rows), np.diff(begin))
             pos = np.arange(len(token)) - begin[owner]
+            rarity = class_of.value[(token & np.uint32(len(class_of.value) - 1)).astype(np.int64)]
+            shared = rarity > ONCE
+            token, owner, pos, rarity = token[shared], owner[shared], pos[shared], rarity[shared]
             col = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
             ids = col("id")[owner]
-            bound = at_most(class_of.value[(token & np.uint32(len(class_of.value) - 1)).astype(np.int64)])
-            at, cell, side = setjoin.deal(token, ids, bound, cell_size)
+            at, cell, side = setjoin.deal(token, ids, at_most(rarity), cell_size)
             who = owner[at]
-            values = (token.view(np.int32)[at], cell, side, ids[at], col("doc")[who], col("line")[who], col("n")[who], pos[at])
-            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], setjoin._NAMES)
+            yield setjoin.rows(schema, (token.view(np.int32)[at], cell, side, ids[at], col("n")[who], pos[at], *[col(c)[who] for c in signed]))
 
-    return found.select("id", "doc", "line", "n", "prefix").mapInArrow(run, setjoin.POSTING)
+    return found.select("id", "n", "prefix", *signed).mapInArrow(run, schema)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, join: LineJoin) -> DataFrame:
+def _verified(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, join: LineJoin) -> DataFrame:
     """The pairs whose lines are similar, by their words."""
     spark = pairs.sparkSession
     pairs = materialise(pairs.distinct(), "line-pairs")
-    field = spark.sparkContext.broadcast(setjoin.members(pairs))
+    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(firsts.select("id", "name"), "id"), "line-wanted")
+    field = spark.sparkContext.broadcast(setjoin.members(wanted.select("name")))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, buf, offsets in tn.pieces(batch.column("text")):
                 x = _Lines(buf, offsets, join.min_words)
-                ids, at = np.unique(x.id, return_index=True)
-                at = at[setjoin.may_hold(field.value, ids)]
+                names, at = np.unique(x.name, return_index=True)
+                at = at[setjoin.may_hold(field.value, names)]
                 raw = [buf[s:e].tobytes() for s, e in zip(x.span[0][at], x.span[1][at])]
-                yield pa.RecordBatch.from_arrays([pa.array(x.id[at], pa.int64()), pa.array(raw, pa.binary())], ["id", "payload"])
+                yield pa.RecordBatch.from_arrays([pa.array(x.name[at], pa.int64()), pa.array(raw, pa.binary())], ["name", "payload"])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    payloads = texts.select("text").mapInArrow(lines, "id long, payload binary").join(wanted, "id", "left_semi")
-    payloads = materialise(payloads.groupBy("id").agg(F.min("payload").alias("payload")), "line-texts")
+    # Lines of one set may differ in their order of words; any of them will do.
+    found = texts.select("text").mapInArrow(lines, "name long, payload binary").groupBy("name").agg(F.min("payload").alias("payload"))
+    payloads = materialise(wanted.join(found, "name").select("id", "payload"), "line-texts")
     num, den = join.similarity.numerator, join.similarity.denominator
 
     def similar(a: frozenset, b: frozenset) -> bool:
         shared = len(a & b)
         return den * shared >= num * (len(a) + len(b) - shared)
 
-    return setjoin.compare(pairs, payloads, similar, lambda raw: frozenset(bytes(raw).split()))
+    out = materialise(setjoin.compare(pairs, payloads, similar, lambda raw: frozenset(bytes(raw).split())), "line-similar")
+    discard(pairs, wanted, payloads)
+    return out
 
 
 def removed_lines(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
-    """doc, id, line of every line that goes (doc is LAST for a null doc_id)."""
+    """doc, name, line of every line that goes (doc is LAST for a null doc_id)."""
     spark = docs.sparkSession
+    ship(spark)
     texts = _texts(docs)
     class_of = spark.sparkContext.broadcast(classes(_word_counts(docs)))
     seen = materialise(occurrences(texts, class_of, join), "line-occurrences")
-    # The prefix rides along with one line of each class and batch; all of a class have the same.
-    firsts = seen.groupBy("id", "check").agg(
-        F.min(F.struct("doc", "line")).alias("first"), F.max("n").alias("n"), F.max("prefix").alias("prefix")
-    ).select("id", "check", "first.doc", "first.line", "n", "prefix")
+    firsts = seen.groupBy("name", "check").agg(
+        F.min(F.struct("doc", "line")).alias("first"), *[F.max(c).alias(c) for c in ("n", "prefix", "s0", "s1")]
+    ).select("name", "check", "first.doc", "first.line", "n", "prefix", "s0", "s1")
+    # Numbers in the order of first lines; the written table fixes them.
+    firsts = firsts.repartitionByRange("doc", "line").sortWithinPartitions("doc", "line", "name").withColumn("id", F.monotonically_increasing_id())
     firsts = materialise(firsts, "line-classes")
-    found = materialise(setjoin.first_candidates(postings(firsts, class_of, join.cell), join.similarity, join.tries), "line-candidates")
-    gone = materialise(_verified(found.filter("a is not null").select("a", "b"), texts, join).select(F.col("b").alias("id")).distinct(), "line-gone")
+    listed = postings(firsts, class_of, join.cell, setjoin.SIGNED)
+    found = materialise(setjoin.first_candidates(listed, join.similarity, setjoin.SIGNED, join.tries), "line-candidates")
+    similar = _verified(found.filter("a is not null").select("a", "b"), firsts, texts, join)
+    gone = materialise(similar.select(F.col("b").alias("id")).distinct(), "line-gone")
     held = found.filter("a is null").drop("a", "b")
     tagged = held.join(gone.withColumn("tag", F.lit(1).cast("long")), "id", "left").fillna(0, ["tag"])
-    rest = materialise(setjoin.open_candidates(tagged, join.similarity, apart=False), "line-open")
+    rest = materialise(setjoin.open_candidates(tagged, join.similarity, setjoin.SIGNED, apart=False), "line-open")
+    discard(found)
     if rest.limit(1).count():
-        gone = gone.unionByName(_verified(rest, texts, join).select(F.col("b").alias("id")).distinct()).distinct()
-    o, f = seen.select("id", "check", "doc", "line").alias("o"), firsts.select("id", "check", F.col("doc").alias("d0"), F.col("line").alias("l0")).alias("f")
-    first = F.col("f.d0").isNotNull()
-    later = o.join(f, (F.col("o.id") == F.col("f.id")) & (F.col("o.check") == F.col("f.check")) & (F.col("o.doc") == F.col("f.d0")) & (F.col("o.line") == F.col("f.l0")), "left")
-    split = later.select("o.id", "o.doc", "o.line", first.alias("first"))
-    return split.filter("not first").select("doc", "id", "line").unionByName(split.filter("first").join(gone, "id", "left_semi").select("doc", "id", "line"))
+        again = _verified(rest, firsts, texts, join)
+        gone = materialise(gone.unionByName(again.select(F.col("b").alias("id"))).distinct(), "line-gone")
+    lost = firsts.select("id", "name", "check", "doc", "line").join(gone, "id", "left_anti").select("name", "check", "doc", "line")
+    # What stays is the first line of each class that is not gone; every other occurrence is removed.
+    marked = seen.select("name", "check", "doc", "line").join(lost, ["name", "check", "doc", "line"], "left_anti")
+    return marked.select("doc", "name", "line")
 
 
 def dedup_lines(docs: DataFrame, join: LineJoin = LineJoin(), keep: tuple[str, ...] = ()) -> DataFrame:
@@ -198,7 +216,7 @@ def dedup_lines(docs: DataFrame, join: LineJoin = LineJoin(), keep: tuple[str, .
     equal rows stays in each. Rows with a null doc_id come last and count as one
     document. An empty table gives an empty result; other columns are not read.
     """
-    gone = removed_lines(docs, join).groupBy("doc").agg(F.collect_list(F.struct("line", "id")).alias("gone"))
+    gone = materialise(removed_lines(docs, join), "line-removed").groupBy("doc").agg(F.collect_list(F.struct("line", "name")).alias("gone"))
     rows = docs.select("doc_id", "text", *keep).withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
     rows = rows.join(gone, "doc", "left").select("doc_id", F.col("text").cast("string").alias("text"), *keep, "gone")
 
@@ -212,8 +230,8 @@ def dedup_lines(docs: DataFrame, join: LineJoin = LineJoin(), keep: tuple[str, .
                 if gone.is_valid and lines:
                     raw = text.encode()
                     x = _Lines(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), join.min_words)
-                    marked = {(g["line"], g["id"]) for g in gone.as_py()}
-                    drop = {line for line, i in zip(x.line.tolist(), x.id.tolist()) if (line, i) in marked}
+                    marked = {(g["line"], g["name"]) for g in gone.as_py()}
+                    drop = {line for line, i in zip(x.line.tolist(), x.name.tolist()) if (line, i) in marked}
                     out = len(drop)
                     left = [s for i, s in enumerate(lines) if i not in drop]
                     text = "\n".join(left) if any(s.encode().strip(b" \t\n\r\x0b\x0c") for s in left) else ""

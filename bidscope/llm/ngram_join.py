@@ -10,7 +10,8 @@ words: the whole sequence as one). Documents whose sets have a Jaccard similarit
    shingle of their prefixes under every order.
 3. Candidates share a prefix shingle under the first order and pass the length and
    positional filters (``setjoin``). Their prefixes under the other orders are
-   intersected next, and pairs that share none under one of them go.
+   intersected next, and pairs that share none under one of them go, as do pairs
+   whose parity signatures differ in more bits than similar sets can.
 4. What is left is verified on the texts' own shingle sets.
 
 A family of near copies is not listed pair by pair: the first round verifies each
@@ -35,7 +36,7 @@ from . import textnum as tn
 from .components import components
 from .line_dedup import postings
 from .rarity import classes, hashed_counts
-from .scratch import materialise
+from .scratch import discard, materialise, ship
 
 ORDERS = (np.uint64(0), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -72,7 +73,7 @@ class _Sets:
         self.n = np.diff(self.begin)
         sums = lambda v: np.concatenate((np.zeros(1, np.uint64), np.cumsum(v, dtype=np.uint64)))
         total = lambda v: sums(v)[self.begin[1:]] - sums(v)[self.begin[:-1]]
-        self.id = tn.mix64(total(tn.mix64(self.token ^ np.uint64(0xA5A5))) + self.n.astype(np.uint64)).astype(np.int64)
+        self.name = tn.mix64(total(tn.mix64(self.token ^ np.uint64(0xA5A5))) + self.n.astype(np.uint64)).astype(np.int64)
         self.check = total(tn.mix64(self.token ^ np.uint64(0x5A5A))).astype(np.int64)
 
     def prefixes(self, class_of: np.ndarray, salt: np.uint64, length: np.ndarray) -> list[bytes]:
@@ -97,65 +98,75 @@ def _counts(texts: DataFrame, join: NgramJoin) -> np.ndarray:
 
 
 def sets_of(texts: DataFrame, join: NgramJoin) -> DataFrame:
-    """doc, id, check (128 bits that name the set) and n of each row's whole text."""
+    """doc, name, check (128 bits that name the set) and n of each row's whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, offsets in tn.pieces(batch.column("text")):
                 x = _Sets(buf, offsets, join.width)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc").slice(lo, hi - lo), pa.array(x.id, pa.int64()), pa.array(x.check, pa.int64()), pa.array(x.n, pa.int32())],
-                    ["doc", "id", "check", "n"],
+                    [batch.column("doc").slice(lo, hi - lo), pa.array(x.name, pa.int64()), pa.array(x.check, pa.int64()), pa.array(x.n, pa.int32())],
+                    ["doc", "name", "check", "n"],
                 )
 
-    return texts.mapInArrow(run, "doc long, id long, check long, n int")
+    return texts.mapInArrow(run, "doc long, name long, check long, n int")
 
 
 def classes_of(texts: DataFrame, class_of, join: NgramJoin) -> DataFrame:
-    """One row for each distinct set: id, check, doc (its smallest doc_id), line (0), n, and its prefixes under three orders."""
+    """One row for each distinct set: name, check, doc (its smallest doc_id), n, prefixes under three orders, parity signature, id (a number)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "check", "doc", "line", "n", "prefix", "second", "third"]
+        names = [f.split()[0] for f in schema.split(", ")]
         for batch in batches:
             docs = batch.column("doc").to_numpy(zero_copy_only=False)
             for lo, hi, buf, offsets in tn.pieces(batch.column("text")):
                 x = _Sets(buf, offsets, join.width)
                 length = np.where(x.n > 0, setjoin.prefix_length(join.similarity, x.n), 0)
                 # Of equal sets of this run the smallest doc_id's row goes on.
-                at = np.lexsort((docs[lo:hi], x.check, x.id))
+                at = np.lexsort((docs[lo:hi], x.check, x.name))
                 new = np.ones(len(at), bool)
-                new[1:] = (x.id[at[1:]] != x.id[at[:-1]]) | (x.check[at[1:]] != x.check[at[:-1]])
+                new[1:] = (x.name[at[1:]] != x.name[at[:-1]]) | (x.check[at[1:]] != x.check[at[:-1]])
                 at = np.sort(at[new & (x.n[at] > 0)])
                 found = [x.prefixes(class_of.value, salt, length) for salt in ORDERS]
+                bits = 1 << np.clip(np.ceil(np.log2(np.maximum(x.n, 1) * 4.0)), 8, 16).astype(np.int64)
+                signs, start = setjoin.parity(x.token, x.begin, bits)
+                found.append([signs[a:b].tobytes() for a, b in zip(start[:-1].tolist(), start[1:].tolist())])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x.id[at], pa.int64()), pa.array(x.check[at], pa.int64()), pa.array(docs[lo:hi][at], pa.int64()),
-                     pa.array(np.zeros(len(at)), pa.int32()), pa.array(x.n[at], pa.int32()), *[pa.array([f[i] for i in at.tolist()], pa.binary()) for f in found]],
+                    [pa.array(x.name[at], pa.int64()), pa.array(x.check[at], pa.int64()), pa.array(docs[lo:hi][at], pa.int64()),
+                     pa.array(x.n[at], pa.int32()), *[pa.array([f[i] for i in at.tolist()], pa.binary()) for f in found]],
                     names,
                 )
 
-    rows = texts.filter("doc is not null").mapInArrow(run, "id long, check long, doc long, line int, n int, prefix binary, second binary, third binary")
-    return rows.groupBy("id", "check").agg(
-        F.min("doc").alias("doc"), F.min("line").alias("line"), F.min("n").alias("n"), *[F.min(c).alias(c) for c in ("prefix", "second", "third")]
-    )
+    schema = "name long, check long, doc long, n int, prefix binary, second binary, third binary, parity binary"
+    rows = texts.filter("doc is not null").mapInArrow(run, schema)
+    whole = rows.groupBy("name", "check").agg(F.min("doc").alias("doc"), *[F.min(c).alias(c) for c in ("n", "prefix", "second", "third", "parity")])
+    return whole.withColumn("id", F.monotonically_increasing_id())
 
 
 def _links(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, join: NgramJoin) -> DataFrame:
     """The pairs of classes that are linked: filtered by the other orders, then verified on the texts."""
     spark = pairs.sparkSession
     pairs = materialise(pairs.distinct(), "ngram-pairs")
-    field = spark.sparkContext.broadcast(setjoin.members(pairs))
+    field = spark.sparkContext.broadcast(setjoin.members(pairs.select(F.explode(F.array("a", "b")).alias("id"))))
 
     def concerned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(setjoin.may_hold(field.value, batch.column("id").to_numpy(zero_copy_only=False))))
 
-    orders = F.struct("second", "third").alias("payload")
-    held = firsts.select("id", orders).mapInArrow(concerned, "id long, payload struct<second:binary,third:binary>")
-    shared = lambda a, b: all(len(np.intersect1d(x, y, assume_unique=False)) for x, y in zip(a, b))
-    arrays = lambda p: [np.frombuffer(p[k], np.uint32) for k in ("second", "third")]
-    left = materialise(setjoin.compare(pairs, held, shared, arrays), "ngram-filtered")
+    def possible(a: tuple, b: tuple) -> bool:
+        signs = setjoin.fold([a[3], b[3]])
+        if int(np.bitwise_count(signs[0] ^ signs[1]).sum()) > setjoin.differing_most(join.similarity, a[0], b[0]):
+            return False
+        return all(len(np.intersect1d(x, y)) for x, y in zip(a[1:3], b[1:3]))
+
+    def unpacked(p: dict) -> tuple:
+        return p["n"], np.frombuffer(p["second"], np.uint32), np.frombuffer(p["third"], np.uint32), p["parity"]
+
+    orders = F.struct("n", "second", "third", "parity").alias("payload")
+    held = firsts.select("id", orders).mapInArrow(concerned, "id long, payload struct<n:int,second:binary,third:binary,parity:binary>")
+    left = materialise(setjoin.compare(pairs, held, possible, unpacked), "ngram-filtered")
 
-    wanted = left.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(firsts.select("id", "doc"), "id")
+    wanted = left.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(firsts.select("id", "name", "doc"), "id")
     wanted = materialise(wanted, "ngram-wanted")
-    documents = spark.sparkContext.broadcast(setjoin.members(wanted.select(F.col("doc").alias("a"), F.col("doc").alias("b"))))
+    documents = spark.sparkContext.broadcast(setjoin.members(wanted.select("doc")))
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,14 +175,14 @@ def _links(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, join: NgramJoi
     def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, offsets in tn.pieces(batch.column("text")):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(lo, hi - lo), pa.array(_Sets(buf, offsets, join.width).id, pa.int64()), batch.column("text").slice(lo, hi - lo)], ["id", "own", "payload"]
-                )
+                own = pa.array(_Sets(buf, offsets, join.width).name, pa.int64())
+                kept = [batch.column(c).slice(lo, hi - lo) for c in ("id", "name", "text")]
+                yield pa.RecordBatch.from_arrays([*kept, own], ["id", "name", "payload", "own"])
 
     # A doc_id may stand on rows with other texts; only those whose set is the class's count.
-    near = texts.filter("doc is not null").mapInArrow(needed, "doc long, text string").join(wanted, "doc").select("id", "text")
-    payloads = near.mapInArrow(identified, "id long, own long, payload string").filter("id = own").groupBy("id").agg(F.min("payload").alias("payload"))
-    payloads = materialise(payloads, "ngram-texts")
+    near = texts.filter("doc is not null").mapInArrow(needed, "doc long, text string").hint("merge").join(wanted, "doc").select("id", "name", "text")
+    near = near.mapInArrow(identified, "id long, name long, payload string, own long").filter("name = own")
+    payloads = materialise(near.groupBy("id").agg(F.min("payload").alias("payload")), "ngram-texts")
     num, den = join.similarity.numerator, join.similarity.denominator
 
     def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -182,7 +193,9 @@ def _links(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, join: NgramJoi
         raw = text.encode()
         return _Sets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), join.width).token
 
-    return setjoin.compare(left, payloads, similar, shingles)
+    out = materialise(setjoin.compare(left, payloads, similar, shingles), "ngram-verified")
+    discard(pairs, left, wanted, payloads)
+    return out
 
 
 def ngram_components(docs: DataFrame, join: NgramJoin = NgramJoin()) -> DataFrame:
@@ -195,24 +208,27 @@ def ngram_components(docs: DataFrame, join: NgramJoin = NgramJoin()) -> DataFram
     not read.
     """
     spark = docs.sparkSession
+    ship(spark)
     texts = _texts(docs)
     class_of = spark.sparkContext.broadcast(classes(_counts(texts, join)))
     seen = materialise(sets_of(texts, join), "ngram-sets")
     firsts = materialise(classes_of(texts, class_of, join), "ngram-classes")
-    found = materialise(setjoin.first_candidates(postings(firsts, class_of, join.cell), join.similarity, join.tries), "ngram-candidates")
+    listed = postings(firsts, class_of, join.cell, setjoin.POSTING)
+    found = materialise(setjoin.first_candidates(listed, join.similarity, setjoin.POSTING, join.tries), "ngram-candidates")
 
     names = firsts.select("id", "doc")
     by_doc = lambda e: e.join(names.toDF("a", "u"), "a").join(names.toDF("b", "v"), "b").select("u", "v")
-    member = seen.filter("n > 0 and doc is not null").join(firsts.select("id", "check", F.col("doc").alias("head")), ["id", "check"])
+    member = seen.filter("n > 0 and doc is not null").join(firsts.select("name", "check", F.col("doc").alias("head")), ["name", "check"])
     # Rows of one doc_id with different sets link those sets' classes.
     several = member.groupBy("doc").agg(F.min("head").alias("u"), F.max("head").alias("high")).filter("u < high").select("doc", "u")
     edges = by_doc(_links(found.filter("a is not null").select("a", "b"), firsts, texts, join))
     edges = materialise(edges.unionByName(member.join(several, "doc").select("u", F.col("head").alias("v"))), "ngram-links")
     roots = components(edges)
 
-    held = found.filter("a is null").drop("a", "b")
-    tagged = held.join(roots.withColumnRenamed("node", "doc"), "doc", "left").withColumn("tag", F.coalesce("root", "doc")).drop("root")
-    rest = materialise(setjoin.open_candidates(tagged, join.similarity, apart=True), "ngram-open")
+    held = found.filter("a is null").drop("a", "b").join(firsts.select("id", "doc", "parity"), "id")
+    tagged = held.join(roots.withColumnRenamed("node", "doc"), "doc", "left").withColumn("tag", F.coalesce("root", "doc"))
+    rest = materialise(setjoin.open_candidates(tagged, join.similarity, setjoin.POSTING, apart=True), "ngram-open")
+    discard(found)
     if rest.limit(1).count():
         roots = components(edges.unionByName(by_doc(_links(rest, firsts, texts, join))))
     heads = member.select("doc", "head").distinct().join(roots.withColumnRenamed("node", "head"), "head", "left")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .scratch import materialise
+from .scratch import materialise, ship
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")
 _SYMBOL = np.zeros(256, bool)
@@ -115,6 +115,7 @@ def measure(docs: DataFrame, keys: list[str]) -> DataFrame:
                     [*keys, *MEASURES],
                 )
 
+    ship(docs.sparkSession)
     narrow = docs.select(*keys, F.col("text").cast("string").alias("text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name != "text")
     return narrow.mapInArrow(run, f"{fields}, " + ", ".join(f"{m} long" for m in MEASURES))

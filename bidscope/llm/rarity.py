@@ -58,6 +58,10 @@ def classes(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.ceil(6 * np.log2(1.0 + counts)), 255).astype(np.uint8)
 
 
+#: Tokens of this class or a lower one stand in one place of the corpus at most, so no two sets share them.
+ONCE = 6
+
+
 def at_most(class_of: np.ndarray) -> np.ndarray:
     """The largest count that a class stands for."""
     return np.exp2(class_of.astype(np.float64) / 6)

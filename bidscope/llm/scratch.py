@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,4 +32,33 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    # Shuffle files go when the driver collects the frames that made them: ask for it, so disks hold one step's.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need not have the repository on their path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    packed = Path(tempfile.mkdtemp(prefix="llm-code-")) / "bidscope_llm.zip"
+    with zipfile.ZipFile(packed, "w") as out:
+        for source in [root / "bidscope" / "__init__.py", *sorted((root / "bidscope" / "llm").glob("*.py"))]:
+            out.write(source, source.relative_to(root))
+    sc.addPyFile(str(packed))
+    _shipped.add(sc.applicationId)
+
+
+_shipped: set[str] = set()

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .scratch import materialise
+from .scratch import materialise, ship
 
 # Kinds in the order in which equal starts are listed.
 KINDS = ("assign", "access", "hex", "identity", "material", "endpoint")
@@ -111,6 +111,7 @@ def parts(docs: DataFrame) -> DataFrame:
                 ["doc_id", "rid", "n_assign", "n_access", "n_hex", "base_sha256", "base", "weak"],
             )
 
+    ship(docs.sparkSession)
     return (
         docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
         .withColumn("rid", F.monotonically_increasing_id())

@@ -32,6 +32,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .scratch import ship
+
 META = "▁"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -245,4 +247,5 @@ def encode_documents(docs: DataFrame, model_file: str | None = None) -> DataFram
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
+    ship(docs.sparkSession)
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(tokenised, SCHEMA)

@@ -1,8 +1,11 @@
 """Set-similarity join by prefix postings, for families of similar sets too.
 
-``postings`` are rows (token, cell, id, doc, line, n, pos): a set ``id`` of n tokens
-has the token at position ``pos`` of its prefix; (doc, line) orders the sets. Sets
+``postings`` are rows (token, cell, side, id, n, pos): the set ``id`` of n tokens has the
+token at position ``pos`` of its prefix; ids are numbers in the order of the sets. Sets
 that share a posting list and pass the length and positional filters are candidates.
+Two columns s0, s1 may hold a parity signature of the set (each token flips one bit):
+signatures differ in no more bits than the sets in tokens, so pairs that differ in
+more bits than the similarity allows are no candidates.
 
 Pairs within a family of similar sets are not all listed. ``first_candidates`` gives
 each set its earliest ``tries`` candidates of each list and passes on the lists where
@@ -27,9 +30,19 @@ from pyspark.sql import functions as F
 from . import textnum as tn
 
 CELL = 20_000
-POSTING = "token int, cell int, side int, id long, doc long, line int, n int, pos int"
-_NAMES = [f.split()[0] for f in POSTING.split(", ")]
-FOUND = f"a long, b long, {POSTING}"
+POSTING = "token int, cell int, side int, id long, n int, pos int"
+SIGNED = f"{POSTING}, s0 long, s1 long"
+_KINDS = {"int": pa.int32(), "long": pa.int64()}
+_YIELD = 100_000
+
+
+def fields(schema: str) -> list[tuple[str, pa.DataType]]:
+    return [(f.split()[0], _KINDS[f.split()[1]]) for f in schema.split(", ")]
+
+
+def rows(schema: str, values) -> pa.RecordBatch:
+    """A batch of these columns."""
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, t) in zip(values, fields(schema))], [n for n, _ in fields(schema)])
 
 
 def needed(t: Fraction, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -53,9 +66,37 @@ def deal(token: np.ndarray, ids: np.ndarray, bound: np.ndarray, size: int = CELL
     return at, cell.astype(np.int32), np.where(own == other, -1, own).astype(np.int32)
 
 
-def _lists(postings: DataFrame, extra: list[str]) -> DataFrame:
-    """Postings dealt by list, each list in order of (doc, line, id)."""
-    return postings.select(*_NAMES, *extra).repartition("token", "cell").sortWithinPartitions("token", "cell", "doc", "line", "id")
+def parity(token: np.ndarray, begin: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity signatures of the sets token[begin[i]:begin[i + 1]]: bytes of all, and the first byte of each (n + 1).
+
+    ``bits``: a power of two of 8 or more for each set; wider signatures fold to
+    narrower ones by xor of their halves.
+    """
+    owner = np.repeat(np.arange(len(bits)), np.diff(begin))
+    start = np.concatenate(([0], np.cumsum(bits)))
+    at = start[owner] + (tn.mix64(token ^ np.uint64(0x3C3C)) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(at, minlength=start[-1]) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little"), start // 8
+
+
+def differing_most(t: Fraction, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Tokens in one of two similar sets of these sizes only: at most so many."""
+    return na + nb - 2 * needed(t, na, nb)
+
+
+def fold(signatures: list[bytes]) -> np.ndarray:
+    """Signatures as rows of 64-bit words, all folded to the narrowest one's width."""
+    width = min(map(len, signatures))
+    out = np.empty((len(signatures), width // 8), np.uint64)
+    for i, s in enumerate(signatures):
+        words = np.frombuffer(s, np.uint64)
+        out[i] = np.bitwise_xor.reduce(words.reshape(-1, width // 8), axis=0)
+    return out
+
+
+def _lists(postings: DataFrame, schema: str) -> DataFrame:
+    """Postings dealt by list, each list in order of id."""
+    return postings.select(*[f.split()[0] for f in schema.split(", ")]).repartition("token", "cell").sortWithinPartitions("token", "cell", "id")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
@@ -81,35 +122,35 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tup
 
 
 def _passes(c: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, t: Fraction) -> np.ndarray:
-    """Length, positional and side filters of row pairs."""
-    na, nb, pa_, pb = (c[k][x].astype(np.int64) for k in ("n", "pos") for x in (a, b))
-    least, most = np.minimum(na, nb), np.maximum(na, nb)
-    ok = t.denominator * least >= t.numerator * most
-    ok &= np.minimum(pa_, pb) + 1 + np.minimum(na - pa_, nb - pb) - 1 >= needed(t, na, nb)
-    return ok & ((c["side"][a] != c["side"][b]) | (c["side"][a] < 0)) & (c["id"][a] != c["id"][b])
+    """Length, positional, signature and side filters of row pairs.
 
-
-def _found(a: np.ndarray, b: np.ndarray, c: dict[str, np.ndarray], kept: np.ndarray) -> pa.RecordBatch:
-    """Candidate pairs, and postings passed on (a null)."""
-    m, k = len(a), len(kept)
-    pad = lambda v, kind: pa.array(np.concatenate((np.zeros(m, v.dtype), v)), kind, mask=np.arange(m + k) < m)
-    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-    none = np.arange(m + k) >= m
-    ends = [pa.array(np.concatenate((x, np.zeros(k, np.int64))), pa.int64(), mask=none) for x in (a, b)]
-    return pa.RecordBatch.from_arrays([*ends, *[pad(c[x][kept], t) for x, t in zip(_NAMES, kinds)]], ["a", "b", *_NAMES])
+    A similar pair meets in the list of its first shared token, of which all the
+    intersection's other tokens come after: so the positional bound may count from here.
+    """
+    na, nb, pa_, pb = (c[k][x].astype(np.int64) for k in ("n", "pos") for x in (a, b))
+    ok = t.denominator * np.minimum(na, nb) >= t.numerator * np.maximum(na, nb)
+    ok &= np.minimum(na - pa_, nb - pb) >= needed(t, na, nb)
+    ok &= (c["side"][a] != c["side"][b]) | (c["side"][a] < 0)
+    if "s0" in c:
+        # As unsigned words: the bits of a negative number are counted of its absolute value.
+        apart = sum(np.bitwise_count((c[s][a] ^ c[s][b]).view(np.uint64)).astype(np.int64) for s in ("s0", "s1"))
+        ok &= apart <= differing_most(t, na, nb)
+    return ok
 
 
-def first_candidates(postings: DataFrame, t: Fraction, tries: int = 3) -> DataFrame:
+def first_candidates(postings: DataFrame, t: Fraction, schema: str, tries: int = 3) -> DataFrame:
     """Rows (a, b): each set's earliest candidates; rows with a null: postings of the lists that held candidates back."""
+    names = [n for n, _ in fields(schema)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c, begins in _groups(batches, _NAMES):
+        for c, begins in _groups(batches, names):
             size = np.diff(begins)
             first = np.repeat(begins[:-1], size)
             place = np.arange(len(first)) - first
             left = np.full(len(first), tries)
             active = np.flatnonzero(place > 0)
             more = np.zeros(len(first), bool)
-            out_a, out_b, step = [], [], 0
+            out_a, out_b, step = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
             while len(active):
                 a = first[active] + step
                 ok = _passes(c, a, active, t)
@@ -121,45 +162,68 @@ def first_candidates(postings: DataFrame, t: Fraction, tries: int = 3) -> DataFr
                 left[active[hit]] -= 1
                 step += 1
                 active = active[(place[active] > step) & ~more[active]]
-            lists = np.repeat(np.logical_or.reduceat(more, begins[:-1]), size)
-            a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (out_a, out_b))
-            yield _found(a, b, c, np.flatnonzero(lists))
+            pairs = np.unique(np.stack((np.concatenate(out_a), np.concatenate(out_b)), axis=1), axis=0)
+            kept = np.flatnonzero(np.repeat(np.logical_or.reduceat(more, begins[:-1]), size))
+            m, k = len(pairs), len(kept)
+            none = np.arange(m + k) >= m
+            ends = [pa.array(np.concatenate((x, np.zeros(k, np.int64))), pa.int64(), mask=none) for x in (pairs[:, 0], pairs[:, 1])]
+            held = [pa.array(np.concatenate((np.zeros(m, c[n].dtype), c[n][kept])), kind, mask=~none) for n, kind in fields(schema)]
+            yield pa.RecordBatch.from_arrays([*ends, *held], ["a", "b", *names])
 
-    return _lists(postings, []).mapInArrow(run, FOUND)
+    return _lists(postings, schema).mapInArrow(run, f"a long, b long, {schema}")
 
 
-def open_candidates(postings: DataFrame, t: Fraction, apart: bool) -> DataFrame:
+def open_candidates(postings: DataFrame, t: Fraction, schema: str, apart: bool) -> DataFrame:
     """All candidate pairs (a, b) of the lists that are still open, by the postings' column ``tag``.
 
-    apart: tag is a component, and pairs across components are open. Otherwise tag
-    is 0 for a set without an earlier match yet, and its pairs with earlier sets are open.
+    apart: tag is a component, pairs across components are open, and a column
+    ``parity`` has each set's parity signature. Otherwise tag is 0 for a set without
+    an earlier match yet, and its pairs with earlier sets are open.
     """
+    names = [n for n, _ in fields(schema)] + ["tag"]
+
+    def within(c: dict[str, np.ndarray], rows_: np.ndarray, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        tag = c["tag"]
+        if apart:
+            values, count = np.unique(tag[rows_], return_counts=True)
+            focus = rows_[tag[rows_] != values[count.argmax()]]
+            signs = fold([c["parity"][i] for i in rows_.tolist()])
+        else:
+            focus = rows_[tag[rows_] == 0]
+        for r in focus.tolist():
+            others = rows_[tag[rows_] != tag[r]] if apart else rows_[: r - rows_[0]]
+            others = others[_passes(c, others, np.full(len(others), r), t)]
+            if apart and len(others):
+                bits = np.bitwise_count(signs[others - rows_[0]] ^ signs[r - rows_[0]]).sum(axis=1, dtype=np.int64)
+                n = c["n"].astype(np.int64)
+                others = others[bits <= differing_most(t, n[others], np.full(len(others), n[r]))]
+            if len(others):
+                yield np.minimum(c["id"][others], c["id"][r]), np.maximum(c["id"][others], c["id"][r])
+
+    def batch(out: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        pairs = np.unique(np.concatenate([np.stack(x, axis=1) for x in out]), axis=0)
+        return rows("a long, b long", (pairs[:, 0], pairs[:, 1]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c, begins in _groups(batches, [*_NAMES, "tag"]):
+        out, size = [], 0
+        for c, begins in _groups(batches, names + (["parity"] if apart else [])):
             tag = c["tag"]
             if apart:
-                low, high = np.minimum.reduceat(tag, begins[:-1]), np.maximum.reduceat(tag, begins[:-1])
-                open_lists = np.flatnonzero(low != high)
+                wanted = np.minimum.reduceat(tag, begins[:-1]) != np.maximum.reduceat(tag, begins[:-1])
             else:
-                open_lists = np.flatnonzero(np.add.reduceat(tag == 0, begins[:-1]) > 0)
-            out_a, out_b = [], []
-            for g in open_lists.tolist():
-                rows = np.arange(begins[g], begins[g + 1])
-                if apart:
-                    values, count = np.unique(tag[rows], return_counts=True)
-                    focus = rows[tag[rows] != values[count.argmax()]]
-                else:
-                    focus = rows[tag[rows] == 0]
-                for r in focus.tolist():
-                    others = rows[tag[rows] != tag[r]] if apart else rows[: r - begins[g]]
-                    others = others[_passes(c, others, np.full(len(others), r), t)]
-                    out_a.append(c["id"][others])
-                    out_b.append(np.full(len(others), c["id"][r]))
-            if out_a:
-                a, b = np.concatenate(out_a), np.concatenate(out_b)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return _lists(postings, ["tag"]).mapInArrow(run, "a long, b long")
+                wanted = np.add.reduceat(tag == 0, begins[:-1]) > 0
+            for g in np.flatnonzero(wanted).tolist():
+                for found in within(c, np.arange(begins[g], begins[g + 1]), t):
+                    out.append(found)
+                    size += len(found[0])
+                    if size >= _YIELD:
+                        yield batch(out)
+                        out, size = [], 0
+        if out:
+            yield batch(out)
+
+    dealt = postings.select(*names, *(["parity"] if apart else [])).repartition("token", "cell").sortWithinPartitions("token", "cell", "id")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def compare(pairs: DataFrame, payloads: DataFrame, verdict: Callable[[object, object], bool], prepare: Callable[[object], object], spokes: int = 500) -> DataFrame:
@@ -169,6 +233,8 @@ def compare(pairs: DataFrame, payloads: DataFrame, verdict: Callable[[object, ob
     hub's payload comes once for every ``spokes`` pairs, so a hub of many pairs is
     spread over tasks and no pair carries both payloads.
     """
+    # Payloads are joined by shuffle whatever Spark guesses of their size.
+    payloads = payloads.hint("merge")
     hubs = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"))
     parts = F.explode(F.sequence(F.lit(0), F.floor((F.col("pairs") - 1) / spokes).cast("int")))
     hub_rows = hubs.withColumn("part", parts).join(payloads.withColumnRenamed("id", "a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "payload")
@@ -192,12 +258,11 @@ def compare(pairs: DataFrame, payloads: DataFrame, verdict: Callable[[object, ob
     return rows.mapInArrow(run, "a long, b long")
 
 
-def members(pairs: DataFrame, bits: int = 24) -> np.ndarray:
-    """A bit field of fixed size with the hashes of all ids in the pairs: what it lacks needs no payload."""
+def members(keys: DataFrame, bits: int = 24) -> np.ndarray:
+    """A bit field of fixed size with the hashes of one long column: rows that it lacks need not be read further."""
     from .rarity import hashed_counts
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    counts = hashed_counts(ids, lambda batch: iter([tn.mix64(batch.column("id").to_numpy(zero_copy_only=False).astype(np.uint64))]), bits)
+    counts = hashed_counts(keys, lambda batch: iter([tn.mix64(batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64))]), bits)
     return np.packbits(counts > 0)
 
 

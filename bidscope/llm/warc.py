@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import materialise
+from .scratch import materialise, ship
 
 # Fixed values of the two formats.
 SKIPPABLE = 0x184D2A5E
@@ -191,6 +191,7 @@ def write_archives(pages: DataFrame, bundling: Bundling = Bundling()) -> DataFra
         if writer.total:
             yield bundle()
 
+    ship(pages.sparkSession)
     return materialise(_typed(pages, bundling).mapInArrow(run, ARCHIVES), "warc")
 
 
