@@ -55,7 +55,7 @@ def ship(spark: SparkSession) -> None:
     root = Path(__file__).resolve().parents[2]
     packed = Path(tempfile.mkdtemp(prefix="llm-code-")) / "bidscope_llm.zip"
     with zipfile.ZipFile(packed, "w") as out:
-        for source in [root / "bidscope" / "__init__.py", *sorted((root / "bidscope" / "llm").glob("*.py"))]:
+        for source in sorted((root / "bidscope").rglob("*.py")):
             out.write(source, source.relative_to(root))
     sc.addPyFile(str(packed))
     _shipped.add(sc.applicationId)
