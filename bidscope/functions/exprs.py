@@ -14,15 +14,14 @@ from pyspark.sql import functions as F
 from bidscope.plans.request import (
     AD_SLOT_NAMES, AD_SLOT_OTHER, AD_SLOT_UNKNOWN, EMPTY_APP_LABEL, GEO_IN_LABEL,
     GEO_MISSING_LABEL, GEO_OUT_LABEL, PAGE_ID_PATTERN, PRICE_BUCKET_BOUNDS,
-    PRICE_BUCKET_LABELS, PRICE_UNKNOWN, SPEND_DIVISOR, TARGET_IN_LABEL, TARGET_OUT_LABEL,
+    PRICE_BUCKET_LABELS, PRICE_UNKNOWN, TARGET_IN_LABEL, TARGET_OUT_LABEL,
     WUHAN_BOX, WUHAN_TARGET_STRATEGY_IDS,
 )
 
 __all__ = [
-    "col_of", "blank_to", "app_label", "wpr_value", "spend_yuan", "track_key", "page_id",
+    "col_of", "blank_to", "app_label", "wpr_value", "track_key", "page_id",
     "label_chain", "order_strategy_creative", "geo_region", "ad_slot", "target_group",
-    "price_bucket", "direct_jump", "safe_ratio", "flag", "delta_text", "pct_text",
-    "digit_text_key", "digit_text_from_key", "DIGIT_KEY_MAX_LEN",
+    "price_bucket", "direct_jump", "safe_ratio", "flag", "delta_text", "hours_seen", "pct_text",
 ]
 
 
@@ -45,11 +44,6 @@ def wpr_value(c) -> Column:
     return F.coalesce(F.nullif(col_of(c), F.lit("")).try_cast("double"), F.lit(0.0))
 
 
-def spend_yuan(raw_sum, divisor: float = SPEND_DIVISOR) -> Column:
-    """SC6 (aggregate side): summed ``wpr`` units to yuan."""
-    return col_of(raw_sum) / F.lit(float(divisor))
-
-
 def track_key(attrs, pattern: str, fallback) -> Column:
     """SC2: key parsed from the URL text, else the fallback id column."""
     parsed = F.regexp_extract(col_of(attrs).cast("string"), pattern, 1)
@@ -131,6 +125,12 @@ def flag(event_code, codes) -> Column:
     return F.when(col_of(event_code).isin(codes), F.lit(1)).otherwise(F.lit(0))
 
 
+def hours_seen(hour) -> Column:
+    """Distinct hours of a group as the bits of one mask: mergeable, so no second aggregation by hour."""
+    mask = F.bit_or(F.call_function("shiftleft", F.lit(1), col_of(hour).cast("int")))
+    return F.coalesce(F.bit_count(mask), F.lit(0)).cast("bigint")
+
+
 def pct_text(rate) -> Column:
     """A ratio as ``12.34%`` text (two decimals)."""
     return F.format_string("%.2f%%", F.round(col_of(rate).cast("double") * F.lit(100.0), 2))
@@ -144,35 +144,3 @@ def delta_text(cur, prev) -> Column:
     body = F.format_string("%.2f%%", F.round((c - p) / p * F.lit(100.0), 2))
     return F.when(p == F.lit(0.0), F.lit("前日为0")).otherwise(F.concat(sign, body))
 
-
-# Longest digit string the order-preserving key below represents exactly.
-DIGIT_KEY_MAX_LEN = 16
-
-
-def digit_text_key(c) -> Column:
-    """Order-preserving ``bigint`` key of a digit string (``'' < '1' < '10' < '9'``).
-
-    key = (digits right-padded with zeros to 16 places) * 100 + length.  Comparing
-    keys equals comparing the strings lexicographically, so ``max`` of the key
-    is the string maximum -- but as a fixed-width value it keeps the
-    aggregation hash-based (a string ``max`` forces a sort-based aggregate).
-    Longer strings raise: use ``Rules(exact_page_id=True)`` for those inputs.
-    """
-    s = col_of(c)
-    n = F.length(s)
-    padded = F.when(n == 0, F.lit(0)).otherwise(
-        F.rpad(s, DIGIT_KEY_MAX_LEN, "0").cast("bigint"))
-    key = padded * F.lit(100) + n.cast("bigint")
-    return F.when(s.isNull(), F.lit(None).cast("bigint")).when(
-        n > DIGIT_KEY_MAX_LEN,
-        F.raise_error(F.lit(f"page id longer than {DIGIT_KEY_MAX_LEN} digits; set Rules(exact_page_id=True)"))
-        .cast("bigint")).otherwise(key)
-
-
-def digit_text_from_key(c) -> Column:
-    """Inverse of :func:`digit_text_key`."""
-    k = col_of(c)
-    n = (k % F.lit(100)).cast("int")
-    # exact integral division (a double quotient would lose the low digits)
-    padded = F.lpad((k.cast("decimal(20,0)") / F.lit(100)).cast("bigint").cast("string"), DIGIT_KEY_MAX_LEN, "0")
-    return F.when(k.isNull(), F.lit(None).cast("string")).otherwise(F.substring(padded, 1, n))

@@ -48,13 +48,15 @@ EXPECTED_TABLES = {
                 "bid_price_bucket", "x_app_hour", "x_app_order", "x_app_bucket", "x_hour_order", "x_hour_bucket",
                 "x_order_bucket", "notes"],
 }
+# Tables that are rightly empty without a previous day (the comparison is skipped).
+MAY_BE_EMPTY = {"basic_compare", "spend_compare", "bid_compare"}
 APP_CROSS_TABLES = ("x_app_hour", "x_app_order", "x_app_bucket")
 
 
 def report_checks(tables: dict[str, DataFrame], analysis: str, rules: Rules = Rules()) -> DataFrame:
     """CK1-CK4 as rows ``(check, table, value, ok)``.
 
-    CK1 presence, CK2 row counts (empty is an error), CK3 app-table size
+    CK1 presence, CK2 row counts (empty is an error but for comparisons), CK3 app-table size
     (bidding), CK4 cross-table bundles outside the app table (bidding).
     """
     spark = next(iter(tables.values())).sparkSession
@@ -64,7 +66,8 @@ def report_checks(tables: dict[str, DataFrame], analysis: str, rules: Rules = Ru
     for t in expected:
         if t in tables:
             parts.append(tables[t].agg(F.count(F.lit(1)).alias("value")).select(
-                F.lit("rows").alias("check"), F.lit(t).alias("table"), "value", (F.col("value") > 0).alias("ok")))
+                F.lit("rows").alias("check"), F.lit(t).alias("table"), "value",
+                ((F.col("value") > 0) | F.lit(t in MAY_BE_EMPTY)).alias("ok")))
     if analysis == "bidding" and "bid_app" in tables:
         parts.append(tables["bid_app"].agg(F.count(F.lit(1)).alias("value")).select(
             F.lit("app_top_n").alias("check"), F.lit("bid_app").alias("table"), "value",
@@ -97,22 +100,24 @@ def validate(checks: DataFrame) -> ValidationResult:
     return ValidationResult(ok=not errors, checks=[r.asDict() for r in rows], errors=errors)
 
 
-def with_flags(df: DataFrame, analysis: str, total_spend=None) -> DataFrame:
+def with_flags(df: DataFrame, analysis: str, total_spend=None, rules: Rules = Rules()) -> DataFrame:
     """SC26: attention flags as boolean columns (the reference colours cells).
 
     spend over 30% of the day's spend (spend); any jump (spend, bidding) or
-    1-5 jumps (basic); click->page rate above 1 (basic).
+    1-5 jumps (basic); click->page or page->jump rate above 1 (basic).
     """
     cols = set(df.columns)
     flags = {}
     if analysis == "spend" and "spend_yuan" in cols and total_spend is not None:
         share = F.try_divide(F.col("spend_yuan"), total_spend)
-        flags["flag_spend_share"] = F.coalesce(share > F.lit(Rules().spend_attention_share), F.lit(False))
+        flags["flag_spend_share"] = F.coalesce(share > F.lit(rules.spend_attention_share), F.lit(False))
     if "jumps" in cols:
         if analysis == "basic":
             flags["flag_jumps"] = (F.col("jumps") >= 1) & (F.col("jumps") <= 5)
         else:
             flags["flag_jumps"] = F.col("jumps") > 0
-    if analysis == "basic" and "rate_click_page" in cols:
-        flags["flag_page_rate"] = F.col("rate_click_page") > 1
+    if analysis == "basic":
+        for rate, name in (("rate_click_page", "flag_page_rate"), ("rate_page_jump", "flag_jump_rate")):
+            if rate in cols:
+                flags[name] = F.col(rate) > 1
     return df.withColumns(flags) if flags else df

@@ -14,8 +14,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.functions.exprs import flag, safe_ratio, wpr_value
-from bidscope.operators.facts import PAIR, TRACK_FLAGS, events_by_pair, track_keys
+from bidscope.functions.exprs import flag, hours_seen, safe_ratio, wpr_value
+from bidscope.operators.facts import PAIR, TRACK_FLAGS, counted_tracks, events_by_pair, track_keys
 from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.tables import FunnelSources, day_window
 
@@ -45,7 +45,7 @@ def _bid_stats(reduced: DataFrame) -> DataFrame:
     return reduced.groupBy("d").agg(
         F.sum("_n").alias("bids"),
         F.count_distinct("strategy_id").alias("strategies"),
-        F.count_distinct("_h").alias("active_hours"),
+        hours_seen("_h").alias("active_hours"),
         F.try_divide(F.sum("_ps"), F.sum("_pn")).alias("avg_bid_price"),
         F.min("_pmin").alias("min_bid_price"), F.max("_pmax").alias("max_bid_price"))
 
@@ -58,12 +58,10 @@ def _clicks_and_tracks_by_day(src: FunnelSources, start, rules: Rules, flags) ->
     track_keys`` distinct-pair counts, without the distinct and the join: a
     pair counts on a day when it has a click that day; null keys never join.
     """
-    if not rules.landing_page_requires_click:
-        raise NotImplementedError("daily KPI tracks are defined through clicks")
     days = [start + dt.timedelta(days=i) for i in range(2)]
     clicks = day_window(src.bid_click, "response_time", start, 2).select(
         *PAIR, *[(F.to_date("response_time") == F.lit(d)).cast("int").alias(f"_c{i}") for i, d in enumerate(days)])
-    tracks = track_keys(day_window(src.track_event, "event_time", start, 2), rules).select(
+    tracks = counted_tracks(src, start, 2, rules).select(
         *PAIR, *[flag("event_code", TRACK_FLAGS[f]).alias(f) for f in flags])
     per_pair = (clicks.unionByName(tracks, allowMissingColumns=True).groupBy(*PAIR)
                 .agg(*[F.sum(f"_c{i}").alias(f"_n{i}") for i in range(len(days))],
@@ -78,6 +76,19 @@ def _clicks_and_tracks_by_day(src: FunnelSources, start, rules: Rules, flags) ->
     return totals.select(rows.alias("r")).select("r.*")
 
 
+def _tracks_by_own_day(src: FunnelSources, start, rules: Rules, flags) -> DataFrame:
+    """Without the click rule: pairs with each track flag by the event's own day, and the click rows."""
+    day = F.to_date("event_time").alias("d")
+    tracks = day_window(src.track_event, "event_time", start, 2)
+    keys = track_keys(tracks, rules, day)
+    pairs = keys.groupBy("d", *PAIR).agg(*[F.max(flag("event_code", TRACK_FLAGS[f])).alias(f) for f in flags])
+    keyed = F.col("response_id").isNotNull() & F.col("bid_seat_id").isNotNull()
+    seen = pairs.filter(keyed).groupBy("d").agg(*[F.sum(f).alias(f) for f in flags])
+    clicks = (day_window(src.bid_click, "response_time", start, 2)
+              .groupBy(F.to_date("response_time").alias("d")).agg(F.count(F.lit(1)).alias("clicks")))
+    return seen.join(clicks, "d", "full")
+
+
 def daily_kpi(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
               analysis: str | None = None) -> DataFrame:
     """Both days with the counts of the analysis (basic adds load failures;
@@ -97,7 +108,8 @@ def daily_kpi(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
         win = (day_window(src.bid_result, "response_time", start, 2)
                .groupBy(F.to_date("response_time").alias("d"))
                .agg(F.count(F.lit(1)).alias("wins"), F.sum(wpr_value("wpr")).alias("spend_raw")))
-        clk_trk = _clicks_and_tracks_by_day(src, start, rules, flags)
+        by_day = _clicks_and_tracks_by_day if rules.landing_page_requires_click else _tracks_by_own_day
+        clk_trk = by_day(src, start, rules, flags)
         out = (spine.join(bid, "d", "left").join(win, "d", "left").join(clk_trk, "d", "left"))
     else:
         base = resp.filter(F.col("order_id") == F.lit(req.order_id)).select(
@@ -105,18 +117,17 @@ def daily_kpi(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
         ev = events_by_pair(src, start, 2, rules, flags=flags, with_page=False)
         # per (day, pair): response copies and the pair's events; copies multiply
         # wins and spend (join fan-out) but clicks/tracks count distinct pairs.
-        per_pair = (base.select("d", *PAIR).join(ev, PAIR, "left")
-                    .groupBy("d", *PAIR).agg(
-                        F.count(F.lit(1)).alias("_copies"), F.max("win").alias("_win"),
-                        F.max("spend_raw").alias("_spend"), F.max("click").alias("_click"),
-                        *[F.max(f).alias(f"_{f}") for f in flags]))
+        copies = base.groupBy("d", *PAIR).agg(F.count(F.lit(1)).alias("_copies"))
+        per_pair = copies.join(ev, PAIR, "left").withColumnsRenamed(
+            {"win": "_win", "spend_raw": "_spend", "click": "_click", **{f: f"_{f}" for f in flags}})
         has_click = F.coalesce(F.col("_click"), F.lit(0)) > 0
+        counted = has_click if rules.landing_page_requires_click else F.lit(True)
         ev_day = per_pair.groupBy("d").agg(
             F.sum("_copies").alias("invites"),
             F.sum(F.col("_copies") * F.coalesce(F.col("_win"), F.lit(0))).alias("wins"),
             F.sum(F.col("_copies") * F.coalesce(F.col("_spend"), F.lit(0.0))).alias("spend_raw"),
             F.sum(F.when(has_click, 1).otherwise(0)).alias("clicks"),
-            *[F.sum(F.when(has_click, F.coalesce(F.col(f"_{f}"), F.lit(0))).otherwise(0)).alias(f)
+            *[F.sum(F.when(counted, F.coalesce(F.col(f"_{f}"), F.lit(0))).otherwise(0)).alias(f)
               for f in flags])
         if analysis == "basic":
             out = ev_day.withColumn("bids", F.col("invites"))

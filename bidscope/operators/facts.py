@@ -4,12 +4,11 @@ Scale notes
 -----------
 * Every event table is read through ``day_window`` so the time range reaches
   the scan (parquet ``PushedFilters`` / JDBC WHERE).
-* Wins, clicks and page tracks are unioned into one narrow frame and grouped
-  **once** by ``(response_id, bid_seat_id)``: one shuffle key, partial
-  (map-side) aggregation before the shuffle, and a single join into the
-  responses instead of three.
-* Dimensions (latest strategy, creative, app names) are broadcast only after
-  a row-count check (``bounded_broadcast``); beyond it they are shuffle joins.
+* Wins and clicks are unioned into one narrow frame and grouped once by
+  ``(response_id, bid_seat_id)``; page tracks are first reduced to clicked pairs.
+* Dimensions are joined without hints: Catalyst's statistics and AQE's measured
+  shuffle sizes decide between broadcast and shuffle joins, and AQE splits the
+  partitions of hot (for example blank) ids on the left side of the joins.
 """
 
 from __future__ import annotations
@@ -20,10 +19,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidscope.functions.exprs import (
-    ad_slot, app_label, digit_text_from_key, digit_text_key, direct_jump, flag, geo_region, label_chain,
+    ad_slot, app_label, direct_jump, flag, geo_region, label_chain,
     order_strategy_creative, page_id, price_bucket, target_group, track_key, wpr_value,
 )
-from bidscope.operators.joins import bounded_broadcast
 from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.tables import FunnelSources, day_window
 
@@ -41,14 +39,14 @@ TRACK_FLAGS = {
 WIDE_FLAGS = ("page_exp", "complete", "scroll", "video", "jump")
 
 
-def track_keys(events: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """SC2/SC3: (response_id, bid_seat_id) of each page event, its page id and code."""
+def track_keys(events: DataFrame, rules: Rules = Rules(), *extra) -> DataFrame:
+    """SC2/SC3: (response_id, bid_seat_id) of each page event, its page id, code and ``extra`` columns."""
     attrs = F.col("preset_attributes")
     return events.select(
         track_key(attrs, rules.rid_pattern, "root_id").alias("response_id"),
         track_key(attrs, rules.pyck_pattern, "parent_event_id").alias("bid_seat_id"),
         page_id(attrs, rules.page_id_pattern).alias("page_id"),
-        F.col("event_code"),
+        F.col("event_code"), *extra,
     )
 
 
@@ -76,38 +74,41 @@ def clicks_by_key(clicks: DataFrame) -> DataFrame:
     return clicks.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("click"))
 
 
+def counted_tracks(src: FunnelSources, start: dt.date, days: int, rules: Rules = Rules()) -> DataFrame:
+    """Page events that count: all, or those of pairs clicked in the window (the inner join with clicks).
+
+    The semi-join comes before any aggregation, so only clicked pairs are grouped.
+    """
+    keys = track_keys(day_window(src.track_event, "event_time", start, days), rules)
+    if not rules.landing_page_requires_click:
+        return keys
+    clicks = day_window(src.bid_click, "response_time", start, days).select(*PAIR)
+    return keys.join(clicks, PAIR, "left_semi")
+
+
 def events_by_pair(src: FunnelSources, start: dt.date, days: int, rules: Rules = Rules(),
                    flags=WIDE_FLAGS, with_page: bool = True) -> DataFrame:
     """Wins, clicks and page-track flags of each pair in ``[start, start+days)``.
 
-    One union + one ``groupBy``: the three event tables share the shuffle.
-    Track flags count only for pairs that were clicked in the window when
-    ``landing_page_requires_click`` (the reference's inner join with clicks).
+    Wins and clicks share one union and one ``groupBy``; the tracks that count are
+    grouped by the same pair (page ids by string maximum, any length) and joined.
     """
     flag_cols = list(flags)
     wins = day_window(src.bid_result, "response_time", start, days).select(
         *PAIR, F.lit(1).alias("w"), wpr_value("wpr").alias("s"))
     clicks = day_window(src.bid_click, "response_time", start, days).select(*PAIR, F.lit(1).alias("c"))
-    keys = track_keys(day_window(src.track_event, "event_time", start, days), rules)
-    tcols = [flag("event_code", TRACK_FLAGS[f]).alias(f) for f in flag_cols]
-    exact = rules.exact_page_id
-    if with_page:
-        tcols.insert(0, (F.col("page_id") if exact else digit_text_key("page_id")).alias("page_id"))
-    tracks = keys.select(*PAIR, F.lit(1).alias("t"), *tcols)
-    allrows = wins.unionByName(clicks, allowMissingColumns=True).unionByName(tracks, allowMissingColumns=True)
-    aggs = [F.count("w").alias("win"), F.sum("s").alias("spend_raw"), F.count("c").alias("click"),
-            F.count("t").alias("tracks")]
-    aggs += [F.max(f).alias(f) for f in flag_cols]
-    if with_page:
-        aggs.append(F.max("page_id").alias("page_id"))
-    agg = allrows.groupBy(*PAIR).agg(*aggs)
-    if with_page and not exact:
-        agg = agg.withColumn("page_id", digit_text_from_key("page_id"))
-    gate = (F.col("click") > 0) if rules.landing_page_requires_click else F.lit(True)
-    out = [*PAIR, "win", F.coalesce(F.col("spend_raw"), F.lit(0.0)).alias("spend_raw"), "click"]
-    out += [F.when(gate, F.coalesce(F.col(f), F.lit(0))).otherwise(F.lit(0)).alias(f) for f in flag_cols]
+    bought = wins.unionByName(clicks, allowMissingColumns=True).groupBy(*PAIR).agg(
+        F.count("w").alias("win"), F.sum("s").alias("spend_raw"), F.count("c").alias("click"))
+    seen = tracks_by_key(counted_tracks(src, start, days, rules), flag_cols, with_page)
+    # Without the click rule a pair may have tracks only.
+    how = "left" if rules.landing_page_requires_click else "full"
+    agg = bought.join(seen, PAIR, how)
+    out = [*PAIR, F.coalesce(F.col("win"), F.lit(0)).alias("win"),
+           F.coalesce(F.col("spend_raw"), F.lit(0.0)).alias("spend_raw"),
+           F.coalesce(F.col("click"), F.lit(0)).alias("click")]
+    out += [F.coalesce(F.col(f), F.lit(0)).alias(f) for f in flag_cols]
     if with_page:
-        out.append(F.when(gate, F.col("page_id")).alias("page_id"))
+        out.append(F.col("page_id"))
     return agg.select(*out)
 
 
@@ -161,24 +162,20 @@ def wide_fact(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules()) ->
     r = day_responses(src, req).select(
         "response_id", "bid_seat_id", "bid_imp_id", "response_time", "bid_price", "order_id",
         "strategy_id", "creative_id", "land_page", "curl")
-    # Blank request ids identify nothing; excluding them keeps a hot blank id
-    # (present on both sides) from joining every blank response to every blank
-    # request.  Null ids never match anyway.
-    q = day_window(src.bid_request, "request_time", req.day, 1).filter(
-        F.col("request_id") != F.lit("")).select(
+    q = day_window(src.bid_request, "request_time", req.day, 1).select(
         F.col("request_id").alias("_q_id"), F.col("imp_id").alias("_q_imp"), "request_time",
         F.col("app_bundle").alias("_q_bundle"), "geo_lat", "geo_lon", "imp_adviewtype")
     ev = events_by_pair(src, req.day, 1, rules).withColumnsRenamed(
         {"response_id": "_e_id", "bid_seat_id": "_e_seat"})
-    strat = bounded_broadcast(latest_strategy(src.dim_strategy).select(
+    strat = latest_strategy(src.dim_strategy).select(
         F.col("strategy_id").alias("_s_id"), F.col("strategy_name").alias("_s_strategy_name"),
-        F.col("order_name").alias("_s_order_name")))
-    crea = bounded_broadcast(src.dim_creative.select(
+        F.col("order_name").alias("_s_order_name"))
+    crea = src.dim_creative.select(
         F.col("creative_id").cast("string").alias("_d_id"), F.col("creative_name").alias("_d_creative_name"),
         F.col("order_name").alias("_d_order_name"), F.col("strategy_name").alias("_d_strategy_name"),
-        "material_id", "material_type"))
-    names = bounded_broadcast(app_names(src.app_mapping).withColumnsRenamed(
-        {"app_package_name": "_m_pkg", "app_name": "_m_name"}))
+        "material_id", "material_type")
+    names = app_names(src.app_mapping).withColumnsRenamed(
+        {"app_package_name": "_m_pkg", "app_name": "_m_name"})
 
     w = r.join(q, (F.col("response_id") == F.col("_q_id")) & (F.col("bid_imp_id") == F.col("_q_imp")), "left")
     w = w.join(ev, (F.col("response_id") == F.col("_e_id")) & (F.col("bid_seat_id") == F.col("_e_seat")), "left")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidscope.functions.exprs import delta_text, safe_ratio
+from bidscope.functions.exprs import delta_text, hours_seen, safe_ratio
 from bidscope.operators.daily import with_costs, with_rates, with_share
 from bidscope.plans.request import EMPTY_APP_LABEL, Rules
 
@@ -31,7 +31,7 @@ def _measure(name: str, rules: Rules) -> Column:
         "jumps": F.sum("jump").cast("bigint"),
         "spend_yuan": F.sum("spend_raw") / F.lit(float(rules.spend_divisor)),
         "direct_jump_bids": F.sum("direct_jump").cast("bigint"),
-        "active_hours": F.count_distinct("hour"),
+        "active_hours": hours_seen("hour"),
         "avg_bid_price": F.avg("bid_price"),
         "min_bid_price": F.min("bid_price"),
         "max_bid_price": F.max("bid_price"),
@@ -114,7 +114,7 @@ def request_agg(requests: DataFrame, key: Column, label: str, avg_floor: bool =
         # value does not depend on the summation order
         aggs.append(F.round(F.avg("imp_bidfloor"), 6).alias("avg_floor"))
     if active_hours:
-        aggs.append(F.count_distinct(F.hour("request_time")).alias("active_hours"))
+        aggs.append(hours_seen(F.hour("request_time")).alias("active_hours"))
     return requests.groupBy(key.alias(label)).agg(*aggs)
 
 
@@ -169,16 +169,6 @@ def keep_apps(df: DataFrame, apps: DataFrame, col: str = "app_bundle") -> DataFr
     return df.join(F.broadcast(a), F.col(col) == F.col("_app"), "left_semi")
 
 
-def hour_cells(value: Column, hour_col: str = "hour", agg=F.sum, prefix: str = "h") -> list[Column]:
-    """AG16 pivot as 24 conditional aggregates (one pass, no pivot-value job)."""
-    return [agg(F.when(F.col(hour_col) == F.lit(h), value)).alias(f"{prefix}{h:02d}") for h in HOURS]
-
-
-def fill_hours(df: DataFrame, prefix: str = "h", value=0) -> DataFrame:
-    return df.withColumns({f"{prefix}{h:02d}": F.coalesce(F.col(f"{prefix}{h:02d}"), F.lit(value))
-                           for h in HOURS})
-
-
 def active_hour_count(prefix: str = "h") -> Column:
     """Hours with a non-zero cell (equals count(distinct hour) of the group)."""
     return sum((F.when(F.col(f"{prefix}{h:02d}") > 0, F.lit(1)).otherwise(F.lit(0)) for h in HOURS),
@@ -213,9 +203,3 @@ def compare_days(kpi: DataFrame, metrics: Sequence[str], day, prev_day) -> DataF
         (F.col("current") - F.col("previous")).alias("delta"),
         safe_ratio(F.col("current") - F.col("previous"), "previous").alias("delta_rate"),
         delta_text("current", "previous").alias("delta_text"))
-
-
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (so results compare across engines)."""
-    return df.withColumns({f.name: F.round(F.col(f.name), digits) for f in df.schema.fields
-                           if isinstance(f.dataType, T.DoubleType)})

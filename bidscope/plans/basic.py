@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidscope.functions.exprs import delta_text, safe_ratio
+from bidscope.functions.exprs import delta_text, hours_seen, safe_ratio
 from bidscope.operators.daily import with_rates
 from bidscope.operators.facts import day_responses, strategy_max_name
-from bidscope.operators.joins import bounded_broadcast
 from bidscope.operators.metrics import (
     HOURS, active_hour_count, analysis_agg, compare_days, day_pairs,
     join_requests, keep_apps, sort_by, top_apps, top_k,
@@ -55,8 +54,8 @@ def gantt_bids(ctx: ReportContext) -> DataFrame:
         F.min("response_time").alias("start_time"), F.max("response_time").alias("last_time"),
         F.count(F.lit(1)).alias("bids"),
         *[F.count(F.when(F.hour("response_time") == F.lit(h), F.lit(1))).alias(f"h{h:02d}") for h in HOURS])
-    names = bounded_broadcast(strategy_max_name(ctx.src.dim_strategy).select(
-        F.col("strategy_id").alias("_sid"), F.col("strategy_name").alias("_sname")))
+    names = strategy_max_name(ctx.src.dim_strategy).select(
+        F.col("strategy_id").alias("_sid"), F.col("strategy_name").alias("_sname"))
     g = g.join(names, F.col("strategy_id") == F.col("_sid"), "left")
     out = g.select(
         "order_id", "strategy_id",
@@ -82,7 +81,7 @@ def gantt_bids_request_hour(ctx: ReportContext) -> DataFrame:
     summ = (w.filter(F.col("order_id").isNotNull() & F.col("strategy_id").isNotNull())
             .groupBy("order_id", "strategy_id").agg(
                 F.min("response_time").alias("start_time"), F.max("response_time").alias("last_time"),
-                F.count_distinct("hour").alias("active_hours"),
+                hours_seen("hour").alias("active_hours"),
                 *[c for c in [F.count(F.lit(1)).alias("bids"), F.sum("win").alias("wins"),
                               F.sum("click").alias("clicks"),
                               (F.sum("spend_raw") / F.lit(float(ctx.rules.spend_divisor))).alias("spend_yuan")]]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bidscope.functions.exprs import hours_seen
 from bidscope.operators.metrics import (
     HOURS, analysis_agg, analysis_metrics, compare_days, join_requests,
     keep_apps, sort_by, top_k,
@@ -52,7 +53,7 @@ def gantt_bid_price(ctx: ReportContext) -> DataFrame:
     keys = ["order_id", "strategy_id", "strategy_name"]
     g = w.groupBy(*keys).agg(
         F.min("response_time").alias("start_time"), F.max("response_time").alias("last_time"),
-        F.count_distinct("hour").alias("active_hours"), F.count(F.lit(1)).alias("bids"),
+        hours_seen("hour").alias("active_hours"), F.count(F.lit(1)).alias("bids"),
         F.avg("bid_price").alias("avg_bid_price"))
     cells = (w.filter(F.col("order_id").isNotNull() & F.col("strategy_id").isNotNull())
              .groupBy(F.col("order_id").alias("_o"), F.col("strategy_id").alias("_s"))

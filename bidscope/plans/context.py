@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from bidscope.operators.daily import KPI_COLUMNS, daily_kpi
 from bidscope.operators.facts import app_names, day_requests, wide_fact
-from bidscope.operators.joins import bounded_broadcast
-from bidscope.functions.exprs import ad_slot, app_label, geo_region
+from bidscope.functions.exprs import ad_slot, app_label, geo_region, hours_seen
 from bidscope.operators.metrics import MEASURES, funnel_agg, funnel_agg_sets, request_agg, split_sets
 from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.tables import FunnelSources
@@ -26,13 +25,13 @@ def request_labels(rules: Rules) -> dict:
     }
 
 
-def scratch_table_root(spark) -> str:
-    """A fresh folder for this report's intermediate tables inside the
-    shared checkpoint folder (set only when unset, e.g. in tests)."""
+def scratch_table_root(spark, root: str | None = None) -> str:
+    """A fresh folder for this report's intermediate tables under ``root``, else
+    under the shared checkpoint folder (which only a local master may lack)."""
     import uuid
 
     from bidscope.session import ensure_checkpoint_dir
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/bidscope-tables/{uuid.uuid4().hex}"
+    return f"{(root or ensure_checkpoint_dir(spark)).rstrip('/')}/bidscope-tables/{uuid.uuid4().hex}"
 
 
 def write_and_read(df: DataFrame, path: str) -> DataFrame:
@@ -43,9 +42,8 @@ def write_and_read(df: DataFrame, path: str) -> DataFrame:
 class ReportContext:
     """Lazily built frames shared by the tables of one report.
 
-    ``materialize()`` cuts the lineage of the wide fact once (reliable
-    checkpoint into ``spark.checkpoint.dir``) when a whole report is built,
-    so the ~15 group-bys over it do not recompute the joins.
+    ``materialize()`` writes the wide fact once when a whole report is built, so
+    the ~15 group-bys over it do not recompute the joins.
     """
 
     def __init__(self, src: FunnelSources, req: FunnelRequest, rules: Rules = Rules()):
@@ -63,34 +61,32 @@ class ReportContext:
             self._wide = wide_fact(self.src, self.req, self.rules)
         return self._wide
 
-    def materialize(self, how: str = "table") -> "ReportContext":
+    def materialize(self, root: str | None = None) -> "ReportContext":
         """Cut the lineage of the wide fact, the two-row KPI frame and (with an
         order scope) the order-limited requests.
 
-        ``table`` (default) writes parquet tables under ``spark.checkpoint.dir``
-        (the cluster's shared folder) and reads them back: every later
-        aggregate prunes to its own columns and a lost executor re-reads
-        instead of recomputing joins.  ``checkpoint`` uses reliable RDD
-        checkpoints in the same folder; ``persist`` keeps executor copies.
+        They are written as parquet tables under ``root`` (default: the cluster's
+        ``spark.checkpoint.dir``) and read back: every later aggregate prunes to its
+        own columns and a lost executor re-reads instead of recomputing joins.
+        ``release`` deletes them once the report's tables are written.
         """
-        if how == "table":
-            base = scratch_table_root(self.wide.sparkSession)
-            self._scratch = base
-            self._wide = write_and_read(self.wide, f"{base}/wide")
-            self.__dict__["kpi"] = write_and_read(self.kpi, f"{base}/kpi")
-            if self.req.order_id is not None:
-                self.__dict__["requests"] = write_and_read(self.requests, f"{base}/requests")
-            self._materialize_levels(base)
-            self._materialize_request_levels(base)
-        elif how == "checkpoint":
-            self._wide = self.wide.checkpoint(eager=True)
-            self.__dict__["kpi"] = self.kpi.checkpoint(eager=True)
-        elif how == "persist":
-            from pyspark import StorageLevel
-            self._wide = self.wide.persist(StorageLevel.MEMORY_AND_DISK)
-            self.__dict__["kpi"] = self.kpi.persist(StorageLevel.MEMORY_AND_DISK)
+        base = self._scratch = scratch_table_root(self.wide.sparkSession, root)
+        self._wide = write_and_read(self.wide, f"{base}/wide")
+        self.__dict__["kpi"] = write_and_read(self.kpi, f"{base}/kpi")
+        if self.req.order_id is not None:
+            self.__dict__["requests"] = write_and_read(self.requests, f"{base}/requests")
+        self._materialize_levels(base)
+        self._materialize_request_levels(base)
         return self
 
+    def release(self) -> None:
+        """Delete the intermediate tables of this report."""
+        if self._scratch:
+            sc = self.wide.sparkSession.sparkContext
+            path = sc._jvm.org.apache.hadoop.fs.Path(self._scratch)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+            self._scratch = None
+
     @cached_property
     def kpi(self) -> DataFrame:
         """Both days (current and previous) of the analysis's KPI counts."""
@@ -102,7 +98,7 @@ class ReportContext:
 
     @cached_property
     def app_names(self) -> DataFrame:
-        return bounded_broadcast(app_names(self.src.app_mapping))
+        return app_names(self.src.app_mapping)
 
     # Every funnel key set an analysis aggregates the (unfiltered) fact by: when a
     # whole report is built they come from ONE grouping-sets pass (AG10/AG20).
@@ -158,7 +154,7 @@ class ReportContext:
                                     F.hour("request_time").alias("_h"), "imp_bidfloor")
         agg = rows.groupingSets([[k] for k in keys], *keys).agg(
             F.count(F.lit(1)).alias("invites"), F.round(F.avg("imp_bidfloor"), 6).alias("avg_floor"),
-            F.count_distinct("_h").alias("active_hours"), F.grouping_id().alias("_gid"))
+            hours_seen("_h").alias("active_hours"), F.grouping_id().alias("_gid"))
         agg = write_and_read(agg, f"{base}/request_levels")
         self.__dict__["_request_levels"] = {
             k: agg.filter(F.col("_gid") == F.lit(sum(1 << (len(keys) - 1 - j) for j in range(len(keys)) if j != i)))
@@ -193,10 +189,10 @@ class ReportContext:
             other.__dict__["kpi"] = self.__dict__["kpi_all"].select(*KPI_COLUMNS[analysis])
         return other
 
-    def materialize_all(self, how: str = "table") -> "ReportContext":
+    def materialize_all(self, root: str | None = None) -> "ReportContext":
         """Like :meth:`materialize`, with the KPI superset of all analyses."""
         self.__dict__["kpi"] = daily_kpi(self.src, self.req, self.rules, "all")
-        self.materialize(how)
+        self.materialize(root)
         self.__dict__["kpi_all"] = self.__dict__["kpi"]
         self.__dict__["kpi"] = self.__dict__["kpi_all"].select(*KPI_COLUMNS[self.analysis])
         return self

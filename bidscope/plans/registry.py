@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from bidscope.functions.exprs import ad_slot, geo_region, price_bucket, target_group
+from bidscope.operators.checks import report_checks, with_flags
 from bidscope.operators.facts import (
-    app_names, click_pairs, clicks_by_key, day_requests, latest_strategy, track_keys, tracks_by_key, wins_by_key,
+    app_names, click_pairs, clicks_by_key, day_requests, latest_strategy, track_keys, tracks_by_key, wide_fact,
+    wins_by_key,
 )
 from bidscope.operators.metrics import top_apps
 from bidscope.plans import basic, bidding, spend
 from bidscope.plans.context import ReportContext
+from bidscope.plans.report import build_report
 from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.fixture import TEST_DAY, TEST_ORDER, fixture_sources
 from bidscope.sources.tables import day_window
@@ -44,19 +47,36 @@ def _wide_order(ctx):
     return ReportContext(ctx.src, ctx.req.with_order(TEST_ORDER), ctx.rules).wide
 
 
-def _bundle_outside(ctx):
-    """CK4: app bundles of the three app cross tables that are not in the app table."""
+def _apps_outside(ctx):
+    """JN14: apps of the day's fact outside the bidding app table, with their bids."""
     c = ReportContext(ctx.src, ctx.req.with_analysis("bidding"), ctx.rules)
-    cross = (bidding.x_app_hour(c).select("app_bundle").unionByName(bidding.x_app_order(c).select("app_bundle"))
-             .unionByName(bidding.x_app_bucket(c).select("app_bundle")))
-    return cross.join(bidding.bid_app(c).select("app_bundle"), "app_bundle", "left_anti").distinct()
+    bids = c.wide.groupBy("app_bundle").agg(F.count(F.lit(1)).alias("bids"))
+    return bids.join(bidding.bid_app(c).select("app_bundle"), "app_bundle", "left_anti")
+
+
+def _flagged(analysis, fn):
+    """SC26: attention flags on one table of an analysis."""
+    def run(ctx):
+        c = ReportContext(ctx.src, ctx.req.with_analysis(analysis), ctx.rules)
+        return with_flags(fn(c), analysis, c.total("spend_yuan"), ctx.rules)
+    return run
 
 
-def _attention_flags(ctx):
-    """SC26 on the spend app table: spend share above 30%, any jump."""
-    from bidscope.operators.checks import with_flags
-    c = ReportContext(ctx.src, ctx.req.with_analysis("spend"), ctx.rules)
-    return with_flags(spend.spend_app(c), "spend", c.total("spend_yuan"))
+def _unclicked(ctx):
+    return replace(ctx.rules, landing_page_requires_click=False)
+
+
+def _broken_checks(ctx):
+    """CK1-CK4 on a bidding report with a missing table, an empty one, one app too many and foreign apps."""
+    c = ReportContext(ctx.src, ctx.req.with_analysis("bidding"), ctx.rules)
+    apps = c.wide.groupBy("app_bundle").agg(F.count(F.lit(1)).alias("bids"))
+    tables = {
+        "bid_app": apps.orderBy(F.col("bids").desc(), "app_bundle").limit(ctx.rules.bid_app_rows + 1),
+        "bid_hour": c.wide.filter(F.lit(False)).select("hour"),
+        "x_app_hour": c.wide.select("app_bundle", "hour"),
+        "bid_compare": c.wide.filter(F.lit(False)).select("hour"),
+    }
+    return report_checks(tables, "bidding", ctx.rules)
 
 
 OPS = {
@@ -81,8 +101,14 @@ OPS = {
     "op_label_chain": lambda c: c.wide.select("response_id", "bid_seat_id", "order_name", "strategy_name",
                                               "creative_name", "order_strategy_creative"),
     "op_top_apps": lambda c: top_apps(c.wide, c.rules.app_top_n),
-    "op_bundle_outside": _bundle_outside,
-    "op_attention_flags": _attention_flags,
+    "op_apps_outside": _apps_outside,
+    "op_attention_flags": _flagged("spend", spend.spend_app),
+    "op_attention_flags_basic": _flagged("basic", basic.hourly),
+    "op_attention_flags_bidding": _flagged("bidding", bidding.bid_app),
+    "op_failing_checks": _broken_checks,
+    "basic_kpi_unclicked": lambda c: basic.basic_kpi(ReportContext(c.src, c.req, _unclicked(c))),
+    "basic_kpi_unclicked_order": lambda c: basic.basic_kpi(ReportContext(c.src, c.req.with_order(TEST_ORDER), _unclicked(c))),
+    "wide_fact_unclicked": lambda c: wide_fact(c.src, c.req, _unclicked(c)),
     "op_wins_by_key": lambda c: wins_by_key(day_window(c.src.bid_result, "response_time", c.req.day, 1)).withColumn(
         "spend_yuan", F.col("spend_raw") / F.lit(c.rules.spend_divisor)).drop("spend_raw"),
     "op_clicks_by_key": lambda c: clicks_by_key(day_window(c.src.bid_click, "response_time", c.req.day, 1)),
@@ -95,23 +121,15 @@ OPS = {
 
 def _report_checks(analysis: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        """Data checks (CK1-CK4) over the tables of one report."""
-        from bidscope.operators.checks import report_checks
-        from bidscope.plans.report import build_report
+        """Data checks (CK1-CK4) over the tables of one report, built from one written fact."""
         ctx = _ctx(spark, sf_dir, analysis)
-        tables = build_report(ctx.src, ctx.req, ctx.rules, materialize=None)
+        tables = build_report(ctx.src, ctx.req, ctx.rules)
         return report_checks(tables, analysis, ctx.rules)
     return run
 
 
-# Tables also registered with the order scope (``<name>_order``): every table
-# whose requests go through JN6 or whose day frame changes with the order.
-ORDER_SCOPED = {
-    "basic": ["basic_kpi", "filter_loss", "basic_compare", "gantt_bids", "app_funnel", "hourly", "findings"],
-    "spend": ["spend_kpi", "spend_compare", "gantt_spend", "spend_app", "spend_hour", "spend_region",
-              "spend_ad_slot"],
-    "bidding": ["bid_kpi", "bid_compare", "gantt_bid_price", "bid_app", "bid_hour", "x_app_hour"],
-}
+# Every report table is also registered with the order scope (``<name>_order``).
+ORDER_SCOPED = {a: list(mod.TABLES) for a, mod in (("basic", basic), ("spend", spend), ("bidding", bidding))}
 
 
 def all_queries() -> dict[str, Query]:

@@ -17,19 +17,19 @@ MODULES = {"basic": basic, "spend": spend, "bidding": bidding}
 
 
 def build_report(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
-                 materialize: str | None = "table", flags: bool = True,
-                 ctx: ReportContext | None = None) -> dict[str, DataFrame]:
+                 materialize: bool = True, flags: bool = True, ctx: ReportContext | None = None,
+                 scratch: str | None = None) -> dict[str, DataFrame]:
     """All tables of ``req.analysis`` (sheet order), lazily planned.
 
     FLT7 runs first (an undelivered order stops the report); spend and
     bidding also require a KPI row for the day (FLT8).  The wide fact is cut
-    from its lineage once (``materialize``) and shared by every table.
+    from its lineage once (``materialize``, under ``scratch``) and shared by every table.
     """
     if ctx is None:
         assert_delivered(src, req)
         ctx = ReportContext(src, req, rules)
         if materialize:
-            ctx.materialize(materialize)
+            ctx.materialize(scratch)
     if req.analysis in ("spend", "bidding"):
         assert_day(ctx.kpi, req)
     mod = MODULES[req.analysis]
@@ -37,20 +37,20 @@ def build_report(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
     tables = {}
     for name in EXPECTED_TABLES[req.analysis]:
         if name == "notes":
-            tables[name] = notes(ctx.wide.sparkSession, req, rules.spend_divisor)
+            tables[name] = notes(ctx.wide.sparkSession, req, rules)
             continue
         df = mod.TABLES[name](ctx)
-        tables[name] = with_flags(df, req.analysis, total) if flags else df
+        tables[name] = with_flags(df, req.analysis, total, rules) if flags else df
     return tables
 
 
 def build_reports(src: FunnelSources, req: FunnelRequest, analyses=("basic", "spend", "bidding"),
-                  rules: Rules = Rules(), materialize: str = "table") -> dict[str, dict[str, DataFrame]]:
+                  rules: Rules = Rules(), scratch: str | None = None) -> dict[str, dict[str, DataFrame]]:
     """Several analyses of one day/scope from ONE wide fact, one request set
     and one KPI superset (the reference runs one script, and one set of
     warehouse queries, per analysis)."""
     assert_delivered(src, req)
-    base = ReportContext(src, req.with_analysis(analyses[0]), rules).materialize_all(materialize)
+    base = ReportContext(src, req.with_analysis(analyses[0]), rules).materialize_all(scratch)
     out = {}
     for a in analyses:
         ctx = base if a == base.analysis else base.share_with(a)
@@ -59,8 +59,21 @@ def build_reports(src: FunnelSources, req: FunnelRequest, analyses=("basic", "sp
 
 
 def run_report(src: FunnelSources, req: FunnelRequest, root: str, rules: Rules = Rules(),
-               fmt: str = "parquet"):
-    """Build, write and validate one report; returns (path, ValidationResult)."""
-    tables = build_report(src, req, rules)
-    path = write_report(tables, root, req, fmt, order=EXPECTED_TABLES[req.analysis])
-    return path, validate(report_checks(tables, req.analysis, rules))
+               fmt: str = "parquet", scratch: str | None = None):
+    """Build, write and validate one report; returns (path, ValidationResult).
+
+    The checks read the written datasets back (each is counted once), and the
+    intermediate tables, by default under the report's root, are deleted.
+    """
+    assert_delivered(src, req)
+    ctx = ReportContext(src, req, rules).materialize(scratch or f"{root.rstrip('/')}/_scratch")
+    try:
+        tables = build_report(src, req, rules, ctx=ctx)
+        names = [n for n in EXPECTED_TABLES[req.analysis] if n in tables]
+        path = write_report(tables, root, req, fmt, order=names)
+        spark = ctx.wide.sparkSession
+        written = {n: spark.read.format(fmt).schema(tables[n].schema).option("header", fmt == "csv").load(f"{path}/{n}")
+                   for n in names}
+        return path, validate(report_checks(written, req.analysis, rules))
+    finally:
+        ctx.release()

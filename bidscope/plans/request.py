@@ -92,8 +92,6 @@ class Rules:
     pyck_pattern: str = TRACK_PYCK_PATTERN
     page_id_pattern: str = PAGE_ID_PATTERN
     spend_attention_share: float = 0.3  # SC26
-    exact_page_id: bool = False         # string max of page ids (sort-based aggregate) instead of the key
-    round_digits: int = 6
 
     def __hash__(self):
         return id(self)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.functions.exprs import safe_ratio
+from bidscope.functions.exprs import hours_seen, safe_ratio
 from bidscope.operators.metrics import (
     HOURS, analysis_agg, analysis_metrics, compare_days, join_requests,
     sort_by, top_k,
@@ -78,7 +78,7 @@ def gantt_spend(ctx: ReportContext) -> DataFrame:
 
     g = w.groupBy(*keys).agg(
         F.min("response_time").alias("start_time"), F.max("response_time").alias("last_time"),
-        F.count_distinct("hour").alias("active_hours"), (F.sum("spend_raw") / div).alias("spend_yuan"),
+        hours_seen("hour").alias("active_hours"), (F.sum("spend_raw") / div).alias("spend_yuan"),
         F.count(F.lit(1)).alias("bids"), F.sum("win").alias("wins"),
         *[F.count(in_hour(h, F.lit(1))).alias(f"_b{h:02d}") for h in HOURS],
         *[F.sum(in_hour(h, F.col("spend_raw"))).alias(f"_s{h:02d}") for h in HOURS])

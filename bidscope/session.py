@@ -35,7 +35,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     conf = dict(_LOCAL_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("BIDSCOPE_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("BIDSCOPE_DRIVER_MEMORY", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -49,7 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the reliable checkpoint folder, setting one only when unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    always kept.  The fallback (a scratch folder) is for local tests only.
+    always kept.  The fallback (a scratch folder) is for local masters only; on a
+    cluster without the setting this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if fallback is None and sc.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     import tempfile
     path = fallback or tempfile.mkdtemp(prefix="bidscope-ckpt-")
     sc.setCheckpointDir(path)

@@ -6,6 +6,7 @@ mapping.  The three ranking columns are optional (defaults: 0, 0, null).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,9 @@ def load_app_mapping(spark: SparkSession, path: str | None) -> DataFrame:
                .option("inferSchema", False).csv(path))
         cols = [c.lstrip("﻿").strip() for c in raw.columns]
         raw = raw.toDF(*cols)
-    except Exception:  # AnalysisException: path does not exist
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return empty
     if not set(REQUIRED).issubset(cols):
         return empty

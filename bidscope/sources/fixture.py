@@ -49,7 +49,7 @@ def bid_request(orders: DataFrame) -> DataFrame:
         F.lit("1").alias("imp_id"),
         _ts(_sec("o_orderkey")).alias("request_time"),
         F.when(F.col("o_custkey") % 11 == 0, F.lit(""))
-         .otherwise(F.concat(F.lit("app."), _txt(F.col("o_custkey") % 45))).alias("app_bundle"),
+         .otherwise(F.concat(F.lit("app."), _txt("o_custkey"))).alias("app_bundle"),
         (F.col("o_totalprice") / F.lit(1000.0)).alias("imp_bidfloor"),
         F.when(k % 7 == 0, F.lit(None).cast("string")).when(k % 7 == 1, F.lit(""))
          .otherwise(F.concat(F.lit("city-"), _txt(k % 5))).alias("geo_city"),
@@ -78,8 +78,8 @@ def bid_response(lineitem: DataFrame) -> DataFrame:
         F.when(p % 97 == 0, F.lit(None).cast("double"))
          .otherwise(F.lit(50.0) * F.col("l_quantity")).alias("bid_price"),
         (F.lit(211) + F.col("l_suppkey") % 10).alias("order_id"),
-        (F.lit(190) + p % 30).alias("strategy_id"),
-        F.concat(F.lit(" "), _txt(p % 40), F.lit(" ")).alias("creative_id"),
+        (F.lit(190) + p % 60).alias("strategy_id"),
+        F.concat(F.lit(" "), _txt(p), F.lit(" ")).alias("creative_id"),
         F.when(p % 4 == 0, F.lit(""))
          .otherwise(F.concat(F.lit("https://lp.example/p/"), _txt(p % 12))).alias("land_page"),
         F.when(p % 3 == 0, F.lit(""))
@@ -101,26 +101,23 @@ def bid_click(lineitem: DataFrame) -> DataFrame:
 
 
 def track_event(lineitem: DataFrame) -> DataFrame:
-    spark = lineitem.sparkSession
-    codes = spark.createDataFrame(list(TRACK_CODES), "event_code string, m int")
     p = F.col("l_partkey")
+    hit = [F.when((p + F.col("l_suppkey")) % m == 0, F.lit(code)) for code, m in TRACK_CODES]
     base = F.concat(F.lit('{"url":"https://lp.example/dragIndex/'), _txt(p % 12))
     with_keys = F.concat(base, F.lit("?rid="), _txt("l_orderkey"), F.lit("&pyck="),
                          _txt("l_linenumber"), F.lit('&z=1"}'))
     attrs = F.when(p % 9 == 0, F.concat(base, F.lit('"}'))).otherwise(with_keys)
-    # six fixed codes: a broadcast of a 6-row literal table
     return (lineitem.filter(F.col("l_linestatus") == "F")
-            .join(F.broadcast(codes), ((p + F.col("l_suppkey")) % F.col("m")) == 0)
-            .select(_line_ts(45).alias("event_time"), "event_code", attrs.alias("preset_attributes"),
+            .select(_line_ts(45).alias("event_time"), F.explode(F.array_compact(F.array(*hit))).alias("event_code"), attrs.alias("preset_attributes"),
                     _txt("l_orderkey").alias("root_id"), _txt("l_linenumber").alias("parent_event_id")))
 
 
 def dim_strategy(part: DataFrame) -> DataFrame:
     p = F.col("p_partkey")
-    sid = F.lit(190) + p % 30
-    return (part.filter((p % 30 != 29) & (p < 150))
+    sid = F.lit(190) + p % 60
+    return (part.filter(p % 60 != 59)
             .select(sid.alias("strategy_id"),
-                    F.concat(F.lit("strategy-"), _txt(sid), F.lit("-v"), _txt(F.floor(p / 30))).alias("strategy_name"),
+                    F.concat(F.lit("strategy-"), _txt(sid), F.lit("-v"), _txt(F.floor(p / 60))).alias("strategy_name"),
                     F.concat(F.lit("order-"), _txt(F.col("p_size") % 10)).alias("order_name"),
                     (F.lit(211) + p % 10).alias("order_id"),
                     _ts(F.lit(60) * p).alias("etl_time")))
@@ -128,7 +125,7 @@ def dim_strategy(part: DataFrame) -> DataFrame:
 
 def dim_creative(part: DataFrame) -> DataFrame:
     p = F.col("p_partkey")
-    return (part.filter(p < 38)
+    return (part.filter(p % 20 != 19)
             .select(p.alias("creative_id"), F.col("p_name").alias("creative_name"),
                     F.concat(F.lit("c-order-"), _txt(p % 5)).alias("order_name"),
                     F.concat(F.lit("c-strategy-"), _txt(p % 7)).alias("strategy_name"),
@@ -138,20 +135,19 @@ def dim_creative(part: DataFrame) -> DataFrame:
 
 def app_mapping(customer: DataFrame) -> DataFrame:
     """Text columns, as read from the mapping CSV: current names for keys with
-    k % 3 != 0, an older second version for k % 5 == 1, a blank name for key 3."""
+    k % 3 != 0, an older second version for k % 5 == 1, a blank name for k % 45 == 3."""
     k = F.col("c_custkey")
     pkg = F.concat(F.lit("app."), _txt(k))
-    small = customer.filter(k < 45)
-    current = small.filter(k % 3 != 0).select(
+    current = customer.filter(k % 3 != 0).select(
         pkg.alias("app_package_name"), F.concat(F.lit("App "), _txt(k)).alias("app_name"),
         F.when(k % 4 == 0, F.lit("yes")).otherwise(_txt(k % 2)).alias("is_verified"),
         _txt(k * 10).alias("request_count"),
-        F.concat(F.lit("2024-01-01 00:00:"), F.lpad(_txt(k), 2, "0")).alias("etl_time"))
-    older = small.filter((k % 5 == 1) & (k % 3 != 0)).select(
+        F.concat(F.lit("2024-01-01 00:00:"), F.lpad(_txt(k % 60), 2, "0")).alias("etl_time"))
+    older = customer.filter((k % 5 == 1) & (k % 3 != 0)).select(
         pkg.alias("app_package_name"), F.concat(F.lit("App "), _txt(k), F.lit(" old")).alias("app_name"),
         F.lit("0").alias("is_verified"), _txt(k * 10 + 5).alias("request_count"),
         F.lit("2023-12-31 00:00:00").alias("etl_time"))
-    blank = small.filter(k == 3).select(
+    blank = customer.filter(k % 45 == 3).select(
         pkg.alias("app_package_name"), F.lit("  ").alias("app_name"), F.lit("1").alias("is_verified"),
         F.lit("999").alias("request_count"), F.lit("2024-01-01 00:00:00").alias("etl_time"))
     return current.unionByName(older).unionByName(blank)
@@ -182,7 +178,7 @@ FIXTURE_SQL: dict[str, str] = {
     "bid_request": f"""
   SELECT CAST(o_orderkey AS VARCHAR) AS request_id, '1' AS imp_id,
          {_DT0} + to_seconds({_OSEC}) AS request_time,
-         CASE WHEN o_custkey % 11 = 0 THEN '' ELSE 'app.' || CAST(o_custkey % 45 AS VARCHAR) END AS app_bundle,
+         CASE WHEN o_custkey % 11 = 0 THEN '' ELSE 'app.' || CAST(o_custkey AS VARCHAR) END AS app_bundle,
          o_totalprice / 1000.0::DOUBLE AS imp_bidfloor,
          CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN '' ELSE 'city-' || CAST(o_orderkey % 5 AS VARCHAR) END AS geo_city,
          CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE 29.0::DOUBLE + CAST(o_orderkey % 40 AS DOUBLE) / 10.0::DOUBLE END AS geo_lat,
@@ -194,8 +190,8 @@ FIXTURE_SQL: dict[str, str] = {
          {_DT0} + to_seconds({_LSEC} + 60 * l_linenumber) AS response_time,
          CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE 50.0::DOUBLE * l_quantity END AS bid_price,
          CAST(211 + l_suppkey % 10 AS BIGINT) AS order_id,
-         CAST(190 + l_partkey % 30 AS BIGINT) AS strategy_id,
-         ' ' || CAST(l_partkey % 40 AS VARCHAR) || ' ' AS creative_id,
+         CAST(190 + l_partkey % 60 AS BIGINT) AS strategy_id,
+         ' ' || CAST(l_partkey AS VARCHAR) || ' ' AS creative_id,
          CASE WHEN l_partkey % 4 = 0 THEN '' ELSE 'https://lp.example/p/' || CAST(l_partkey % 12 AS VARCHAR) END AS land_page,
          CASE WHEN l_partkey % 3 = 0 THEN '' ELSE 'https://click.example/c/' || CAST(l_partkey AS VARCHAR) END AS curl
   FROM lineitem""",
@@ -219,31 +215,31 @@ FIXTURE_SQL: dict[str, str] = {
   FROM lineitem, (VALUES {_CODES}) AS c(code, m)
   WHERE l_linestatus = 'F' AND (l_partkey + l_suppkey) % c.m = 0""",
     "dim_strategy": f"""
-  SELECT CAST(190 + p_partkey % 30 AS BIGINT) AS strategy_id,
-         'strategy-' || CAST(190 + p_partkey % 30 AS VARCHAR) || '-v' || CAST(p_partkey // 30 AS VARCHAR) AS strategy_name,
+  SELECT CAST(190 + p_partkey % 60 AS BIGINT) AS strategy_id,
+         'strategy-' || CAST(190 + p_partkey % 60 AS VARCHAR) || '-v' || CAST(p_partkey // 60 AS VARCHAR) AS strategy_name,
          'order-' || CAST(p_size % 10 AS VARCHAR) AS order_name,
          CAST(211 + p_partkey % 10 AS BIGINT) AS order_id,
          {_DT0} + to_seconds(60 * p_partkey) AS etl_time
-  FROM part WHERE p_partkey % 30 <> 29 AND p_partkey < 150""",
+  FROM part WHERE p_partkey % 60 <> 59""",
     "dim_creative": """
   SELECT CAST(p_partkey AS BIGINT) AS creative_id, p_name AS creative_name,
          'c-order-' || CAST(p_partkey % 5 AS VARCHAR) AS order_name,
          'c-strategy-' || CAST(p_partkey % 7 AS VARCHAR) AS strategy_name,
          'm' || CAST(p_partkey % 8 AS VARCHAR) AS material_id, p_type AS material_type
-  FROM part WHERE p_partkey < 38""",
+  FROM part WHERE p_partkey % 20 <> 19""",
     "app_mapping": """
   SELECT 'app.' || CAST(c_custkey AS VARCHAR) AS app_package_name, 'App ' || CAST(c_custkey AS VARCHAR) AS app_name,
          CASE WHEN c_custkey % 4 = 0 THEN 'yes' ELSE CAST(c_custkey % 2 AS VARCHAR) END AS is_verified,
          CAST(c_custkey * 10 AS VARCHAR) AS request_count,
-         '2024-01-01 00:00:' || lpad(CAST(c_custkey AS VARCHAR), 2, '0') AS etl_time
-  FROM customer WHERE c_custkey < 45 AND c_custkey % 3 <> 0
+         '2024-01-01 00:00:' || lpad(CAST(c_custkey % 60 AS VARCHAR), 2, '0') AS etl_time
+  FROM customer WHERE c_custkey % 3 <> 0
   UNION ALL
   SELECT 'app.' || CAST(c_custkey AS VARCHAR), 'App ' || CAST(c_custkey AS VARCHAR) || ' old', '0',
          CAST(c_custkey * 10 + 5 AS VARCHAR), '2023-12-31 00:00:00'
-  FROM customer WHERE c_custkey < 45 AND c_custkey % 5 = 1 AND c_custkey % 3 <> 0
+  FROM customer WHERE c_custkey % 5 = 1 AND c_custkey % 3 <> 0
   UNION ALL
   SELECT 'app.' || CAST(c_custkey AS VARCHAR), '  ', '1', '999', '2024-01-01 00:00:00'
-  FROM customer WHERE c_custkey = 3""",
+  FROM customer WHERE c_custkey % 45 = 3""",
 }
 
 

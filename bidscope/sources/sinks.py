@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidscope.plans.request import FunnelRequest
+from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.schema import LABELS
 
 SPEND_COLUMNS = ("spend_yuan",)
@@ -34,22 +34,29 @@ def report_path(root: str, req: FunnelRequest) -> str:
     return f"{root.rstrip('/')}/analysis={req.analysis}/day={req.day:%Y-%m-%d}/order={order}"
 
 
-def notes(spark: SparkSession, req: FunnelRequest, divisor: float = 100000.0) -> DataFrame:
-    """SNK3: definitions of the report (static rows; the order line varies)."""
+def notes(spark: SparkSession, req: FunnelRequest, rules: Rules = Rules()) -> DataFrame:
+    """SNK3: definitions of the report under its rules (the order line varies)."""
     scope = (f"order {req.order_id} only; invites are requests with a response of that order "
-             f"within one day" if req.order_id is not None else "all orders")
+             "within one day" if req.order_id is not None else "all orders")
     rows = [
         ("funnel", "invites -> bids -> wins -> clicks -> landing-page exposure (pageExp) -> jumps (jumpButton)"),
-        ("spend", f"sum(wpr) / {divisor:g}, attributed by the win table"),
+        ("spend", f"sum(wpr) / {rules.spend_divisor:g}, attributed by the win table"),
         ("order scope", scope),
         ("track join", "rid / pyck parsed from the event URL, else root_id / parent_event_id; "
-                       "tracks count only for clicked responses"),
+                       + ("tracks count only for clicked responses" if rules.landing_page_requires_click
+                          else "tracks count with or without a click")),
         ("keys", "request_id = response_id and imp_id = bid_imp_id; wins and clicks by response_id + bid_seat_id"),
     ]
+    if req.analysis == "basic":
+        rows.append(("direct jump", "a bid with a click address but no landing page, and no landing-page exposure"))
+        rows.append(("time", "invites by request time, bids by response time, wins and clicks by their own time, "
+                             "tracks by the day of the click"))
     if req.analysis == "spend":
         rows.append(("region", "lat/lon box; missing coordinates form their own group"))
     if req.analysis == "bidding":
-        rows.append(("price buckets", "upper-inclusive bid price bounds 100, 500, 1000, 1500, 2000"))
+        bounds = ", ".join(f"{b:g}" for b in rules.price_bounds)
+        rows.append(("price buckets", f"upper-inclusive bid price bounds {bounds}"))
+        rows.append(("strategy names", "the strategy's newest dimension row, else the creative's, else the id"))
     return spark.createDataFrame(rows, "item string, text string")
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +28,10 @@ class TableSource:
 
     kind: ``parquet`` (``location/<name>``), ``catalog`` (``location.<name>``
     or a bare table name), or ``jdbc`` (``location`` is the JDBC URL).
-    ``names`` maps a logical table name to the physical one.
+    ``names`` maps a logical table name to the physical one.  ``day_column``
+    names the day partition column of stored event tables, if they have one, and
+    ``lateness_days`` how many days after its event time a row may be stored;
+    only then are partitions pruned.
     """
 
     kind: str = "parquet"
@@ -35,23 +39,36 @@ class TableSource:
     names: dict = field(default_factory=dict)
     options: dict = field(default_factory=dict)
     jdbc_partitions: int = 64
+    day_column: str | None = None
+    lateness_days: int = 0
 
     def physical(self, name: str) -> str:
         return self.names.get(name, name)
 
 
-# Day partition column of stored event tables (``dt=YYYY-MM-DD`` folders), if any.
+# Day partition column that ``write_event_table`` makes (``dt=YYYY-MM-DD`` folders).
 PARTITION_COLUMN = "dt"
+# The same column inside the library, with the allowed lateness as metadata.
+_STORED_DAY = "_stored_day"
+# Columns that feed no report; a source may lack them.
+OPTIONAL_COLUMNS = {
+    "bid_request": {"geo_city", "imp_adlocation", "imp_templateid"},
+    "bid_response": {"dpl_url"},
+    "app_mapping": {"is_verified", "request_count", "etl_time"},
+}
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """Cast to the declared schema; columns the source lacks become typed nulls.
+def conform(df: DataFrame, name: str, day_column: str | None = None, lateness_days: int = 0) -> DataFrame:
+    """Cast to the declared schema; optional columns the source lacks become typed nulls.
 
-    A day partition column (``dt``) is kept so ``day_window`` can prune
-    partitions.
+    A missing column that reports need raises.  A named day partition column is
+    kept so ``day_window`` can prune partitions.
     """
     schema = SCHEMAS[name]
     have = set(df.columns)
+    missing = {f.name for f in schema.fields} - have - OPTIONAL_COLUMNS.get(name, set())
+    if missing:
+        raise ValueError(f"table {name} lacks the columns {sorted(missing)}")
     cols = []
     for f in schema.fields:
         if f.name in have:
@@ -61,8 +78,8 @@ def conform(df: DataFrame, name: str) -> DataFrame:
             cols.append(c.alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    if PARTITION_COLUMN in have and name in TIME_COLUMNS:
-        cols.append(F.col(PARTITION_COLUMN))
+    if day_column and name in TIME_COLUMNS:
+        cols.append(F.col(day_column).cast("date").alias(_STORED_DAY, metadata={"lateness_days": lateness_days}))
     return df.select(*cols)
 
 
@@ -70,9 +87,10 @@ def load_table(spark: SparkSession, name: str, source: TableSource,
                window: tuple[dt.date, int] | None = None) -> DataFrame:
     """SRC1: read one logical table and cast it to its declared schema.
 
-    For JDBC event tables a ``window=(start_day, n_days)`` bounds the read and
-    splits it into ``jdbc_partitions`` ranges of the time column, so the
-    warehouse is scanned in parallel and only for the requested days.
+    For JDBC event tables ``window=(start_day, n_days)`` is required: it sets the
+    strides by which the read is split into ``jdbc_partitions`` ranges of the time
+    column.  What is read is limited by ``day_window``, whose range Spark passes on
+    in the WHERE clause.
     """
     phys = source.physical(name)
     if source.kind == "parquet":
@@ -80,22 +98,23 @@ def load_table(spark: SparkSession, name: str, source: TableSource,
     elif source.kind == "catalog":
         df = spark.read.table(f"{source.location}.{phys}" if source.location else phys)
     elif source.kind == "jdbc":
-        reader = spark.read.format("jdbc").option("url", source.location).option("dbtable", phys)
-        reader = reader.option("fetchsize", source.options.get("fetchsize", "10000"))
-        for k, v in source.options.items():
-            reader = reader.option(k, v)
-        tcol = TIME_COLUMNS.get(name)
-        if tcol and window is not None:
-            start, days = window
-            end = start + dt.timedelta(days=days)
-            reader = (reader.option("partitionColumn", tcol)
-                      .option("lowerBound", f"{start:%Y-%m-%d} 00:00:00")
-                      .option("upperBound", f"{end:%Y-%m-%d} 00:00:00")
-                      .option("numPartitions", str(source.jdbc_partitions)))
-        df = reader.load()
+        df = spark.read.format("jdbc").options(**jdbc_options(name, source, window)).load()
     else:
         raise ValueError(f"unknown source kind {source.kind!r}")
-    return conform(df, name)
+    return conform(df, name, source.day_column, source.lateness_days)
+
+
+def jdbc_options(name: str, source: TableSource, window: tuple[dt.date, int] | None) -> dict[str, str]:
+    """Reader options of one JDBC table; event tables are split by time."""
+    out = {"url": source.location, "dbtable": source.physical(name), "fetchsize": "10000", **source.options}
+    if name in TIME_COLUMNS:
+        if window is None:
+            raise ValueError(f"a JDBC read of {name} needs the window (start day, days) to be split by time")
+        start, days = window
+        out |= {"partitionColumn": TIME_COLUMNS[name], "lowerBound": f"{start:%Y-%m-%d} 00:00:00",
+                "upperBound": f"{start + dt.timedelta(days=days):%Y-%m-%d} 00:00:00",
+                "numPartitions": str(source.jdbc_partitions)}
+    return out
 
 
 def _ts_literal(day: dt.date, dtype: T.DataType) -> Column:
@@ -118,18 +137,20 @@ def day_window(df: DataFrame, time_col: str, start: dt.date, days: int = 1) -> D
     end = start + dt.timedelta(days=days)
     c = F.col(time_col)
     out = df.filter((c >= _ts_literal(start, dtype)) & (c < _ts_literal(end, dtype)))
-    if PARTITION_COLUMN in df.columns:
-        # stored tables partitioned by day: prune folders, not just row groups
-        p = F.col(PARTITION_COLUMN).cast("date")
-        out = out.filter((p >= F.lit(start)) & (p < F.lit(end)))
+    if _STORED_DAY in df.columns:
+        # stored tables partitioned by day: prune folders, with room for late rows
+        late = dt.timedelta(days=df.schema[_STORED_DAY].metadata.get("lateness_days", 0))
+        p = F.col(_STORED_DAY)
+        out = out.filter((p >= F.lit(start)) & (p < F.lit(end + late)))
     return out
 
 
 def write_event_table(df: DataFrame, path: str, time_col: str) -> None:
-    """Store an event table partitioned by day (``dt``), rows clustered by time
-    inside each day so parquet min/max statistics prune row groups too."""
+    """Store an event table partitioned by day (``dt``), ranges of each day in
+    files of their own (many tasks a day) and rows sorted by time inside them, so
+    parquet min/max statistics prune files and row groups too."""
     (df.withColumn(PARTITION_COLUMN, F.to_date(time_col))
-       .repartition(PARTITION_COLUMN).sortWithinPartitions(time_col)
+       .repartitionByRange(PARTITION_COLUMN, time_col).sortWithinPartitions(PARTITION_COLUMN, time_col)
        .write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(path))
 
 
@@ -161,6 +182,8 @@ def load_sources(spark: SparkSession, source: TableSource, app_mapping: DataFram
     if app_mapping is None:
         try:
             app_mapping = load_table(spark, "app_mapping", source)
-        except Exception:  # a missing mapping is an empty mapping (SRC3)
+        except AnalysisException as e:  # a missing mapping is an empty mapping (SRC3); any other error is one
+            if e.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+                raise
             app_mapping = empty_table(spark, "app_mapping")
     return FunnelSources(app_mapping=app_mapping, **tables)

@@ -51,7 +51,7 @@ def tables(seed: int) -> dict[str, list[tuple]]:
     trk = []
     for _ in range(160):
         rid, seat = _pair(r)
-        page = r.choice(["9", "10", "1", "007", "42"])
+        page = r.choice(["9", "10", "1", "007", "42", "123456789012345678901"])
         attrs = r.choice([
             '{"url":"https://lp/dragIndex/%s?rid=%s&pyck=%s&z=1"}' % (page, rid, seat),
             '{"url":"https://lp/dragIndex/%s?rid=%s&pyck=%s"}' % (page, rid, seat),
@@ -88,7 +88,8 @@ for _mod, _a in ((basic, "basic"), (spend, "spend"), (bidding, "bidding")):
 for _n, _fn in registry.OPS.items():
     SPARK[_n] = ("basic", None, _fn)
 
-CHECKED = sorted(set(SPARK) - {"op_bundle_outside"})
+# The failing checks build a report of the fixture's size; the oracle test has them.
+CHECKED = sorted(set(SPARK) - {"op_failing_checks"})
 
 
 @pytest.fixture(scope="module")
@@ -109,5 +110,7 @@ def test_random_tables_match_oracle(spark, oracle, seed):
         con.register(n, arrow_table(n, rows))
     for name in CHECKED:
         analysis, order, fn = SPARK[name]
+        if (order is None) != (seed == 1):  # one seed for all orders, the other for one
+            continue
         ctx = ReportContext(src, FunnelRequest(TEST_DAY, analysis, order))
         assert_same(fn(ctx), con, oracle[name], f"seed={seed} {name}")

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from bidscope.functions import exprs as X
@@ -81,23 +79,10 @@ def test_label_chain_and_osc(spark):
     assert df2.select(X.order_strategy_creative("o", "s", "c")).first()[0] == "o /  / c"
 
 
-digit_strings = st.text(alphabet="0123456789", min_size=0, max_size=X.DIGIT_KEY_MAX_LEN)
-
-
-@settings(max_examples=40, deadline=None)
-@given(st.lists(digit_strings, min_size=1, max_size=8))
-def test_digit_key_max_is_string_max(spark, values):
-    df = spark.createDataFrame([(v,) for v in values], "s string")
-    got = df.select(X.digit_text_from_key(F.max(X.digit_text_key("s")))).first()[0]
-    assert got == max(values)
-
-
-def test_digit_key_round_trip_examples(spark):
-    vals = ["", "0", "007", "9", "10", "1", "1234567890123456", "6000000000012647", "9999999999999999"]
-    df = spark.createDataFrame([(v,) for v in vals], "s string")
-    back = [r[0] for r in df.select(X.digit_text_from_key(X.digit_text_key("s"))).collect()]
-    assert back == vals
-    assert df.select(X.digit_text_from_key(F.max(X.digit_text_key("s")))).first()[0] == max(vals)
+def test_hours_seen_counts_distinct_hours(spark):
+    df = spark.createDataFrame([(1, 0), (1, 23), (1, 23), (1, None), (2, None), (3, 5)], "k int, h int")
+    got = dict(map(tuple, df.groupBy("k").agg(X.hours_seen("h")).collect()))
+    assert got == {1: 2, 2: 0, 3: 1}
 
 
 def test_day_window_literal_type(spark):

@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+import duck_oracle
+from bidscope.plans import registry
 from tests.compare import assert_same, duck
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = registry.all_queries()
+SQL = duck_oracle.oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

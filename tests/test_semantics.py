@@ -126,7 +126,7 @@ def test_app_mapping_csv(spark, tmp_path):
 def test_report_build_checks_and_write(spark, src_small, tmp_path):
     from bidscope.sources.fixture import TEST_DAY
     req = FunnelRequest(TEST_DAY, "bidding")
-    tables = build_report(src_small, req, materialize="persist")
+    tables = build_report(src_small, req, scratch=str(tmp_path / "scratch"))
     res = validate(report_checks(tables, "bidding"))
     assert res.ok, res.errors
     assert any(c["check"] == "apps_outside_top" for c in res.checks)
@@ -142,7 +142,7 @@ def test_parquet_source_pushes_day_filter(spark, src_small, tmp_path):
     from bidscope.sources.tables import day_window
     root = tmp_path / "tables"
     src_small.bid_response.write.parquet(str(root / "bid_response"))
-    df = day_window(load_table(spark, "bid_response", TableSource("parquet", str(root))), "response_time", DAY, 1)
+    df = day_window(load_table(spark, "bid_response", TableSource("parquet", str(root), day_column="dt")), "response_time", DAY, 1)
     plan = df.select("response_id")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(response_time), GreaterThanOrEqual(response_time" in plan
     assert "ReadSchema: struct<response_id:string,response_time:timestamp_ntz>" in plan
@@ -160,9 +160,11 @@ def test_sources_from_parquet_match_fixture(spark, src_small, tmp_path):
 
 
 def test_conform_casts_and_fills(spark):
-    df = spark.createDataFrame([("1", "x")], "strategy_id string, strategy_name string")
-    out = conform(df, "dim_strategy")
-    assert out.schema == SCHEMAS["dim_strategy"] and out.first().strategy_id == 1
+    df = spark.createDataFrame([("pkg", 7)], "app_package_name string, app_name int")
+    out = conform(df, "app_mapping")
+    assert out.schema == SCHEMAS["app_mapping"] and out.first().app_name == "7" and out.first().is_verified is None
+    with pytest.raises(ValueError, match="order_id"):
+        conform(spark.createDataFrame([("1", "x")], "strategy_id string, strategy_name string"), "dim_strategy")
 
 
 def test_request_defaults():
@@ -177,7 +179,7 @@ def test_shared_fact_reports_equal_separate(spark, src_small):
     from bidscope.sources.fixture import TEST_DAY
     shared = build_reports(src_small, FunnelRequest(TEST_DAY, order_id=218))
     for a in ("basic", "spend", "bidding"):
-        sep = build_report(src_small, FunnelRequest(TEST_DAY, a, 218), materialize=None)
+        sep = build_report(src_small, FunnelRequest(TEST_DAY, a, 218), materialize=False)
         assert list(shared[a]) == list(sep)
         for name in ("app_hour", "spend_app", "bid_kpi", "basic_kpi", "spend_kpi", "gantt_spend", "hourly",
                      "order_fit", "strategy_fit", "creative_fit", "spend_by_order", "spend_by_strategy",
@@ -192,7 +194,7 @@ def test_day_partitioned_tables_prune_partitions(spark, src_small, tmp_path):
     from bidscope.sources.tables import day_window, write_event_table
     root = tmp_path / "parted"
     write_event_table(src_small.bid_response, str(root / "bid_response"), "response_time")
-    df = day_window(load_table(spark, "bid_response", TableSource("parquet", str(root))), "response_time", DAY, 1)
+    df = day_window(load_table(spark, "bid_response", TableSource("parquet", str(root), day_column="dt")), "response_time", DAY, 1)
     plan = df.select("response_id")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan and "PushedFilters: [IsNotNull(response_time)" in plan
     assert df.count() == day_window(src_small.bid_response, "response_time", DAY, 1).count()
@@ -209,23 +211,67 @@ def test_labelled_output_moves_spend_last(spark, src_small, tmp_path):
     assert spark.read.option("header", True).csv(f"{path}/hourly").count() == 24
 
 
-def test_bounded_broadcast_falls_back_to_shuffle(spark):
-    from bidscope.operators.joins import bounded_broadcast
-    big = spark.range(50).withColumnRenamed("id", "k")
-    small = bounded_broadcast(big, max_rows=100)
-    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
-    plain = bounded_broadcast(big, max_rows=10)
-    assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
-    assert spark.range(60).join(plain, F.col("id") == F.col("k")).count() == 50
-
-
-def test_blank_request_ids_do_not_fan_out(spark):
+def test_blank_request_ids_join_like_any_other(spark):
     src = tiny(spark)
     blank_q = mk(spark, "bid_request", [("", "1", T(2024, 1, 2, 1, 0), "app.a", 1.0, None, 30.0, 114.0, 4, None, None)] * 3)
     blank_r = mk(spark, "bid_response", [("", "s1", "1", T(2024, 1, 2, 1, 1), 10.0, 218, 195, " 1 ", "", "c", None)] * 4)
     s2 = src.replace(bid_request=src.bid_request.unionByName(blank_q), bid_response=src.bid_response.unionByName(blank_r))
     w = wide_fact(s2, FunnelRequest(DAY))
-    assert w.filter(F.col("response_id") == "").count() == 4          # not 4 x 3
+    assert w.filter(F.col("response_id") == "").count() == 12
+
+
+def test_sources_do_not_lose_data(spark, src_small, tmp_path):
+    from bidscope.sources.app_mapping import load_app_mapping
+    from bidscope.sources.tables import TableSource, conform, day_window, jdbc_options, load_table
+    late = src_small.bid_response.filter(F.to_date("response_time") == F.lit(DAY)).withColumn("dt", F.date_add(F.to_date("response_time"), 1))
+    late.write.parquet(f"{tmp_path}/bid_response")
+    n = late.count()
+    plain = load_table(spark, "bid_response", TableSource("parquet", str(tmp_path)))
+    assert day_window(plain, "response_time", DAY, 1).count() == n, "a column called dt means nothing by itself"
+    pruned = load_table(spark, "bid_response", TableSource("parquet", str(tmp_path), day_column="dt", lateness_days=1))
+    assert day_window(pruned, "response_time", DAY, 1).count() == n
+    with pytest.raises(ValueError, match="wpr"):
+        conform(src_small.bid_result.drop("wpr"), "bid_result")
+    assert conform(src_small.bid_request.drop("geo_city"), "bid_request").columns == src_small.bid_request.columns
+    assert load_app_mapping(spark, f"{tmp_path}/none.csv").count() == 0
+    from py4j.protocol import Py4JJavaError
+    with pytest.raises(Py4JJavaError, match="nosuchscheme"):
+        load_app_mapping(spark, "nosuchscheme://host/mapping.csv")
+    source = TableSource("jdbc", "jdbc:mysql://h/db", jdbc_partitions=8)
+    with pytest.raises(ValueError, match="window"):
+        jdbc_options("bid_click", source, None)
+    got = jdbc_options("bid_click", source, (DAY, 2))
+    assert (got["partitionColumn"], got["numPartitions"], got["dbtable"]) == ("response_time", "8", "bid_click")
+    assert "partitionColumn" not in jdbc_options("dim_strategy", source, None)
+
+
+def test_a_day_is_written_by_many_tasks(spark, src_small, tmp_path):
+    from bidscope.sources.tables import write_event_table
+    rows = src_small.bid_response
+    big = rows.unionByName(rows).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_event_table(big, f"{tmp_path}/t", "response_time")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list((tmp_path / "t" / f"dt={DAY}").glob("*.parquet"))) > 1
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from bidscope.session import ensure_checkpoint_dir
+    session = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"),
+                              conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)
+
+
+def test_report_checks_read_what_was_written(spark, src_small, tmp_path):
+    from bidscope.plans.report import run_report
+    path, result = run_report(src_small, FunnelRequest(DAY, "bidding"), str(tmp_path))
+    assert result.ok and spark.read.parquet(f"{path}/bid_app").count() > 0
+    assert not list(tmp_path.glob("_scratch/bidscope-tables/*")), "intermediate tables are deleted"
 
 
 def test_unscoped_shared_reports_equal_separate(spark, src_small):
