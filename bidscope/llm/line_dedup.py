@@ -71,15 +71,20 @@ class _Lines:
         if class_of is not None:
             rarity = class_of[(token & np.uint64(len(class_of) - 1)).astype(np.int64)].astype(np.uint64)
             rank = rarity << np.uint64(56) | rank >> np.uint64(8)
-        order = np.lexsort((token, rank, owner))
+        # Words of a line by rank: the line's number over the leading bits of the rank, as one key.
+        if len(low) < 1 << 20:
+            order = np.argsort(owner.astype(np.uint64) << np.uint64(44) | rank >> np.uint64(20), kind="stable")
+        else:
+            order = np.lexsort((rank, owner))
         owner, token = owner[order], token[order]
         fresh = np.ones(len(owner), bool)
         fresh[1:] = (owner[1:] != owner[:-1]) | (token[1:] != token[:-1])
         owner, self.token = owner[fresh], token[fresh]
         self.begin = np.searchsorted(owner, np.arange(len(low) + 1))
         self.n = np.diff(self.begin)
-        signs, _ = setjoin.parity(self.token, self.begin, np.full(len(low), SIGN))
-        self.signs = signs.view(np.int64).reshape(-1, 2) if len(low) else np.empty((0, 2), np.int64)
+        if class_of is not None:
+            signs, _ = setjoin.parity(self.token, self.begin, np.full(len(low), SIGN))
+            self.signs = signs.view(np.int64).reshape(-1, 2) if len(low) else np.empty((0, 2), np.int64)
         total = lambda v: np.add.reduceat(v, self.begin[:-1]) if len(low) else np.empty(0, np.uint64)
         self.name = tn.mix64(total(tn.mix64(self.token ^ np.uint64(0xA5A5)))).astype(np.int64)
         self.check = total(tn.mix64(self.token ^ np.uint64(0x5A5A))).astype(np.int64)
@@ -204,7 +209,9 @@ def removed_lines(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
     lost = firsts.select("id", "name", "check", "doc", "line").join(gone, "id", "left_anti").select("name", "check", "doc", "line")
     # What stays is the first line of each class that is not gone; every other occurrence is removed.
     marked = seen.select("name", "check", "doc", "line").join(lost, ["name", "check", "doc", "line"], "left_anti")
-    return marked.select("doc", "name", "line")
+    out = materialise(marked.select("doc", "name", "line"), "line-removed")
+    discard(seen, firsts, gone)
+    return out
 
 
 def dedup_lines(docs: DataFrame, join: LineJoin = LineJoin(), keep: tuple[str, ...] = ()) -> DataFrame:
@@ -216,28 +223,31 @@ def dedup_lines(docs: DataFrame, join: LineJoin = LineJoin(), keep: tuple[str, .
     equal rows stays in each. Rows with a null doc_id come last and count as one
     document. An empty table gives an empty result; other columns are not read.
     """
-    gone = materialise(removed_lines(docs, join), "line-removed").groupBy("doc").agg(F.collect_list(F.struct("line", "name")).alias("gone"))
+    gone = removed_lines(docs, join).groupBy("doc").agg(F.collect_list(F.struct("line", "name")).alias("gone"))
     rows = docs.select("doc_id", "text", *keep).withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
     rows = rows.join(gone, "doc", "left").select("doc_id", F.col("text").cast("string").alias("text"), *keep, "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_lines, n_removed = [], [], []
-            for text, gone in zip(batch.column("text"), batch.column("gone")):
-                text = text.as_py()
-                lines = text.split("\n") if text else []
-                out = 0
-                if gone.is_valid and lines:
-                    raw = text.encode()
-                    x = _Lines(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), join.min_words)
-                    marked = {(g["line"], g["name"]) for g in gone.as_py()}
-                    drop = {line for line, i in zip(x.line.tolist(), x.name.tolist()) if (line, i) in marked}
-                    out = len(drop)
-                    left = [s for i, s in enumerate(lines) if i not in drop]
-                    text = "\n".join(left) if any(s.encode().strip(b" \t\n\r\x0b\x0c") for s in left) else ""
-                texts.append(text)
-                n_lines.append(len(lines))
-                n_removed.append(out)
+            column, marks = batch.column("text"), batch.column("gone")
+            for lo, hi, buf, offsets in tn.pieces(column):
+                x = _Lines(buf, offsets, join.min_words)
+                first = np.searchsorted(x.text, np.arange(hi - lo + 1))
+                places, names = x.line.tolist(), x.name.tolist()
+                for i in range(hi - lo):
+                    text, gone = column[lo + i].as_py(), marks[lo + i]
+                    lines = text.split("\n") if text else []
+                    drop: set[int] = set()
+                    if gone.is_valid and lines:
+                        marked = {(g["line"], g["name"]) for g in gone.as_py()}
+                        drop = {places[j] for j in range(first[i], first[i + 1]) if (places[j], names[j]) in marked}
+                    if drop:
+                        left = [s for k, s in enumerate(lines) if k not in drop]
+                        text = "\n".join(left) if any(s.encode().strip(b" \t\n\r\x0b\x0c") for s in left) else ""
+                    texts.append(text)
+                    n_lines.append(len(lines))
+                    n_removed.append(len(drop))
             kept = [batch.column(c) for c in ("doc_id", *keep)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], ["doc_id", *keep, "text", "n_lines", "n_removed"])
 
