@@ -122,7 +122,7 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tup
 
 
 def _passes(c: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, t: Fraction) -> np.ndarray:
-    """Length, positional, signature and side filters of row pairs.
+    """Length, positional, signature and side filters of row pairs; a set whose tokens share bits may stand twice in a list and does not meet itself.
 
     A similar pair meets in the list of its first shared token, of which all the
     intersection's other tokens come after: so the positional bound may count from here.
@@ -131,6 +131,7 @@ def _passes(c: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, t: Fraction)
     ok = t.denominator * np.minimum(na, nb) >= t.numerator * np.maximum(na, nb)
     ok &= np.minimum(na - pa_, nb - pb) >= needed(t, na, nb)
     ok &= (c["side"][a] != c["side"][b]) | (c["side"][a] < 0)
+    ok &= c["id"][a] != c["id"][b]
     if "s0" in c:
         # As unsigned words: the bits of a negative number are counted of its absolute value.
         apart = sum(np.bitwise_count((c[s][a] ^ c[s][b]).view(np.uint64)).astype(np.int64) for s in ("s0", "s1"))

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from bidscope.llm import components, line_dedup, mixing, ngram_join, quality_rules
+from bidscope.llm import components, line_dedup, mixing, ngram_join, quality_rules, setjoin
 
 from .conftest import SF, same, texts
 
@@ -202,3 +202,12 @@ def test_stages_take_edge_rows(spark, edge):
 
 def test_fraction_thresholds_are_exact():
     assert ngram_join.NgramJoin().similarity == Fraction(17, 20) and line_dedup.LineJoin().similarity == Fraction(4, 5)
+
+
+def test_no_set_is_its_own_match(spark):
+    """Two prefix words with the same 32 bits put a set twice in one list."""
+    twice = [(1, 0, -1, 7, 10, 0, 3, 5), (1, 0, -1, 7, 10, 1, 3, 5), (1, 0, -1, 9, 10, 0, 3, 5)]
+    listed = spark.createDataFrame(twice, setjoin.SIGNED)
+    same(setjoin.first_candidates(listed, Fraction(4, 5), setjoin.SIGNED).filter("a is not null").select("a", "b"), [(7, 9)])
+    tagged = spark.createDataFrame([(*p, 0) for p in twice], f"{setjoin.SIGNED}, tag long")
+    same(setjoin.open_candidates(tagged, Fraction(4, 5), setjoin.SIGNED, apart=False), [(7, 9)])
