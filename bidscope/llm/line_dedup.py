@@ -50,6 +50,15 @@ class LineJoin:
     cell: int = setjoin.CELL
 
 
+#: Every line with a word takes part.
+WHOLE = LineJoin(min_words=1)
+
+
+def _only_equal(t: Fraction, n: np.ndarray) -> np.ndarray:
+    """Sets so small that no other set is similar: one word more or less is too much."""
+    return t.denominator * n < t.numerator * (n + 1)
+
+
 class _Lines:
     """Lines of a run of texts with their distinct words, rarest first when ``class_of`` is given."""
 
@@ -106,7 +115,8 @@ def _word_counts(docs: DataFrame) -> np.ndarray:
 def occurrences(texts: DataFrame, class_of, join: LineJoin) -> DataFrame:
     """Every long line: its class (name, check), place, set size, prefix (32 bits a word) and parity signature.
 
-    Of equal lines of one run of texts only the first carries the prefix.
+    Of equal lines of one run of texts only the first carries the prefix; it is
+    empty if a set of this size matches only its equals, which share its class.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in OCCURRENCE.split(", ")]
@@ -114,7 +124,7 @@ def occurrences(texts: DataFrame, class_of, join: LineJoin) -> DataFrame:
             docs = batch.column("doc").to_numpy(zero_copy_only=False)
             for lo, hi, buf, offsets in tn.pieces(batch.column("text")):
                 x = _Lines(buf, offsets, join.min_words, class_of.value)
-                length = setjoin.prefix_length(join.similarity, x.n)
+                length = np.where(_only_equal(join.similarity, x.n), 0, setjoin.prefix_length(join.similarity, x.n))
                 short = (x.token & np.uint64(0xFFFFFFFF)).astype(np.uint32)
                 _, new = np.unique(x.name, return_index=True)
                 prefix: list[bytes | None] = [None] * len(x.n)
@@ -217,7 +227,7 @@ def removed_lines(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
 def dedup_lines(docs: DataFrame, join: LineJoin = LineJoin(), keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text without the removed lines, n_lines, n_removed and the columns ``keep``, one row for each input row.
 
-    Lines are split at \\n; short lines and blank ones stay. A text of which
+    Lines are split at \\n; lines of fewer than ``min_words`` words and blank ones stay. A text of which
     nothing but blank lines is left is the empty string. Null text: null, no lines.
     Rows of one doc_id are one document: a line that repeats at the same place of
     equal rows stays in each. Rows with a null doc_id come last and count as one

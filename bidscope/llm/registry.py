@@ -47,7 +47,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.digests(line_dedup.dedup_lines(_documents(spark, sf_dir)))
+    return line_dedup.digests(line_dedup.dedup_lines(_documents(spark, sf_dir), line_dedup.WHOLE))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

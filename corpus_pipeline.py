@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: lines similar to an earlier line go; a document that loses all it says goes with them."""
-    left = line_dedup.dedup_lines(docs, keep=("lang", "source", "n_chars"))
+    left = line_dedup.dedup_lines(docs, line_dedup.WHOLE, keep=("lang", "source", "n_chars"))
     left = left.filter((F.col("n_removed") == 0) | (F.col("text") != ""))
     changed = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text"))
     return left.withColumn("n_chars", changed.cast("long")).select(*COLUMNS)

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from bidscope.llm import components, line_dedup, mixing, ngram_join, quality_rules, setjoin
+from bidscope.llm import components, line_dedup, mixing, ngram_join, quality_rules, registry, setjoin
 
 from .conftest import SF, same, texts
 
@@ -211,3 +211,27 @@ def test_no_set_is_its_own_match(spark):
     same(setjoin.first_candidates(listed, Fraction(4, 5), setjoin.SIGNED).filter("a is not null").select("a", "b"), [(7, 9)])
     tagged = spark.createDataFrame([(*p, 0) for p in twice], f"{setjoin.SIGNED}, tag long")
     same(setjoin.open_candidates(tagged, Fraction(4, 5), setjoin.SIGNED, apart=False), [(7, 9)])
+
+
+def short_lines(seed=4):
+    """Lines of 1 to 6 words from a few, in their own texts: equal sets, 4 words that meet 5, pairs just below the threshold."""
+    rng = random.Random(seed)
+    rows = [(i, "\n".join(" ".join(rng.choice("abcdefg") for _ in range(rng.randint(0, 6))) for _ in range(6))) for i in range(30)]
+    return rows + [(100, "p q r s"), (101, "p q r s t"), (102, "s r q p"), (103, "Les."), (104, "Les.\n\nOf, oner. edti"), (105, "oner. Of, edti"), (106, "u v w"), (107, "u v w x")]
+
+
+def test_lines_of_few_words(spark):
+    rows = short_lines()
+    want = lines_brute(rows, min_words=1)
+    assert want[-8:] == [(100, "p q r s", 1, 0), (101, "", 1, 1), (102, "", 1, 1), (103, "Les.", 1, 0), (104, "\nOf, oner. edti", 3, 1), (105, "", 1, 1), (106, "u v w", 1, 0), (107, "u v w x", 1, 0)]
+    df = spark.createDataFrame([(*r, "en", "a", len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    same(line_dedup.dedup_lines(df, line_dedup.WHOLE).select("doc_id", "text", "n_lines", "n_removed"), want)
+    left = corpus_pipeline.dedup_lines(spark, df, SF)
+    same(left.select("doc_id", "text"), [(d, t) for d, t, _, out in want if t or not out])
+
+
+def test_op9_takes_every_line(spark, documents):
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = lines_brute(texts(documents), min_words=1)
+    assert sum(r[3] for r in want) > sum(r[3] for r in lines_brute(texts(documents)))
+    same(registry.op9_line_dedup(spark, SF), [(d, n, out, sha(t)) for d, t, n, out in want])
