@@ -31,17 +31,27 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: of each component of near duplicates the document with the smallest doc_id stays, in one row.
+    """Operator 1: of each component of near duplicates the row with the smallest doc_id stays, the first in order of texts.
 
-    Rows with a null doc_id are linked with nothing and stay.
+    Rows of one doc_id with different texts are documents of their own; of its rows
+    with equal texts one stays. Rows with a null doc_id are linked with nothing and stay.
     """
-    found = ngram_join.ngram_components(docs, NEAR)
-    gone = materialise(found.filter("doc_id <> component_id").select("doc_id").distinct(), "near-gone")
-    rows = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    once = Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars")
+    docs = docs.select(*COLUMNS)
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    several = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min(text).alias("low"), F.max(text).alias("high")).filter("low < high")
+    numbered = docs.withColumn("row", F.col("doc_id").cast("long"))
+    if several.limit(1).count():
+        # Numbers in the order of doc_id; the written table fixes them.
+        order = ("doc_id", "text", "source", "lang", "n_chars")
+        placed = docs.filter("doc_id is not null").repartitionByRange(*order).sortWithinPartitions(*order).withColumn("row", F.monotonically_increasing_id())
+        numbered = materialise(placed, "near-rows").unionByName(numbered.filter("doc_id is null"))
+    found = ngram_join.ngram_components(numbered.select(F.col("row").alias("doc_id"), "text"), NEAR)
+    gone = materialise(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("row")).distinct(), "near-gone")
+    rows = numbered.join(gone, "row", "left_anti")
+    once = Window.partitionBy("doc_id", text).orderBy("text", "source", "lang", "n_chars")
     # Null ids get keys of their own, as they are not one document.
     ranked = rows.filter("doc_id is not null").withColumn("copy", F.row_number().over(once)).filter("copy = 1").select(*COLUMNS)
-    return ranked.unionByName(rows.filter("doc_id is null"))
+    return ranked.unionByName(rows.filter("doc_id is null").select(*COLUMNS))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -235,3 +235,10 @@ def test_op9_takes_every_line(spark, documents):
     want = lines_brute(texts(documents), min_words=1)
     assert sum(r[3] for r in want) > sum(r[3] for r in lines_brute(texts(documents)))
     same(registry.op9_line_dedup(spark, SF), [(d, n, out, sha(t)) for d, t, n, out in want])
+
+
+def test_different_texts_of_one_id_stay(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a + " more"), (5, b), (5, b + " more"), (5, b), (7, b + " other"), (7, c), (8, ""), (8, ""), (None, a)]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(2)
+    same(corpus_pipeline.near_duplicates(spark, df, SF).select("doc_id", "text"), [(3, a), (5, b), (7, c), (8, ""), (None, a)])
