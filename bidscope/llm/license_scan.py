@@ -2,8 +2,8 @@
 
 Words are maximal runs of ASCII letters and digits (A-Z lower-cased) and
 non-ASCII characters. A template is the set of its words; a block is a window of
-2m words that begins at every m-th word, m being the smallest of ``STEPS`` that
-is at least the template's length, so each passage of a template's length lies
+2m words that begins at every m-th word, m being the smallest of ``STEPS`` (and
+so on, by fours) that is at least the template's length, so each passage of a template's length lies
 whole in some block. A block matches when it holds ``threshold`` of the
 template's words or more.
 
@@ -68,7 +68,15 @@ class Templates:
     def sets(self) -> list[tuple[str, int, set[int]]]:
         """(label, step of its blocks, token ids) of each template."""
         number = {w: i for i, w in enumerate(self.vocabulary)}
-        return [(label, next(s for s in STEPS if s >= len(t.split())), {number[w] for w in t.split()}) for label, t in self.texts]
+        return [(label, step_of(len(t.split())), {number[w] for w in t.split()}) for label, t in self.texts]
+
+
+def step_of(length: int) -> int:
+    """The step of the blocks of a template of so many words."""
+    step = next((s for s in STEPS if s >= length), STEPS[-1])
+    while step < length:
+        step *= 4
+    return step
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:

@@ -171,3 +171,13 @@ def test_weak_parts_need_their_complement(spark):
 def test_empty_tables(empty):
     for f in (quality_rules.judge, sentencepiece_bpe.encode_documents, license_scan.license_scan, secret_scan.secret_scan):
         assert f(empty).collect() == []
+
+
+def test_a_whole_license_as_template(spark):
+    """A template of more words than the last of STEPS."""
+    words = [f"w{i}" for i in range(2000)]
+    templates = license_scan.Templates(texts=(("body", " ".join(words[:1500])), ("mit", license_scan.TEMPLATES[7][1])))
+    assert [step for _, step, _ in templates.sets()] == [4096, 64]
+    rows = [(1, " ".join(["x"] * 5000 + words[:1500] + ["y"] * 300)), (2, " ".join(words[:1200])), (3, " ".join(words[:1199] + words[1500:])), (4, license_scan.TEMPLATES[7][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    same(license_scan.license_scan(df, templates).select("doc_id", "labels", "score"), [(1, "body", 1.0), (2, "body", 0.8), (3, "", 0.0), (4, "mit", 1.0)])
