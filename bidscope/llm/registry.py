@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, fingerprints, license_scan, line_dedup, mixing, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, warc
+from . import (
+    chat_format, embedding_forest, filter_audit, fingerprints, license_scan, line_dedup, mixing, ngram_join, quality_rules, secret_scan,
+    sentencepiece_bpe, spelling_variants, warc,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,9 +57,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_documents(spark, sf_dir))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_forest.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(_documents(spark, sf_dir))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 
 
 def oracle_queries() -> dict[str, str]:
-    return {"op2_chat_format": chat_format.ORACLE, "op3_quality_rules": quality_rules.ORACLE, "op4_warc": warc.ORACLE, "op10_mixing": mixing.ORACLE}
+    return {"op2_chat_format": chat_format.ORACLE, "op3_quality_rules": quality_rules.ORACLE, "op4_warc": warc.ORACLE, "op10_mixing": mixing.ORACLE,
+            "op11_filter_audit": filter_audit.ORACLE}
