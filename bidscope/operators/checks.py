@@ -1,15 +1,17 @@
 """Guards (FLT7, FLT8) and report data checks (CK1-CK5).
 
 Guards are ``limit(1)`` probes -- the only driver actions before a report is
-written.  Checks are built as one small DataFrame (one row per check) from
-per-table aggregates; only that frame (a few dozen rows) is collected.
+written.  ``report_checks`` builds the checks of unwritten tables as one small
+DataFrame (one row per check) from per-table aggregates. ``staged_checks`` needs no
+job for the counts of a written report: they were observed while it was written.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidscope.operators.facts import day_responses
@@ -53,17 +55,34 @@ MAY_BE_EMPTY = {"basic_compare", "spend_compare", "bid_compare"}
 APP_CROSS_TABLES = ("x_app_hour", "x_app_order", "x_app_bucket")
 
 
+CHECK_SCHEMA = "check string, table string, value bigint, ok boolean"
+
+
+def _shape_checks(analysis: str, columns: dict[str, int]) -> list[tuple]:
+    """CK1 and the columns of CK2, known without a job: every expected table, and the columns of those there."""
+    expected = EXPECTED_TABLES[analysis]
+    return [("present", t, 1 if t in columns else 0, t in columns) for t in expected] + \
+           [("columns", t, columns[t], columns[t] > 0) for t in expected if t in columns]
+
+
+def _outside_apps(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """CK4: apps of each cross table that the app table lacks; all of them are cut to a few hundred rows."""
+    apps = tables["bid_app"].select("app_bundle").distinct()
+    return [tables[t].select("app_bundle").distinct().join(apps, "app_bundle", "left_anti")
+            .agg(F.count(F.lit(1)).alias("value")).select(
+                F.lit("apps_outside_top").alias("check"), F.lit(t).alias("table"), "value", (F.col("value") == 0).alias("ok"))
+            for t in APP_CROSS_TABLES if t in tables]
+
+
 def report_checks(tables: dict[str, DataFrame], analysis: str, rules: Rules = Rules()) -> DataFrame:
     """CK1-CK4 as rows ``(check, table, value, ok)``.
 
-    CK1 presence, CK2 row counts (empty is an error but for comparisons), CK3 app-table size
-    (bidding), CK4 cross-table bundles outside the app table (bidding).
+    CK1 presence, CK2 row and column counts (no rows is an error but for comparisons), CK3
+    app-table size (bidding), CK4 cross-table bundles outside the app table (bidding).
     """
     spark = next(iter(tables.values())).sparkSession
-    expected = EXPECTED_TABLES[analysis]
-    parts = [spark.createDataFrame([("present", t, 1 if t in tables else 0, t in tables) for t in expected],
-                                   "check string, table string, value bigint, ok boolean")]
-    for t in expected:
+    parts = [spark.createDataFrame(_shape_checks(analysis, {t: len(df.columns) for t, df in tables.items()}), CHECK_SCHEMA)]
+    for t in EXPECTED_TABLES[analysis]:
         if t in tables:
             parts.append(tables[t].agg(F.count(F.lit(1)).alias("value")).select(
                 F.lit("rows").alias("check"), F.lit(t).alias("table"), "value",
@@ -72,16 +91,19 @@ def report_checks(tables: dict[str, DataFrame], analysis: str, rules: Rules = Ru
         parts.append(tables["bid_app"].agg(F.count(F.lit(1)).alias("value")).select(
             F.lit("app_top_n").alias("check"), F.lit("bid_app").alias("table"), "value",
             (F.col("value") <= F.lit(rules.bid_app_rows)).alias("ok")))
-        apps = tables["bid_app"].select("app_bundle").distinct()
-        for t in APP_CROSS_TABLES:
-            if t in tables:
-                outside = tables[t].select("app_bundle").distinct().join(apps, "app_bundle", "left_anti")
-                parts.append(outside.agg(F.count(F.lit(1)).alias("value")).select(
-                    F.lit("apps_outside_top").alias("check"), F.lit(t).alias("table"), "value",
-                    (F.col("value") == 0).alias("ok")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        parts += _outside_apps(tables)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def staged_checks(spark: SparkSession, staged, analysis: str, rules: Rules = Rules()) -> list[tuple]:
+    """CK1-CK4 of a staged report: the counts observed while it was written, and CK4 from the written tables."""
+    out = _shape_checks(analysis, staged.columns)
+    out += [("rows", t, n, n > 0 or t in MAY_BE_EMPTY) for t, n in staged.rows.items() if t in EXPECTED_TABLES[analysis]]
+    if analysis == "bidding" and "bid_app" in staged.rows:
+        n = staged.rows["bid_app"]
+        out.append(("app_top_n", "bid_app", n, n <= rules.bid_app_rows))
+        outside = _outside_apps({t: staged.read(spark, t) for t in ("bid_app", *APP_CROSS_TABLES) if t in staged.rows})
+        out += [tuple(r) for r in reduce(DataFrame.unionByName, outside).collect()] if outside else []
     return out
 
 
@@ -94,10 +116,12 @@ class ValidationResult:
     errors: list = field(default_factory=list)
 
 
-def validate(checks: DataFrame) -> ValidationResult:
-    rows = checks.collect()  # one row per check: bounded by the number of tables
-    errors = [f"{r['check']} {r['table']}={r['value']}" for r in rows if not r["ok"]]
-    return ValidationResult(ok=not errors, checks=[r.asDict() for r in rows], errors=errors)
+def validate(checks: DataFrame | list[tuple]) -> ValidationResult:
+    """CK5: from the check frame (one row per check: bounded by the number of tables) or its rows."""
+    rows = checks.collect() if isinstance(checks, DataFrame) else checks
+    done = [dict(zip(("check", "table", "value", "ok"), r)) for r in rows]
+    errors = [f"{r['check']} {r['table']}={r['value']}" for r in done if not r["ok"]]
+    return ValidationResult(ok=not errors, checks=done, errors=errors)
 
 
 def with_flags(df: DataFrame, analysis: str, total_spend=None, rules: Rules = Rules()) -> DataFrame:

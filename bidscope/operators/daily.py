@@ -10,12 +10,13 @@ before the spine join, so the spine joins are tiny.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.functions.exprs import flag, hours_seen, safe_ratio, wpr_value
-from bidscope.operators.facts import PAIR, TRACK_FLAGS, counted_tracks, events_by_pair, track_keys
+from bidscope.functions.exprs import flag, safe_ratio, wpr_value
+from bidscope.operators.facts import PAIR, TRACK_FLAGS, events_by_pair, track_keys, tracks_by_key
 from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.tables import FunnelSources, day_window
 
@@ -32,44 +33,43 @@ KPI_COLUMNS = {
 KPI_COLUMNS["all"] = KPI_COLUMNS["bidding"] + ["load_fail"]
 
 
-def _price_hour_strategy(df: DataFrame) -> DataFrame:
-    """Responses reduced to (d, hour, strategy): counts and price sums (map-side combined)."""
-    return df.groupBy(F.to_date("response_time").alias("d"), F.hour("response_time").alias("_h"),
-                      "strategy_id").agg(
+def _bid_stats(responses: DataFrame) -> DataFrame:
+    """AG4/AG5: bids, distinct strategies and hours, price stats of each day.
+
+    Responses are reduced map-side to a mergeable row for each (day, strategy), hours being the
+    bits of a mask. A strategy is one of these rows, so counting them counts strategies: the
+    second aggregate merges them and nothing is expanded for a distinct count. (Bitmaps of ids
+    would do the same, but their aggregate sorts all responses first.)
+    """
+    by_strategy = responses.groupBy(F.to_date("response_time").alias("d"), "strategy_id").agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1), F.hour("response_time"))).alias("_hours"),
         F.count(F.lit(1)).alias("_n"), F.sum("bid_price").alias("_ps"), F.count("bid_price").alias("_pn"),
         F.min("bid_price").alias("_pmin"), F.max("bid_price").alias("_pmax"))
-
-
-def _bid_stats(reduced: DataFrame) -> DataFrame:
-    """AG4/AG5 from the reduced frame: bids, distinct strategies and hours, price stats."""
-    return reduced.groupBy("d").agg(
+    return by_strategy.groupBy("d").agg(
         F.sum("_n").alias("bids"),
-        F.count_distinct("strategy_id").alias("strategies"),
-        hours_seen("_h").alias("active_hours"),
+        F.count("strategy_id").alias("strategies"),
+        F.bit_count(F.bit_or("_hours")).cast("bigint").alias("active_hours"),
         F.try_divide(F.sum("_ps"), F.sum("_pn")).alias("avg_bid_price"),
         F.min("_pmin").alias("min_bid_price"), F.max("_pmax").alias("max_bid_price"))
 
 
 def _clicks_and_tracks_by_day(src: FunnelSources, start, rules: Rules, flags) -> DataFrame:
     """Clicks per day and, per click day, the clicked pairs with each track flag
-    (AG1 clicks, AG3, AG9, JN3) from ONE union + groupBy by pair.
+    (AG1 clicks, AG3, AG9, JN3).
 
-    Equivalent to the reference's ``clk`` count plus ``clk_pairs JOIN
-    track_keys`` distinct-pair counts, without the distinct and the join: a
+    Clicks are read and shuffled once, as pairs with their clicks of each day; tracks are
+    combined map-side to one row a pair, on the same key, and joined without another shuffle. A
     pair counts on a day when it has a click that day; null keys never join.
     """
     days = [start + dt.timedelta(days=i) for i in range(2)]
-    clicks = day_window(src.bid_click, "response_time", start, 2).select(
-        *PAIR, *[(F.to_date("response_time") == F.lit(d)).cast("int").alias(f"_c{i}") for i, d in enumerate(days)])
-    tracks = counted_tracks(src, start, 2, rules).select(
-        *PAIR, *[flag("event_code", TRACK_FLAGS[f]).alias(f) for f in flags])
-    per_pair = (clicks.unionByName(tracks, allowMissingColumns=True).groupBy(*PAIR)
-                .agg(*[F.sum(f"_c{i}").alias(f"_n{i}") for i in range(len(days))],
-                     *[F.max(f).alias(f) for f in flags]))
-    keyed = F.col("response_id").isNotNull() & F.col("bid_seat_id").isNotNull()
-    totals = per_pair.agg(*[F.sum(f"_n{i}").alias(f"clicks_{i}") for i in range(len(days))],
-                          *[F.sum(F.when(keyed & (F.col(f"_n{i}") > 0), F.coalesce(F.col(f), F.lit(0))))
-                            .alias(f"{f}_{i}") for i in range(len(days)) for f in flags])
+    counts = [f"_n{i}" for i in range(len(days))]
+    clicked = day_window(src.bid_click, "response_time", start, 2).groupBy(*PAIR).agg(
+        *[F.count(F.when(F.to_date("response_time") == F.lit(d), 1)).alias(c) for c, d in zip(counts, days)])
+    tracks = track_keys(day_window(src.track_event, "event_time", start, 2), rules)
+    per_pair = clicked.join(tracks_by_key(tracks, flags, with_page=False), PAIR, "left")
+    totals = per_pair.agg(*[F.sum(c).alias(f"clicks_{i}") for i, c in enumerate(counts)],
+                          *[F.sum(F.when(F.col(c) > 0, F.coalesce(F.col(f), F.lit(0)))).alias(f"{f}_{i}")
+                            for i, c in enumerate(counts) for f in flags])
     rows = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.col(f"clicks_{i}").alias("clicks"),
                                         *[F.col(f"{f}_{i}").alias(f) for f in flags])
                                for i, d in enumerate(days)]))
@@ -89,6 +89,19 @@ def _tracks_by_own_day(src: FunnelSources, start, rules: Rules, flags) -> DataFr
     return seen.join(clicks, "d", "full")
 
 
+def _order_pairs(src: FunnelSources, req: FunnelRequest, rules: Rules, flags) -> DataFrame:
+    """JN7: per (day, pair) of the order, its response copies and the pair's events.
+
+    Copies multiply wins and spend (join fan-out), but clicks and tracks count distinct
+    pairs, so copies are counted before the join.
+    """
+    copies = (day_window(src.bid_response, "response_time", req.prev_day, 2).filter(F.col("order_id") == F.lit(req.order_id))
+              .groupBy(F.to_date("response_time").alias("d"), *PAIR).agg(F.count(F.lit(1)).alias("_copies")))
+    ev = events_by_pair(src, req.prev_day, 2, rules, flags=flags, with_page=False)
+    return copies.join(ev, PAIR, "left").withColumnsRenamed(
+        {"win": "_win", "spend_raw": "_spend", "click": "_click", **{f: f"_{f}" for f in flags}})
+
+
 def daily_kpi(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
               analysis: str | None = None) -> DataFrame:
     """Both days with the counts of the analysis (basic adds load failures;
@@ -104,7 +117,7 @@ def daily_kpi(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
         if analysis == "basic":
             bid = resp.groupBy(F.to_date("response_time").alias("d")).agg(F.count(F.lit(1)).alias("bids"))
         else:
-            bid = _bid_stats(_price_hour_strategy(resp))
+            bid = _bid_stats(resp)
         win = (day_window(src.bid_result, "response_time", start, 2)
                .groupBy(F.to_date("response_time").alias("d"))
                .agg(F.count(F.lit(1)).alias("wins"), F.sum(wpr_value("wpr")).alias("spend_raw")))
@@ -113,13 +126,9 @@ def daily_kpi(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
         out = (spine.join(bid, "d", "left").join(win, "d", "left").join(clk_trk, "d", "left"))
     else:
         base = resp.filter(F.col("order_id") == F.lit(req.order_id)).select(
-            F.to_date("response_time").alias("d"), "response_time", *PAIR, "strategy_id", "bid_price")
-        ev = events_by_pair(src, start, 2, rules, flags=flags, with_page=False)
-        # per (day, pair): response copies and the pair's events; copies multiply
-        # wins and spend (join fan-out) but clicks/tracks count distinct pairs.
-        copies = base.groupBy("d", *PAIR).agg(F.count(F.lit(1)).alias("_copies"))
-        per_pair = copies.join(ev, PAIR, "left").withColumnsRenamed(
-            {"win": "_win", "spend_raw": "_spend", "click": "_click", **{f: f"_{f}" for f in flags}})
+            F.to_date("response_time").alias("d"), "response_time", "strategy_id", "bid_price")
+        # part by part if the tables are stored by response id
+        per_pair = reduce(DataFrame.unionByName, [_order_pairs(part, req, rules, flags) for part in src.by_id()])
         has_click = F.coalesce(F.col("_click"), F.lit(0)) > 0
         counted = has_click if rules.landing_page_requires_click else F.lit(True)
         ev_day = per_pair.groupBy("d").agg(
@@ -132,7 +141,7 @@ def daily_kpi(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules(),
         if analysis == "basic":
             out = ev_day.withColumn("bids", F.col("invites"))
         else:
-            out = ev_day.join(_bid_stats(_price_hour_strategy(base)), "d", "left")
+            out = ev_day.join(_bid_stats(base), "d", "left")
 
     cols = [F.col("d"), F.col("invites").cast("bigint").alias("invites")]
     for c in ("bids", "wins", "clicks", "page_exp", "jumps"):

@@ -5,7 +5,7 @@ Scale notes
 * Every event table is read through ``day_window`` so the time range reaches
   the scan (parquet ``PushedFilters`` / JDBC WHERE).
 * Wins and clicks are unioned into one narrow frame and grouped once by
-  ``(response_id, bid_seat_id)``; page tracks are first reduced to clicked pairs.
+  ``(response_id, bid_seat_id)``; page tracks are grouped by the same pair and joined.
 * Dimensions are joined without hints: Catalyst's statistics and AQE's measured
   shuffle sizes decide between broadcast and shuffle joins, and AQE splits the
   partitions of hot (for example blank) ids on the left side of the joins.
@@ -14,15 +14,16 @@ Scale notes
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidscope.functions.exprs import (
-    ad_slot, app_label, direct_jump, flag, geo_region, label_chain,
+    ad_slot, app_label, blank_to, direct_jump, flag, geo_region, label_chain,
     order_strategy_creative, page_id, price_bucket, target_group, track_key, wpr_value,
 )
-from bidscope.plans.request import FunnelRequest, Rules
+from bidscope.plans.request import GEO_MISSING_LABEL, FunnelRequest, Rules
 from bidscope.sources.tables import FunnelSources, day_window
 
 PAIR = ["response_id", "bid_seat_id"]
@@ -36,6 +37,8 @@ TRACK_FLAGS = {
     "jump": ("jumpButton",),
     "load_fail": ("pageLoadFail", "pageLoadTimeout"),
 }
+# White space in the sense of Unicode, which the reference strips from mapping names.
+WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 WIDE_FLAGS = ("page_exp", "complete", "scroll", "video", "jump")
 
 
@@ -74,24 +77,13 @@ def clicks_by_key(clicks: DataFrame) -> DataFrame:
     return clicks.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("click"))
 
 
-def counted_tracks(src: FunnelSources, start: dt.date, days: int, rules: Rules = Rules()) -> DataFrame:
-    """Page events that count: all, or those of pairs clicked in the window (the inner join with clicks).
-
-    The semi-join comes before any aggregation, so only clicked pairs are grouped.
-    """
-    keys = track_keys(day_window(src.track_event, "event_time", start, days), rules)
-    if not rules.landing_page_requires_click:
-        return keys
-    clicks = day_window(src.bid_click, "response_time", start, days).select(*PAIR)
-    return keys.join(clicks, PAIR, "left_semi")
-
-
 def events_by_pair(src: FunnelSources, start: dt.date, days: int, rules: Rules = Rules(),
                    flags=WIDE_FLAGS, with_page: bool = True) -> DataFrame:
     """Wins, clicks and page-track flags of each pair in ``[start, start+days)``.
 
-    Wins and clicks share one union and one ``groupBy``; the tracks that count are
-    grouped by the same pair (page ids by string maximum, any length) and joined.
+    Wins and clicks share one union and one ``groupBy``; tracks are grouped by the same
+    pair (page ids by string maximum, any length) and joined. With the click rule only the
+    tracks of pairs with a click count, so clicks are read once for both.
     """
     flag_cols = list(flags)
     wins = day_window(src.bid_result, "response_time", start, days).select(
@@ -99,16 +91,23 @@ def events_by_pair(src: FunnelSources, start: dt.date, days: int, rules: Rules =
     clicks = day_window(src.bid_click, "response_time", start, days).select(*PAIR, F.lit(1).alias("c"))
     bought = wins.unionByName(clicks, allowMissingColumns=True).groupBy(*PAIR).agg(
         F.count("w").alias("win"), F.sum("s").alias("spend_raw"), F.count("c").alias("click"))
-    seen = tracks_by_key(counted_tracks(src, start, days, rules), flag_cols, with_page)
+    tracks = track_keys(day_window(src.track_event, "event_time", start, days), rules)
+    # Keys that are missing match no response.
+    keyed = tracks.filter(F.col("response_id").isNotNull() & F.col("bid_seat_id").isNotNull())
+    seen = tracks_by_key(keyed, flag_cols, with_page)
     # Without the click rule a pair may have tracks only.
-    how = "left" if rules.landing_page_requires_click else "full"
-    agg = bought.join(seen, PAIR, how)
+    need_click = rules.landing_page_requires_click
+    agg = bought.join(seen, PAIR, "left" if need_click else "full")
+
+    def counted(c: str) -> Column:
+        return F.when(F.col("click") > 0, F.col(c)) if need_click else F.col(c)
+
     out = [*PAIR, F.coalesce(F.col("win"), F.lit(0)).alias("win"),
            F.coalesce(F.col("spend_raw"), F.lit(0.0)).alias("spend_raw"),
            F.coalesce(F.col("click"), F.lit(0)).alias("click")]
-    out += [F.coalesce(F.col(f), F.lit(0)).alias(f) for f in flag_cols]
+    out += [F.coalesce(counted(f), F.lit(0)).alias(f) for f in flag_cols]
     if with_page:
-        out.append(F.col("page_id"))
+        out.append(counted("page_id").alias("page_id"))
     return agg.select(*out)
 
 
@@ -129,11 +128,12 @@ def strategy_max_name(dim: DataFrame) -> DataFrame:
 def app_names(mapping: DataFrame) -> DataFrame:
     """WN2: one app name per package: verified, then request count, then etl_time (all desc).
 
-    Blank package or name rows are dropped; unparseable numbers rank as 0.
+    White space around names is cut off, blank package or name rows are dropped;
+    unparseable numbers rank as 0.
     """
     m = mapping.select(
-        F.trim(F.coalesce(F.col("app_package_name").cast("string"), F.lit(""))).alias("app_package_name"),
-        F.trim(F.coalesce(F.col("app_name").cast("string"), F.lit(""))).alias("app_name"),
+        F.btrim(F.coalesce(F.col("app_package_name").cast("string"), F.lit("")), F.lit(WHITE_SPACE)).alias("app_package_name"),
+        F.btrim(F.coalesce(F.col("app_name").cast("string"), F.lit("")), F.lit(WHITE_SPACE)).alias("app_name"),
         F.coalesce(F.col("is_verified").cast("string").try_cast("double"), F.lit(0.0)).alias("v"),
         F.coalesce(F.col("request_count").cast("string").try_cast("double"), F.lit(0.0)).alias("rc"),
         F.col("etl_time").cast("string").alias("etl_time"),
@@ -157,14 +157,19 @@ def wide_fact(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules()) ->
     """One row per bid response of the day with request, win, click, track and dims.
 
     Duplicate response keys keep their duplicates (and each copy carries the
-    pair's wins, clicks and spend), as in the reference.
+    pair's wins, clicks and spend), as in the reference.  Sources stored by response id are
+    joined part by part: the buckets without a shuffle, the hot ids with one.
     """
+    return reduce(DataFrame.unionByName, [_wide_part(part, req, rules) for part in src.by_id()])
+
+
+def _wide_part(src: FunnelSources, req: FunnelRequest, rules: Rules) -> DataFrame:
     r = day_responses(src, req).select(
         "response_id", "bid_seat_id", "bid_imp_id", "response_time", "bid_price", "order_id",
         "strategy_id", "creative_id", "land_page", "curl")
     q = day_window(src.bid_request, "request_time", req.day, 1).select(
         F.col("request_id").alias("_q_id"), F.col("imp_id").alias("_q_imp"), "request_time",
-        F.col("app_bundle").alias("_q_bundle"), "geo_lat", "geo_lon", "imp_adviewtype")
+        F.col("app_bundle").alias("_q_bundle"), "geo_city", "geo_lat", "geo_lon", "imp_adviewtype", "imp_adlocation", "imp_templateid")
     ev = events_by_pair(src, req.day, 1, rules).withColumnsRenamed(
         {"response_id": "_e_id", "bid_seat_id": "_e_seat"})
     strat = latest_strategy(src.dim_strategy).select(
@@ -190,8 +195,9 @@ def wide_fact(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules()) ->
         F.hour("request_time").alias("hour"),
         bundle.alias("app_bundle"),
         F.coalesce(F.col("_m_name"), bundle).alias("app_name"),
+        blank_to("geo_city", GEO_MISSING_LABEL).alias("geo_city"),
         geo_region("geo_lat", "geo_lon", rules.wuhan_box).alias("geo_region"),
-        "imp_adviewtype",
+        "geo_lat", "geo_lon", "imp_adviewtype", "imp_adlocation", "imp_templateid",
         ad_slot("imp_adviewtype", rules.ad_slot_names).alias("ad_slot"),
         "response_id", "bid_seat_id", "bid_price", "order_id", "strategy_id", "creative_id",
         label_chain("_s_order_name", "_d_order_name", "order_id").alias("order_name"),
@@ -217,27 +223,51 @@ def wide_fact(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules()) ->
     )
 
 
+def hour_bin(time: Column) -> Column:
+    """The hour of a time without a zone, counted from 1970."""
+    return (F.unix_date(time.cast("date")) * F.lit(24) + F.hour(time)).cast("bigint")
+
+
+def answered_bins(responses: DataFrame) -> DataFrame:
+    """Responses as time bins of their request keys: one row for each (response_id, bid_imp_id) with a map
+    from hour bins to their (least, greatest) response time.
+
+    Hours are combined map-side first, so a hot id is one row a task and hour, and its map
+    has no more entries than the scanned window has hours.
+    """
+    hours = responses.groupBy("response_id", "bid_imp_id", hour_bin(F.col("response_time")).alias("_bin")).agg(
+        F.min("response_time").alias("least"), F.max("response_time").alias("greatest")).filter(F.col("_bin").isNotNull())
+    return hours.groupBy(F.col("response_id").alias("_r_id"), F.col("bid_imp_id").alias("_r_imp")).agg(
+        F.map_from_entries(F.collect_list(F.struct("_bin", F.struct("least", "greatest")))).alias("_bins"))
+
+
 def order_requests(requests: DataFrame, responses: DataFrame, order_id: int | None) -> DataFrame:
     """JN6: requests with a response of the order within one day after the request.
 
-    A left-semi join on the two keys with the time range as a residual
-    condition (the reference's ``EXISTS``); without an order it is a no-op.
+    The responses of each key are reduced to hour bins (``answered_bins``) before the left-semi
+    join, so a request reads one row of its key, however often the id is on either side, and
+    probes 25 bins of it: any response of the 23 whole hours in between counts, in the request's
+    own hour the greatest time must not be before it, and in the same hour of the next day the least
+    must be before the day's end. Without an order it is a no-op; ``responses`` are those of a
+    bounded window.
     """
     if order_id is None:
         return requests
-    r = scope_order(responses, order_id).select(
-        F.col("response_id").alias("_r_id"), F.col("bid_imp_id").alias("_r_imp"),
-        F.col("response_time").alias("_r_time"))
-    cond = ((F.col("request_id") == F.col("_r_id")) & (F.col("imp_id") == F.col("_r_imp"))
-            & (F.col("_r_time") >= F.col("request_time"))
-            & (F.col("_r_time") < F.timestamp_add("DAY", F.lit(1), F.col("request_time"))))
-    return requests.join(r, cond, "left_semi")
+    bins = answered_bins(scope_order(responses, order_id))
+    asked = hour_bin(F.col("request_time"))
+    until = F.timestamp_add("DAY", F.lit(1), F.col("request_time"))
+    same = (F.col("request_id") == F.col("_r_id")) & (F.col("imp_id") == F.col("_r_imp"))
+    answered = (F.arrays_overlap(F.map_keys("_bins"), F.sequence(asked + 1, asked + 23))
+                | F.coalesce(F.try_element_at("_bins", asked)["greatest"] >= F.col("request_time"), F.lit(False))
+                | F.coalesce(F.try_element_at("_bins", asked + 24)["least"] < until, F.lit(False)))
+    return requests.join(bins, same & answered, "left_semi")
 
 
 def day_requests(src: FunnelSources, req: FunnelRequest) -> DataFrame:
     """Requests of the day, order-limited through JN6 when the request has an order."""
-    q = day_window(src.bid_request, "request_time", req.day, 1)
     if req.order_id is None:
-        return q
+        return day_window(src.bid_request, "request_time", req.day, 1)
     # a request of the day can only match responses in [day, day + 2)
-    return order_requests(q, day_window(src.bid_response, "response_time", req.day, 2), req.order_id)
+    return reduce(DataFrame.unionByName, [
+        order_requests(day_window(part.bid_request, "request_time", req.day, 1),
+                       day_window(part.bid_response, "response_time", req.day, 2), req.order_id) for part in src.by_id()])

@@ -1,8 +1,9 @@
-"""Aggregations over the wide fact and the requests (AG10-AG20, SC16-SC22, SC26, TK*).
+"""Aggregations over cells of the fact and the requests (AG10-AG20, SC16-SC22, SC26, TK*).
 
-``funnel_agg`` is the one group-by behind ~30 report tables; it keeps null
-keys (like ``groupby(dropna=False)``).  Spend is summed in raw ``wpr`` units
-and divided once at the end, so sums are exact for integral units.
+``funnel_agg`` is the one group-by behind ~30 report tables; it merges cells (see
+``operators/cube.py``) and keeps null keys (like ``groupby(dropna=False)``).  Spend is
+summed in raw ``wpr`` units and divided once at the end, so sums are exact for
+integral units.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidscope.functions.exprs import delta_text, hours_seen, safe_ratio
+from bidscope.operators.cube import measure, roll_up, states_of
 from bidscope.operators.daily import with_costs, with_rates, with_share
 from bidscope.plans.request import EMPTY_APP_LABEL, Rules
 
@@ -22,23 +24,6 @@ HOURS = list(range(24))
 BASE_MEASURES = ("bids", "wins", "clicks", "page_exp", "jumps", "spend_yuan")
 
 
-def _measure(name: str, rules: Rules) -> Column:
-    spec = {
-        "bids": F.count(F.lit(1)),
-        "wins": F.sum("win"),
-        "clicks": F.sum("click"),
-        "page_exp": F.sum("page_exp").cast("bigint"),
-        "jumps": F.sum("jump").cast("bigint"),
-        "spend_yuan": F.sum("spend_raw") / F.lit(float(rules.spend_divisor)),
-        "direct_jump_bids": F.sum("direct_jump").cast("bigint"),
-        "active_hours": hours_seen("hour"),
-        "avg_bid_price": F.avg("bid_price"),
-        "min_bid_price": F.min("bid_price"),
-        "max_bid_price": F.max("bid_price"),
-    }[name]
-    return spec.alias(name)
-
-
 MEASURES = {
     "basic": BASE_MEASURES + ("direct_jump_bids",),
     "spend": BASE_MEASURES + ("active_hours",),
@@ -46,31 +31,9 @@ MEASURES = {
 }
 
 
-def funnel_agg(wide: DataFrame, keys: Sequence[str], measures: Sequence[str], rules: Rules = Rules()) -> DataFrame:
-    """AG10: group the wide fact by ``keys`` (null keys kept) into funnel measures."""
-    return wide.groupBy(*keys).agg(*[_measure(m, rules) for m in measures])
-
-
-def funnel_agg_sets(wide: DataFrame, key_sets: Sequence[Sequence[str]], measures: Sequence[str],
-                    rules: Rules = Rules()) -> DataFrame:
-    """AG20: several ``funnel_agg`` levels in ONE pass (``GROUPING SETS``).
-
-    One scan of the fact feeds every level; ``_gid`` (``grouping_id``) tells
-    the levels apart -- see :func:`split_sets`.
-    """
-    all_keys = list(dict.fromkeys(k for ks in key_sets for k in ks))
-    return wide.groupingSets([list(ks) for ks in key_sets], *all_keys).agg(
-        *[_measure(m, rules) for m in measures], F.grouping_id().alias("_gid"))
-
-
-def split_sets(sets: DataFrame, key_sets: Sequence[Sequence[str]], measures: Sequence[str]) -> dict:
-    """The level of each key set out of a :func:`funnel_agg_sets` frame."""
-    all_keys = list(dict.fromkeys(k for ks in key_sets for k in ks))
-    out = {}
-    for ks in key_sets:
-        gid = sum(1 << (len(all_keys) - 1 - i) for i, k in enumerate(all_keys) if k not in ks)
-        out[tuple(ks)] = sets.filter(F.col("_gid") == F.lit(gid)).select(*ks, *measures)
-    return out
+def funnel_agg(cells: DataFrame, keys: Sequence[str], measures: Sequence[str], rules: Rules = Rules()) -> DataFrame:
+    """AG10: cells merged by ``keys`` (null keys kept) into funnel measures."""
+    return roll_up(cells, keys, states_of(measures)).select(*keys, *[measure(m, rules) for m in measures])
 
 
 def analysis_metrics(df: DataFrame, analysis: str, spend_total=None, bid_total=None,
@@ -92,19 +55,6 @@ def analysis_metrics(df: DataFrame, analysis: str, spend_total=None, bid_total=N
     return df
 
 
-def analysis_agg(wide: DataFrame, keys: Sequence[str], analysis: str, rules: Rules = Rules(),
-                 spend_total=None, bid_total=None, levels: dict | None = None) -> DataFrame:
-    """``bid_agg`` of each analysis: funnel_agg + its rates/costs/share.
-
-    ``levels`` holds precomputed levels (:func:`split_sets`) to reuse.
-    """
-    if levels is not None and tuple(keys) in levels:
-        g = levels[tuple(keys)]
-    else:
-        g = funnel_agg(wide, keys, MEASURES[analysis], rules)
-    return analysis_metrics(g, analysis, spend_total, bid_total)
-
-
 def request_agg(requests: DataFrame, key: Column, label: str, avg_floor: bool = False,
                 active_hours: bool = False) -> DataFrame:
     """AG15: request counts by a key expression (plus average floor / distinct hours)."""
@@ -154,11 +104,10 @@ def sort_by(df: DataFrame, order: Sequence[Column], tie_keys: Sequence[str] = ()
     return df.orderBy(*order, *[F.col(k).asc_nulls_first() for k in tie_keys])
 
 
-def top_apps(wide: DataFrame, n: int) -> DataFrame:
+def top_apps(cells: DataFrame, n: int) -> DataFrame:
     """TK1: the ``n`` apps with most responses, plus ``(空)``; at most n+1 rows."""
-    top = top_k(wide.groupBy("app_bundle").agg(F.count(F.lit(1)).alias("_n")),
-                [F.col("_n").desc()], n, ["app_bundle"]).select("app_bundle")
-    spark = wide.sparkSession
+    top = top_k(roll_up(cells, ["app_bundle"], ["bids"]), [F.col("bids").desc()], n, ["app_bundle"]).select("app_bundle")
+    spark = cells.sparkSession
     empty = spark.createDataFrame([(EMPTY_APP_LABEL,)], "app_bundle string")
     return top.unionByName(empty).distinct()
 
@@ -169,6 +118,14 @@ def keep_apps(df: DataFrame, apps: DataFrame, col: str = "app_bundle") -> DataFr
     return df.join(F.broadcast(a), F.col(col) == F.col("_app"), "left_semi")
 
 
+HOUR_COLS = [f"h{h:02d}" for h in HOURS]
+
+
+def by_hour(state: str, prefix: str = "h") -> list[Column]:
+    """AG12: 24 conditional sums of a state of cells that have an hour; null where the hour has no cell."""
+    return [F.sum(F.when(F.col("hour") == F.lit(h), F.col(state))).alias(f"{prefix}{h:02d}") for h in HOURS]
+
+
 def active_hour_count(prefix: str = "h") -> Column:
     """Hours with a non-zero cell (equals count(distinct hour) of the group)."""
     return sum((F.when(F.col(f"{prefix}{h:02d}") > 0, F.lit(1)).otherwise(F.lit(0)) for h in HOURS),

@@ -5,22 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidscope.functions.exprs import delta_text, hours_seen, safe_ratio
+from bidscope.functions.exprs import delta_text, safe_ratio
+from bidscope.operators.cube import STATES, measure, merged, roll_up
 from bidscope.operators.daily import with_rates
 from bidscope.operators.facts import day_responses, strategy_max_name
 from bidscope.operators.metrics import (
-    HOURS, active_hour_count, analysis_agg, compare_days, day_pairs,
+    HOUR_COLS, HOURS, active_hour_count, analysis_metrics, by_hour, compare_days, day_pairs,
     join_requests, keep_apps, sort_by, top_apps, top_k,
 )
-from bidscope.plans.context import ReportContext
+from bidscope.plans.context import GANTT_KEYS, ReportContext
 
 KPI_COLS = ["d", "invites", "bids", "wins", "clicks", "page_exp", "jumps", "spend_yuan", "load_fail"]
 COMPARE_METRICS = ["invites", "bids", "wins", "clicks", "page_exp", "jumps", "spend_yuan"]
-HOUR_COLS = [f"h{h:02d}" for h in HOURS]
+
+ORDER_KEYS = ["order_id", "order_name"]
+STRATEGY_KEYS = ["order_id", "strategy_id", "order_name", "strategy_name"]
+CREATIVE_KEYS = ["order_id", "strategy_id", "creative_id", "order_name", "strategy_name", "creative_name",
+                 "material_id", "material_type"]
 
 
 def _bid_agg(ctx: ReportContext, keys) -> DataFrame:
-    return analysis_agg(ctx.wide, keys, "basic", ctx.rules, levels=ctx.levels)
+    return analysis_metrics(ctx.funnel(keys), "basic")
 
 
 def basic_kpi(ctx: ReportContext) -> DataFrame:
@@ -71,31 +76,21 @@ def gantt_bids_request_hour(ctx: ReportContext) -> DataFrame:
     summary (first/last response, active hours, bids, wins, clicks, spend)
     is per (order, strategy) over all rows.
     """
-    w = ctx.wide
-    keys4 = ["order_id", "strategy_id", "order_name", "strategy_name"]
-    present = F.col("hour").isNotNull()
+    keys4 = STRATEGY_KEYS
+    rows = ctx.level(GANTT_KEYS).groupBy(*keys4).agg(
+        *merged(["start_time", "last_time", "hour_mask", "bids", "wins", "clicks", "spend_raw"]), *by_hour("bids"))
+    pair = Window.partitionBy("order_id", "strategy_id")
+    whole = {c: STATES[c][1](c).over(pair) for c in ("start_time", "last_time", "hour_mask", "bids", "wins", "clicks", "spend_raw")}
+    # Cells need all four keys and an hour; the pair's summary is over all of its rows.
+    shown = F.col("hour_mask").isNotNull()
     for k in keys4:
-        present = present & F.col(k).isNotNull()
-    cells = (w.filter(present).groupBy(*keys4)
-             .agg(*[F.count(F.when(F.col("hour") == F.lit(h), F.lit(1))).alias(f"h{h:02d}") for h in HOURS]))
-    summ = (w.filter(F.col("order_id").isNotNull() & F.col("strategy_id").isNotNull())
-            .groupBy("order_id", "strategy_id").agg(
-                F.min("response_time").alias("start_time"), F.max("response_time").alias("last_time"),
-                hours_seen("hour").alias("active_hours"),
-                *[c for c in [F.count(F.lit(1)).alias("bids"), F.sum("win").alias("wins"),
-                              F.sum("click").alias("clicks"),
-                              (F.sum("spend_raw") / F.lit(float(ctx.rules.spend_divisor))).alias("spend_yuan")]]))
-    out = cells.join(summ, ["order_id", "strategy_id"], "left").select(
-        *keys4, "start_time", "last_time", "active_hours", "bids", "wins", "clicks", "spend_yuan", *HOUR_COLS)
+        shown = shown & F.col(k).isNotNull()
+    out = rows.select(*keys4, shown.alias("_shown"), *[w.alias(c) for c, w in whole.items()], *HOUR_COLS).filter("_shown").select(
+        *keys4, "start_time", "last_time", measure("active_hours", ctx.rules), "bids", "wins", "clicks",
+        measure("spend_yuan", ctx.rules), *[F.coalesce(c, F.lit(0)).alias(c) for c in HOUR_COLS])
     return sort_by(out, [F.col("bids").desc()], keys4)
 
 
-ORDER_KEYS = ["order_id", "order_name"]
-STRATEGY_KEYS = ["order_id", "strategy_id", "order_name", "strategy_name"]
-CREATIVE_KEYS = ["order_id", "strategy_id", "creative_id", "order_name", "strategy_name", "creative_name",
-                 "material_id", "material_type"]
-
-
 def order_fit(ctx: ReportContext) -> DataFrame:
     """Funnel by order."""
     return sort_by(_bid_agg(ctx, ORDER_KEYS), [F.col("bids").desc()], ORDER_KEYS)
@@ -115,7 +110,7 @@ def app_funnel(ctx: ReportContext) -> DataFrame:
     """App funnel.  Invites and active hours are counted only for the top
     ``app_top_n`` apps (+ ``(空)``) (TK1, FLT2); every app of the wide fact is
     kept (right join) and the first ``basic_app_rows`` by bids are shown (Q10)."""
-    apps = top_apps(ctx.wide, ctx.rules.app_top_n)
+    apps = top_apps(ctx.cells(["app_name", "app_bundle"]), ctx.rules.app_top_n)
     # filtering the per-app aggregate equals filtering the requests (the filter is on the key)
     req_agg = ctx.with_app_name(keep_apps(ctx.request_counts("app_bundle", active_hours=True), apps))
     bid = ctx.funnel(["app_name", "app_bundle"])
@@ -126,11 +121,9 @@ def app_funnel(ctx: ReportContext) -> DataFrame:
 
 def landing(ctx: ReportContext) -> DataFrame:
     """Landing pages: visits and interaction rates (FLT4, SC21)."""
-    g = ctx.wide.groupBy("page_id").agg(
-        F.sum("page_exp").cast("bigint").alias("visits"), F.sum("complete").cast("bigint").alias("complete_visits"),
-        F.sum("scroll").cast("bigint").alias("scroll_visits"), F.sum("video").cast("bigint").alias("video_visits"),
-        F.sum("jump").cast("bigint").alias("page_click_visits"),
-        F.sum("direct_jump").cast("bigint").alias("direct_jump_clicks"))
+    g = roll_up(ctx.cells(["page_id"]), ["page_id"], ["page_exp", "complete", "scroll", "video", "jumps", "direct_jump_bids"]).withColumnsRenamed({
+        "page_exp": "visits", "complete": "complete_visits", "scroll": "scroll_visits", "video": "video_visits",
+        "jumps": "page_click_visits", "direct_jump_bids": "direct_jump_clicks"})
     g = g.filter((F.col("page_id") != "") | (F.col("visits") > 0) | (F.col("direct_jump_clicks") > 0))
     g = g.withColumns({
         "complete_rate": safe_ratio("complete_visits", "visits"),

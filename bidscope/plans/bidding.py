@@ -2,30 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidscope.functions.exprs import hours_seen
+from bidscope.operators.cube import measure, merged
 from bidscope.operators.metrics import (
-    HOURS, analysis_agg, analysis_metrics, compare_days, join_requests,
-    keep_apps, sort_by, top_k,
+    HOUR_COLS, analysis_metrics, by_hour, compare_days, join_requests, sort_by, top_k,
 )
-from bidscope.plans.context import ReportContext
+from bidscope.plans.context import GANTT_KEYS, ReportContext
 from bidscope.plans.spend import OSC_KEYS
 
 KPI_COLS = ["d", "invites", "bids", "wins", "clicks", "page_exp", "jumps", "spend_yuan", "active_hours",
             "strategies", "avg_bid_price", "min_bid_price", "max_bid_price"]
 COMPARE_METRICS = ["invites", "bids", "wins", "clicks", "page_exp", "jumps", "spend_yuan", "avg_bid_price"]
-HOUR_COLS = [f"h{h:02d}" for h in HOURS]
 
 
 def _total(ctx):
     return ctx.total("bids")
 
 
-def _agg(ctx: ReportContext, wide: DataFrame, keys) -> DataFrame:
-    levels = ctx.levels if wide is ctx.wide else None    # levels are of the unfiltered fact
-    return analysis_agg(wide, keys, "bidding", ctx.rules, bid_total=_total(ctx), levels=levels)
+def _agg(ctx: ReportContext, keys, apps: DataFrame | None = None) -> DataFrame:
+    return analysis_metrics(ctx.funnel(keys, apps), "bidding", bid_total=_total(ctx))
 
 
 def _with_requests(ctx: ReportContext, req_agg: DataFrame, keys) -> DataFrame:
@@ -49,28 +46,27 @@ def gantt_bid_price(ctx: ReportContext) -> DataFrame:
     hours, bids and average price; hour cells are the bids of the (order,
     strategy) in each request hour (null ids get no cells).  A ``total`` row
     carries the day's KPI bids and the bids of every hour present."""
-    w = ctx.wide
     keys = ["order_id", "strategy_id", "strategy_name"]
-    g = w.groupBy(*keys).agg(
-        F.min("response_time").alias("start_time"), F.max("response_time").alias("last_time"),
-        hours_seen("hour").alias("active_hours"), F.count(F.lit(1)).alias("bids"),
-        F.avg("bid_price").alias("avg_bid_price"))
-    cells = (w.filter(F.col("order_id").isNotNull() & F.col("strategy_id").isNotNull())
-             .groupBy(F.col("order_id").alias("_o"), F.col("strategy_id").alias("_s"))
-             .agg(*[F.count(F.when(F.col("hour") == F.lit(h), F.lit(1))).alias(f"h{h:02d}") for h in HOURS]))
-    rows = g.join(cells, (F.col("order_id") == F.col("_o")) & (F.col("strategy_id") == F.col("_s")), "left")
-    rows = rows.select(F.lit("strategy").alias("row_kind"), *keys, "start_time", "last_time", "active_hours",
-                       "bids", "avg_bid_price",
-                       *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in HOUR_COLS])
-    tot = w.agg(*[F.when(F.count(F.when(F.col("hour") == F.lit(h), F.lit(1))) > 0,
-                         F.count(F.when(F.col("hour") == F.lit(h), F.lit(1)))).alias(f"h{h:02d}") for h in HOURS])
-    total = tot.select(
-        F.lit("total").alias("row_kind"), F.lit(None).cast("bigint").alias("order_id"),
-        F.lit(None).cast("bigint").alias("strategy_id"), F.lit(None).cast("string").alias("strategy_name"),
-        F.lit(None).cast("timestamp_ntz").alias("start_time"), F.lit(None).cast("timestamp_ntz").alias("last_time"),
-        F.lit(None).cast("bigint").alias("active_hours"), _total(ctx).cast("bigint").alias("bids"),
-        F.lit(None).cast("double").alias("avg_bid_price"), *HOUR_COLS)
-    return sort_by(total.unionByName(rows), [F.col("row_kind").desc(), F.col("bids").desc()], keys)
+    # The rows and their total are two grouping sets of one small frame (strategies x hours).
+    g = ctx.level(GANTT_KEYS).groupingSets([keys, []], *keys).agg(
+        *merged(["start_time", "last_time", "hour_mask", "bids", "price_sum", "price_n"]),
+        *by_hour("bids"), F.grouping_id().alias("_gid"))
+    total = F.col("_gid") > 0
+    pair = Window.partitionBy("_gid", "order_id", "strategy_id")
+    named = F.col("order_id").isNotNull() & F.col("strategy_id").isNotNull()
+
+    def unless_total(c):
+        return F.when(~total, c)
+
+    # a pair's cells are those of all its names; the total's hours without bids stay empty
+    cells = [F.when(total, F.col(c)).otherwise(F.coalesce(F.when(named, F.sum(c).over(pair)), F.lit(0))).alias(c) for c in HOUR_COLS]
+    out = g.select(
+        F.when(total, "total").otherwise("strategy").alias("row_kind"), *keys,
+        *[unless_total(F.col(c)).alias(c) for c in ("start_time", "last_time")],
+        unless_total(measure("active_hours", ctx.rules)).alias("active_hours"),
+        F.when(total, _total(ctx).cast("bigint")).otherwise(F.col("bids")).alias("bids"),
+        unless_total(measure("avg_bid_price", ctx.rules)).alias("avg_bid_price"), *cells)
+    return sort_by(out, [F.col("row_kind").desc(), F.col("bids").desc()], keys)
 
 
 def bid_app(ctx: ReportContext) -> DataFrame:
@@ -88,59 +84,59 @@ def bid_hour(ctx: ReportContext) -> DataFrame:
 
 def bid_order_strategy_creative(ctx: ReportContext) -> DataFrame:
     """By order/strategy/creative, first ``bid_osc_rows`` by bids."""
-    return top_k(_agg(ctx, ctx.wide, OSC_KEYS), [F.col("bids").desc()], ctx.rules.bid_osc_rows, OSC_KEYS)
+    return top_k(_agg(ctx, OSC_KEYS), [F.col("bids").desc()], ctx.rules.bid_osc_rows, OSC_KEYS)
 
 
 def bid_price_bucket(ctx: ReportContext) -> DataFrame:
     """By bid price bucket, ordered by average price."""
-    return sort_by(_agg(ctx, ctx.wide, ["price_bucket"]), [F.col("avg_bid_price").asc_nulls_last()], ["price_bucket"])
+    return sort_by(_agg(ctx, ["price_bucket"]), [F.col("avg_bid_price").asc_nulls_last()], ["price_bucket"])
 
 
-def _top_app_wide(ctx: ReportContext) -> DataFrame:
-    """FLT3: wide rows of the apps shown in the app table (top ``bid_app_rows``)."""
-    return keep_apps(ctx.wide, ctx.memo("bid_top_apps", lambda: bid_app(ctx).select("app_bundle")))
+def _top_apps(ctx: ReportContext) -> DataFrame:
+    """FLT3: the apps shown in the app table (top ``bid_app_rows``), whose cells the cross tables keep."""
+    return ctx.memo("bid_top_apps", lambda: bid_app(ctx).select("app_bundle"))
 
 
-def _cross(ctx, wide, keys, order, limit=None, tie=None):
-    g = _agg(ctx, wide, keys)
+def _cross(ctx, keys, order, limit=None, tie=None, apps=None):
+    g = _agg(ctx, keys, apps)
     tie = keys if tie is None else tie
     return sort_by(g, order, tie) if limit is None else top_k(g, order, limit, tie)
 
 
 def x_app_hour(ctx: ReportContext) -> DataFrame:
     """App x hour over the top apps, first ``cross_limit`` by bids."""
-    return _cross(ctx, _top_app_wide(ctx), ["app_name", "app_bundle", "hour"], [F.col("bids").desc()],
-                  ctx.rules.cross_limit)
+    return _cross(ctx, ["app_name", "app_bundle", "hour"], [F.col("bids").desc()],
+                  ctx.rules.cross_limit, apps=_top_apps(ctx))
 
 
 def x_app_order(ctx: ReportContext) -> DataFrame:
     """App x order/strategy/creative over the top apps."""
-    return _cross(ctx, _top_app_wide(ctx), ["app_name", "app_bundle", "order_strategy_creative"],
-                  [F.col("bids").desc()], ctx.rules.cross_limit)
+    return _cross(ctx, ["app_name", "app_bundle", "order_strategy_creative"], [F.col("bids").desc()],
+                  ctx.rules.cross_limit, apps=_top_apps(ctx))
 
 
 def x_app_bucket(ctx: ReportContext) -> DataFrame:
     """App x price bucket over the top apps."""
-    return _cross(ctx, _top_app_wide(ctx), ["app_name", "app_bundle", "price_bucket"], [F.col("bids").desc()],
-                  ctx.rules.cross_limit)
+    return _cross(ctx, ["app_name", "app_bundle", "price_bucket"], [F.col("bids").desc()],
+                  ctx.rules.cross_limit, apps=_top_apps(ctx))
 
 
 def x_hour_order(ctx: ReportContext) -> DataFrame:
     """Hour x order/strategy/creative, sorted by hour then bids, then cut."""
-    return _cross(ctx, ctx.wide, ["hour", "order_strategy_creative"],
+    return _cross(ctx, ["hour", "order_strategy_creative"],
                   [F.col("hour").asc_nulls_last(), F.col("bids").desc()], ctx.rules.cross_limit,
                   ["order_strategy_creative"])
 
 
 def x_hour_bucket(ctx: ReportContext) -> DataFrame:
     """Hour x price bucket, sorted by hour then average price (all rows)."""
-    return _cross(ctx, ctx.wide, ["hour", "price_bucket"],
+    return _cross(ctx, ["hour", "price_bucket"],
                   [F.col("hour").asc_nulls_last(), F.col("avg_bid_price").asc_nulls_last()], None, ["price_bucket"])
 
 
 def x_order_bucket(ctx: ReportContext) -> DataFrame:
     """order/strategy/creative x price bucket, first ``cross_limit`` by bids."""
-    return _cross(ctx, ctx.wide, ["order_strategy_creative", "price_bucket"], [F.col("bids").desc()],
+    return _cross(ctx, ["order_strategy_creative", "price_bucket"], [F.col("bids").desc()],
                   ctx.rules.cross_limit)
 
 

@@ -1,4 +1,4 @@
-"""Shared inputs of one report: the wide fact, the two-day KPI, the day's requests."""
+"""Shared inputs of one report: the wide fact and its cube, the two-day KPI, the day's requests."""
 
 from __future__ import annotations
 
@@ -7,10 +7,11 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bidscope.functions.exprs import ad_slot, app_label, geo_region, hours_seen
+from bidscope.operators.cube import Levels, as_cells, fact_cube, measure, roll_up
 from bidscope.operators.daily import KPI_COLUMNS, daily_kpi
 from bidscope.operators.facts import app_names, day_requests, wide_fact
-from bidscope.functions.exprs import ad_slot, app_label, geo_region, hours_seen
-from bidscope.operators.metrics import MEASURES, funnel_agg, funnel_agg_sets, request_agg, split_sets
+from bidscope.operators.metrics import MEASURES, funnel_agg, keep_apps, request_agg
 from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.tables import FunnelSources
 
@@ -27,11 +28,25 @@ def request_labels(rules: Rules) -> dict:
 
 def scratch_table_root(spark, root: str | None = None) -> str:
     """A fresh folder for this report's intermediate tables under ``root``, else
-    under the shared checkpoint folder (which only a local master may lack)."""
+    under the shared checkpoint folder (which only a local master may lack). What its
+    report does not delete goes when the driver ends."""
     import uuid
 
     from bidscope.session import ensure_checkpoint_dir
-    return f"{(root or ensure_checkpoint_dir(spark)).rstrip('/')}/bidscope-tables/{uuid.uuid4().hex}"
+    folder = f"{(root or ensure_checkpoint_dir(spark)).rstrip('/')}/bidscope-tables/{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return folder
+
+
+def delete_folder(spark, folder: str) -> None:
+    """Delete a folder of the session's file systems, if it is there."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_and_read(df: DataFrame, path: str) -> DataFrame:
@@ -39,52 +54,65 @@ def write_and_read(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+# The gantts' level: strategies under all their names by request hour (AG12, AG16, AG17).
+GANTT_KEYS = ["order_id", "strategy_id", "order_name", "strategy_name", "hour"]
+
+
 class ReportContext:
     """Lazily built frames shared by the tables of one report.
 
-    ``materialize()`` writes the wide fact once when a whole report is built, so
-    the ~15 group-bys over it do not recompute the joins.
+    A single table aggregates the wide fact, seen as cells (``operators/cube.py``), with
+    only the columns it needs. A whole report reads the fact once: ``materialize()``
+    reduces it to the cube, and every table rolls up from the cube's written levels.
     """
 
     def __init__(self, src: FunnelSources, req: FunnelRequest, rules: Rules = Rules()):
         self.src, self.req, self.rules = src, req, rules
-        self._wide = None
         self._scratch = None
+        self._levels: Levels | None = None
 
     @property
     def analysis(self) -> str:
         return self.req.analysis
 
-    @property
+    @cached_property
     def wide(self) -> DataFrame:
-        if self._wide is None:
-            self._wide = wide_fact(self.src, self.req, self.rules)
-        return self._wide
-
-    def materialize(self, root: str | None = None) -> "ReportContext":
-        """Cut the lineage of the wide fact, the two-row KPI frame and (with an
-        order scope) the order-limited requests.
-
-        They are written as parquet tables under ``root`` (default: the cluster's
-        ``spark.checkpoint.dir``) and read back: every later aggregate prunes to its
-        own columns and a lost executor re-reads instead of recomputing joins.
-        ``release`` deletes them once the report's tables are written.
+        return wide_fact(self.src, self.req, self.rules)
+
+    def materialize(self, root: str | None = None, analyses=None) -> "ReportContext":
+        """Write the cube's levels, the two-row KPI frame, the requests' levels and (with an
+        order scope) the order-limited requests, for ``analyses`` (default: this one).
+
+        They are parquet tables under ``root`` (default: the cluster's
+        ``spark.checkpoint.dir``): every later aggregate reads only its level and a lost
+        executor re-reads instead of recomputing joins. The fact itself is never written: it
+        is joined and reduced in one pass. ``release`` deletes the tables once the report's
+        are written; the context is also a context manager that does so.
         """
-        base = self._scratch = scratch_table_root(self.wide.sparkSession, root)
-        self._wide = write_and_read(self.wide, f"{base}/wide")
-        self.__dict__["kpi"] = write_and_read(self.kpi, f"{base}/kpi")
-        if self.req.order_id is not None:
-            self.__dict__["requests"] = write_and_read(self.requests, f"{base}/requests")
-        self._materialize_levels(base)
-        self._materialize_request_levels(base)
+        base = self._scratch = scratch_table_root(self.src.bid_response.sparkSession, root)
+        try:
+            self.__dict__["kpi"] = write_and_read(self.kpi, f"{base}/kpi")
+            if self.req.order_id is not None:
+                self.__dict__["requests"] = write_and_read(self.requests, f"{base}/requests")
+            levels = Levels([ks for a in analyses or [self.analysis] for ks in self.LEVELS[a]])
+            levels.write(write_and_read(fact_cube(self.wide, self.rules), f"{base}/cube"), f"{base}/levels")
+            self._levels = levels
+            self._materialize_request_levels(base)
+        except BaseException:
+            self.release()
+            raise
         return self
 
+    def __enter__(self) -> "ReportContext":
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.release()
+
     def release(self) -> None:
         """Delete the intermediate tables of this report."""
         if self._scratch:
-            sc = self.wide.sparkSession.sparkContext
-            path = sc._jvm.org.apache.hadoop.fs.Path(self._scratch)
-            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(self.src.bid_response.sparkSession, self._scratch)
             self._scratch = None
 
     @cached_property
@@ -100,30 +128,41 @@ class ReportContext:
     def app_names(self) -> DataFrame:
         return app_names(self.src.app_mapping)
 
-    # Every funnel key set an analysis aggregates the (unfiltered) fact by: when a
-    # whole report is built they come from ONE grouping-sets pass (AG10/AG20).
+    # Every key set the tables of an analysis need; sets that another one holds are rolled up from it.
     _OSC8 = ["order_id", "strategy_id", "creative_id", "order_name", "strategy_name", "creative_name",
              "material_id", "material_type"]
     _OSC9 = _OSC8 + ["order_strategy_creative"]
+    _APP = ["app_name", "app_bundle"]
     LEVELS = {
-        "basic": [["order_id", "order_name"], ["order_id", "strategy_id", "order_name", "strategy_name"], _OSC8,
-                  ["app_name", "app_bundle"], ["hour"], ["app_name", "app_bundle", "hour"],
-                  ["app_name", "app_bundle", "order_strategy_creative"], ["hour", "order_strategy_creative"]],
-        "spend": [["order_id", "order_name"], ["order_id", "strategy_id", "order_name", "strategy_name"], _OSC9,
-                  ["app_name", "app_bundle"], ["hour"], ["geo_region"], ["ad_slot"], ["target_group"],
-                  ["strategy_id", "strategy_name", "ad_slot"]],
-        "bidding": [_OSC9, ["app_name", "app_bundle"], ["hour"], ["price_bucket"],
-                    ["hour", "order_strategy_creative"], ["hour", "price_bucket"],
-                    ["order_strategy_creative", "price_bucket"]],
+        "basic": [GANTT_KEYS, _OSC8, [*_APP, "hour"], [*_APP, "order_strategy_creative"],
+                  ["hour", "order_strategy_creative"], ["page_id"]],
+        "spend": [GANTT_KEYS, _OSC9, _APP, ["geo_region"], ["target_group"], ["strategy_id", "strategy_name", "ad_slot"], ["page_id"]],
+        "bidding": [GANTT_KEYS, _OSC9, [*_APP, "hour"], [*_APP, "order_strategy_creative"], [*_APP, "price_bucket"],
+                    ["hour", "order_strategy_creative"], ["hour", "price_bucket"], ["order_strategy_creative", "price_bucket"]],
     }
 
-    def funnel(self, keys) -> DataFrame:
-        """``funnel_agg`` of the fact by ``keys`` with this analysis's measures,
-        taken from the precomputed levels when the report was materialised."""
-        levels = self.levels
-        if levels is not None and tuple(keys) in levels:
-            return levels[tuple(keys)]
-        return funnel_agg(self.wide, keys, MEASURES[self.analysis], self.rules)
+    def _holding(self, keys) -> tuple[DataFrame, bool]:
+        found = self._levels.get(keys) if self._levels else None
+        return found or (as_cells(self.wide), False)
+
+    def cells(self, keys) -> DataFrame:
+        """Cells that hold ``keys``: of the smallest written level, else the responses of the fact."""
+        return self._holding(keys)[0]
+
+    def level(self, keys) -> DataFrame:
+        """Cells of exactly ``keys``, all states."""
+        cells, exact = self._holding(keys)
+        return cells if exact else roll_up(cells, keys)
+
+    def funnel(self, keys, apps: DataFrame | None = None) -> DataFrame:
+        """This analysis's measures by ``keys`` (AG10), of the cells whose app is in ``apps``."""
+        cells, exact = self._holding(keys)
+        if apps is not None:
+            cells = keep_apps(cells, apps)
+        measures = MEASURES[self.analysis]
+        if not exact:
+            return funnel_agg(cells, keys, measures, self.rules)
+        return cells.select(*keys, *[measure(m, self.rules) for m in measures])
 
     def memo(self, name: str, build) -> DataFrame:
         """A small frame shared by several tables of the report (e.g. the top
@@ -160,39 +199,21 @@ class ReportContext:
             k: agg.filter(F.col("_gid") == F.lit(sum(1 << (len(keys) - 1 - j) for j in range(len(keys)) if j != i)))
             for i, k in enumerate(keys)}
 
-    @property
-    def levels(self) -> dict | None:
-        """Precomputed funnel levels of this analysis (only after ``materialize``)."""
-        return self.__dict__.get("_levels")
-
-    def _materialize_levels(self, base: str) -> None:
-        sets = self.LEVELS.get(self.analysis)
-        if not sets:
-            return
-        measures = MEASURES[self.analysis]
-        agg = write_and_read(funnel_agg_sets(self._wide, sets, measures, self.rules), f"{base}/levels_{self.analysis}")
-        self.__dict__["_levels"] = split_sets(agg, sets, measures)
-
     def share_with(self, analysis: str) -> "ReportContext":
-        """A context for another analysis of the same day and scope reusing
-        this one's (materialised) wide fact, requests and KPI superset."""
+        """A context for another analysis of the same day and scope on this one's tables."""
         other = ReportContext(self.src, self.req.with_analysis(analysis), self.rules)
-        other._wide = self._wide
-        if getattr(self, "_scratch", None):
-            other._scratch = self._scratch
-            other._materialize_levels(self._scratch)
-        if "requests" in self.__dict__:
-            other.__dict__["requests"] = self.__dict__["requests"]
-        if "_request_levels" in self.__dict__:
-            other.__dict__["_request_levels"] = self.__dict__["_request_levels"]
+        other._scratch, other._levels = self._scratch, self._levels
+        for name in ("wide", "requests", "_request_levels"):
+            if name in self.__dict__:
+                other.__dict__[name] = self.__dict__[name]
         if "kpi_all" in self.__dict__:
             other.__dict__["kpi"] = self.__dict__["kpi_all"].select(*KPI_COLUMNS[analysis])
         return other
 
-    def materialize_all(self, root: str | None = None) -> "ReportContext":
-        """Like :meth:`materialize`, with the KPI superset of all analyses."""
+    def materialize_all(self, root: str | None = None, analyses=tuple(LEVELS)) -> "ReportContext":
+        """Like :meth:`materialize`, with the levels and the KPI superset of several analyses."""
         self.__dict__["kpi"] = daily_kpi(self.src, self.req, self.rules, "all")
-        self.materialize(root)
+        self.materialize(root, analyses)
         self.__dict__["kpi_all"] = self.__dict__["kpi"]
         self.__dict__["kpi"] = self.__dict__["kpi_all"].select(*KPI_COLUMNS[self.analysis])
         return self

@@ -10,16 +10,20 @@ from pyspark.sql import functions as F
 
 from bidscope.functions.exprs import ad_slot, geo_region, price_bucket, target_group
 from bidscope.operators.checks import report_checks, with_flags
+from bidscope.operators.cube import Levels, fact_cube, measure
 from bidscope.operators.facts import (
     app_names, click_pairs, clicks_by_key, day_requests, latest_strategy, track_keys, tracks_by_key, wide_fact,
     wins_by_key,
 )
 from bidscope.operators.metrics import top_apps
 from bidscope.plans import basic, bidding, spend
-from bidscope.plans.context import ReportContext
-from bidscope.plans.report import build_report
+from bidscope.plans.context import ReportContext, scratch_table_root
+from bidscope.plans.report import build_report, run_report
 from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.fixture import TEST_DAY, TEST_ORDER, fixture_sources
+from bidscope.sources.rejects import reject_ledger
+from bidscope.sources.sinks import read_report
+from bidscope.sources.store import EventStore, load_event_store, write_event_store
 from bidscope.sources.tables import day_window
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +83,44 @@ def _broken_checks(ctx):
     return report_checks(tables, "bidding", ctx.rules)
 
 
+def _store(ctx):
+    """The event tables stored by response id; an id is hot here from 7 rows, so that both parts have rows."""
+    spark = ctx.src.bid_response.sparkSession
+    root = scratch_table_root(spark)
+    store = EventStore("default", root, buckets=8, hot_rows=6, prefix=f"store_{root.rsplit('/', 1)[-1]}_")
+    write_event_store(ctx.src, store)
+    return load_event_store(spark, store, ctx.src)
+
+
+def _stored_order_kpi(ctx):
+    """D1 with the order scope (JN7) on tables stored by response id."""
+    return bidding.bid_kpi(ReportContext(_store(ctx), ctx.req.with_order(TEST_ORDER).with_analysis("bidding"), ctx.rules))
+
+
+def _published_report(ctx):
+    """SNK1, SNK2, CK5: the bidding report staged, checked and published; its app table as readers find it."""
+    spark, req = ctx.src.bid_response.sparkSession, ctx.req.with_analysis("bidding")
+    root = scratch_table_root(spark)
+    run_report(ctx.src, req, root, ctx.rules)
+    return read_report(spark, root, req)["bid_app"]
+
+
+def _fact_cube(ctx):
+    """AG20: three levels of the fact's cube from one grouping-sets pass."""
+    levels = Levels([["order_id"], ["hour"], ["ad_slot", "price_bucket"]])
+    names = ("bids", "wins", "spend_yuan", "avg_bid_price", "active_hours", "start_time", "last_time")
+    return levels.aggregate(fact_cube(ctx.wide, ctx.rules)).select("level", *levels.keys, *[measure(m, ctx.rules) for m in names])
+
+
+def _reject_ledger(ctx):
+    """SRC1, SC6: the ledger of responses stored as text, some of them broken, and of the wins' prices."""
+    broken = ctx.src.bid_response.withColumns({
+        "order_id": F.when(F.col("strategy_id") % 10 == 3, F.concat(F.lit("o-"), F.col("order_id"))).otherwise(F.col("order_id").cast("string")),
+        "response_time": F.when((F.col("strategy_id") % 25 == 4) & F.col("response_time").isNotNull(), F.lit("soon"))
+                          .otherwise(F.col("response_time").cast("string"))})
+    return reject_ledger({"bid_request": ctx.src.bid_request, "bid_response": broken, "bid_result": ctx.src.bid_result}, (ctx.req.day, 1))
+
+
 OPS = {
     "wide_fact": lambda c: c.wide,
     "wide_fact_order": _wide_order,
@@ -100,12 +142,17 @@ OPS = {
         price_bucket("bid_price", c.rules.price_bounds, c.rules.price_labels).alias("price_bucket")),
     "op_label_chain": lambda c: c.wide.select("response_id", "bid_seat_id", "order_name", "strategy_name",
                                               "creative_name", "order_strategy_creative"),
-    "op_top_apps": lambda c: top_apps(c.wide, c.rules.app_top_n),
+    "op_top_apps": lambda c: top_apps(c.cells(["app_bundle"]), c.rules.app_top_n),
     "op_apps_outside": _apps_outside,
     "op_attention_flags": _flagged("spend", spend.spend_app),
     "op_attention_flags_basic": _flagged("basic", basic.hourly),
     "op_attention_flags_bidding": _flagged("bidding", bidding.bid_app),
     "op_failing_checks": _broken_checks,
+    "op_fact_cube": _fact_cube,
+    "op_stored_wide_fact": lambda c: wide_fact(_store(c), c.req, c.rules),
+    "op_stored_order_kpi": _stored_order_kpi,
+    "op_published_report": _published_report,
+    "op_reject_ledger": _reject_ledger,
     "basic_kpi_unclicked": lambda c: basic.basic_kpi(ReportContext(c.src, c.req, _unclicked(c))),
     "basic_kpi_unclicked_order": lambda c: basic.basic_kpi(ReportContext(c.src, c.req.with_order(TEST_ORDER), _unclicked(c))),
     "wide_fact_unclicked": lambda c: wide_fact(c.src, c.req, _unclicked(c)),

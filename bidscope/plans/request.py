@@ -94,4 +94,4 @@ class Rules:
     spend_attention_share: float = 0.3  # SC26
 
     def __hash__(self):
-        return id(self)
+        return hash((self.spend_divisor, self.landing_page_requires_click, self.price_bounds, tuple(sorted(self.ad_slot_names.items()))))

@@ -6,18 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.functions.exprs import hours_seen, safe_ratio
+from bidscope.functions.exprs import safe_ratio
+from bidscope.operators.cube import measure, merged, roll_up
 from bidscope.operators.metrics import (
-    HOURS, analysis_agg, analysis_metrics, compare_days, join_requests,
-    sort_by, top_k,
+    HOUR_COLS, analysis_metrics, by_hour, compare_days, join_requests, sort_by, top_k,
 )
-from bidscope.plans.context import ReportContext
+from bidscope.plans.context import GANTT_KEYS, ReportContext
 
 KPI_COLS = ["d", "invites", "bids", "wins", "clicks", "page_exp", "jumps", "spend_yuan", "active_hours", "strategies"]
 COMPARE_METRICS = ["spend_yuan", "invites", "bids", "wins", "clicks", "page_exp", "jumps"]
 OSC_KEYS = ["order_id", "strategy_id", "creative_id", "order_name", "strategy_name", "creative_name",
             "material_id", "material_type", "order_strategy_creative"]
-HOUR_COLS = [f"h{h:02d}" for h in HOURS]
 
 
 def _total(ctx):
@@ -25,7 +24,7 @@ def _total(ctx):
 
 
 def _bid_agg(ctx: ReportContext, keys) -> DataFrame:
-    return analysis_agg(ctx.wide, keys, "spend", ctx.rules, spend_total=_total(ctx), levels=ctx.levels)
+    return analysis_metrics(ctx.funnel(keys), "spend", spend_total=_total(ctx))
 
 
 def _with_requests(ctx: ReportContext, req_agg: DataFrame, keys) -> DataFrame:
@@ -69,34 +68,24 @@ def gantt_spend(ctx: ReportContext) -> DataFrame:
     where the strategy bid in that hour.  Keyed by (order, strategy, name)
     (Q14).  A ``total`` row carries the day's KPI spend and the spend of
     every hour present in the wide fact (AG17)."""
-    w = ctx.wide
     keys = ["order_id", "strategy_id", "strategy_name"]
     div = F.lit(float(ctx.rules.spend_divisor))
-
-    def in_hour(h, v):
-        return F.when(F.col("hour") == F.lit(h), v)
-
-    g = w.groupBy(*keys).agg(
-        F.min("response_time").alias("start_time"), F.max("response_time").alias("last_time"),
-        hours_seen("hour").alias("active_hours"), (F.sum("spend_raw") / div).alias("spend_yuan"),
-        F.count(F.lit(1)).alias("bids"), F.sum("win").alias("wins"),
-        *[F.count(in_hour(h, F.lit(1))).alias(f"_b{h:02d}") for h in HOURS],
-        *[F.sum(in_hour(h, F.col("spend_raw"))).alias(f"_s{h:02d}") for h in HOURS])
-    rows = g.select(
-        F.lit("strategy").alias("row_kind"), *keys, "start_time", "last_time", "active_hours", "spend_yuan",
-        "bids", "wins",
-        *[F.when(F.col(f"_b{h:02d}") > 0, F.coalesce(F.col(f"_s{h:02d}"), F.lit(0.0)) / div).alias(f"h{h:02d}")
-          for h in HOURS])
-    tot = w.agg(*[F.when(F.count(in_hour(h, F.lit(1))) > 0,
-                         F.coalesce(F.sum(in_hour(h, F.col("spend_raw"))), F.lit(0.0)) / div).alias(f"h{h:02d}")
-                  for h in HOURS])
-    total = tot.select(
-        F.lit("total").alias("row_kind"), F.lit(None).cast("bigint").alias("order_id"),
-        F.lit(None).cast("bigint").alias("strategy_id"), F.lit(None).cast("string").alias("strategy_name"),
-        F.lit(None).cast("timestamp_ntz").alias("start_time"), F.lit(None).cast("timestamp_ntz").alias("last_time"),
-        F.lit(None).cast("bigint").alias("active_hours"), _total(ctx).alias("spend_yuan"),
-        F.lit(None).cast("bigint").alias("bids"), F.lit(None).cast("bigint").alias("wins"), *HOUR_COLS)
-    out = total.unionByName(rows)
+    # The rows and their total are two grouping sets of one small frame (strategies x hours).
+    g = ctx.level(GANTT_KEYS).groupingSets([keys, []], *keys).agg(
+        *merged(["start_time", "last_time", "hour_mask", "spend_raw", "bids", "wins"]),
+        *by_hour("spend_raw"), F.grouping_id().alias("_gid"))
+    total = F.col("_gid") > 0
+
+    def unless_total(c):
+        return F.when(~total, c)
+
+    out = g.select(
+        F.when(total, "total").otherwise("strategy").alias("row_kind"), *keys,
+        *[unless_total(F.col(c)).alias(c) for c in ("start_time", "last_time")],
+        unless_total(measure("active_hours", ctx.rules)).alias("active_hours"),
+        F.when(total, _total(ctx)).otherwise(measure("spend_yuan", ctx.rules)).alias("spend_yuan"),
+        *[unless_total(F.col(c)).alias(c) for c in ("bids", "wins")],
+        *[(F.col(c) / div).alias(c) for c in HOUR_COLS])
     return sort_by(out, [F.col("row_kind").desc(), F.col("spend_yuan").desc()], keys)
 
 
@@ -150,11 +139,9 @@ def spend_ad_slot_strategy(ctx: ReportContext) -> DataFrame:
 
 def spend_landing(ctx: ReportContext) -> DataFrame:
     """Spend by landing page: exposure, jumps, costs, reach and read rates."""
-    spend = F.sum("spend_raw") / F.lit(float(ctx.rules.spend_divisor))
-    g = ctx.wide.groupBy("page_id").agg(
-        spend.alias("spend_yuan"), F.sum("click").alias("clicks"), F.sum("page_exp").cast("bigint").alias("page_exp"),
-        F.sum("jump").cast("bigint").alias("jumps"), F.sum("complete").cast("bigint").alias("complete_visits"),
-        F.sum("scroll").cast("bigint").alias("scroll_visits"), F.sum("video").cast("bigint").alias("video_visits"))
+    g = roll_up(ctx.cells(["page_id"]), ["page_id"], ["spend_raw", "clicks", "page_exp", "jumps", "complete", "scroll", "video"])
+    g = g.select("page_id", measure("spend_yuan", ctx.rules), "clicks", "page_exp", "jumps", F.col("complete").alias("complete_visits"),
+                 F.col("scroll").alias("scroll_visits"), F.col("video").alias("video_visits"))
     g = g.filter((F.col("page_id") != "") | (F.col("page_exp") > 0) | (F.col("jumps") > 0))
     g = g.withColumns({
         "cost_per_exposure": safe_ratio("spend_yuan", "page_exp"),

@@ -21,6 +21,8 @@ _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # tables stored by response id join on it and a second key without a shuffle (sources/store.py)
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -58,6 +58,8 @@ def bid_request(orders: DataFrame) -> DataFrame:
         (F.lit(113.0) + (k % 30).cast("double") / F.lit(10.0)).alias("geo_lon"),
         F.when(k % 5 == 0, F.lit(4)).when(k % 5 == 1, F.lit(5)).when(k % 5 == 2, F.lit(10))
          .when(k % 5 == 3, F.lit(7)).otherwise(F.lit(None).cast("int")).alias("imp_adviewtype"),
+        F.concat(F.lit("loc-"), _txt(k % 3)).alias("imp_adlocation"),
+        F.when(k % 6 != 0, F.concat(F.lit("t-"), _txt(k % 4))).alias("imp_templateid"),
     )
 
 
@@ -183,7 +185,9 @@ FIXTURE_SQL: dict[str, str] = {
          CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN '' ELSE 'city-' || CAST(o_orderkey % 5 AS VARCHAR) END AS geo_city,
          CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE 29.0::DOUBLE + CAST(o_orderkey % 40 AS DOUBLE) / 10.0::DOUBLE END AS geo_lat,
          113.0::DOUBLE + CAST(o_orderkey % 30 AS DOUBLE) / 10.0::DOUBLE AS geo_lon,
-         CAST(CASE o_orderkey % 5 WHEN 0 THEN 4 WHEN 1 THEN 5 WHEN 2 THEN 10 WHEN 3 THEN 7 ELSE NULL END AS INTEGER) AS imp_adviewtype
+         CAST(CASE o_orderkey % 5 WHEN 0 THEN 4 WHEN 1 THEN 5 WHEN 2 THEN 10 WHEN 3 THEN 7 ELSE NULL END AS INTEGER) AS imp_adviewtype,
+         'loc-' || CAST(o_orderkey % 3 AS VARCHAR) AS imp_adlocation,
+         CASE WHEN o_orderkey % 6 <> 0 THEN 't-' || CAST(o_orderkey % 4 AS VARCHAR) END AS imp_templateid
   FROM orders""",
     "bid_response": f"""
   SELECT CAST(l_orderkey AS VARCHAR) AS response_id, CAST(l_linenumber AS VARCHAR) AS bid_seat_id, '1' AS bid_imp_id,

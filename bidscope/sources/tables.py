@@ -2,8 +2,9 @@
 
 Tables can come from parquet folders, the catalog, or a MySQL-protocol
 warehouse over JDBC.  Every reader casts to the declared schema so that the
-rest of the library sees one set of types.  Retries on a lost connection
-(SRC2) are Spark's own task retries (``spark.task.maxFailures``).
+rest of the library sees one set of types; ``rejects`` counts what the casts lose.
+Tasks that lose their connection are retried by Spark (``spark.task.maxFailures``), the
+driver's schema reads by ``retry`` (SRC2).
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bidscope.sources.rejects import check_rejects, reject_ledger
+from bidscope.sources.retry import ATTEMPTS, with_retry
 from bidscope.sources.schema import SCHEMAS, TIME_COLUMNS
 
 EVENT_TABLES = ("bid_request", "bid_response", "bid_result", "bid_click", "track_event")
@@ -28,7 +31,8 @@ class TableSource:
 
     kind: ``parquet`` (``location/<name>``), ``catalog`` (``location.<name>``
     or a bare table name), or ``jdbc`` (``location`` is the JDBC URL).
-    ``names`` maps a logical table name to the physical one.  ``day_column``
+    ``names`` maps a logical table name to the physical one.  ``attempts`` is how often a
+    JDBC read is planned before a lost connection is raised.  ``day_column``
     names the day partition column of stored event tables, if they have one, and
     ``lateness_days`` how many days after its event time a row may be stored;
     only then are partitions pruned.
@@ -41,6 +45,7 @@ class TableSource:
     jdbc_partitions: int = 64
     day_column: str | None = None
     lateness_days: int = 0
+    attempts: int = ATTEMPTS
 
     def physical(self, name: str) -> str:
         return self.names.get(name, name)
@@ -67,6 +72,8 @@ def conform(df: DataFrame, name: str, day_column: str | None = None, lateness_da
     schema = SCHEMAS[name]
     have = set(df.columns)
     missing = {f.name for f in schema.fields} - have - OPTIONAL_COLUMNS.get(name, set())
+    if day_column and name in TIME_COLUMNS and day_column not in have:
+        missing.add(day_column)
     if missing:
         raise ValueError(f"table {name} lacks the columns {sorted(missing)}")
     cols = []
@@ -83,9 +90,9 @@ def conform(df: DataFrame, name: str, day_column: str | None = None, lateness_da
     return df.select(*cols)
 
 
-def load_table(spark: SparkSession, name: str, source: TableSource,
+def read_table(spark: SparkSession, name: str, source: TableSource,
                window: tuple[dt.date, int] | None = None) -> DataFrame:
-    """SRC1: read one logical table and cast it to its declared schema.
+    """One logical table as it is stored.
 
     For JDBC event tables ``window=(start_day, n_days)`` is required: it sets the
     strides by which the read is split into ``jdbc_partitions`` ranges of the time
@@ -94,14 +101,19 @@ def load_table(spark: SparkSession, name: str, source: TableSource,
     """
     phys = source.physical(name)
     if source.kind == "parquet":
-        df = spark.read.options(**source.options).parquet(f"{source.location.rstrip('/')}/{phys}")
-    elif source.kind == "catalog":
-        df = spark.read.table(f"{source.location}.{phys}" if source.location else phys)
-    elif source.kind == "jdbc":
-        df = spark.read.format("jdbc").options(**jdbc_options(name, source, window)).load()
-    else:
-        raise ValueError(f"unknown source kind {source.kind!r}")
-    return conform(df, name, source.day_column, source.lateness_days)
+        return spark.read.options(**source.options).parquet(f"{source.location.rstrip('/')}/{phys}")
+    if source.kind == "catalog":
+        return spark.read.table(f"{source.location}.{phys}" if source.location else phys)
+    if source.kind == "jdbc":
+        reader = spark.read.format("jdbc").options(**jdbc_options(name, source, window))
+        return with_retry(reader.load, source.attempts)
+    raise ValueError(f"unknown source kind {source.kind!r}")
+
+
+def load_table(spark: SparkSession, name: str, source: TableSource,
+               window: tuple[dt.date, int] | None = None) -> DataFrame:
+    """SRC1: read one logical table and cast it to its declared schema."""
+    return conform(read_table(spark, name, source, window), name, source.day_column, source.lateness_days)
 
 
 def jdbc_options(name: str, source: TableSource, window: tuple[dt.date, int] | None) -> dict[str, str]:
@@ -156,7 +168,11 @@ def write_event_table(df: DataFrame, path: str, time_col: str) -> None:
 
 @dataclass(frozen=True)
 class FunnelSources:
-    """The eight inputs of every report."""
+    """The eight inputs of every report.
+
+    ``parts``: the same rows cut by response id, if they are stored so; joins by that id are
+    made part by part.
+    """
 
     bid_request: DataFrame
     bid_response: DataFrame
@@ -166,6 +182,11 @@ class FunnelSources:
     dim_strategy: DataFrame
     dim_creative: DataFrame
     app_mapping: DataFrame
+    parts: tuple["FunnelSources", ...] = ()
+
+    def by_id(self) -> tuple["FunnelSources", ...]:
+        """The sources to join by response id, one after the other."""
+        return self.parts or (self,)
 
     def replace(self, **kw) -> "FunnelSources":
         return replace(self, **kw)
@@ -176,9 +197,16 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def load_sources(spark: SparkSession, source: TableSource, app_mapping: DataFrame | None = None,
-                 window: tuple[dt.date, int] | None = None) -> FunnelSources:
-    """All eight inputs from one location; the app mapping may come from a CSV."""
-    tables = {n: load_table(spark, n, source, window) for n in EVENT_TABLES + DIM_TABLES}
+                 window: tuple[dt.date, int] | None = None, reject_limit: float | None = None) -> FunnelSources:
+    """All eight inputs from one location; the app mapping may come from a CSV.
+
+    With ``reject_limit`` (a share, 0 for none at all) the stored tables are checked first: a column of
+    the window with more values that its type rejects raises ``RejectedValues``.
+    """
+    stored = {n: read_table(spark, n, source, window) for n in EVENT_TABLES + DIM_TABLES}
+    if reject_limit is not None:
+        check_rejects(reject_ledger(stored, window), reject_limit)
+    tables = {n: conform(df, n, source.day_column, source.lateness_days) for n, df in stored.items()}
     if app_mapping is None:
         try:
             app_mapping = load_table(spark, "app_mapping", source)
