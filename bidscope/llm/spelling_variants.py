@@ -6,13 +6,13 @@
    changes its squared length distance to another word by at most two, and its length by
    at most one. So words meet in blocks of (length, length + 1).
 3. Within a length, words are dealt over buckets by parts of their count vectors. The
-   alphabet is cut into three parts; one edit changes the counts of two letters at most, so
-   two near words agree on all counts of at least one part, and meet in its bucket. The number
-   of buckets grows with the vocabulary, so a block keeps its size. Blocks above ``cell`` words
-   are cut into rows of cells, each pair of which meets once.
+   alphabet is cut into four parts; one edit changes the counts of two letters at most, so
+   two near words agree on all counts of at least two parts, and meet in the bucket of one of
+   the six pairs of parts. The number of buckets grows with the vocabulary, so a block keeps
+   its size. Blocks above ``cell`` words are cut into rows of cells, each pair of which meets once.
 4. In a block, a NumPy product of the count matrices gives all squared distances; pairs of
    at most two are compared code point by code point, and kept at exactly one edit.
-5. A pair is reported by the first part on which it agrees, so once.
+5. A pair is reported by the first pair of parts on which it agrees, so once.
 
 A word has at most (2 length + 1) * alphabet near words, so pairs stay in proportion to
 the vocabulary whatever the groups.
@@ -25,6 +25,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +34,13 @@ from pyspark.sql import functions as F
 
 from .blocks import groups
 from .scratch import discard, materialise, ship
+from .textnum import mix64
 
 #: a to z, and the letters of the runs above ASCII.
 ALPHABET = 26 + 64
-PARTS = 3
+PARTS = 4
+#: Pairs of alphabet parts that an edit may leave as they are.
+KEPT = list(combinations(range(PARTS), 2))
 
 
 @dataclass(frozen=True)
@@ -100,12 +104,10 @@ def letter_counts(words: list[str]) -> np.ndarray:
 
 
 def part_keys(counts: np.ndarray) -> np.ndarray:
-    """A 64-bit key of the counts of each alphabet part (letter i is of part i mod PARTS): words x PARTS."""
+    """A 64-bit key of the counts of each pair of alphabet parts (letter i is of part i mod PARTS): words x KEPT."""
     weights = np.random.default_rng(13).integers(1, 1 << 63, ALPHABET, dtype=np.uint64) | np.uint64(1)
-    out = np.empty((len(counts), PARTS), np.uint64)
-    for p in range(PARTS):
-        out[:, p] = (counts[:, p::PARTS].astype(np.uint64) * weights[p::PARTS]).sum(axis=1, dtype=np.uint64)
-    return out
+    parts = np.stack([(counts[:, p::PARTS].astype(np.uint64) * weights[p::PARTS]).sum(axis=1, dtype=np.uint64) for p in range(PARTS)], axis=1)
+    return np.stack([mix64(parts[:, p]) ^ mix64(parts[:, q] + np.uint64(q)) for p, q in KEPT], axis=1)
 
 
 def one_edit(a: list[str], b: list[str]) -> np.ndarray:
@@ -161,7 +163,7 @@ def near_words(words: DataFrame, rules: Spelling = Spelling()) -> DataFrame:
             texts = batch.column("word").to_pylist()
             keys = part_keys(letter_counts(texts))
             lengths = np.array([len(t) for t in texts])
-            for part in range(PARTS):
+            for part in range(len(KEPT)):
                 bucket = (keys[:, part] % np.uint64(buckets)).astype(np.int64)
                 for side in (0, 1):  # of its own length's block, and one longer than the block before
                     yield pa.RecordBatch.from_arrays(
@@ -172,7 +174,7 @@ def near_words(words: DataFrame, rules: Spelling = Spelling()) -> DataFrame:
     block = ["part", "length", "bucket"]
     dealt = words.mapInArrow(deal, "part int, length int, bucket long, side int, word string, n long")
     # blocks of more than ``cell`` words of one length: a row of words meets each other row in a cell of its own
-    sizes = dealt.groupBy(*block).agg(F.count("*").alias("size")).filter(F.col("size") > 2 * rules.cell)
+    sizes = materialise(dealt.groupBy(*block).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 2 * rules.cell), "spelling-blocks")
     rows = F.coalesce(F.ceil(F.col("size") / (2 * rules.cell)), F.lit(1)).cast("int")
     spread = dealt.join(sizes, block, "left").withColumn("rows", rows).withColumn("row", F.pmod(F.xxhash64("word"), "rows").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("rows") - 1))
