@@ -10,7 +10,7 @@ the raw fact, from the cube and from a coarser level that holds their keys.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,13 +105,17 @@ def finest(key_sets: Iterable[Sequence[str]]) -> list[list[str]]:
 
 
 class Levels:
-    """Report levels of one cube: the finest key sets from ONE grouping-sets pass over its
-    cells, written once, every other level rolled up from the smallest of them."""
+    """Report levels of one cube: each of the finest key sets rolled up from its cells and written,
+    every other level rolled up from the smallest of them.
+
+    The roll-ups read only their own keys, and run side by side. ``aggregate`` gives the same
+    levels as one frame from one grouping-sets pass, which copies every cell for every set.
+    """
 
     def __init__(self, key_sets: Iterable[Sequence[str]]):
         self.sets = finest(key_sets)
         self.keys = list(dict.fromkeys(k for ks in self.sets for k in ks))
-        self.table: DataFrame | None = None
+        self.tables: list[DataFrame] = []
 
     def aggregate(self, cells: DataFrame) -> DataFrame:
         """All finest levels in one frame, told apart by ``level`` (the set's number)."""
@@ -122,16 +126,14 @@ class Levels:
             level = F.when(F.col("_gid") == F.lit(gid), F.lit(i)).otherwise(level)
         return agg.withColumn("level", level).drop("_gid")
 
-    def write(self, cells: DataFrame, path: str) -> None:
-        """One folder a level, so a table reads only its own."""
-        self.aggregate(cells).write.mode("overwrite").partitionBy("level").parquet(path)
-        self.table = cells.sparkSession.read.parquet(path)
+    def jobs(self, cells: DataFrame, write: Callable[[DataFrame, str], DataFrame]) -> list[Callable[[], DataFrame]]:
+        """One job a level: roll it up and have ``write`` store it under its name."""
+        return [lambda i=i, ks=ks: write(roll_up(cells, ks), f"level_{i}") for i, ks in enumerate(self.sets)]
 
     def get(self, keys: Sequence[str]) -> tuple[DataFrame, bool] | None:
         """Cells that hold ``keys``, from the smallest written level, and whether these are all of its keys."""
         holding = [i for i, ks in enumerate(self.sets) if set(keys) <= set(ks)]
-        if self.table is None or not holding:
+        if not self.tables or not holding:
             return None
         best = min(holding, key=lambda i: len(self.sets[i]))
-        cells = self.table.filter(F.col("level") == F.lit(best)).select(*self.sets[best], *STATES)
-        return cells, len(self.sets[best]) == len(set(keys))
+        return self.tables[best], len(self.sets[best]) == len(set(keys))

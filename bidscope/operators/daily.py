@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.functions.exprs import flag, safe_ratio, wpr_value
-from bidscope.operators.facts import PAIR, TRACK_FLAGS, events_by_pair, track_keys, tracks_by_key
+from bidscope.operators.facts import PAIR, TRACK_FLAGS, events_by_pair, track_keys
 from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.sources.tables import FunnelSources, day_window
 
@@ -57,18 +57,21 @@ def _clicks_and_tracks_by_day(src: FunnelSources, start, rules: Rules, flags) ->
     """Clicks per day and, per click day, the clicked pairs with each track flag
     (AG1 clicks, AG3, AG9, JN3).
 
-    Clicks are read and shuffled once, as pairs with their clicks of each day; tracks are
-    combined map-side to one row a pair, on the same key, and joined without another shuffle. A
-    pair counts on a day when it has a click that day; null keys never join.
+    Clicks and tracks are read once each and meet in one union and ``groupBy`` by pair, combined
+    map-side, without a join. A pair counts on a day when it has a click that day; null
+    keys never meet.
     """
     days = [start + dt.timedelta(days=i) for i in range(2)]
     counts = [f"_n{i}" for i in range(len(days))]
-    clicked = day_window(src.bid_click, "response_time", start, 2).groupBy(*PAIR).agg(
-        *[F.count(F.when(F.to_date("response_time") == F.lit(d), 1)).alias(c) for c, d in zip(counts, days)])
-    tracks = track_keys(day_window(src.track_event, "event_time", start, 2), rules)
-    per_pair = clicked.join(tracks_by_key(tracks, flags, with_page=False), PAIR, "left")
+    clicks = day_window(src.bid_click, "response_time", start, 2).select(
+        *PAIR, *[(F.to_date("response_time") == F.lit(d)).cast("int").alias(c) for c, d in zip(counts, days)])
+    tracks = track_keys(day_window(src.track_event, "event_time", start, 2), rules).select(
+        *PAIR, *[flag("event_code", TRACK_FLAGS[f]).alias(f) for f in flags])
+    keyed = F.col("response_id").isNotNull() & F.col("bid_seat_id").isNotNull()
+    per_pair = clicks.unionByName(tracks, allowMissingColumns=True).groupBy(*PAIR).agg(
+        *[F.sum(c).alias(c) for c in counts], *[F.max(f).alias(f) for f in flags])
     totals = per_pair.agg(*[F.sum(c).alias(f"clicks_{i}") for i, c in enumerate(counts)],
-                          *[F.sum(F.when(F.col(c) > 0, F.coalesce(F.col(f), F.lit(0)))).alias(f"{f}_{i}")
+                          *[F.sum(F.when(keyed & (F.col(c) > 0), F.coalesce(F.col(f), F.lit(0)))).alias(f"{f}_{i}")
                             for i, c in enumerate(counts) for f in flags])
     rows = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.col(f"clicks_{i}").alias("clicks"),
                                         *[F.col(f"{f}_{i}").alias(f) for f in flags])

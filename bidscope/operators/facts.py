@@ -81,23 +81,26 @@ def events_by_pair(src: FunnelSources, start: dt.date, days: int, rules: Rules =
                    flags=WIDE_FLAGS, with_page: bool = True) -> DataFrame:
     """Wins, clicks and page-track flags of each pair in ``[start, start+days)``.
 
-    Wins and clicks share one union and one ``groupBy``; tracks are grouped by the same
-    pair (page ids by string maximum, any length) and joined. With the click rule only the
-    tracks of pairs with a click count, so clicks are read once for both.
+    Wins, clicks and track flags share one union and one ``groupBy``. Page ids are text, whose
+    maximum sorts: with them, tracks are grouped apart by the same pair and joined. With the
+    click rule only the tracks of pairs with a click count, so clicks are read once for both.
     """
     flag_cols = list(flags)
     wins = day_window(src.bid_result, "response_time", start, days).select(
         *PAIR, F.lit(1).alias("w"), wpr_value("wpr").alias("s"))
     clicks = day_window(src.bid_click, "response_time", start, days).select(*PAIR, F.lit(1).alias("c"))
-    bought = wins.unionByName(clicks, allowMissingColumns=True).groupBy(*PAIR).agg(
-        F.count("w").alias("win"), F.sum("s").alias("spend_raw"), F.count("c").alias("click"))
     tracks = track_keys(day_window(src.track_event, "event_time", start, days), rules)
     # Keys that are missing match no response.
-    keyed = tracks.filter(F.col("response_id").isNotNull() & F.col("bid_seat_id").isNotNull())
-    seen = tracks_by_key(keyed, flag_cols, with_page)
-    # Without the click rule a pair may have tracks only.
+    tracks = tracks.filter(F.col("response_id").isNotNull() & F.col("bid_seat_id").isNotNull())
+    rows = wins.unionByName(clicks, allowMissingColumns=True)
+    sums = [F.count("w").alias("win"), F.sum("s").alias("spend_raw"), F.count("c").alias("click")]
     need_click = rules.landing_page_requires_click
-    agg = bought.join(seen, PAIR, "left" if need_click else "full")
+    if with_page:
+        # Without the click rule a pair may have tracks only.
+        agg = rows.groupBy(*PAIR).agg(*sums).join(tracks_by_key(tracks, flag_cols), PAIR, "left" if need_click else "full")
+    else:
+        seen = tracks.select(*PAIR, *[flag("event_code", TRACK_FLAGS[f]).alias(f) for f in flag_cols])
+        agg = rows.unionByName(seen, allowMissingColumns=True).groupBy(*PAIR).agg(*sums, *[F.max(f).alias(f) for f in flag_cols])
 
     def counted(c: str) -> Column:
         return F.when(F.col("click") > 0, F.col(c)) if need_click else F.col(c)
@@ -166,10 +169,11 @@ def wide_fact(src: FunnelSources, req: FunnelRequest, rules: Rules = Rules()) ->
 def _wide_part(src: FunnelSources, req: FunnelRequest, rules: Rules) -> DataFrame:
     r = day_responses(src, req).select(
         "response_id", "bid_seat_id", "bid_imp_id", "response_time", "bid_price", "order_id",
-        "strategy_id", "creative_id", "land_page", "curl")
+        "strategy_id", "creative_id", "land_page", "curl", "dpl_url")
     q = day_window(src.bid_request, "request_time", req.day, 1).select(
         F.col("request_id").alias("_q_id"), F.col("imp_id").alias("_q_imp"), "request_time",
-        F.col("app_bundle").alias("_q_bundle"), "geo_city", "geo_lat", "geo_lon", "imp_adviewtype", "imp_adlocation", "imp_templateid")
+        F.col("app_bundle").alias("_q_bundle"), "imp_bidfloor", "geo_city", "geo_lat", "geo_lon", "imp_adviewtype", "imp_adlocation",
+        "imp_templateid")
     ev = events_by_pair(src, req.day, 1, rules).withColumnsRenamed(
         {"response_id": "_e_id", "bid_seat_id": "_e_seat"})
     strat = latest_strategy(src.dim_strategy).select(
@@ -197,13 +201,13 @@ def _wide_part(src: FunnelSources, req: FunnelRequest, rules: Rules) -> DataFram
         F.coalesce(F.col("_m_name"), bundle).alias("app_name"),
         blank_to("geo_city", GEO_MISSING_LABEL).alias("geo_city"),
         geo_region("geo_lat", "geo_lon", rules.wuhan_box).alias("geo_region"),
-        "geo_lat", "geo_lon", "imp_adviewtype", "imp_adlocation", "imp_templateid",
+        "geo_lat", "geo_lon", "imp_bidfloor", "imp_adviewtype", "imp_adlocation", "imp_templateid",
         ad_slot("imp_adviewtype", rules.ad_slot_names).alias("ad_slot"),
         "response_id", "bid_seat_id", "bid_price", "order_id", "strategy_id", "creative_id",
         label_chain("_s_order_name", "_d_order_name", "order_id").alias("order_name"),
         label_chain("_s_strategy_name", "_d_strategy_name", "strategy_id").alias("strategy_name"),
         label_chain("_d_creative_name", "creative_id").alias("creative_name"),
-        "material_id", "material_type", "land_page", "curl",
+        "material_id", "material_type", "land_page", "curl", "dpl_url",
         F.coalesce(F.col("win"), F.lit(0)).alias("win"),
         F.coalesce(F.col("spend_raw"), F.lit(0.0)).alias("spend_raw"),
         F.coalesce(F.col("click"), F.lit(0)).alias("click"),

@@ -13,6 +13,7 @@ from bidscope.operators.daily import KPI_COLUMNS, daily_kpi
 from bidscope.operators.facts import app_names, day_requests, wide_fact
 from bidscope.operators.metrics import MEASURES, funnel_agg, keep_apps, request_agg
 from bidscope.plans.request import FunnelRequest, Rules
+from bidscope.plans.together import run_together
 from bidscope.sources.tables import FunnelSources
 
 
@@ -51,7 +52,7 @@ def delete_folder(spark, folder: str) -> None:
 
 def write_and_read(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # The gantts' level: strategies under all their names by request hour (AG12, AG16, AG17).
@@ -86,18 +87,30 @@ class ReportContext:
         They are parquet tables under ``root`` (default: the cluster's
         ``spark.checkpoint.dir``): every later aggregate reads only its level and a lost
         executor re-reads instead of recomputing joins. The fact itself is never written: it
-        is joined and reduced in one pass. ``release`` deletes the tables once the report's
+        is joined and reduced in one pass. Jobs that need nothing of each other run side by side. ``release`` deletes the tables once the report's
         are written; the context is also a context manager that does so.
         """
         base = self._scratch = scratch_table_root(self.src.bid_response.sparkSession, root)
         try:
-            self.__dict__["kpi"] = write_and_read(self.kpi, f"{base}/kpi")
-            if self.req.order_id is not None:
-                self.__dict__["requests"] = write_and_read(self.requests, f"{base}/requests")
             levels = Levels([ks for a in analyses or [self.analysis] for ks in self.LEVELS[a]])
-            levels.write(write_and_read(fact_cube(self.wide, self.rules), f"{base}/cube"), f"{base}/levels")
+            spark = self.src.bid_response.sparkSession
+
+            def store(df: DataFrame, name: str) -> DataFrame:
+                return write_and_read(df, f"{base}/{name}")
+
+            def by_requests() -> None:
+                if self.req.order_id is not None:
+                    self.__dict__["requests"] = store(self.requests, "requests")
+                self._materialize_request_levels(base)
+
+            def by_fact() -> None:
+                levels.tables = run_together(spark, levels.jobs(store(fact_cube(self.wide, self.rules), "cube"), store))
+
+            def by_day() -> None:
+                self.__dict__["kpi"] = store(self.kpi, "kpi")
+
+            run_together(spark, [by_fact, by_requests, by_day])
             self._levels = levels
-            self._materialize_request_levels(base)
         except BaseException:
             self.release()
             raise

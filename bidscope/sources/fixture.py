@@ -86,6 +86,7 @@ def bid_response(lineitem: DataFrame) -> DataFrame:
          .otherwise(F.concat(F.lit("https://lp.example/p/"), _txt(p % 12))).alias("land_page"),
         F.when(p % 3 == 0, F.lit(""))
          .otherwise(F.concat(F.lit("https://click.example/c/"), _txt(p))).alias("curl"),
+        F.when(p % 5 == 0, F.concat(F.lit("app://open/"), _txt(p))).alias("dpl_url"),
     )
 
 
@@ -197,7 +198,8 @@ FIXTURE_SQL: dict[str, str] = {
          CAST(190 + l_partkey % 60 AS BIGINT) AS strategy_id,
          ' ' || CAST(l_partkey AS VARCHAR) || ' ' AS creative_id,
          CASE WHEN l_partkey % 4 = 0 THEN '' ELSE 'https://lp.example/p/' || CAST(l_partkey % 12 AS VARCHAR) END AS land_page,
-         CASE WHEN l_partkey % 3 = 0 THEN '' ELSE 'https://click.example/c/' || CAST(l_partkey AS VARCHAR) END AS curl
+         CASE WHEN l_partkey % 3 = 0 THEN '' ELSE 'https://click.example/c/' || CAST(l_partkey AS VARCHAR) END AS curl,
+         CASE WHEN l_partkey % 5 = 0 THEN 'app://open/' || CAST(l_partkey AS VARCHAR) END AS dpl_url
   FROM lineitem""",
     "bid_result": f"""
   SELECT CAST(l_orderkey AS VARCHAR) AS response_id, CAST(l_linenumber AS VARCHAR) AS bid_seat_id,

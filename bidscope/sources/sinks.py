@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bidscope.plans.request import FunnelRequest, Rules
+from bidscope.plans.together import run_together
 from bidscope.sources.schema import LABELS
 
 SPEND_COLUMNS = ("spend_yuan",)
@@ -122,15 +123,20 @@ def stage_report(tables: dict[str, DataFrame], root: str, req: FunnelRequest, fm
     version, names = _new_version(), order or list(tables)
     path = report_path(f"{root.rstrip('/')}/{VERSIONS}/{version}", req)
     staged = StagedReport(root.rstrip("/"), req, version, path, fmt, names)
-    for name in names:
+    spark = next(iter(tables.values())).sparkSession
+
+    def write(name: str) -> tuple[int, int, object]:
         df = labelled(tables[name], req.analysis) if labels else tables[name]
         seen = Observation(f"{name}-{version}")
         w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
         if fmt == "csv":
             w = w.option("header", True)
         w.save(f"{path}/{name}")
-        staged.rows[name], staged.columns[name], staged.schemas[name] = seen.get["rows"], len(df.columns), df.schema
-    spark = next(iter(tables.values())).sparkSession
+        return seen.get["rows"], len(df.columns), df.schema
+
+    written = run_together(spark, [lambda name=name: write(name) for name in names])
+    for name, (rows, columns, schema) in zip(names, written):
+        staged.rows[name], staged.columns[name], staged.schemas[name] = rows, columns, schema
     manifest = spark.createDataFrame([(i, n, staged.rows[n], staged.columns[n]) for i, n in enumerate(names)],
                                      "seq int, table string, rows bigint, columns int")
     manifest.coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from bidscope.operators.cube import DERIVED_KEYS, KEYS, STATES, Levels, as_cells, fact_cube, finest, measure, roll_up
 from bidscope.plans import basic, bidding, spend
-from bidscope.plans.context import ReportContext
+from bidscope.plans.context import ReportContext, write_and_read
 from bidscope.plans.report import build_report, open_reports
 from bidscope.plans.request import FunnelRequest, Rules
+from bidscope.plans.together import run_together
 from bidscope.sources.fixture import TEST_DAY, TEST_ORDER
 from bidscope.sources.schema import SCHEMAS
 from bidscope.sources.tables import FunnelSources
@@ -42,17 +43,27 @@ def test_cube_rolls_up_like_the_fact(random_sources):
     cube.unpersist()
 
 
-def test_levels_read_their_own_folder(spark, random_sources, tmp_path):
+def test_levels_read_their_own_table(spark, random_sources, tmp_path):
     wide = ReportContext(random_sources, FunnelRequest(TEST_DAY)).wide
     levels = Levels([["hour"], ["hour", "price_bucket"], ["ad_slot"]])
-    assert levels.sets == [["hour", "price_bucket"], ["ad_slot"]]
-    levels.write(fact_cube(wide), str(tmp_path / "levels"))
-    assert sorted(p.name for p in (tmp_path / "levels").glob("level=*")) == ["level=0", "level=1"]
+    assert levels.sets == [["hour", "price_bucket"], ["ad_slot"]] and levels.get(["hour"]) is None
+    levels.tables = run_together(spark, levels.jobs(fact_cube(wide), lambda df, name: write_and_read(df, str(tmp_path / name))))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["level_0", "level_1"]
     cells, exact = levels.get(["price_bucket", "hour"])
-    assert exact and "PartitionFilters: [isnotnull(level" in cells._jdf.queryExecution().executedPlan().toString()
+    assert exact and rows(cells.select(*STATES)) == rows(roll_up(as_cells(wide), ["hour", "price_bucket"]).select(*STATES))
     cells, exact = levels.get(["hour"])
     assert not exact and rows(roll_up(cells, ["hour"])) == rows(roll_up(as_cells(wide), ["hour"]))
     assert levels.get(["page_id"]) is None
+    one = levels.aggregate(fact_cube(wide))
+    for i, ks in enumerate(levels.sets):
+        assert rows(one.filter(F.col("level") == i).select(*ks, *STATES)) == rows(levels.tables[i])
+
+
+def test_jobs_side_by_side(spark):
+    assert run_together(spark, [lambda i=i: spark.range(i).count() for i in range(9)], width=3) == list(range(9))
+    with pytest.raises(ZeroDivisionError):
+        run_together(spark, [lambda: 1, lambda: 1 // 0, lambda: 2])
+    assert run_together(spark, []) == []
 
 
 def test_measures_of_merged_states(spark):
