@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -165,16 +166,19 @@ def write_archives(pages: DataFrame, bundling: Bundling = Bundling()) -> DataFra
     Of pages with equal payloads of at least ``least`` bytes those with the smallest
     page_id are responses and the others revisits of it; null payloads are empty. A
     null page_id is never the smallest; pages without any other id are responses.
-    Repeated rows make repeated records. An empty table gives no bundle.
+    Repeated rows make repeated records. A bundle is named by the task that wrote it, its
+    number there and its bytes, so no two share a name whatever their records. An empty
+    table gives no bundle.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, name = BundleWriter(bundling), ""
+        writer, bundles = BundleWriter(bundling), 0
+        part = TaskContext.get().partitionId()
 
         def bundle() -> pa.RecordBatch:
             archive = writer.finish()
             kind = pa.list_(pa.struct([("record_id", pa.string()), ("frame", pa.int32()), ("offset", pa.int64()), ("length", pa.int64())]))
             return pa.RecordBatch.from_arrays(
-                [pa.array([hashlib.sha1(name.encode()).hexdigest()]), pa.array([archive], pa.binary()), pa.array([writer.index], kind)],
+                [pa.array([f"{part:06d}-{bundles:06d}-{hashlib.sha1(archive).hexdigest()[:16]}"]), pa.array([archive], pa.binary()), pa.array([writer.index], kind)],
                 ["bundle_id", "archive", "records"],
             )
 
@@ -183,11 +187,10 @@ def write_archives(pages: DataFrame, bundling: Bundling = Bundling()) -> DataFra
                 page_id = page_id.as_py()
                 base32 = base64.b32encode(bytes.fromhex(digest.as_py())).decode()
                 record = build_record(page_id, url.as_py(), html.as_py(), base32, refers_to.as_py())
-                name = name or f"{page_id}-{base32}"
                 writer.add(record_id(page_id), record)
                 if writer.total >= bundling.bundle_bytes:
                     yield bundle()
-                    writer, name = BundleWriter(bundling), ""
+                    writer, bundles = BundleWriter(bundling), bundles + 1
         if writer.total:
             yield bundle()
 

@@ -12,7 +12,7 @@ from bidscope.llm import chat_format, fingerprints, mixing, registry, warc
 
 from .conftest import SF, same, texts
 
-TABLES = ("documents", "pages", "conversations")
+TABLES = ("documents", "labels", "pages", "conversations")
 
 
 def oracle(sql: str, **frames):
@@ -96,6 +96,16 @@ def test_archives_read_back(spark, tmp_path):
     assert warc.read_archives(warc.write_archives(df.limit(0))).collect() == []
 
 
+def test_bundles_of_equal_rows_have_names_of_their_own(spark, tmp_path):
+    df = spark.createDataFrame([(7, "u", "<p>same</p>")] * 200 + [(None, None, None)] * 200, "page_id long, url string, html string").repartition(4)
+    bundles = warc.write_archives(df, warc.Bundling(frame_bytes=200, bundle_bytes=1000))
+    n = bundles.count()
+    assert n > 20 and bundles.select("bundle_id").distinct().count() == n
+    warc.save_bundles(bundles, f"file://{tmp_path}/out")
+    assert len(list((tmp_path / "out").glob("*.warc.zst"))) == n == len(list((tmp_path / "out").glob("*.json")))
+    assert warc.read_archives(bundles).count() == 400
+
+
 # Fingerprints -------------------------------------------------------------------------------------------------------
 def _edited(rows: list[tuple]) -> list[tuple]:
     placed = sorted(r for r in rows if r[0] is not None)
