@@ -27,6 +27,7 @@ import string
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import ahocorasick
 import pyarrow as pa
@@ -88,17 +89,29 @@ class PieceCodec:
         return "" if signs & set(META + " \n") else "".join(map(re.escape, sorted(signs)))
 
     def merged(self, chars: list[str]) -> list[str]:
-        """Merge neighbours, highest score first and leftmost among equals, until no piece is formed."""
-        parts, score = list(chars), self.score
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if at < 0:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        """Merge neighbours, highest score first and leftmost among equals, until no piece is formed.
+
+        Possible merges wait in a heap, so a run of n characters takes about n log n steps.
+        """
+        parts: list[str] = list(chars)
+        score, n = self.score, len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        waiting = [(-score[p], i, p) for i in range(n - 1) if (p := parts[i] + parts[i + 1]) in score]
+        heapify(waiting)
+        while waiting:
+            _, i, piece = heappop(waiting)
+            j = after[i]
+            # a neighbour that has been merged since is no part of this one any more
+            if not parts[i] or j >= n or parts[i] + parts[j] != piece:
+                continue
+            parts[i], parts[j] = piece, ""
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            for left, right in ((before[i], i), (i, after[i])):
+                if left >= 0 and right < n and (p := parts[left] + parts[right]) in score:
+                    heappush(waiting, (-score[p], left, p))
+        return [p for p in parts if p]
 
     def compatible(self, a: str, b: str) -> bool:
         """Whether merging the characters of both pieces gives these two pieces again."""

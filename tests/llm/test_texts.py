@@ -47,6 +47,14 @@ def test_pieces_of_random_strings():
         assert codec.decode(codec.encode(t)) == sp.decode(sp.encode(t)), t
 
 
+def test_long_runs_of_spaces():
+    """Runs of tied pieces in about n log n steps: a million spaces, and runs between words, as the library has them."""
+    path, library = _library()
+    codec = sentencepiece_bpe.PieceCodec(path)
+    for text in ("x" + " " * 1_000_000 + "y", " " * 4097, "a  b   c" + " " * 100 + "d" + " " * 33, "=" * 50_000, "-" * 3000 + " " * 3000 + "-" * 17):
+        assert codec.encode(text) == library.encode(text)
+
+
 def test_backtracking_goes_back():
     """Words whose longest matches are not the merge order's pieces."""
     path, sp = _library()
