@@ -1,10 +1,10 @@
 """Near-duplicate lines by an exact set-similarity join.
 
-A line's set is its distinct words (`[^\\x20\\x09-\\x0D]+`). A line with fewer than
-``min_words`` words is left alone. Of the others, a line goes if an earlier line of
-the corpus, in order of (doc_id, line number), has a Jaccard similarity of
-``similarity`` or more, whether or not that line stays itself: the outcome does not
-depend on the order of work.
+A line's set is its distinct words (`[^\\x20\\x09-\\x0D]+`). Every line with a word takes
+part (or with ``min_words``). A line goes if an earlier line of the corpus, in order of
+(doc_id, line number), has a Jaccard similarity of ``similarity`` or more, whether or not
+that line stays itself: the outcome does not depend on the order of work. Rows of one
+doc_id come one after the other, in order of their texts' digests.
 
 1. Lines with equal sets form a class, known by its first line; only this one can stay.
 2. Words are ordered from rare to frequent by hashed counts over all documents. A
@@ -45,15 +45,11 @@ class LineJoin:
     """``tries``: candidates of a list that are verified in the first round (the second has the rest); ``cell``: sets of a posting list that meet in one group."""
 
     similarity: Fraction = Fraction(4, 5)
-    min_words: int = 5
+    min_words: int = 1
     tries: int = 3
     cell: int = setjoin.CELL
 
 
-#: Every line with a word takes part.
-WHOLE = LineJoin(min_words=1)
-
-
 def _only_equal(t: Fraction, n: np.ndarray) -> np.ndarray:
     """Sets so small that no other set is similar: one word more or less is too much."""
     return t.denominator * n < t.numerator * (n + 1)
@@ -99,8 +95,20 @@ class _Lines:
         self.check = total(tn.mix64(self.token ^ np.uint64(0x5A5A))).astype(np.int64)
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.col("text").cast("string").alias("text"))
+def placed(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, ``keep`` and doc: each row's place among the rows, a number of its own.
+
+    Where doc_ids are ids, they are the places. Rows that share one (or have none) need numbers: all
+    rows are then dealt by (doc_id, digest of the text, place in the input), so that a hot id is spread
+    over tasks, numbered in this order and written.
+    """
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), *keep, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"))
+    if not rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
+        return rows
+    order = ("doc", "digest", "place")
+    rows = rows.withColumns({"digest": F.sha2(F.coalesce("text", F.lit("")), 256), "place": F.monotonically_increasing_id()})
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialise(sorted_rows.select("doc_id", "text", *keep, F.monotonically_increasing_id().alias("doc")), "line-rows")
 
 
 def _word_counts(docs: DataFrame) -> np.ndarray:
@@ -192,12 +200,12 @@ def _verified(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, join: LineJ
     return out
 
 
-def removed_lines(docs: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
-    """doc, name, line of every line that goes (doc is LAST for a null doc_id)."""
-    spark = docs.sparkSession
+def removed_lines(rows: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
+    """doc, name, line of every line of ``placed`` rows that goes."""
+    spark = rows.sparkSession
     ship(spark)
-    texts = _texts(docs)
-    class_of = spark.sparkContext.broadcast(classes(_word_counts(docs)))
+    texts = rows.select("doc", "text")
+    class_of = spark.sparkContext.broadcast(classes(_word_counts(texts)))
     seen = materialise(occurrences(texts, class_of, join), "line-occurrences")
     firsts = seen.groupBy("name", "check").agg(
         F.min(F.struct("doc", "line")).alias("first"), *[F.max(c).alias(c) for c in ("n", "prefix", "s0", "s1")]
@@ -229,13 +237,14 @@ def dedup_lines(docs: DataFrame, join: LineJoin = LineJoin(), keep: tuple[str, .
 
     Lines are split at \\n; lines of fewer than ``min_words`` words and blank ones stay. A text of which
     nothing but blank lines is left is the empty string. Null text: null, no lines.
-    Rows of one doc_id are one document: a line that repeats at the same place of
-    equal rows stays in each. Rows with a null doc_id come last and count as one
-    document. An empty table gives an empty result; other columns are not read.
+    Rows of one doc_id follow each other in order of their texts' digests, and rows without
+    one come last, so a line of two equal rows stays in one of them. An empty table gives an
+    empty result; other columns are not read.
     """
-    gone = removed_lines(docs, join).groupBy("doc").agg(F.collect_list(F.struct("line", "name")).alias("gone"))
-    rows = docs.select("doc_id", "text", *keep).withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
-    rows = rows.join(gone, "doc", "left").select("doc_id", F.col("text").cast("string").alias("text"), *keep, "gone")
+    rows = placed(docs, keep)
+    # one row has the lines of one text, so its list is no longer than the text
+    gone = removed_lines(rows, join).groupBy("doc").agg(F.collect_list(F.struct("line", "name")).alias("gone"))
+    rows = rows.join(gone, "doc", "left").select("doc_id", "text", *keep, "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -23,8 +23,16 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one intermediate table."""
-    return f"{scratch_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one intermediate table, in the application's folder, which goes when the driver ends."""
+    sc = spark.sparkContext
+    folder = f"{scratch_root(spark)}/llm/{sc.applicationId}"
+    if folder not in _marked:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _marked.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -62,3 +70,4 @@ def ship(spark: SparkSession) -> None:
 
 
 _shipped: set[str] = set()
+_marked: set[str] = set()

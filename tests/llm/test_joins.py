@@ -27,14 +27,16 @@ def similar_sets(sets: list, num: int, den: int):
             inverted[w].append(j)
 
 
-def lines_brute(rows, min_words=5):
-    """(doc_id, text that stays, lines, removed) of rows (doc_id, text)."""
+def lines_brute(rows, min_words=1):
+    """(doc_id, text that stays, lines, removed) of rows (doc_id, text); rows of one id in order of their texts' digests, null ids last."""
     seen = []
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, hashlib.sha256((rows[i][1] or "").encode()).hexdigest(), i))
+    rank = {i: r for r, i in enumerate(order)}
     for i, (d, t) in enumerate(rows):
         for k, line in enumerate(t.split("\n") if t else []):
             words = line.encode().split()
             if len(words) >= min_words:
-                seen.append(((d if d is not None else 1 << 63, k), frozenset(words), i))
+                seen.append(((rank[i], k), frozenset(words), i))
     first: dict = {}
     for place, s, _ in seen:
         first[s] = min(first.get(s, place), place)
@@ -222,18 +224,18 @@ def short_lines(seed=4):
 
 def test_lines_of_few_words(spark):
     rows = short_lines()
-    want = lines_brute(rows, min_words=1)
+    want = lines_brute(rows)
     assert want[-8:] == [(100, "p q r s", 1, 0), (101, "", 1, 1), (102, "", 1, 1), (103, "Les.", 1, 0), (104, "\nOf, oner. edti", 3, 1), (105, "", 1, 1), (106, "u v w", 1, 0), (107, "u v w x", 1, 0)]
     df = spark.createDataFrame([(*r, "en", "a", len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
-    same(line_dedup.dedup_lines(df, line_dedup.WHOLE).select("doc_id", "text", "n_lines", "n_removed"), want)
+    same(line_dedup.dedup_lines(df).select("doc_id", "text", "n_lines", "n_removed"), want)
     left = corpus_pipeline.dedup_lines(spark, df, SF)
     same(left.select("doc_id", "text"), [(d, t) for d, t, _, out in want if t or not out])
 
 
 def test_op9_takes_every_line(spark, documents):
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-    want = lines_brute(texts(documents), min_words=1)
-    assert sum(r[3] for r in want) > sum(r[3] for r in lines_brute(texts(documents)))
+    want = lines_brute(texts(documents))
+    assert sum(r[3] for r in want) > sum(r[3] for r in lines_brute(texts(documents), min_words=5))
     same(registry.op9_line_dedup(spark, SF), [(d, n, out, sha(t)) for d, t, n, out in want])
 
 
@@ -242,3 +244,30 @@ def test_different_texts_of_one_id_stay(spark):
     rows = [(3, a), (5, a + " more"), (5, b), (5, b + " more"), (5, b), (7, b + " other"), (7, c), (8, ""), (8, ""), (None, a)]
     df = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(2)
     same(corpus_pipeline.near_duplicates(spark, df, SF).select("doc_id", "text"), [(3, a), (5, b), (7, c), (8, ""), (None, a)])
+
+
+def test_lines_of_rows_that_share_an_id(spark):
+    """Equal and different texts of one doc_id or of none: each line of a set stays once."""
+    rows = [(None, "one line of words"), (None, "one line of words"), (7, "x\nq w e r t y"), (7, "z\nq w e r t y"), (8, "q w e r t y"), (8, "q w e r t y\nnew")]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, doc int").repartition(3)
+    got = line_dedup.dedup_lines(df).select("doc_id", "text", "n_lines", "n_removed")
+    same(got, lines_brute(rows))
+    assert sorted(r.n_removed for r in got.collect()) == [0, 0, 1, 1, 1, 1]
+
+
+def test_fewer_words_can_be_left_alone(spark, families):
+    rows, df = families
+    want = lines_brute(rows, min_words=5)
+    same(line_dedup.dedup_lines(df, line_dedup.LineJoin(min_words=5)).selectExpr("doc_id", "coalesce(text, '')", "n_lines", "n_removed"), want)
+
+
+def test_good_documents_keep_their_columns(spark, edge):
+    """Rows as they were, with columns named like results; their counts are those of ``judge``."""
+    long = " ".join(f"word{i}" for i in range(80))
+    extra = spark.createDataFrame([(20, long, "en", "a", 3, -5, "x"), (20, long, "en", "a", 4, -6, "y"), (None, long, None, None, None, None, None)], edge.schema)
+    docs = edge.unionByName(extra).withColumn("host", edge.n_words)
+    kept = quality_rules.good_documents(docs)
+    assert kept.dtypes == docs.dtypes
+    ids = sorted((r.doc_id or -1) for r in quality_rules.judge(docs).filter("kept").collect())
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == ids and ids.count(20) == 2 and ids.count(-1) == 1
+    same(kept.filter("doc_id = 20").select("n_words", "kept", "host", "text"), [(-5, "x", -5, long), (-6, "y", -6, long)])
