@@ -3,9 +3,10 @@
 1. Equal vectors of one label become one point with its number of copies, so a group of
    copies of any size is one row from here on.
 2. Every tree splits each label's points recursively: points are projected on a random
-   direction, cut at the quantile with the fewest points near it, and points within a band
-   around the cut go to both sides (spill), so that close pairs stay together. The band's
-   width is that of the projections of a pair at the threshold. A round fits ``levels``
+   direction and cut at a quantile, and points within a band around the cut go to both sides
+   (spill), so that close pairs stay together. The band's width follows the projections of
+   a pair at the threshold. The cut is the quantile with few points in its band, near the
+   median: beside a family of near copies, not through it. A round fits ``levels``
    levels for all nodes that are still too large, each from a bounded sample of its points,
    and routes all points; the rounds grow with the logarithm of the number of points. A
    node whose points mostly fall in the band (a family of near copies) is left whole.
@@ -39,18 +40,22 @@ NODE = ["tree", "part", "node"]
 
 @dataclass(frozen=True)
 class Forest:
-    """threshold: cosine from which vectors are linked; leaf: points of a leaf (nodes of over twice as many are split);
+    """threshold: cosine from which vectors are linked; leaf: points of a leaf (nodes of over three times as many
+    are split, into leaves of up to twice as many);
     band: half the spill's width, in standard deviations of a threshold pair's projected distance;
-    levels: of a round; sample: points a node's cuts are fitted on; cell: points of a compared block."""
+    levels: of a round; sample: points a node's cuts are fitted on; cell: points of a compared block;
+    balance: what a cut far from the median costs, in shares of points copied; crowded: a node is left
+    whole if one side would keep this share of it."""
 
     threshold: float = 0.93
     trees: int = 8
     leaf: int = 256
-    band: float = 0.5
-    levels: int = 4
-    sample: int = 2048
+    band: float = 0.35
+    levels: int = 5
+    sample: int = 4096
     cell: int = 1024
-    crowded: float = 0.9
+    balance: float = 0.5
+    crowded: float = 0.85
     seed: int = 12
 
     def half_band(self, size: int) -> float:
@@ -76,24 +81,27 @@ def directions(forest: Forest, tree: int, round_: int, size: int) -> np.ndarray:
     return d / np.sqrt((d * d).sum(axis=0))
 
 
-def fit_cuts(projected: np.ndarray, forest: Forest, half: float, depth: int) -> np.ndarray:
-    """The cut of each inner node of a subtree in heap order (1 to 2^levels - 1); NaN: the node is not split."""
+def fit_cuts(projected: np.ndarray, forest: Forest, half: float, size: int) -> np.ndarray:
+    """The cut of each inner node of a subtree in heap order (1 to 2^levels - 1); NaN: the node is not split.
+
+    ``projected``: a sample of the ``size`` points of the subtree's root.
+    """
     cuts = np.full(1 << forest.levels, np.nan)
     inside = {1: np.arange(len(projected))}
+    shares = np.linspace(0.1, 0.9, 17)
     for node in range(1, 1 << forest.levels):
         rows = inside.pop(node, None)
-        level = node.bit_length() - 1
-        if rows is None or level >= depth or len(rows) < 2:
+        if rows is None or len(rows) < 2 or len(rows) * size <= 2 * forest.leaf * len(projected):
             continue
-        p = projected[rows, level]
-        tried = np.quantile(p, np.linspace(0.3, 0.7, 9))
-        near = [(np.abs(p - c) <= half).sum() for c in tried]
-        # the median among equals
-        best = min(range(9), key=lambda i: (near[i], abs(i - 4)))
-        low, high = rows[p < tried[best] + half], rows[p >= tried[best] - half]
+        p = projected[rows, node.bit_length() - 1]
+        tried = np.quantile(p, shares)
+        copied = (np.abs(p[:, None] - tried[None, :]) <= half).mean(axis=0)
+        cut = tried[np.argmin(copied + forest.balance * np.abs(shares - 0.5))]
+        low, high = rows[p < cut + half], rows[p >= cut - half]
+        # mostly a family of near copies, or nothing gained
         if max(len(low), len(high)) >= forest.crowded * len(rows):
             continue
-        cuts[node] = tried[best]
+        cuts[node] = cut
         inside[2 * node], inside[2 * node + 1] = low, high
     return cuts
 
@@ -139,8 +147,7 @@ def _split(placed: DataFrame, points: DataFrame, big: DataFrame, forest: Forest,
         tree, part, node, size = (frame[c].iloc[0] for c in (*NODE, "size"))
         vectors = unit(np.stack(frame.sort_values("cls")["vec"].to_numpy()))
         width = vectors.shape[1]
-        depth = min(forest.levels, max(1, math.ceil(math.log2(size / forest.leaf))))
-        cuts = fit_cuts(vectors @ directions(forest, int(tree), round_, width), forest, forest.half_band(width), depth)
+        cuts = fit_cuts(vectors @ directions(forest, int(tree), round_, width), forest, forest.half_band(width), int(size))
         return pd.DataFrame({"tree": [tree], "part": [part], "node": [node], "cuts": [cuts]})
 
     def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +177,7 @@ def leaves(points: DataFrame, forest: Forest = Forest()) -> DataFrame:
     placed = materialise(points.select("cls", "part", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree")).withColumns(
         {"node": F.lit("").cast("string"), "open": F.lit(True)}), "forest-nodes")
     for round_ in range(64):
-        big = materialise(placed.filter("open").groupBy(*NODE).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 2 * forest.leaf), "forest-big")
+        big = materialise(placed.filter("open").groupBy(*NODE).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 3 * forest.leaf), "forest-big")
         if big.isEmpty():
             discard(big)
             break
