@@ -219,7 +219,7 @@ def removed_lines(rows: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
     gone = materialise(similar.select(F.col("b").alias("id")).distinct(), "line-gone")
     held = found.filter("a is null").drop("a", "b")
     tagged = held.join(gone.withColumn("tag", F.lit(1).cast("long")), "id", "left").fillna(0, ["tag"])
-    rest = materialise(setjoin.open_candidates(tagged, join.similarity, setjoin.SIGNED, apart=False), "line-open")
+    rest = materialise(setjoin.open_candidates(tagged, join.similarity, setjoin.SIGNED), "line-open")
     discard(found)
     if rest.limit(1).count():
         again = _verified(rest, firsts, texts, join)

@@ -15,9 +15,11 @@ words: the whole sequence as one). Documents whose sets have a Jaccard similarit
 4. What is left is verified on the texts' own shingle sets.
 
 A family of near copies is not listed pair by pair: the first round verifies each
-class's earliest candidates of each posting list, the links found make components,
-and the second round verifies every remaining candidate pair across components. A
-pair inside a component can add nothing, so no link between components is lost.
+class's earliest candidates of each posting list, and the links found make components.
+Each further round takes, for every class, its earliest few candidates in each other
+component, verifies those that are new and merges components, with more tries a round,
+until no posting list holds a candidate back. A pair inside a component can add
+nothing, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -43,11 +45,13 @@ ORDERS = (np.uint64(0), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4E
 
 @dataclass(frozen=True)
 class NgramJoin:
-    """``tries``: candidates of a posting list that are verified in the first round (the second has the rest); ``cell``: sets of a posting list that meet in one group."""
+    """``tries``: candidates of a posting list that are verified in the first round (and ``growth`` times as many in each
+    one after it); ``cell``: sets of a posting list that meet in one group."""
 
     width: int = 4
     similarity: Fraction = Fraction(17, 20)
     tries: int = 2
+    growth: int = 4
     cell: int = setjoin.CELL
 
 
@@ -221,16 +225,24 @@ def ngram_components(docs: DataFrame, join: NgramJoin = NgramJoin()) -> DataFram
     member = seen.filter("n > 0 and doc is not null").join(firsts.select("name", "check", F.col("doc").alias("head")), ["name", "check"])
     # Rows of one doc_id with different sets link those sets' classes.
     several = member.groupBy("doc").agg(F.min("head").alias("u"), F.max("head").alias("high")).filter("u < high").select("doc", "u")
-    edges = by_doc(_links(found.filter("a is not null").select("a", "b"), firsts, texts, join))
-    edges = materialise(edges.unionByName(member.join(several, "doc").select("u", F.col("head").alias("v"))), "ngram-links")
+    tried = materialise(found.filter("a is not null").select("a", "b").distinct(), "ngram-tried")
+    edges = materialise(by_doc(_links(tried, firsts, texts, join)).unionByName(member.join(several, "doc").select("u", F.col("head").alias("v"))), "ngram-links")
     roots = components(edges)
 
-    held = found.filter("a is null").drop("a", "b").join(firsts.select("id", "doc", "parity"), "id")
-    tagged = held.join(roots.withColumnRenamed("node", "doc"), "doc", "left").withColumn("tag", F.coalesce("root", "doc"))
-    rest = materialise(setjoin.open_candidates(tagged, join.similarity, setjoin.POSTING, apart=True), "ngram-open")
-    discard(found)
-    if rest.limit(1).count():
-        roots = components(edges.unionByName(by_doc(_links(rest, firsts, texts, join))))
+    tries = join.tries
+    while True:
+        held = found.filter("a is null").drop("a", "b").join(firsts.select("id", "doc", "parity"), "id")
+        tagged = held.join(roots.withColumnRenamed("node", "doc"), "doc", "left").withColumn("tag", F.coalesce("root", "doc"))
+        spent, found = found, materialise(setjoin.across_candidates(tagged, join.similarity, setjoin.POSTING, tries), "ngram-open")
+        discard(spent)
+        new = materialise(found.filter("a is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "ngram-new")
+        if not new.isEmpty():
+            tried = tried.unionByName(new)
+            edges = edges.unionByName(materialise(by_doc(_links(new, firsts, texts, join)), "ngram-links"))
+            roots = components(edges)
+        if found.filter("a is null").isEmpty():
+            break
+        tries *= join.growth
     heads = member.select("doc", "head").distinct().join(roots.withColumnRenamed("node", "head"), "head", "left")
     own = heads.groupBy("doc").agg(F.min(F.coalesce("root", "head")).alias("component_id"))
     return seen.join(own, "doc", "left").select(

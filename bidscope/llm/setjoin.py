@@ -9,9 +9,11 @@ more bits than the similarity allows are no candidates.
 
 Pairs within a family of similar sets are not all listed. ``first_candidates`` gives
 each set its earliest ``tries`` candidates of each list and passes on the lists where
-it held any back; after these are verified, ``open_candidates`` goes through the lists
-passed on and gives every candidate pair whose outcome is still open. Nothing that
-could matter is dropped, so the two rounds together are exact.
+it held any back. After these are verified, ``open_candidates`` goes through the lists
+passed on and gives every candidate pair whose outcome is still open; for components,
+``across_candidates`` gives each set its earliest few in each other component, and passes on
+in turn, until no list holds anything back. Nothing that could matter is dropped, so
+the rounds together are exact.
 
 A list of a frequent token is dealt over cells: its sets are split in groups, and each
 pair of groups meets in one cell (``deal``), so a cell has at most about 2 ``CELL`` sets.
@@ -174,30 +176,15 @@ def first_candidates(postings: DataFrame, t: Fraction, schema: str, tries: int =
     return _lists(postings, schema).mapInArrow(run, f"a long, b long, {schema}")
 
 
-def open_candidates(postings: DataFrame, t: Fraction, schema: str, apart: bool) -> DataFrame:
-    """All candidate pairs (a, b) of the lists that are still open, by the postings' column ``tag``.
-
-    apart: tag is a component, pairs across components are open, and a column
-    ``parity`` has each set's parity signature. Otherwise tag is 0 for a set without
-    an earlier match yet, and its pairs with earlier sets are open.
-    """
+def open_candidates(postings: DataFrame, t: Fraction, schema: str) -> DataFrame:
+    """All candidate pairs (a, b) of the lists that are still open, by the postings' column ``tag``: 0 for a set
+    without an earlier match yet, whose pairs with earlier sets are open."""
     names = [n for n, _ in fields(schema)] + ["tag"]
 
-    def within(c: dict[str, np.ndarray], rows_: np.ndarray, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        tag = c["tag"]
-        if apart:
-            values, count = np.unique(tag[rows_], return_counts=True)
-            focus = rows_[tag[rows_] != values[count.argmax()]]
-            signs = fold([c["parity"][i] for i in rows_.tolist()])
-        else:
-            focus = rows_[tag[rows_] == 0]
-        for r in focus.tolist():
-            others = rows_[tag[rows_] != tag[r]] if apart else rows_[: r - rows_[0]]
+    def within(c: dict[str, np.ndarray], rows_: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for r in rows_[c["tag"][rows_] == 0].tolist():
+            others = rows_[: r - rows_[0]]
             others = others[_passes(c, others, np.full(len(others), r), t)]
-            if apart and len(others):
-                bits = np.bitwise_count(signs[others - rows_[0]] ^ signs[r - rows_[0]]).sum(axis=1, dtype=np.int64)
-                n = c["n"].astype(np.int64)
-                others = others[bits <= differing_most(t, n[others], np.full(len(others), n[r]))]
             if len(others):
                 yield np.minimum(c["id"][others], c["id"][r]), np.maximum(c["id"][others], c["id"][r])
 
@@ -207,14 +194,9 @@ def open_candidates(postings: DataFrame, t: Fraction, schema: str, apart: bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [], 0
-        for c, begins in _groups(batches, names + (["parity"] if apart else [])):
-            tag = c["tag"]
-            if apart:
-                wanted = np.minimum.reduceat(tag, begins[:-1]) != np.maximum.reduceat(tag, begins[:-1])
-            else:
-                wanted = np.add.reduceat(tag == 0, begins[:-1]) > 0
-            for g in np.flatnonzero(wanted).tolist():
-                for found in within(c, np.arange(begins[g], begins[g + 1]), t):
+        for c, begins in _groups(batches, names):
+            for g in np.flatnonzero(np.add.reduceat(c["tag"] == 0, begins[:-1]) > 0).tolist():
+                for found in within(c, np.arange(begins[g], begins[g + 1])):
                     out.append(found)
                     size += len(found[0])
                     if size >= _YIELD:
@@ -223,10 +205,69 @@ def open_candidates(postings: DataFrame, t: Fraction, schema: str, apart: bool)
         if out:
             yield batch(out)
 
-    dealt = postings.select(*names, *(["parity"] if apart else [])).repartition("token", "cell").sortWithinPartitions("token", "cell", "id")
+    dealt = postings.select(*names).repartition("token", "cell").sortWithinPartitions("token", "cell", "id")
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def across_candidates(postings: DataFrame, t: Fraction, schema: str, tries: int) -> DataFrame:
+    """Rows (a, b): candidates in different components, of each set and other component the earliest ``tries`` of a
+    list; rows with a null: postings of the lists that held candidates back.
+
+    ``postings`` have a column ``tag``, the set's component, and ``parity``, its parity signature. One link unites two
+    components, so a set rarely needs more than a few tries with each, and pairs stay in proportion to
+    the postings; what no try has linked comes again with more of them.
+    """
+    names = [n for n, _ in fields(schema)]
+
+    def within(c: dict[str, np.ndarray], rows_: np.ndarray) -> tuple[list[np.ndarray], bool]:
+        tag, n, ids = c["tag"], c["n"].astype(np.int64), c["id"]
+        values, count = np.unique(tag[rows_], return_counts=True)
+        signs = fold([c["parity"][i] for i in rows_.tolist()])
+        pairs, more = [], False
+        # pairs within the largest component are settled, so all others have a set outside it
+        for r in rows_[tag[rows_] != values[count.argmax()]].tolist():
+            others = rows_[tag[rows_] != tag[r]]
+            others = others[_passes(c, others, np.full(len(others), r), t)]
+            bits = np.bitwise_count(signs[others - rows_[0]] ^ signs[r - rows_[0]]).sum(axis=1, dtype=np.int64)
+            others = others[bits <= differing_most(t, n[others], np.full(len(others), n[r]))]
+            if not len(others):
+                continue
+            # rank of each candidate among those of its component, in order of id
+            order = np.argsort(tag[others], kind="stable")
+            of = tag[others][order]
+            start = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+            rank = np.arange(len(of)) - np.repeat(start, np.diff(np.append(start, len(of))))
+            more |= bool((rank >= tries).any())
+            near = others[order][rank < tries]
+            pairs.append(np.stack((np.minimum(ids[near], ids[r]), np.maximum(ids[near], ids[r])), axis=1))
+        return pairs, more
+
+    def batch(c: dict[str, np.ndarray], pairs: list[np.ndarray], kept: list[np.ndarray]) -> pa.RecordBatch:
+        found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.empty((0, 2), np.int64)
+        rest = np.concatenate(kept) if kept else np.empty(0, np.int64)
+        m, k = len(found), len(rest)
+        none = np.arange(m + k) >= m
+        ends = [pa.array(np.concatenate((x, np.zeros(k, np.int64))), pa.int64(), mask=none) for x in (found[:, 0], found[:, 1])]
+        held = [pa.array(np.concatenate((np.zeros(m, c[x].dtype), c[x][rest])), kind, mask=~none) for x, kind in fields(schema)]
+        return pa.RecordBatch.from_arrays([*ends, *held], ["a", "b", *names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c, begins in _groups(batches, [*names, "tag", "parity"]):
+            several = np.minimum.reduceat(c["tag"], begins[:-1]) != np.maximum.reduceat(c["tag"], begins[:-1])
+            pairs, kept = [], []
+            for g in np.flatnonzero(several).tolist():
+                rows_ = np.arange(begins[g], begins[g + 1])
+                found, more = within(c, rows_)
+                pairs += found
+                if more:
+                    kept.append(rows_)
+            if pairs:
+                yield batch(c, pairs, kept)
+
+    dealt = postings.select(*names, "tag", "parity").repartition("token", "cell").sortWithinPartitions("token", "cell", "id")
+    return dealt.mapInArrow(run, f"a long, b long, {schema}")
+
+
 def compare(pairs: DataFrame, payloads: DataFrame, verdict: Callable[[object, object], bool], prepare: Callable[[object], object], spokes: int = 500) -> DataFrame:
     """Pairs (a, b) that ``verdict`` confirms on the prepared payloads of both; payloads: (id, payload), one row an id.
 

@@ -212,7 +212,7 @@ def test_no_set_is_its_own_match(spark):
     listed = spark.createDataFrame(twice, setjoin.SIGNED)
     same(setjoin.first_candidates(listed, Fraction(4, 5), setjoin.SIGNED).filter("a is not null").select("a", "b"), [(7, 9)])
     tagged = spark.createDataFrame([(*p, 0) for p in twice], f"{setjoin.SIGNED}, tag long")
-    same(setjoin.open_candidates(tagged, Fraction(4, 5), setjoin.SIGNED, apart=False), [(7, 9)])
+    same(setjoin.open_candidates(tagged, Fraction(4, 5), setjoin.SIGNED), [(7, 9)])
 
 
 def short_lines(seed=4):
