@@ -105,7 +105,7 @@ def _measure(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def measure(docs: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` and the six counts of each row's whole text (null text: none)."""
+    """``keys`` (the text may be one of them) and the six counts of each row's whole text (null text: none)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, offsets in tn.pieces(batch.column("text")):
@@ -116,8 +116,9 @@ def measure(docs: DataFrame, keys: list[str]) -> DataFrame:
                 )
 
     ship(docs.sparkSession)
-    narrow = docs.select(*keys, F.col("text").cast("string").alias("text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name != "text")
+    narrow = docs.select(*[k for k in keys if k != "text"], F.col("text").cast("string").alias("text"))
+    kinds = {f.name: f.dataType.simpleString() for f in narrow.schema}
+    fields = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
     return narrow.mapInArrow(run, f"{fields}, " + ", ".join(f"{m} long" for m in MEASURES))
 
 
@@ -173,11 +174,17 @@ def judge(docs: DataFrame, rules: HostRules = HostRules(), host_col: str = "sour
 
 
 def good_documents(docs: DataFrame, rules: HostRules = HostRules(), host_col: str = "source") -> DataFrame:
-    """The rows that ``judge`` keeps, with the columns of ``docs``; each row by its own text."""
-    counted = materialise(_counted(docs, host_col, []), "quality")
-    verdicts = materialise(host_rates(counted, rules), "quality-hosts")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text", host_col)
-    return _judged(_counted(whole, host_col, ["row"]), verdicts, rules).filter("kept").select("row.*")
+    """The rows that ``judge`` keeps, with the columns of ``docs``; each row by its own text.
+
+    Nulls, empty texts, repeated rows and other columns as in ``judge``. A text goes to Python once, beside
+    the row's other columns under names of their own, and is judged where it comes back.
+    """
+    verdicts = materialise(host_rates(materialise(_counted(docs, host_col, []), "quality"), rules), "quality-hosts")
+    names = {c: f"column_{i}" for i, c in enumerate(docs.columns) if c != "text"}
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(host_col).cast("string").alias("host"), F.col("text").cast("string").alias("text"),
+                       *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    kept = _judged(measure(rows, ["doc_id", "host", "text", *names.values()]), verdicts, rules).filter("kept")
+    return kept.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
 
 
 _WORD = r"[^\x20\x09-\x0D]+"

@@ -11,6 +11,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Of a batch of rows on its way to a Python worker and back; a row longer than that is a batch of its own.
+BATCH_BYTES = 4 << 20
+
+
 def scratch_root(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a temporary folder only for a local master that has none set."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -55,8 +59,16 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Texts go to the Python workers in batches of at most ``BATCH_BYTES``, whatever the rows' lengths; a session's lower bound is kept."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(bound).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(bound, str(BATCH_BYTES))
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, which need not have the repository on their path."""
+    bound_batches(spark)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

@@ -40,9 +40,9 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 class PieceCodec:
-    """Encoder and decoder of one BPE model file with byte fallback; ``memo`` bounds each cache generation."""
+    """Encoder and decoder of one BPE model file with byte fallback; ``memo`` bounds each cache generation, which a worker keeps as long as it lives."""
 
-    def __init__(self, model_file: str, memo: int = 300_000):
+    def __init__(self, model_file: str, memo: int = 100_000):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -117,7 +117,7 @@ class PieceCodec:
         """Whether merging the characters of both pieces gives these two pieces again."""
         found = self.follows.get((a, b))
         if found is None:
-            if len(self.follows) >= 8 * self.memo:
+            if len(self.follows) >= 4 * self.memo:
                 self.follows.clear()
             found = self.follows[a, b] = self.merged(list(a + b)) == [a, b]
         return found

@@ -76,6 +76,8 @@ def pieces(column: pa.Array, chunk: int = CHUNK) -> Iterator[tuple[int, int, np.
     data, offsets = flat(column)
     for lo, hi in runs(offsets, chunk):
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+    # what earlier batches took goes back to the system, as workers live on through all stages
+    pa.default_memory_pool().release_unused()
 
 
 def spans(buf: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
