@@ -46,7 +46,7 @@ def bid_request(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     return orders.select(
         _txt(k).alias("request_id"),
-        F.lit("1").alias("imp_id"),
+        F.when(k % 8 == 3, F.lit("2")).otherwise(F.lit("1")).alias("imp_id"),
         _ts(_sec("o_orderkey")).alias("request_time"),
         F.when(F.col("o_custkey") % 11 == 0, F.lit(""))
          .otherwise(F.concat(F.lit("app."), _txt("o_custkey"))).alias("app_bundle"),
@@ -75,7 +75,7 @@ def bid_response(lineitem: DataFrame) -> DataFrame:
     p = F.col("l_partkey")
     return lineitem.select(
         *_line_keys(),
-        F.lit("1").alias("bid_imp_id"),
+        F.when((F.col("l_orderkey") % 8 == 3) & (F.col("l_linenumber") != 5), F.lit("2")).otherwise(F.lit("1")).alias("bid_imp_id"),
         _line_ts(0).alias("response_time"),
         F.when(p % 97 == 0, F.lit(None).cast("double"))
          .otherwise(F.lit(50.0) * F.col("l_quantity")).alias("bid_price"),
@@ -179,7 +179,7 @@ _CODES = ", ".join(f"('{c}', {m})" for c, m in TRACK_CODES)
 
 FIXTURE_SQL: dict[str, str] = {
     "bid_request": f"""
-  SELECT CAST(o_orderkey AS VARCHAR) AS request_id, '1' AS imp_id,
+  SELECT CAST(o_orderkey AS VARCHAR) AS request_id, CASE WHEN o_orderkey % 8 = 3 THEN '2' ELSE '1' END AS imp_id,
          {_DT0} + to_seconds({_OSEC}) AS request_time,
          CASE WHEN o_custkey % 11 = 0 THEN '' ELSE 'app.' || CAST(o_custkey AS VARCHAR) END AS app_bundle,
          o_totalprice / 1000.0::DOUBLE AS imp_bidfloor,
@@ -191,7 +191,8 @@ FIXTURE_SQL: dict[str, str] = {
          CASE WHEN o_orderkey % 6 <> 0 THEN 't-' || CAST(o_orderkey % 4 AS VARCHAR) END AS imp_templateid
   FROM orders""",
     "bid_response": f"""
-  SELECT CAST(l_orderkey AS VARCHAR) AS response_id, CAST(l_linenumber AS VARCHAR) AS bid_seat_id, '1' AS bid_imp_id,
+  SELECT CAST(l_orderkey AS VARCHAR) AS response_id, CAST(l_linenumber AS VARCHAR) AS bid_seat_id,
+         CASE WHEN l_orderkey % 8 = 3 AND l_linenumber <> 5 THEN '2' ELSE '1' END AS bid_imp_id,
          {_DT0} + to_seconds({_LSEC} + 60 * l_linenumber) AS response_time,
          CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE 50.0::DOUBLE * l_quantity END AS bid_price,
          CAST(211 + l_suppkey % 10 AS BIGINT) AS order_id,
