@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bidscope.plans.together import run_together
 from bidscope.sources.schema import TIME_COLUMNS
 from bidscope.sources.tables import PARTITION_COLUMN, FunnelSources, conform
 
@@ -49,6 +50,14 @@ class EventStore:
         return f"{self.root.rstrip('/')}/{self.prefix}{name}"
 
 
+def buckets_for(src: FunnelSources, least: int, rows: int = 1_000_000) -> int:
+    """So many buckets that those of the largest table hold about ``rows`` rows, and ``least`` or more: the tasks
+    that write and join buckets then stay of one size, however large the tables are."""
+    counts = [getattr(src, name).agg(F.count(F.lit(1)).alias("n")) for name in STORE_KEYS]
+    most = reduce(DataFrame.unionByName, counts).agg(F.max("n")).first()[0]
+    return max(least, -(-most // rows))
+
+
 def hot_ids(src: FunnelSources, store: EventStore) -> DataFrame:
     """(id): ids of more than ``hot_rows`` rows in one of the tables, null among them if it is.
 
@@ -69,18 +78,26 @@ def write_event_store(src: FunnelSources, store: EventStore) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {store.database}")
     hot_ids(src, store).write.mode("overwrite").parquet(store.path("hot_ids"))
     hot = spark.read.parquet(store.path("hot_ids"))
-    for name, key in STORE_KEYS.items():
-        rows = getattr(src, name)
-        time = TIME_COLUMNS[name]
-        dated = rows.withColumn(PARTITION_COLUMN, F.to_date(time))
+
+    def even(dated: DataFrame, name: str, key: str) -> None:
         # every bucket of a day is one file: the shuffle that makes it is that of the writer's buckets
         (dated.join(hot, _same_id(key), "left_anti").repartition(store.buckets, key)
          .write.mode("overwrite").partitionBy(PARTITION_COLUMN).bucketBy(store.buckets, key).sortBy(key)
          .option("path", store.path(name)).saveAsTable(store.table(name)))
-        (dated.join(hot, _same_id(key), "left_semi").repartitionByRange(PARTITION_COLUMN, time)
-         .write.mode("overwrite").partitionBy(PARTITION_COLUMN).option("path", store.path(f"{name}_hot")).saveAsTable(store.table(f"{name}_hot")))
-    (src.track_event.withColumn(PARTITION_COLUMN, F.to_date("event_time")).repartitionByRange(PARTITION_COLUMN, "event_time")
-     .write.mode("overwrite").partitionBy(PARTITION_COLUMN).option("path", store.path("track_event")).saveAsTable(store.table("track_event")))
+
+    def by_time(dated: DataFrame, name: str, time: str) -> None:
+        (dated.repartitionByRange(PARTITION_COLUMN, time)
+         .write.mode("overwrite").partitionBy(PARTITION_COLUMN).option("path", store.path(name)).saveAsTable(store.table(name)))
+
+    def dated(name: str) -> DataFrame:
+        return getattr(src, name).withColumn(PARTITION_COLUMN, F.to_date(TIME_COLUMNS[name]))
+
+    # the tables need nothing of each other
+    jobs = [lambda name=name, key=key: even(dated(name), name, key) for name, key in STORE_KEYS.items()]
+    jobs += [lambda name=name, key=key: by_time(dated(name).join(hot, _same_id(key), "left_semi"), f"{name}_hot", TIME_COLUMNS[name])
+             for name, key in STORE_KEYS.items()]
+    jobs.append(lambda: by_time(dated("track_event"), "track_event", TIME_COLUMNS["track_event"]))
+    run_together(spark, jobs)
 
 
 def load_event_store(spark: SparkSession, store: EventStore, dims: FunnelSources, lateness_days: int = 0) -> FunnelSources:

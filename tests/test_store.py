@@ -13,7 +13,7 @@ from bidscope.plans.request import FunnelRequest, Rules
 from bidscope.plans import bidding
 from bidscope.sources.fixture import TEST_DAY, TEST_ORDER
 from bidscope.sources.schema import SCHEMAS
-from bidscope.sources.store import STORE_KEYS, EventStore, drop_event_store, hot_ids, load_event_store, write_event_store
+from bidscope.sources.store import STORE_KEYS, EventStore, buckets_for, drop_event_store, hot_ids, load_event_store, write_event_store
 from bidscope.sources.tables import FunnelSources
 from tests.test_differential import tables
 
@@ -124,6 +124,16 @@ def test_random_rows_with_null_blank_and_hot_ids(spark, tmp_path):
     assert not list(tmp_path.iterdir())
 
 
+def test_buckets_grow_with_the_tables(spark, src_small):
+    """Buckets hold about ``rows`` rows of the largest table, whichever it is; small and empty tables have ``least``."""
+    empty = src_small.replace(**{n: getattr(src_small, n).limit(0) for n in STORE_KEYS})
+    assert buckets_for(empty, 8) == 8
+    for name in STORE_KEYS:
+        table = spark.range(1001).select(F.col("id").cast("string").alias(STORE_KEYS[name]))
+        src = empty.replace(**{name: table})
+        assert [buckets_for(src, 8, rows) for rows in (1001, 100, 10)] == [8, 11, 101], name
+
+
 def test_empty_tables(spark, src_small, tmp_path):
     src = src_small.replace(**{n: getattr(src_small, n).limit(0) for n in (*STORE_KEYS, "track_event")})
     store = EventStore("default", str(tmp_path), buckets=2, prefix=f"e{uuid.uuid4().hex}_")
