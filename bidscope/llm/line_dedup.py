@@ -78,7 +78,7 @@ class _Lines:
             rank = rarity << np.uint64(56) | rank >> np.uint64(8)
         # Words of a line by rank: the line's number over the leading bits of the rank, as one key.
         if len(low) < 1 << 20:
-            order = np.argsort(owner.astype(np.uint64) << np.uint64(44) | rank >> np.uint64(20), kind="stable")
+            order = np.argsort(owner.astype(np.uint64) << np.uint64(44) | rank >> np.uint64(20))
         else:
             order = np.lexsort((rank, owner))
         owner, token = owner[order], token[order]
@@ -95,6 +95,13 @@ class _Lines:
         self.check = total(tn.mix64(self.token ^ np.uint64(0x5A5A))).astype(np.int64)
 
 
+def _takes_part(line: str, min_words: int) -> bool:
+    """Whether a line has so many words."""
+    if min_words == 1:
+        return bool(line.strip(" \t\n\r\x0b\x0c"))
+    return len(line.encode().split()) >= min_words
+
+
 def placed(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, ``keep`` and doc: each row's place among the rows, a number of its own.
 
@@ -170,25 +177,34 @@ def postings(found: DataFrame, class_of, cell_size: int, schema: str) -> DataFra
     return found.select("id", "n", "prefix", *signed).mapInArrow(run, schema)
 
 
+def _place(doc, line):
+    """Places of lines as one number, equal for equal places."""
+    return doc ^ line.astype(np.int64) << 40
+
+
 def _verified(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, join: LineJoin) -> DataFrame:
-    """The pairs whose lines are similar, by their words."""
+    """The pairs whose lines are similar, by their words. The texts are read for the lines at the classes' places only."""
     spark = pairs.sparkSession
     pairs = materialise(pairs.distinct(), "line-pairs")
-    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(firsts.select("id", "name"), "id"), "line-wanted")
-    field = spark.sparkContext.broadcast(setjoin.members(wanted.select("name")))
+    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(firsts.select("id", "doc", "line"), "id"), "line-wanted")
+    place = F.col("doc").bitwiseXOR(F.shiftleft(F.col("line").cast("long"), 40))
+    field = spark.sparkContext.broadcast(setjoin.members(wanted.select(place)))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, buf, offsets in tn.pieces(batch.column("text")):
-                x = _Lines(buf, offsets, join.min_words)
-                names, at = np.unique(x.name, return_index=True)
-                at = at[setjoin.may_hold(field.value, names)]
-                raw = [buf[s:e].tobytes() for s, e in zip(x.span[0][at], x.span[1][at])]
-                yield pa.RecordBatch.from_arrays([pa.array(x.name[at], pa.int64()), pa.array(raw, pa.binary())], ["name", "payload"])
-
-    # Lines of one set may differ in their order of words; any of them will do.
-    found = texts.select("text").mapInArrow(lines, "name long, payload binary").groupBy("name").agg(F.min("payload").alias("payload"))
-    payloads = materialise(wanted.join(found, "name").select("id", "payload"), "line-texts")
+            docs = batch.column("doc").to_numpy(zero_copy_only=False)
+            for lo, hi, buf, offsets in tn.pieces(batch.column("text")):
+                starts, ends, first = tn.spans(buf, offsets, _NOT_BREAK)
+                text = np.repeat(np.arange(hi - lo), np.diff(first))
+                breaks = np.flatnonzero(buf == 0x0A)
+                line = (np.searchsorted(breaks, starts) - np.searchsorted(breaks, offsets[text])).astype(np.int32)
+                doc = docs[lo:hi][text]
+                at = np.flatnonzero(setjoin.may_hold(field.value, _place(doc, line)))
+                raw = [buf[s:e].tobytes() for s, e in zip(starts[at].tolist(), ends[at].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(doc[at], pa.int64()), pa.array(line[at], pa.int32()), pa.array(raw, pa.binary())], ["doc", "line", "payload"])
+
+    found = texts.select("doc", "text").mapInArrow(lines, "doc long, line int, payload binary")
+    payloads = materialise(wanted.join(found, ["doc", "line"]).select("id", "payload"), "line-texts")
     num, den = join.similarity.numerator, join.similarity.denominator
 
     def similar(a: frozenset, b: frozenset) -> bool:
@@ -200,8 +216,8 @@ def _verified(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, join: LineJ
     return out
 
 
-def removed_lines(rows: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
-    """doc, name, line of every line of ``placed`` rows that goes."""
+def kept_lines(rows: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
+    """doc, line of every line of ``placed`` rows that takes part and stays: the first of its class, with no earlier match."""
     spark = rows.sparkSession
     ship(spark)
     texts = rows.select("doc", "text")
@@ -209,10 +225,11 @@ def removed_lines(rows: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
     seen = materialise(occurrences(texts, class_of, join), "line-occurrences")
     firsts = seen.groupBy("name", "check").agg(
         F.min(F.struct("doc", "line")).alias("first"), *[F.max(c).alias(c) for c in ("n", "prefix", "s0", "s1")]
-    ).select("name", "check", "first.doc", "first.line", "n", "prefix", "s0", "s1")
+    ).select("first.doc", "first.line", "n", "prefix", "s0", "s1")
     # Numbers in the order of first lines; the written table fixes them.
-    firsts = firsts.repartitionByRange("doc", "line").sortWithinPartitions("doc", "line", "name").withColumn("id", F.monotonically_increasing_id())
+    firsts = firsts.repartitionByRange("doc", "line").sortWithinPartitions("doc", "line").withColumn("id", F.monotonically_increasing_id())
     firsts = materialise(firsts, "line-classes")
+    discard(seen)
     listed = postings(firsts, class_of, join.cell, setjoin.SIGNED)
     found = materialise(setjoin.first_candidates(listed, join.similarity, setjoin.SIGNED, join.tries), "line-candidates")
     similar = _verified(found.filter("a is not null").select("a", "b"), firsts, texts, join)
@@ -224,11 +241,8 @@ def removed_lines(rows: DataFrame, join: LineJoin = LineJoin()) -> DataFrame:
     if rest.limit(1).count():
         again = _verified(rest, firsts, texts, join)
         gone = materialise(gone.unionByName(again.select(F.col("b").alias("id"))).distinct(), "line-gone")
-    lost = firsts.select("id", "name", "check", "doc", "line").join(gone, "id", "left_anti").select("name", "check", "doc", "line")
-    # What stays is the first line of each class that is not gone; every other occurrence is removed.
-    marked = seen.select("name", "check", "doc", "line").join(lost, ["name", "check", "doc", "line"], "left_anti")
-    out = materialise(marked.select("doc", "name", "line"), "line-removed")
-    discard(seen, firsts, gone)
+    out = materialise(firsts.select("id", "doc", "line").join(gone, "id", "left_anti").select("doc", "line"), "line-kept")
+    discard(firsts, gone)
     return out
 
 
@@ -243,30 +257,21 @@ def dedup_lines(docs: DataFrame, join: LineJoin = LineJoin(), keep: tuple[str, .
     """
     rows = placed(docs, keep)
     # one row has the lines of one text, so its list is no longer than the text
-    gone = removed_lines(rows, join).groupBy("doc").agg(F.collect_list(F.struct("line", "name")).alias("gone"))
-    rows = rows.join(gone, "doc", "left").select("doc_id", "text", *keep, "gone")
+    stay = kept_lines(rows, join).groupBy("doc").agg(F.collect_list("line").alias("stay"))
+    rows = rows.join(stay, "doc", "left").select("doc_id", "text", *keep, "stay")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_lines, n_removed = [], [], []
-            column, marks = batch.column("text"), batch.column("gone")
-            for lo, hi, buf, offsets in tn.pieces(column):
-                x = _Lines(buf, offsets, join.min_words)
-                first = np.searchsorted(x.text, np.arange(hi - lo + 1))
-                places, names = x.line.tolist(), x.name.tolist()
-                for i in range(hi - lo):
-                    text, gone = column[lo + i].as_py(), marks[lo + i]
-                    lines = text.split("\n") if text else []
-                    drop: set[int] = set()
-                    if gone.is_valid and lines:
-                        marked = {(g["line"], g["name"]) for g in gone.as_py()}
-                        drop = {places[j] for j in range(first[i], first[i + 1]) if (places[j], names[j]) in marked}
-                    if drop:
-                        left = [s for k, s in enumerate(lines) if k not in drop]
-                        text = "\n".join(left) if any(s.encode().strip(b" \t\n\r\x0b\x0c") for s in left) else ""
-                    texts.append(text)
-                    n_lines.append(len(lines))
-                    n_removed.append(len(drop))
+            for text, stay in zip(batch.column("text").to_pylist(), batch.column("stay").to_pylist()):
+                lines = text.split("\n") if text else []
+                stays = set(stay or ())
+                left = [s for k, s in enumerate(lines) if k in stays or not _takes_part(s, join.min_words)]
+                if len(left) < len(lines):
+                    text = "\n".join(left) if any(_takes_part(s, 1) for s in left) else ""
+                texts.append(text)
+                n_lines.append(len(lines))
+                n_removed.append(len(lines) - len(left))
             kept = [batch.column(c) for c in ("doc_id", *keep)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], ["doc_id", *keep, "text", "n_lines", "n_removed"])
 

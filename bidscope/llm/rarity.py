@@ -13,26 +13,27 @@ BITS = 22
 _BLOCK = 1 << 16
 
 
-def hashed_counts(rows: DataFrame, tokens_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int = BITS) -> np.ndarray:
-    """Occurrences of tokens in 2**bits buckets (by the low bits of their 64-bit hashes) over all rows.
+def summed(rows: DataFrame, length: int, kind: type, put: Callable[[np.ndarray, pa.RecordBatch], None], merge: np.ufunc) -> np.ndarray:
+    """One array of ``length`` numbers over all rows: ``put`` enters a batch, ``merge`` unites two arrays.
 
-    Each task sums its rows into one array and sends it in blocks; blocks are summed
-    where they meet, so tasks, executors and the driver hold one array of 2**bits
-    numbers, whatever the input. A bucket's count is at least each of its tokens'.
+    Each task enters its rows in one array and sends it in blocks; blocks are merged
+    where they meet, so tasks, executors and the driver hold one array, whatever the input.
     """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, np.int64)
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(length, kind)
         for batch in batches:
-            for tokens in tokens_of(batch):
-                total += np.bincount((tokens & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
-        yield from _blocks(total)
+            put(total, batch)
+        for block in range(-(-length // _BLOCK)):
+            part = total[block * _BLOCK : (block + 1) * _BLOCK]
+            if part.any():
+                yield _row(block, part)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, packed in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                part = np.frombuffer(zstandard.decompress(packed), np.int64)
-                sums[block] = sums[block] + part if block in sums else part
+                part = np.frombuffer(zstandard.decompress(packed), kind)
+                sums[block] = merge(sums[block], part) if block in sums else part
         for block, part in sums.items():
             yield _row(block, part)
 
@@ -40,19 +41,25 @@ def hashed_counts(rows: DataFrame, tokens_of: Callable[[pa.RecordBatch], Iterato
         packed = zstandard.compress(np.ascontiguousarray(part), 1)
         return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([packed], pa.binary())], ["block", "counts"])
 
-    def _blocks(total: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for block in range(len(total) // _BLOCK):
-            part = total[block * _BLOCK : (block + 1) * _BLOCK]
-            if part.any():
-                yield _row(block, part)
-
     schema = "block int, counts binary"
-    out = np.zeros(1 << bits, np.int64)
-    for r in rows.mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect():
-        out[r.block * _BLOCK : (r.block + 1) * _BLOCK] = np.frombuffer(zstandard.decompress(bytes(r.counts)), np.int64)
+    out = np.zeros(length, kind)
+    for r in rows.mapInArrow(enter, schema).repartition("block").mapInArrow(unite, schema).collect():
+        out[r.block * _BLOCK : (r.block + 1) * _BLOCK] = np.frombuffer(zstandard.decompress(bytes(r.counts)), kind)
     return out
 
 
+def hashed_counts(rows: DataFrame, tokens_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int = BITS) -> np.ndarray:
+    """Occurrences of tokens in 2**bits buckets (by the low bits of their 64-bit hashes) over all rows.
+
+    A bucket's count is at least each of its tokens'.
+    """
+    def put(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        for tokens in tokens_of(batch):
+            np.add.at(total, (tokens & np.uint64((1 << bits) - 1)).astype(np.int64), 1)
+
+    return summed(rows, 1 << bits, np.int64, put, np.add)
+
+
 def classes(counts: np.ndarray) -> np.ndarray:
     """Counts as one byte each: 0 for none, else about 6 steps a doubling, rounded up."""
     return np.minimum(np.ceil(6 * np.log2(1.0 + counts)), 255).astype(np.uint8)

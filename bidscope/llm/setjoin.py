@@ -36,6 +36,8 @@ POSTING = "token int, cell int, side int, id long, n int, pos int"
 SIGNED = f"{POSTING}, s0 long, s1 long"
 _KINDS = {"int": pa.int32(), "long": pa.int64()}
 _YIELD = 100_000
+#: Rows of whole lists that are gone through together.
+_TOGETHER = 100_000
 
 
 def fields(schema: str) -> list[tuple[str, pa.DataType]]:
@@ -104,17 +106,30 @@ def _lists(postings: DataFrame, schema: str) -> DataFrame:
 def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
     """Columns of whole lists and the first row of each (and the end), from sorted batches."""
     held: dict[str, np.ndarray] | None = None
+    waiting: list[dict[str, np.ndarray]] = []
 
     def cut(cols: dict[str, np.ndarray]) -> np.ndarray:
         new = (cols["token"][1:] != cols["token"][:-1]) | (cols["cell"][1:] != cols["cell"][:-1])
         return np.concatenate(([0], np.flatnonzero(new) + 1))
 
-    for batch in batches:
-        cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
-        if held is not None:
-            cols = {c: np.concatenate((held[c], cols[c])) for c in names}
-        if not len(cols["token"]):
-            continue
+    def read() -> Iterator[dict[str, np.ndarray]]:
+        size = 0
+        for batch in batches:
+            waiting.append({c: batch.column(c).to_numpy(zero_copy_only=False) for c in names})
+            size += batch.num_rows
+            if size >= _TOGETHER:
+                yield joined()
+                size = 0
+        if size:
+            yield joined()
+
+    def joined() -> dict[str, np.ndarray]:
+        parts = ([held] if held is not None else []) + waiting
+        out = {c: np.concatenate([x[c] for x in parts]) for c in names}
+        waiting.clear()
+        return out
+
+    for cols in read():
         begins = cut(cols)
         held = {c: v[begins[-1] :] for c, v in cols.items()}
         if begins[-1]:
@@ -301,11 +316,17 @@ def compare(pairs: DataFrame, payloads: DataFrame, verdict: Callable[[object, ob
 
 
 def members(keys: DataFrame, bits: int = 24) -> np.ndarray:
-    """A bit field of fixed size with the hashes of one long column: rows that it lacks need not be read further."""
-    from .rarity import hashed_counts
+    """A bit field of fixed size with the hashes of one long column: rows that it lacks need not be read further.
+
+    Tasks hold one byte a bit.
+    """
+    from .rarity import summed
+
+    def put(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        hashes = tn.mix64(batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64))
+        total[(hashes & np.uint64((1 << bits) - 1)).astype(np.int64)] = True
 
-    counts = hashed_counts(keys, lambda batch: iter([tn.mix64(batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64))]), bits)
-    return np.packbits(counts > 0)
+    return np.packbits(summed(keys, 1 << bits, np.bool_, put, np.logical_or))
 
 
 def may_hold(field: np.ndarray, ids: np.ndarray) -> np.ndarray:
