@@ -141,13 +141,17 @@ def occurrences(texts: DataFrame, class_of, join: LineJoin) -> DataFrame:
                 x = _Lines(buf, offsets, join.min_words, class_of.value)
                 length = np.where(_only_equal(join.similarity, x.n), 0, setjoin.prefix_length(join.similarity, x.n))
                 short = (x.token & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                _, new = np.unique(x.name, return_index=True)
-                prefix: list[bytes | None] = [None] * len(x.n)
-                for i in new.tolist():
-                    prefix[i] = short[x.begin[i] : x.begin[i] + length[i]].tobytes()
+                new = np.zeros(len(x.n), bool)
+                new[np.unique(x.name, return_index=True)[1]] = True
+                words = np.where(new, length, 0)
+                ends = np.concatenate(([0], np.cumsum(words)))
+                owner = np.repeat(np.arange(len(words)), words)
+                data = short[np.arange(len(owner)) - ends[owner] + x.begin[owner]]
+                bits = np.packbits(new, bitorder="little")
+                prefix = pa.Array.from_buffers(pa.binary(), len(new), [pa.py_buffer(bits), pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x.name, pa.int64()), pa.array(x.check, pa.int64()), pa.array(docs[lo:hi][x.text], pa.int64()), pa.array(x.line, pa.int32()),
-                     pa.array(x.n, pa.int32()), pa.array(prefix, pa.binary()), pa.array(x.signs[:, 0], pa.int64()), pa.array(x.signs[:, 1], pa.int64())],
+                     pa.array(x.n, pa.int32()), prefix, pa.array(x.signs[:, 0], pa.int64()), pa.array(x.signs[:, 1], pa.int64())],
                     names,
                 )
 

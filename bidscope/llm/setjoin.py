@@ -98,13 +98,14 @@ def fold(signatures: list[bytes]) -> np.ndarray:
     return out
 
 
-def _lists(postings: DataFrame, schema: str) -> DataFrame:
-    """Postings dealt by list, each list in order of id."""
-    return postings.select(*[f.split()[0] for f in schema.split(", ")]).repartition("token", "cell").sortWithinPartitions("token", "cell", "id")
+def _lists(postings: DataFrame, names: list[str]) -> DataFrame:
+    """Postings dealt by list, the rows of each list together (sorted by one number, not by three columns)."""
+    of_list = F.shiftleft(F.col("token").cast("long"), 32) + F.col("cell")
+    return postings.select(*names).repartition("token", "cell").sortWithinPartitions(of_list)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
-    """Columns of whole lists and the first row of each (and the end), from sorted batches."""
+    """Columns of whole lists, each in order of id, and the first row of each (and the end), from sorted batches."""
     held: dict[str, np.ndarray] | None = None
     waiting: list[dict[str, np.ndarray]] = []
 
@@ -112,6 +113,10 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tup
         new = (cols["token"][1:] != cols["token"][:-1]) | (cols["cell"][1:] != cols["cell"][:-1])
         return np.concatenate(([0], np.flatnonzero(new) + 1))
 
+    def by_id(cols: dict[str, np.ndarray], begins: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        order = np.lexsort((cols["id"], np.repeat(np.arange(len(begins) - 1), np.diff(begins))))
+        return {c: v[order] for c, v in cols.items()}, begins
+
     def read() -> Iterator[dict[str, np.ndarray]]:
         size = 0
         for batch in batches:
@@ -133,9 +138,9 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tup
         begins = cut(cols)
         held = {c: v[begins[-1] :] for c, v in cols.items()}
         if begins[-1]:
-            yield {c: v[: begins[-1]] for c, v in cols.items()}, begins
+            yield by_id({c: v[: begins[-1]] for c, v in cols.items()}, begins)
     if held is not None and len(held["token"]):
-        yield held, np.append(cut(held), len(held["token"]))
+        yield by_id(held, np.append(cut(held), len(held["token"])))
 
 
 def _passes(c: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, t: Fraction) -> np.ndarray:
@@ -188,7 +193,7 @@ def first_candidates(postings: DataFrame, t: Fraction, schema: str, tries: int =
             held = [pa.array(np.concatenate((np.zeros(m, c[n].dtype), c[n][kept])), kind, mask=~none) for n, kind in fields(schema)]
             yield pa.RecordBatch.from_arrays([*ends, *held], ["a", "b", *names])
 
-    return _lists(postings, schema).mapInArrow(run, f"a long, b long, {schema}")
+    return _lists(postings, names).mapInArrow(run, f"a long, b long, {schema}")
 
 
 def open_candidates(postings: DataFrame, t: Fraction, schema: str) -> DataFrame:
@@ -220,8 +225,7 @@ def open_candidates(postings: DataFrame, t: Fraction, schema: str) -> DataFrame:
         if out:
             yield batch(out)
 
-    dealt = postings.select(*names).repartition("token", "cell").sortWithinPartitions("token", "cell", "id")
-    return dealt.mapInArrow(run, "a long, b long")
+    return _lists(postings, names).mapInArrow(run, "a long, b long")
 
 
 def across_candidates(postings: DataFrame, t: Fraction, schema: str, tries: int) -> DataFrame:
@@ -279,8 +283,7 @@ def across_candidates(postings: DataFrame, t: Fraction, schema: str, tries: int)
             if pairs:
                 yield batch(c, pairs, kept)
 
-    dealt = postings.select(*names, "tag", "parity").repartition("token", "cell").sortWithinPartitions("token", "cell", "id")
-    return dealt.mapInArrow(run, f"a long, b long, {schema}")
+    return _lists(postings, [*names, "tag", "parity"]).mapInArrow(run, f"a long, b long, {schema}")
 
 
 def compare(pairs: DataFrame, payloads: DataFrame, verdict: Callable[[object, object], bool], prepare: Callable[[object], object], spokes: int = 500) -> DataFrame:
