@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -271,3 +273,34 @@ def test_good_documents_keep_their_columns(spark, edge):
     ids = sorted((r.doc_id or -1) for r in quality_rules.judge(docs).filter("kept").collect())
     assert sorted((r.doc_id or -1) for r in kept.collect()) == ids and ids.count(20) == 2 and ids.count(-1) == 1
     same(kept.filter("doc_id = 20").select("n_words", "kept", "host", "text"), [(-5, "x", -5, long), (-6, "y", -6, long)])
+
+
+def test_bit_field_takes_a_byte_a_bit(spark):
+    """Workers fill truth values; equal to counting the hashes."""
+    from bidscope.llm import rarity
+    keys = spark.range(0, 5000, 7).repartition(3)
+
+    def put(total, batch):
+        assert total.nbytes == len(total)
+        total[batch.column(0).to_numpy() % len(total)] = True
+
+    assert rarity.summed(keys, 1 << 18, np.bool_, put, np.logical_or).sum() == keys.count()
+    field = setjoin.members(keys)
+    assert len(field) == 1 << 21
+    assert setjoin.may_hold(field, np.arange(0, 5000, 7)).all() and setjoin.may_hold(field, np.arange(5000)).sum() < 800
+
+
+def test_lists_of_many_batches_come_together():
+    """Whole lists in order of id, in few steps however small the batches are."""
+    token = np.repeat(np.arange(300, dtype=np.int32), 10)
+    ids = np.tile(np.arange(10)[::-1], 300)
+    batches = [pa.record_batch({"token": token[i : i + 7], "cell": np.zeros(len(token[i : i + 7]), np.int32), "id": ids[i : i + 7]}) for i in range(0, len(token), 7)]
+    found = list(setjoin._groups(iter(batches), ["token", "cell", "id"]))
+    assert len(found) == 2 and sum(begins[-1] for _, begins in found) == 3000
+    assert all((c["id"].reshape(-1, 10) == np.arange(10)).all() for c, _ in found)
+
+
+def test_lines_kept_are_places(spark):
+    rows = [(1, "a b c\n\nd e f g"), (2, "c b a\nnew line here"), (3, None), (4, "\n\nd e f g h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    same(line_dedup.kept_lines(line_dedup.placed(df)), [(1, 0), (1, 2), (2, 1)])

@@ -100,3 +100,15 @@ def test_failed_materialisation_leaves_nothing(spark, random_sources, tmp_path):
     with pytest.raises(Exception, match="lost"):
         ReportContext(broken, FunnelRequest(TEST_DAY)).materialize(str(tmp_path))
     assert not list((tmp_path / "bidscope-tables").iterdir())
+
+
+def test_partitions_grow_with_the_rows(spark):
+    """Raised for many rows while the report's tables are written, then as before; a larger number is kept."""
+    from bidscope.plans.context import TASK_ROWS, partitions_for
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with partitions_for(spark, 50 * TASK_ROWS + 1):
+        assert spark.conf.get(name) == "51"
+    assert spark.conf.get(name) == before
+    with partitions_for(spark, 1):
+        assert spark.conf.get(name) == before
