@@ -146,9 +146,8 @@ def classes_of(texts: DataFrame, class_of, join: NgramJoin) -> DataFrame:
 
 
 def _links(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, join: NgramJoin) -> DataFrame:
-    """The pairs of classes that are linked: filtered by the other orders, then verified on the texts."""
+    """Of pairs (a, b) of classes, each there once, those that are linked: filtered by the other orders, then verified on the texts."""
     spark = pairs.sparkSession
-    pairs = materialise(pairs.distinct(), "ngram-pairs")
     field = spark.sparkContext.broadcast(setjoin.members(pairs.select(F.explode(F.array("a", "b")).alias("id"))))
 
     def concerned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,19 +173,14 @@ def _links(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, join: NgramJoi
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(setjoin.may_hold(documents.value, batch.column("doc").to_numpy(zero_copy_only=False))))
-
-    def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+            batch = batch.filter(pa.array(setjoin.may_hold(documents.value, batch.column("doc").to_numpy(zero_copy_only=False))))
             for lo, hi, buf, offsets in tn.pieces(batch.column("text")):
                 own = pa.array(_Sets(buf, offsets, join.width).name, pa.int64())
-                kept = [batch.column(c).slice(lo, hi - lo) for c in ("id", "name", "text")]
-                yield pa.RecordBatch.from_arrays([*kept, own], ["id", "name", "payload", "own"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc").slice(lo, hi - lo), own, batch.column("text").slice(lo, hi - lo)], ["doc", "name", "payload"])
 
     # A doc_id may stand on rows with other texts; only those whose set is the class's count.
-    near = texts.filter("doc is not null").mapInArrow(needed, "doc long, text string").hint("merge").join(wanted, "doc").select("id", "name", "text")
-    near = near.mapInArrow(identified, "id long, name long, payload string, own long").filter("name = own")
-    payloads = materialise(near.groupBy("id").agg(F.min("payload").alias("payload")), "ngram-texts")
+    near = texts.filter("doc is not null").mapInArrow(needed, "doc long, name long, payload string").hint("merge").join(wanted, ["doc", "name"])
+    payloads = materialise(near.groupBy("doc", "name", "id").agg(F.min("payload").alias("payload")).select("id", "payload"), "ngram-texts")
     num, den = join.similarity.numerator, join.similarity.denominator
 
     def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -198,7 +192,7 @@ def _links(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, join: NgramJoi
         return _Sets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), join.width).token
 
     out = materialise(setjoin.compare(left, payloads, similar, shingles), "ngram-verified")
-    discard(pairs, left, wanted, payloads)
+    discard(left, wanted, payloads)
     return out
 
 
@@ -220,31 +214,31 @@ def ngram_components(docs: DataFrame, join: NgramJoin = NgramJoin()) -> DataFram
     listed = postings(firsts, class_of, join.cell, setjoin.POSTING)
     found = materialise(setjoin.first_candidates(listed, join.similarity, setjoin.POSTING, join.tries), "ngram-candidates")
 
-    names = firsts.select("id", "doc")
-    by_doc = lambda e: e.join(names.toDF("a", "u"), "a").join(names.toDF("b", "v"), "b").select("u", "v")
-    member = seen.filter("n > 0 and doc is not null").join(firsts.select("name", "check", F.col("doc").alias("head")), ["name", "check"])
+    member = seen.filter("n > 0 and doc is not null").join(firsts.select("name", "check", "id", F.col("doc").alias("head")), ["name", "check"])
     # Rows of one doc_id with different sets link those sets' classes.
-    several = member.groupBy("doc").agg(F.min("head").alias("u"), F.max("head").alias("high")).filter("u < high").select("doc", "u")
+    several = member.groupBy("doc").agg(F.min("id").alias("u"), F.max("id").alias("high")).filter("u < high").select("doc", "u")
     tried = materialise(found.filter("a is not null").select("a", "b").distinct(), "ngram-tried")
-    edges = materialise(by_doc(_links(tried, firsts, texts, join)).unionByName(member.join(several, "doc").select("u", F.col("head").alias("v"))), "ngram-links")
+    edges = _links(tried, firsts, texts, join).toDF("u", "v").unionByName(member.join(several, "doc").select("u", F.col("id").alias("v")))
     roots = components(edges)
 
     tries = join.tries
     while True:
-        held = found.filter("a is null").drop("a", "b").join(firsts.select("id", "doc", "parity"), "id")
-        tagged = held.join(roots.withColumnRenamed("node", "doc"), "doc", "left").withColumn("tag", F.coalesce("root", "doc"))
+        held = found.filter("a is null").drop("a", "b").join(firsts.select("id", "parity"), "id")
+        tagged = held.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("tag", F.coalesce("root", "id"))
         spent, found = found, materialise(setjoin.across_candidates(tagged, join.similarity, setjoin.POSTING, tries), "ngram-open")
         discard(spent)
         new = materialise(found.filter("a is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "ngram-new")
         if not new.isEmpty():
             tried = tried.unionByName(new)
-            edges = edges.unionByName(materialise(by_doc(_links(new, firsts, texts, join)), "ngram-links"))
-            roots = components(edges)
+            # the components so far stand for all earlier links
+            roots = components(roots.toDF("u", "v").unionByName(_links(new, firsts, texts, join).toDF("u", "v")))
         if found.filter("a is null").isEmpty():
             break
         tries *= join.growth
-    heads = member.select("doc", "head").distinct().join(roots.withColumnRenamed("node", "head"), "head", "left")
-    own = heads.groupBy("doc").agg(F.min(F.coalesce("root", "head")).alias("component_id"))
+    smallest = roots.join(firsts.select(F.col("id").alias("node"), "doc"), "node").groupBy("root").agg(F.min("doc").alias("smallest"))
+    named = roots.join(smallest, "root").select(F.col("node").alias("id"), "smallest")
+    heads = member.select("doc", "head", "id").distinct().join(named, "id", "left")
+    own = heads.groupBy("doc").agg(F.min(F.coalesce("smallest", "head")).alias("component_id"))
     return seen.join(own, "doc", "left").select(
         F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id")
     )

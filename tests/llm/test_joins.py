@@ -304,3 +304,33 @@ def test_lines_kept_are_places(spark):
     rows = [(1, "a b c\n\nd e f g"), (2, "c b a\nnew line here"), (3, None), (4, "\n\nd e f g h")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
     same(line_dedup.kept_lines(line_dedup.placed(df)), [(1, 0), (1, 2), (2, 1)])
+
+
+def test_stars_are_components_at_once(spark, monkeypatch):
+    """op1: links that are stars around their smallest nodes already are written once, without a round."""
+    written = []
+    monkeypatch.setattr(components, "materialise", lambda df, name: written.append(name) or df.localCheckpoint())
+    edges = [(1, 5), (7, 1), (1, 5), (20, 21), (3, 3)]
+    got = components.components(spark.createDataFrame(edges, "u long, v long"))
+    same(got, [(5, 1), (7, 1), (1, 1), (21, 20), (20, 20)])
+    assert written == ["links"]
+    with pytest.raises(RuntimeError):
+        components.components(spark.createDataFrame([(1, 2), (2, 3)], "u long, v long"), rounds=0)
+
+
+def test_pairs_move_twice_to_be_compared(spark):
+    """op1: four shuffles (pairs and payloads, for either end); every pair is judged on its own payloads."""
+    pairs = spark.createDataFrame([(a, b) for a in range(6) for b in range(a + 1, 9)], "a long, b long").repartition(3)
+    payloads = spark.createDataFrame([(i, str(i % 4)) for i in range(8)], "id long, payload string")
+    got = setjoin.compare(pairs, payloads, lambda x, y: x == y, int)
+    assert got._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin") == 2
+    same(got, [(a, b) for a in range(6) for b in range(a + 1, 8) if a % 4 == b % 4])
+
+
+def test_postings_of_a_list_travel_packed(spark):
+    """op9: a posting is shuffled as five numbers and read back as it was, with either side of a cell and large numbers."""
+    rows = [(-5, 3 << 15 | 7, 3, 1 << 40, 9, 2, -1, 5), (-5, 3 << 15 | 7, 7, 2, 1 << 30, (1 << 29) + 1, 6, -7), (2**31 - 1, 4 << 15 | 4, -1, 3, 1, 0, 0, 0), (1, 0, -1, 8, 10, 0, 3, 5), (1, 9, 9, 4, 2, 1, 0, 1)]
+    packed = setjoin._lists(spark.createDataFrame(rows, setjoin.SIGNED), setjoin.SIGNED)
+    assert packed.columns == ["list", "id", "size", "s0", "s1"]
+    names = [n for n, _ in setjoin.fields(setjoin.SIGNED)]
+    same(packed.mapInArrow(lambda batches: (b.select(names) for b in setjoin._unpacked(batches)), setjoin.SIGNED), rows)
