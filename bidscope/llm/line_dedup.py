@@ -38,6 +38,8 @@ _NOT_BREAK[0x0A] = False
 OCCURRENCE = "name long, check long, doc long, line int, n int, prefix binary, s0 long, s1 long"
 #: Bits of a line's parity signature.
 SIGN = 128
+#: Bytes of text that are cut into lines and words together: the working arrays (8 bytes a byte) stay in a core's cache.
+RUN = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -65,8 +67,8 @@ class _Lines:
         long = high - low >= min_words
         l_starts, l_ends, low, high = l_starts[long], l_ends[long], low[long], high[long]
         self.text = np.searchsorted(offsets, l_starts, "right") - 1
-        breaks = np.concatenate(([0], np.cumsum(buf == 0x0A)))
-        self.line = breaks[l_starts] - breaks[offsets[self.text]]
+        breaks = np.flatnonzero(buf == 0x0A)
+        self.line = np.searchsorted(breaks, l_starts) - np.searchsorted(breaks, offsets[self.text])
         self.span = (l_starts, l_ends)
         words = tn.span_hash(buf, starts, ends)
         owner = np.repeat(np.arange(len(low)), high - low)
@@ -120,7 +122,7 @@ def placed(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def _word_counts(docs: DataFrame) -> np.ndarray:
     def words(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for _, _, buf, offsets in tn.pieces(batch.column("text")):
+        for _, _, buf, offsets in tn.pieces(batch.column("text"), RUN):
             starts, ends, _ = tn.spans(buf, offsets, tn.SPACE_WORD)
             yield tn.span_hash(buf, starts, ends)
 
@@ -137,7 +139,7 @@ def occurrences(texts: DataFrame, class_of, join: LineJoin) -> DataFrame:
         names = [f.split()[0] for f in OCCURRENCE.split(", ")]
         for batch in batches:
             docs = batch.column("doc").to_numpy(zero_copy_only=False)
-            for lo, hi, buf, offsets in tn.pieces(batch.column("text")):
+            for lo, hi, buf, offsets in tn.pieces(batch.column("text"), RUN):
                 x = _Lines(buf, offsets, join.min_words, class_of.value)
                 length = np.where(_only_equal(join.similarity, x.n), 0, setjoin.prefix_length(join.similarity, x.n))
                 short = (x.token & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -197,7 +199,7 @@ def _verified(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, join: LineJ
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs = batch.column("doc").to_numpy(zero_copy_only=False)
-            for lo, hi, buf, offsets in tn.pieces(batch.column("text")):
+            for lo, hi, buf, offsets in tn.pieces(batch.column("text"), RUN):
                 starts, ends, first = tn.spans(buf, offsets, _NOT_BREAK)
                 text = np.repeat(np.arange(hi - lo), np.diff(first))
                 breaks = np.flatnonzero(buf == 0x0A)
