@@ -21,12 +21,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidscope.plans.together import run_together
+from bidscope.plans.together import shuffle_partitions, shuffles_deleted
 from bidscope.sources.schema import TIME_COLUMNS
 from bidscope.sources.tables import PARTITION_COLUMN, FunnelSources, conform
 
 # The id that each table is stored by. Page tracks name theirs inside a text, by report rules, and stay as they are.
 STORE_KEYS = {"bid_request": "request_id", "bid_response": "response_id", "bid_result": "response_id", "bid_click": "response_id"}
+# What is written while the disk is emptiest.
+LARGEST_FIRST = ("bid_response", "bid_request", "bid_result", "bid_click")
 
 
 @dataclass(frozen=True)
@@ -50,7 +52,7 @@ class EventStore:
         return f"{self.root.rstrip('/')}/{self.prefix}{name}"
 
 
-def buckets_for(src: FunnelSources, least: int, rows: int = 1_000_000) -> int:
+def buckets_for(src: FunnelSources, least: int, rows: int = 500_000) -> int:
     """So many buckets that those of the largest table hold about ``rows`` rows, and ``least`` or more: the tasks
     that write and join buckets then stay of one size, however large the tables are."""
     counts = [getattr(src, name).agg(F.count(F.lit(1)).alias("n")) for name in STORE_KEYS]
@@ -59,29 +61,41 @@ def buckets_for(src: FunnelSources, least: int, rows: int = 1_000_000) -> int:
 
 
 def hot_ids(src: FunnelSources, store: EventStore) -> DataFrame:
-    """(id): ids of more than ``hot_rows`` rows in one of the tables, null among them if it is.
+    """(id, n): ids of more than ``hot_rows`` rows in one of the tables, null among them if it is, and the most rows.
 
     At most one id for each ``hot_rows`` rows. Counts are combined map-side.
     """
     counts = [getattr(src, name).groupBy(F.col(key).alias("id")).agg(F.count(F.lit(1)).alias("n"))
-              .filter(F.col("n") > F.lit(store.hot_rows)).select("id") for name, key in STORE_KEYS.items()]
-    return reduce(DataFrame.unionByName, counts).distinct()
+              .filter(F.col("n") > F.lit(store.hot_rows)) for name, key in STORE_KEYS.items()]
+    return reduce(DataFrame.unionByName, counts).groupBy("id").agg(F.max("n").alias("n"))
 
 
 def _same_id(key: str) -> Column:
     return F.col(key).eqNullSafe(F.col("id"))
 
 
+#: The hottest ids, whose rows are left out before the rows of a table are dealt to buckets: an id
+#: that goes to its bucket, to be left out there, has less than one of so many parts of the rows.
+HOTTEST = 10_000
+
+
 def write_event_store(src: FunnelSources, store: EventStore) -> None:
-    """Write the five event tables; existing tables of these names are replaced."""
+    """Write the five event tables; existing tables of these names are replaced.
+
+    One after the other, the largest first, so that the disk holds the shuffle of one table at a time: it is
+    deleted when the table is written.
+    """
     spark = src.bid_response.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {store.database}")
-    hot_ids(src, store).write.mode("overwrite").parquet(store.path("hot_ids"))
-    hot = spark.read.parquet(store.path("hot_ids"))
 
-    def even(dated: DataFrame, name: str, key: str) -> None:
-        # every bucket of a day is one file: the shuffle that makes it is that of the writer's buckets
-        (dated.join(hot, _same_id(key), "left_anti").repartition(store.buckets, key)
+    def dated(name: str) -> DataFrame:
+        return getattr(src, name).withColumn(PARTITION_COLUMN, F.to_date(TIME_COLUMNS[name]))
+
+    def even(name: str, key: str) -> None:
+        # The shuffle that deals the rows to the writer's buckets, so that every bucket of a day is one file, is that of the
+        # join too. An anti join would be moved below it and have one of its own.
+        cold = dated(name).join(F.broadcast(hottest), _same_id(key), "left_anti").repartition(store.buckets, key)
+        (cold.join(others, F.col(key) == F.col("id"), "left").filter(~F.coalesce("_hot", F.lit(False))).drop("id", "_hot")
          .write.mode("overwrite").partitionBy(PARTITION_COLUMN).bucketBy(store.buckets, key).sortBy(key)
          .option("path", store.path(name)).saveAsTable(store.table(name)))
 
@@ -89,15 +103,19 @@ def write_event_store(src: FunnelSources, store: EventStore) -> None:
         (dated.repartitionByRange(PARTITION_COLUMN, time)
          .write.mode("overwrite").partitionBy(PARTITION_COLUMN).option("path", store.path(name)).saveAsTable(store.table(name)))
 
-    def dated(name: str) -> DataFrame:
-        return getattr(src, name).withColumn(PARTITION_COLUMN, F.to_date(TIME_COLUMNS[name]))
-
-    # the tables need nothing of each other
-    jobs = [lambda name=name, key=key: even(dated(name), name, key) for name, key in STORE_KEYS.items()]
-    jobs += [lambda name=name, key=key: by_time(dated(name).join(hot, _same_id(key), "left_semi"), f"{name}_hot", TIME_COLUMNS[name])
-             for name, key in STORE_KEYS.items()]
-    jobs.append(lambda: by_time(dated("track_event"), "track_event", TIME_COLUMNS["track_event"]))
-    run_together(spark, jobs)
+    with shuffles_deleted(spark):
+        hot_ids(src, store).write.mode("overwrite").parquet(store.path("hot_ids"))
+        ids = spark.read.parquet(store.path("hot_ids"))
+        hot = ids.select("id")
+        # null first: it is in no bucket's join
+        hottest = ids.orderBy(F.col("id").isNull().desc(), F.col("n").desc(), "id").limit(HOTTEST).select("id")
+        others = hot.withColumn("_hot", F.lit(True)).repartition(store.buckets, "id").hint("shuffle_hash")
+        for name in LARGEST_FIRST:
+            key = STORE_KEYS[name]
+            with shuffle_partitions(spark, store.buckets):      # a join with fewer buckets than that would have a shuffle
+                even(name, key)
+            by_time(dated(name).join(hot, _same_id(key), "left_semi"), f"{name}_hot", TIME_COLUMNS[name])
+        by_time(dated("track_event"), "track_event", TIME_COLUMNS["track_event"])
 
 
 def load_event_store(spark: SparkSession, store: EventStore, dims: FunnelSources, lateness_days: int = 0) -> FunnelSources:
@@ -106,7 +124,7 @@ def load_event_store(spark: SparkSession, store: EventStore, dims: FunnelSources
         return conform(spark.read.table(store.table(name + suffix)), name, PARTITION_COLUMN, lateness_days)
 
     tracks = read("track_event")
-    even = dims.replace(track_event=tracks, **{n: read(n) for n in STORE_KEYS})
+    even = dims.replace(track_event=tracks, buckets=store.buckets, **{n: read(n) for n in STORE_KEYS})
     hot = dims.replace(track_event=tracks, **{n: read(n, "_hot") for n in STORE_KEYS})
     whole = {n: getattr(even, n).unionByName(getattr(hot, n)) for n in STORE_KEYS}
     return dims.replace(track_event=tracks, parts=(even, hot), **whole)
