@@ -10,6 +10,8 @@ A bucket cannot be split while it is joined, so an id that holds a large part of
 of the tables are *hot*: their rows go to plain tables of the same names (``_hot``) in all four,
 and their joins shuffle as usual, where the adaptive planner splits hot partitions. An id
 is hot in all tables or in none, so joins of the two parts are the join of the whole.
+Tables are written one after the other and their shuffles deleted, so that the disk holds the store and the
+shuffles of one table: that by id which makes the buckets, then that which finds the hot rows.
 ``load_event_store`` gives both: whole tables, and the two parts that are joined apart.
 """
 
